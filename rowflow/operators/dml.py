@@ -76,37 +76,28 @@ def delete_events(
 
 
 def event_rows(events: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Events as a change frame: ``op``, ``seq``, the keys of either image, the after image."""
+    """Events as a change frame: ``op``, ``seq`` and the columns of the row.
+
+    A delete carries its key alone.  An update that moves a row to another key becomes a
+    delete of the old key and an insert of the new one.
+    """
     keys = list(keys)
     fields = events.schema["after"].dataType.fieldNames()
-    return split_key_changes(events, keys).select(
-        "op",
-        "seq",
-        *[
-            (F.coalesce(F.col(f"after.{c}"), F.col(f"before.{c}")) if c in keys else F.col(f"after.{c}")).alias(c)
-            for c in fields
-        ],
-    )
-
-
-def split_key_changes(events: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """An update that moves a row to another key becomes a delete and an insert."""
     moved = F.lit(False)
     for k in keys:
         moved = moved | ~F.col(f"before.{k}").eqNullSafe(F.col(f"after.{k}"))
     moved = (F.col("op") == "u") & F.col("before").isNotNull() & moved
-    image = events.schema["after"].dataType
-    nothing = F.lit(None).cast(image)
-    event = lambda op, before, after: F.struct(op.alias("op"), before.alias("before"), after.alias("after"))
-    parts = F.when(
-        moved,
-        F.array(
-            event(F.lit("d"), F.col("before").cast(image), nothing),
-            event(F.lit("c"), nothing, F.col("after")),
-        ),
-    ).otherwise(F.array(event(F.col("op"), F.col("before").cast(image), F.col("after"))))
-    others = [c for c in events.columns if c not in ("op", "before", "after")]
-    return events.select(*others, F.inline(parts)).select(*events.columns)
+    ops = F.when(moved, F.array(F.lit("d"), F.lit("c"))).otherwise(F.array("op"))
+    parts = events.select("seq", "before", "after", F.explode(ops).alias("op"))
+    gone = F.col("op") == "d"
+
+    def value(c: str) -> Column:
+        if c not in keys:
+            return F.when(~gone, F.col(f"after.{c}"))
+        old, new = F.col(f"before.{c}"), F.col(f"after.{c}")
+        return F.when(gone, F.coalesce(old, new)).otherwise(F.coalesce(new, old))
+
+    return parts.select("op", "seq", *[value(c).alias(c) for c in fields])
 
 
 def assign_keys(rows: DataFrame, current: DataFrame, key: str, order: str) -> DataFrame:

@@ -108,7 +108,7 @@ def running_stats(probes: DataFrame, n: int = HISTORY, width: int = 1 << 14) ->
     """Average and p95 of the table's last ``n`` successes, after every single probe.
 
     One table may hold most of the probes, so its probes are not put in one window.  They
-    are cut into ranges of ``width`` probe numbers, and each range is given the ``n - 1``
+    are cut into ranges of ``width`` probe numbers, and each range is given the ``n``
     successes before it as context; successes are found by their number, so a long run of
     failures needs nothing special.
     """
@@ -119,7 +119,7 @@ def running_stats(probes: DataFrame, n: int = HISTORY, width: int = 1 << 14) ->
     wanted = starts.where(F.col("__k0") > 0).select(
         "table",
         "__block",
-        F.explode(F.sequence(F.greatest(F.col("__k0") - (n - 2), F.lit(1)), F.col("__k0"))).alias("__k"),
+        F.explode(F.sequence(F.greatest(F.col("__k0") - (n - 1), F.lit(1)), F.col("__k0"))).alias("__k"),
     )
     context = wanted.join(numbered.where(good), ["table", "__k"]).withColumn("__own", F.lit(False))
     # A failure has the number of the success before it, so the frame counts numbers, not rows.

@@ -18,14 +18,32 @@ META = ("op", "seq")
 def latest_by_key(changes: DataFrame, keys: Iterable[str], seq: str = "seq") -> DataFrame:
     """The change with the highest ``seq`` of every key, whole row.
 
-    Equal ``seq`` falls to the greater row, so a retried task cannot choose otherwise.
-    The maximum is combined on the map side: however often one key changes, each task
-    ships a single row for it.
+    At equal ``seq`` a row beats a delete, and then the greater row wins, so a retried task
+    cannot choose otherwise.  The maximum is combined on the map side: however often one
+    key changes, each task ships a single row for it.
     """
     keys = list(keys)
     rest = [c for c in changes.columns if c not in keys and c != seq]
-    newest = changes.groupBy(*keys).agg(F.max(F.struct(seq, *rest)).alias("newest"))
-    return newest.select(*[F.col(c) if c in keys else F.col(f"newest.{c}").alias(c) for c in changes.columns])
+    newest = F.max(F.struct(seq, (F.col("op") != "d").alias("__exists"), *rest)).alias("newest")
+    return (
+        changes.groupBy(*keys)
+        .agg(newest)
+        .select(*[F.col(c) if c in keys else F.col(f"newest.{c}").alias(c) for c in changes.columns])
+    )
+
+
+def live_keys(changes: DataFrame, keys: Iterable[str], seq: str = "seq") -> DataFrame:
+    """Keys that exist after all changes, for counts and reference checks.
+
+    Two numbers per key decide, so this hashes where whole rows would have to be sorted.
+    """
+    keys = list(keys)
+    deleted = F.col("op") == "d"
+    ends = changes.groupBy(*keys).agg(
+        F.max(F.when(~deleted, F.col(seq))).alias("__put"), F.max(F.when(deleted, F.col(seq))).alias("__gone")
+    )
+    alive = F.col("__put").isNotNull() & (F.col("__gone").isNull() | (F.col("__put") >= F.col("__gone")))
+    return ends.where(alive).select(*keys)
 
 
 def drop_tombstones(newest: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import check_status, lag_label, latency_color, latency_label, latency_status, line_total
 from ..operators import dml, integrity, latency, markers, sync
-from ..operators.latest import current_rows, drop_tombstones, latest_by_key, merge_newest
+from ..operators.latest import current_rows, drop_tombstones, latest_by_key, live_keys, merge_newest
 from ..schemas import ENVELOPE, ORDERS
 from ..session import work_dir
 from ..sources import generate
@@ -202,7 +202,7 @@ def delete_by_subquery(t: Tables) -> DataFrame:
 @query
 def fk_orphans(t: Tables) -> DataFrame:
     """Items whose order was deleted by the feed."""
-    orders = current_rows(t.order_feed().select("op", "seq", "order_id"), KEYS["orders"])
+    orders = live_keys(t.order_feed(), KEYS["orders"])
     return integrity.fk_orphans(t.order_items(), orders, "order_id").select(*KEYS["order_items"], "total_price")
 
 
@@ -244,7 +244,7 @@ def marker_count(t: Tables) -> DataFrame:
 
 def _sync_report(t: Tables) -> DataFrame:
     """Source tables against the tables that the feeds lead to."""
-    applied = {n: current_rows(f.select("op", "seq", *KEYS[n]), KEYS[n]) for n, f in t.feeds().items()}
+    applied = {n: live_keys(feed, KEYS[n]) for n, feed in t.feeds().items()}
     return sync.sync_report(sync.table_counts(t.all()), sync.table_counts(applied))
 
 
@@ -423,7 +423,7 @@ def cleanup_all(t: Tables) -> DataFrame:
         keys = KEYS[name]
         base = rows.select(F.lit("r").alias("op"), F.lit(0).cast("bigint").alias("seq"), *keys)
         gone = [_deleted(doomed[kind][name], keys) for kind in ("test", "bench")]
-        left[name] = current_rows(union_all([base, *gone]), keys)
+        left[name] = live_keys(union_all([base, *gone]), keys)
     return sync.table_counts(left, "remaining")
 
 
@@ -474,11 +474,8 @@ def gen_random(t: Tables) -> DataFrame:
 def _write_feed(t: Tables, names: list[str]) -> str:
     """The feeds of some tables as envelope files in the shared work folder."""
     path = f"{work_dir(t.spark, 'feed')}/feed"
-    parts = []
-    for name, feed in t.feeds().items():
-        if name in names:
-            commit = F.coalesce(F.col("created_at"), as_of())
-            parts.append(change_envelopes(feed, name, KEYS[name], commit))
+    commit = F.coalesce(F.col("created_at"), as_of())
+    parts = [change_envelopes(feed, name, KEYS[name], commit) for name, feed in t.feeds(names).items()]
     union_all(parts).write.parquet(path)
     return path
 

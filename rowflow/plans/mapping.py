@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,13 +46,17 @@ def _day(ts: str) -> Column:
     return F.date_diff(F.col(ts).cast("date"), F.lit("1992-01-01").cast("date")).cast("bigint")
 
 
-@dataclass(frozen=True)
 class Tables:
-    spark: SparkSession
-    path: str
+    """The tables below one folder.  Each is opened once."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._open: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._open[name]
 
     # -- current rows at the source --------------------------------------------------
 
@@ -244,14 +248,15 @@ class Tables:
         base = self.inventory_movements()
         return base.select(F.lit("c").alias("op"), F.lit(1).cast("bigint").alias("seq"), *base.columns)
 
-    def feeds(self) -> dict[str, DataFrame]:
-        return {
-            "orders": self.order_feed(),
-            "customers": self.customer_feed(),
-            "products": self.product_feed(),
-            "order_items": self.item_feed(),
-            "inventory_movements": self.movement_feed(),
+    def feeds(self, names: Iterable[str] = tuple(KEYS)) -> dict[str, DataFrame]:
+        makers = {
+            "orders": self.order_feed,
+            "customers": self.customer_feed,
+            "products": self.product_feed,
+            "order_items": self.item_feed,
+            "inventory_movements": self.movement_feed,
         }
+        return {n: makers[n]() for n in names}
 
     # -- probes and loads ------------------------------------------------------------
 

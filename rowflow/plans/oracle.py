@@ -267,7 +267,9 @@ ORACLE: dict[str, str] = {
     "current_scan": f"{_with(ORDER_STATE)} select * from orders_now",
     "upsert_latest": f"{_with(ORDER_STATE)} select * from order_state",
     "apply_deletes": f"""{_with(ITEMS)} select * from items_t where ({ITEM_KEYS}) not in
-  (select l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_returnflag = 'R')""",
+  (select l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_returnflag = 'R')
+qualify row_number() over (partition by {ITEM_KEYS}
+  order by quantity desc, unit_price desc, total_price desc, created_at desc) = 1""",
     "apply_updates": f"""{_with(PRODUCT_STATE)}
 select product_id, price, stock_quantity, is_active from product_state where op = 'u'""",
     "replay_idempotent": _with(ORDER_STATE) + TOTALS,

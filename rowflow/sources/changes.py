@@ -10,10 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dml import event_rows
-from ..schemas import ENVELOPE
-
-# Images keep microseconds; the JSON default would cut them to milliseconds.
-IMAGE_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+from ..schemas import ENVELOPE, NTZ
 
 
 def read_changes(
@@ -48,8 +45,8 @@ def typed_events(envelopes: DataFrame, table: str, schema: T.StructType) -> Data
         "op",
         "seq",
         "ts_commit",
-        F.from_json("before_json", schema, IMAGE_FORMAT).alias("before"),
-        F.from_json("after_json", schema, IMAGE_FORMAT).alias("after"),
+        F.from_json("before_json", schema).alias("before"),
+        F.from_json("after_json", schema).alias("after"),
     )
 
 
@@ -58,6 +55,13 @@ def typed_changes(envelopes: DataFrame, table: str, schema: T.StructType, keys:
     return event_rows(typed_events(envelopes, table, schema), keys)
 
 
+def _as_json(events: DataFrame, image: str) -> Column:
+    """An image as JSON with times to the microsecond, where the JSON writer would cut them to milliseconds."""
+    fields = events.schema[image].dataType.fields
+    text = [T.StructField(f.name, T.StringType() if f.dataType == NTZ else f.dataType) for f in fields]
+    return F.to_json(F.col(image).cast(T.StructType(text)))
+
+
 def envelopes(events: DataFrame, table: str, ts_commit: Column | None = None) -> DataFrame:
     """Change events of one table in transport form."""
     commit = ts_commit if ts_commit is not None else F.lit(None)
@@ -66,8 +70,8 @@ def envelopes(events: DataFrame, table: str, ts_commit: Column | None = None) ->
         "op",
         "seq",
         commit.cast("timestamp_ntz").alias("ts_commit"),
-        F.to_json("before", IMAGE_FORMAT).alias("before_json"),
-        F.to_json("after", IMAGE_FORMAT).alias("after_json"),
+        _as_json(events, "before").alias("before_json"),
+        _as_json(events, "after").alias("after_json"),
     )
 
 

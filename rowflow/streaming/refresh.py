@@ -20,23 +20,23 @@ def build_view(table: KeyedTable, stored: KeyedTable, view: View) -> KeyedTable:
     return stored.create(rows.select(F.lit("r").alias("op"), F.lit(-1).cast("bigint").alias("seq"), *rows.columns))
 
 
-def affected_groups(table: KeyedTable, view: View, touched: DataFrame, batch: int) -> DataFrame:
-    """Groups that any touched key was in before the batch, or is in after it.
+def affected_groups(table: KeyedTable, view: View, batch: int) -> DataFrame:
+    """Groups that a changed key was in before the batch, and groups of the batch's own rows.
 
     The state before is read without this batch, so a repeated batch finds the same groups.
+    A change that loses against a newer one may add a group; recomputing it does no harm.
     """
-    images = [
-        view.groups(rows.join(touched, table.keys, "left_semi")) for rows in (table.current(batch), table.current())
-    ]
-    return images[0].unionByName(images[1]).distinct()
+    changes = table.batch(batch)
+    before = table.current(batch).join(changes.select(*table.keys), table.keys, "left_semi")
+    return view.groups(before).unionByName(view.groups(changes.where(F.col("op") != "d"))).distinct()
 
 
-def refresh_view(table: KeyedTable, stored: KeyedTable, view: View, touched: DataFrame, batch: int) -> None:
+def refresh_view(table: KeyedTable, stored: KeyedTable, view: View, batch: int) -> None:
     """Recompute the affected groups and upsert them; a group without rows is deleted.
 
     A running aggregate could not take back the old values of updated and deleted rows.
     """
-    groups = affected_groups(table, view, touched, batch).persist()
+    groups = affected_groups(table, view, batch).persist()
     try:
         wanted = groups.withColumnRenamed(view.group, "__group")
         rows = table.current().join(wanted, view.group_by().eqNullSafe(F.col("__group")), "left_semi")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Mapping
-from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,6 +21,11 @@ from .store import KeyedTable
 # Fixed value: how often a sink flushes.
 FLUSH_INTERVAL = "5 seconds"
 
+ARRIVED = (
+    "table string, changes bigint, deletes bigint, last_seq bigint, "
+    "first_commit bigint, avg_commit double, last_commit bigint"
+)
+
 
 class BatchApplier:
     """Applies one micro-batch to every table it mentions.
@@ -36,26 +41,36 @@ class BatchApplier:
         views: Mapping[str, list[tuple[View, KeyedTable]]] | None = None,
         contracts: Mapping[str, Table] | None = None,
         compact_every: int | None = None,
+        keep_versions: int | None = None,
     ):
         self.tables = dict(tables)
         self.root = root.rstrip("/")
         self.views = dict(views or {})
         self.contracts = dict(contracts or {})
         self.compact_every = compact_every
+        self.keep_versions = keep_versions
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        mine = batch.where(F.col("table").isin(*self.tables)).persist()
+        mine = batch.where(F.col("table").isin(*self.tables))
+        if len(self.tables) > 1:
+            mine = mine.persist()  # read the batch once, not once per table
         try:
-            present = [r["table"] for r in mine.select("table").distinct().collect()]  # at most one per table
-            for name in sorted(present):
+            arrived = self._arrived(mine)
+            for name in sorted(r["table"] for r in arrived):
                 self._apply(mine, name, batch_id)
-            if present:
-                self._measure(mine, batch_id)
+            if arrived:
+                self._measure(batch.sparkSession, arrived, batch_id)
         finally:
             mine.unpersist()
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            for table in self.tables.values():
-                table.compact()
+            self._compact()
+
+    def _compact(self) -> None:
+        mine = list(self.tables.values()) + [s for n in self.tables for _, s in self.views.get(n, [])]
+        for table in mine:
+            table.compact()
+            if self.keep_versions:
+                table.vacuum(self.keep_versions)
 
     def _apply(self, batch: DataFrame, name: str, batch_id: int) -> None:
         table = self.tables[name]
@@ -65,21 +80,38 @@ class BatchApplier:
             bad.write.mode("overwrite").json(f"{self.root}/quarantine/{name}/batch={batch_id}")
         table.append(changes, batch_id)
         for view, stored in self.views.get(name, []):
-            refresh_view(table, stored, view, changes.select(*table.keys).distinct(), batch_id)
-
-    def _measure(self, batch: DataFrame, batch_id: int) -> None:
-        """Rows and commit-to-visible latency per table, over every row of the batch."""
-        now = F.to_timestamp_ntz(F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")))
-        waited = elapsed_ms(F.col("ts_commit"), now)
-        rows = batch.groupBy("table").agg(
-            F.count(F.lit(1)).alias("changes"),
-            F.count_if(F.col("op") == "d").alias("deletes"),
-            F.min(waited).alias("min_ms"),
-            F.avg(waited).alias("avg_ms"),
-            F.max(waited).alias("max_ms"),
-            F.max("seq").alias("last_seq"),
+            refresh_view(table, stored, view, batch_id)
+
+    def _arrived(self, batch: DataFrame) -> list[Row]:
+        """What the batch holds, over every row of it: one small row per table."""
+        commit_ms = elapsed_ms(F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col("ts_commit"))
+        return (
+            batch.groupBy("table")
+            .agg(
+                F.count(F.lit(1)).alias("changes"),
+                F.count_if(F.col("op") == "d").alias("deletes"),
+                F.max("seq").alias("last_seq"),
+                F.min(commit_ms).alias("first_commit"),
+                F.avg(commit_ms).alias("avg_commit"),
+                F.max(commit_ms).alias("last_commit"),
+            )
+            .collect()
+        )
+
+    def _measure(self, spark: SparkSession, arrived: list[Row], batch_id: int) -> None:
+        """Record the latency from commit to visible, now that the batch can be read."""
+        now = F.lit(int(time.time() * 1000)).cast("bigint")
+        rows = spark.createDataFrame(arrived, ARRIVED).select(
+            "table",
+            "changes",
+            "deletes",
+            "last_seq",
+            (now - F.col("last_commit")).alias("min_ms"),
+            (now - F.col("avg_commit")).alias("avg_ms"),
+            (now - F.col("first_commit")).alias("max_ms"),
+            now.alias("visible_ms"),
         )
-        rows.withColumn("visible_ts", now).write.mode("overwrite").parquet(f"{self.root}/metrics/batch={batch_id}")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/metrics/batch={batch_id}")
 
 
 def batch_metrics(tables: Mapping[str, KeyedTable], root: str) -> DataFrame | None:
@@ -102,12 +134,15 @@ def start(
     views: Mapping[str, list[tuple[View, KeyedTable]]] | None = None,
     contracts: Mapping[str, Table] | None = None,
     compact_every: int | None = None,
+    keep_versions: int | None = None,
     name: str = "replicate",
 ) -> list[StreamingQuery]:
     """Start replicating ``feed`` into ``tables``.
 
     ``single`` runs one query for all tables, ``per_table`` one query per table with a
     checkpoint of its own.  ``interval=None`` works off what is there and stops.
+    ``compact_every`` folds the logs into new snapshots after that many batches, and
+    ``keep_versions`` then removes all but the newest ones.
     """
     if mode not in ("single", "per_table"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -119,7 +154,7 @@ def start(
         folder = f"{root.rstrip('/')}/{name}-{label}"
         for table in group.values():
             table.create()
-        applier = BatchApplier(group, folder, views, contracts, compact_every)
+        applier = BatchApplier(group, folder, views, contracts, compact_every, keep_versions)
         writer = (
             feed.writeStream.queryName(f"{name}-{label}")
             .foreachBatch(applier)

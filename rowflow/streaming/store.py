@@ -1,7 +1,7 @@
 """A primary-key table on plain Parquet: a bucketed snapshot and the changes since.
 
     <root>/<name>/snapshot/v=K     rows with op and seq, tombstones too, bucketed and sorted by key
-    <root>/<name>/log/v=K/batch=N  newest change per key of one micro-batch, on top of snapshot K
+    <root>/<name>/log/v=K/batch=N  the changes of one micro-batch, as they came, on top of snapshot K
     <root>/<name>/published/v=K    one small row, written last: version K is complete
 
 Readers take the highest published version, so they see either all of a compaction or
@@ -14,7 +14,7 @@ import hashlib
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,11 @@ META = T.StructType().add("op", "string").add("seq", "long")
 
 
 class KeyedTable:
-    """Target of an upsert stream.  One writer, any number of readers."""
+    """Target of an upsert stream.  One writer, any number of readers.
+
+    The writer calls ``create`` once and from then on knows the version it works on; a
+    reader never does, and looks the version up for every query.
+    """
 
     def __init__(
         self,
@@ -47,6 +51,7 @@ class KeyedTable:
         # shuffle partitions, so a session tuned for its data also sizes the buckets.
         self.buckets = buckets or max(MIN_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.nullable_keys = nullable_keys
+        self._writing: int | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -56,6 +61,8 @@ class KeyedTable:
 
     def version(self) -> int | None:
         """Highest published version, or None before the table exists."""
+        if self._writing is not None:
+            return self._writing
         try:
             published = self.spark.read.schema("v int, rows_of string").json(f"{self.path}/published")
         except AnalysisException as e:
@@ -75,7 +82,7 @@ class KeyedTable:
         self.spark.sql(create_table_sql(name, self.schema, location, self.keys, self.buckets))
         return self.spark.table(name)
 
-    def _log(self, version: int, before_batch: int | None = None) -> DataFrame | None:
+    def _log(self, version: int, wanted: Column | None = None) -> DataFrame | None:
         try:
             log = self.spark.read.schema(T.StructType(self.schema.fields).add("batch", "long")).parquet(
                 f"{self.path}/log/v={version}"
@@ -84,16 +91,15 @@ class KeyedTable:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        if before_batch is not None:
-            log = log.where(F.col("batch") < before_batch)
-        return log.drop("batch")
+        return (log if wanted is None else log.where(wanted)).drop("batch")
 
     def state(self, before_batch: int | None = None) -> DataFrame:
         """One row per key with ``op`` and ``seq``, deleted keys included."""
         version = self.version()
         if version is None:
             raise ValueError(f"{self.path} has not been created")
-        stored, log = self._snapshot(version), self._log(version, before_batch)
+        earlier = None if before_batch is None else F.col("batch") < before_batch
+        stored, log = self._snapshot(version), self._log(version, earlier)
         if log is None:
             return stored
         return merge_newest(stored, latest_by_key(log, self.keys), self.keys, self.nullable_keys)
@@ -102,22 +108,32 @@ class KeyedTable:
         """The rows that exist."""
         return drop_tombstones(self.state(before_batch)).select(*self.columns.names)
 
+    def batch(self, batch: int) -> DataFrame:
+        """The changes of one batch since the last compaction."""
+        return self._log(self.version(), F.col("batch") == batch)
+
     # -- writing ---------------------------------------------------------------------
 
     def create(self, changes: DataFrame | None = None) -> KeyedTable:
         """Publish version 0 from snapshot changes, or empty; an existing table is left alone."""
-        if self.version() is None:
+        version = self.version()
+        if version is None:
+            version = 0
             rows = self.spark.createDataFrame([], self.schema) if changes is None else self._typed(changes)
-            self._publish(0, latest_by_key(rows, self.keys).repartition(self.buckets, *self.keys))
+            self._publish(0, latest_by_key(rows, self.keys))
+        self._writing = version
         return self
 
     def _typed(self, changes: DataFrame) -> DataFrame:
         return changes.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
     def append(self, changes: DataFrame, batch: int) -> None:
-        """Add one batch of changes.  The same batch again replaces itself."""
-        newest = latest_by_key(self._typed(changes), self.keys)
-        newest.write.mode("overwrite").parquet(f"{self.path}/log/v={self.version()}/batch={batch}")
+        """Add one batch of changes.  The same batch again replaces itself.
+
+        Nothing is shuffled here: readers and the compaction reduce the log by key, with a
+        map-side combine, whatever its size.
+        """
+        self._typed(changes).write.mode("overwrite").parquet(f"{self.path}/log/v={self.version()}/batch={batch}")
 
     def compact(self, forget_below: int | None = None) -> int:
         """Fold the log into a new snapshot version and return its number.
@@ -131,6 +147,7 @@ class KeyedTable:
         if forget_below is not None:
             rows = rows.where((F.col("op") != "d") | (F.col("seq") >= forget_below))
         self._publish(version + 1, rows)
+        self._writing = version + 1
         return version + 1
 
     def _publish(self, version: int, rows: DataFrame) -> None:

@@ -1,0 +1,101 @@
+"""Newest row per key: order, duplicates, late rows, deletes, moved keys."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from rowflow.operators import dml
+from rowflow.operators.latest import current_rows, latest_by_key, live_keys, merge_newest
+from rowflow.sources.changes import change_envelopes, decode_envelopes, typed_changes
+
+SCHEMA = "case int, op string, seq long, k int, v string"
+
+
+def random_cases(n, rng):
+    """Random change sets, shuffled and partly repeated, and what a fold in order gives."""
+    rows, want = [], {}
+    for case in range(n):
+        log = []
+        for seq in range(1, rng.randint(2, 40)):
+            op = rng.choice(["c", "u", "u", "d"])
+            log.append((case, op, seq, rng.randint(1, 6), None if op == "d" else f"v{seq}"))
+        state = {}
+        for _, op, _, k, v in log:
+            state.pop(k, None)
+            if op != "d":
+                state[k] = v
+        for k, v in state.items():
+            want[case, k] = v
+        log += rng.choices(log, k=len(log) // 2)
+        rng.shuffle(log)
+        rows += log
+    return rows, want
+
+
+def test_any_order_and_repetition(spark):
+    rows, want = random_cases(150, random.Random(7))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert {(r.case, r.k): r.v for r in current_rows(df, ["case", "k"]).collect()} == want
+    assert {(r.case, r.k) for r in live_keys(df, ["case", "k"]).collect()} == set(want)
+
+
+def test_merge_in_any_split(spark):
+    rng = random.Random(11)
+    rows, want = random_cases(60, rng)
+    parts = [[], [], []]
+    for row in rows:
+        parts[rng.randrange(3)].append(row)
+    keys = ["case", "k"]
+    state = None
+    for part in parts:
+        newest = latest_by_key(spark.createDataFrame(part, SCHEMA), keys)
+        state = newest if state is None else merge_newest(state, newest, keys)
+    assert {(r.case, r.k): r.v for r in state.where("op <> 'd'").collect()} == want
+
+
+def test_equal_position_is_decided_by_the_row(spark):
+    rows = [(1, "d", 5, 1, None), (1, "u", 5, 1, "a"), (1, "u", 5, 1, "b")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, SCHEMA).repartition(3)
+        assert [r.v for r in current_rows(df, ["k"]).collect()] == ["b"]
+        assert live_keys(df, ["k"]).count() == 1
+
+
+def test_null_key_is_one_key(spark):
+    df = spark.createDataFrame([(1, "c", 1, None, "a"), (1, "u", 2, None, "b")], SCHEMA)
+    assert [r.v for r in current_rows(df, ["k"]).collect()] == ["b"]
+    newest = latest_by_key(df, ["k"])
+    assert merge_newest(newest, newest, ["k"], null_safe=True).count() == 1
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    df = spark.range(1000).select(
+        F.lit("u").alias("op"), F.col("id").alias("seq"), (F.col("id") % 1).alias("k"), F.col("id").cast("string").alias("v")
+    )
+    plan = latest_by_key(df.repartition(8), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning(k") < plan.index("partial_max")  # printed from the result down
+    assert latest_by_key(df, ["k"]).first().v == "999"
+
+
+def test_moved_key_deletes_and_inserts(spark):
+    events = spark.createDataFrame(
+        [("u", 3, (1, "a"), (2, "a")), ("u", 3, (5, "x"), (5, "y")), ("d", 4, (7, "z"), None), ("c", 1, None, (9, "n"))],
+        "op string, seq long, before struct<k:int,v:string>, after struct<k:int,v:string>",
+    )
+    got = {tuple(r) for r in dml.event_rows(events, ["k"]).collect()}
+    assert got == {("d", 3, 1, None), ("c", 3, 2, "a"), ("u", 3, 5, "y"), ("d", 4, 7, None), ("c", 1, 9, "n")}
+
+
+def test_envelopes_keep_values(spark):
+    df = spark.sql(
+        """select * from values
+        ('c', 1L, 1, 'ä"\\n', cast(12.30 as decimal(12,2)), timestamp_ntz'2024-01-01 00:00:07.179575', date'2024-02-29', true),
+        ('u', 2L, 2, null, null, null, null, null),
+        ('d', 3L, 3, null, null, null, null, null) as t(op, seq, k, s, amount, at, day, flag)"""
+    )
+    envelopes = change_envelopes(df, "t", ["k"], F.col("at"))
+    schema = df.drop("op", "seq").schema
+    assert typed_changes(envelopes, "t", schema, ["k"]).collect() == df.collect()
+    messages = envelopes.select(F.to_json(F.struct("*")).alias("value"))
+    assert typed_changes(decode_envelopes(messages), "t", schema, ["k"]).count() == 3
+    assert typed_changes(envelopes, "other", schema, ["k"]).count() == 0

@@ -1,0 +1,58 @@
+"""Shapes that must hold at any size: no cross products, no Python, filters at the scan."""
+
+import pytest
+
+from __spark_entry__ import queries
+from bench import STREAMS
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(spark, name):
+    return queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - STREAMS))
+def test_no_cross_product_and_no_python(spark, name):
+    text = plan(spark, name)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
+        assert node not in text
+
+
+@pytest.mark.parametrize("name", ["project_keys", "marker_equals", "marker_prefix", "marker_affix", "status_in", "line_totals",
+                                  "latency_label", "insert_events", "update_events", "delete_events", "fill_defaults"])
+def test_row_wise_queries_do_not_shuffle(spark, name):
+    assert "Exchange" not in plan(spark, name)
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("project_keys", "c_custkey:bigint"),
+    ("gen_batch_orders", "o_orderkey:bigint"),
+    ("latency_stats", "event_type:string,value:double"),
+])
+def test_only_needed_columns_are_read(spark, name, columns):
+    assert f"ReadSchema: struct<{columns}>" in plan(spark, name)
+
+
+def test_counts_read_no_columns(spark):
+    assert plan(spark, "table_counts").count("ReadSchema: struct<>") == 5
+
+
+def test_marker_filter_reaches_the_scan(spark):
+    assert "EqualTo(c_name,Customer#000000007)" in plan(spark, "marker_equals")
+
+
+def test_topk_is_taken_per_task(spark):
+    assert "TakeOrderedAndProject" in plan(spark, "latest_orders")
+    text = plan(spark, "latency_last100")
+    assert "row_number(), 100, Partial" in text
+
+
+@pytest.mark.parametrize("name", ["snapshot_plus_changes", "upsert_latest", "replay_idempotent", "apply_deletes"])
+def test_versions_are_reduced_before_the_shuffle(spark, name):
+    assert "partial_max(struct(seq" in plan(spark, name)
+
+
+def test_live_keys_hash(spark):
+    text = plan(spark, "sync_report")
+    assert "SortAggregate" not in text
