@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from ..schemas import Table
 from .dml import delete_events
+from .skew import join_to_unique
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, column: str, parent_column: str | None = None) -> DataFrame:
     """Child rows whose reference is set but has no parent.
 
-    Parents arrive as they are: keys are unique, so nothing is deduplicated first.
+    Parent keys are unique; a single parent may have any share of the children.
     """
     keys = parent.select(F.col(parent_column or column).alias(column))
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    return join_to_unique(child.where(F.col(column).isNotNull()), keys, column, "left_anti")
 
 
 def cascade_events(parent_deletes: DataFrame, children: DataFrame, column: str, parent_column: str | None = None) -> DataFrame:
@@ -30,7 +31,7 @@ def cascade_events(parent_deletes: DataFrame, children: DataFrame, column: str,
         F.col(f"before.{parent_column or column}").alias(column), F.col("seq").alias("__seq")
     )
     gone = gone.groupBy(column).agg(F.max("__seq").alias("__seq"))
-    doomed = children.join(gone, column).select(*children.columns, "__seq")
+    doomed = join_to_unique(children, gone, column, "inner").select(*children.columns, "__seq")
     image = F.struct(*[F.col(c) for c in children.columns])
     return doomed.select(
         F.lit("d").alias("op"),
@@ -52,7 +53,8 @@ def restrict_deletes(
 
 def allowed_delete_events(candidates: DataFrame, children: DataFrame, column: str, seq: int) -> DataFrame:
     """Delete events of the candidates that nothing refers to."""
-    free = candidates.join(children.select(column), column, "left_anti").select(*candidates.columns)
+    used = children.select(column).distinct()  # a hot reference is reduced before the shuffle
+    free = candidates.join(used, column, "left_anti").select(*candidates.columns)
     return delete_events(free, F.lit(True), seq)
 
 

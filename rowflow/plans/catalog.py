@@ -17,7 +17,7 @@ from ..sources import generate
 from ..sources.changes import change_envelopes, read_changes, typed_changes, union_all
 from ..sources.snapshot import snapshot_rows
 from ..streaming.refresh import build_view, view_table
-from ..streaming.replicate import await_queries, batch_metrics, run_available, start
+from ..streaming.replicate import Upkeep, await_queries, batch_metrics, run_available, start
 from ..streaming.store import KeyedTable
 from ..streaming.verify import verify_sync
 from .mapping import KEYS, WIDE, Tables, as_of
@@ -530,7 +530,7 @@ def compact_equals_replay(t: Tables) -> DataFrame:
     """A stored snapshot, the log streamed over it, compacted after every batch."""
     feed, tables, root = _stream(t, ["orders"])
     tables["orders"].create(snapshot_rows(t.orders()))
-    run_available(feed, tables, root, compact_every=1)
+    run_available(feed, tables, root, upkeep=Upkeep(compact_every=1))
     return tables["orders"].current()
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.views import View
-from .store import KeyedTable
+from .store import JOB, KeyedTable
 
 
 def view_table(table: KeyedTable, root: str, view: View, buckets: int | None = None) -> KeyedTable:
@@ -20,35 +20,45 @@ def build_view(table: KeyedTable, stored: KeyedTable, view: View) -> KeyedTable:
     return stored.create(rows.select(F.lit("r").alias("op"), F.lit(-1).cast("bigint").alias("seq"), *rows.columns))
 
 
-def affected_groups(table: KeyedTable, view: View, batch: int) -> DataFrame:
-    """Groups that a changed key was in before the batch, and groups of the batch's own rows.
+def affected_groups(
+    table: KeyedTable, stored: KeyedTable, view: View, since: int | None, job: str = JOB
+) -> DataFrame:
+    """Groups that a changed key was in before batch ``since``, and groups of the changes' own rows.
 
-    The state before is read without this batch, so a repeated batch finds the same groups.
     A change that loses against a newer one may add a group; recomputing it does no harm.
+    Without ``since`` these are all groups, of the table and of the view.
     """
-    changes = table.batch(batch)
-    before = table.current(batch).join(changes.select(*table.keys), table.keys, "left_semi")
+    if since is None:
+        return view.groups(table.current()).unionByName(stored.current().select(view.group)).distinct()
+    changes = table.changes_since(since, job)
+    before = table.current(since, job).join(changes.select(*table.keys), table.keys, "left_semi")
     return view.groups(before).unionByName(view.groups(changes.where(F.col("op") != "d"))).distinct()
 
 
-def refresh_view(table: KeyedTable, stored: KeyedTable, view: View, batch: int) -> None:
-    """Recompute the affected groups and upsert them; a group without rows is deleted.
+def refresh_view(
+    table: KeyedTable, stored: KeyedTable, view: View, since: int | None, batch: int, job: str = JOB
+) -> None:
+    """Recompute the groups affected since a batch and upsert them; a group without rows is deleted.
 
     A running aggregate could not take back the old values of updated and deleted rows.
+    ``since=None`` refreshes the whole view, as after a restart, when nobody knows what the
+    last refresh had covered.
     """
-    groups = affected_groups(table, view, batch).persist()
+    position = stored.state().agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0] + 1
+    groups = affected_groups(table, stored, view, since, job).withColumnRenamed(view.group, "__group").persist()
     try:
-        wanted = groups.withColumnRenamed(view.group, "__group")
-        rows = table.current().join(wanted, view.group_by().eqNullSafe(F.col("__group")), "left_semi")
+        rows = table.current()
+        if since is not None:
+            rows = rows.join(groups, view.group_by().eqNullSafe(F.col("__group")), "left_semi")
         fresh = view.compute(rows).withColumn("__found", F.lit(True))
         rest = [f.name for f in view.schema.fields if f.name != view.group]
-        joined = wanted.join(fresh, F.col("__group").eqNullSafe(F.col(view.group)), "left")
+        joined = groups.join(fresh, F.col("__group").eqNullSafe(F.col(view.group)), "left")
         changes = joined.select(
             F.when(F.col("__found"), "u").otherwise("d").alias("op"),
-            F.lit(batch).cast("bigint").alias("seq"),
+            F.lit(position).cast("bigint").alias("seq"),
             F.col("__group").alias(view.group),
             *rest,
         )
-        stored.append(changes, batch)
+        stored.append(changes, batch, job)
     finally:
         groups.unpersist()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -27,6 +29,20 @@ ARRIVED = (
 )
 
 
+@dataclass(frozen=True)
+class Upkeep:
+    """How many batches lie between two runs of each upkeep task; None leaves it out.
+
+    A fold costs as much as the changes since the last one, a refresh reads the view's
+    columns of the table, a compaction rewrites the table.
+    """
+
+    refresh_every: int | None = 1
+    fold_every: int | None = 60
+    compact_every: int | None = None
+    keep_versions: int | None = None
+
+
 class BatchApplier:
     """Applies one micro-batch to every table it mentions.
 
@@ -40,15 +56,15 @@ class BatchApplier:
         root: str,
         views: Mapping[str, list[tuple[View, KeyedTable]]] | None = None,
         contracts: Mapping[str, Table] | None = None,
-        compact_every: int | None = None,
-        keep_versions: int | None = None,
+        upkeep: Upkeep | None = None,
     ):
         self.tables = dict(tables)
         self.root = root.rstrip("/")
-        self.views = dict(views or {})
+        self.views = {n: v for n, v in (views or {}).items() if n in self.tables}
         self.contracts = dict(contracts or {})
-        self.compact_every = compact_every
-        self.keep_versions = keep_versions
+        self.upkeep = upkeep or Upkeep()
+        self.job = hashlib.md5(self.root.encode()).hexdigest()[:8]
+        self.refreshed: dict[str, int] = {}  # next batch to refresh from, per view
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         mine = batch.where(F.col("table").isin(*self.tables))
@@ -62,15 +78,7 @@ class BatchApplier:
                 self._measure(batch.sparkSession, arrived, batch_id)
         finally:
             mine.unpersist()
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self._compact()
-
-    def _compact(self) -> None:
-        mine = list(self.tables.values()) + [s for n in self.tables for _, s in self.views.get(n, [])]
-        for table in mine:
-            table.compact()
-            if self.keep_versions:
-                table.vacuum(self.keep_versions)
+        self._keep_up(batch_id)
 
     def _apply(self, batch: DataFrame, name: str, batch_id: int) -> None:
         table = self.tables[name]
@@ -78,9 +86,24 @@ class BatchApplier:
         if name in self.contracts:
             changes, bad = split_contract(changes, self.contracts[name])
             bad.write.mode("overwrite").json(f"{self.root}/quarantine/{name}/batch={batch_id}")
-        table.append(changes, batch_id)
-        for view, stored in self.views.get(name, []):
-            refresh_view(table, stored, view, batch_id)
+        table.append(changes, batch_id, self.job)
+
+    def _keep_up(self, batch_id: int) -> None:
+        """Refresh, fold and compact as often as asked; a refresh always comes before a fold."""
+        due = {what: every and (batch_id + 1) % every == 0 for what, every in vars(self.upkeep).items()}
+        if due["refresh_every"] or due["fold_every"] or due["compact_every"]:
+            for name, views in self.views.items():
+                for view, stored in views:
+                    refresh_view(
+                        self.tables[name], stored, view, self.refreshed.get(view.name), batch_id, self.job
+                    )
+                    self.refreshed[view.name] = batch_id + 1
+        if not (due["fold_every"] or due["compact_every"]):
+            return
+        for table in [*self.tables.values(), *(s for views in self.views.values() for _, s in views)]:
+            table.compact() if due["compact_every"] else table.fold()
+            if self.upkeep.keep_versions:
+                table.vacuum(self.upkeep.keep_versions)
 
     def _arrived(self, batch: DataFrame) -> list[Row]:
         """What the batch holds, over every row of it: one small row per table."""
@@ -133,16 +156,13 @@ def start(
     interval: str | None = FLUSH_INTERVAL,
     views: Mapping[str, list[tuple[View, KeyedTable]]] | None = None,
     contracts: Mapping[str, Table] | None = None,
-    compact_every: int | None = None,
-    keep_versions: int | None = None,
+    upkeep: Upkeep | None = None,
     name: str = "replicate",
 ) -> list[StreamingQuery]:
     """Start replicating ``feed`` into ``tables``.
 
     ``single`` runs one query for all tables, ``per_table`` one query per table with a
     checkpoint of its own.  ``interval=None`` works off what is there and stops.
-    ``compact_every`` folds the logs into new snapshots after that many batches, and
-    ``keep_versions`` then removes all but the newest ones.
     """
     if mode not in ("single", "per_table"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -154,7 +174,7 @@ def start(
         folder = f"{root.rstrip('/')}/{name}-{label}"
         for table in group.values():
             table.create()
-        applier = BatchApplier(group, folder, views, contracts, compact_every, keep_versions)
+        applier = BatchApplier(group, folder, views, contracts, upkeep)
         writer = (
             feed.writeStream.queryName(f"{name}-{label}")
             .foreachBatch(applier)

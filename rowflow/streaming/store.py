@@ -1,8 +1,8 @@
 """A primary-key table on plain Parquet: a bucketed snapshot and the changes since.
 
-    <root>/<name>/snapshot/v=K     rows with op and seq, tombstones too, bucketed and sorted by key
-    <root>/<name>/log/v=K/batch=N  the changes of one micro-batch, as they came, on top of snapshot K
-    <root>/<name>/published/v=K    one small row, written last: version K is complete
+    <root>/<name>/snapshot/v=S           rows with op and seq, tombstones too, bucketed and sorted by key
+    <root>/<name>/log/v=K/job=J/batch=N  the changes of one micro-batch, as they came
+    <root>/<name>/published/v=K          one small row, written last: version K is snapshot S and log K
 
 Readers take the highest published version, so they see either all of a compaction or
 nothing of it.  A batch that is applied again overwrites its own folder.
@@ -24,9 +24,17 @@ from ..schemas import create_table_sql
 # Fixed value: least number of hash buckets of a target table.
 MIN_BUCKETS = 4
 
+#: Label of the writer whose batches are numbered on their own.
+JOB = "main"
+
 META = T.StructType().add("op", "string").add("seq", "long")
 
 
+def buckets_for(table_bytes: int, bucket_bytes: int = 1 << 30) -> int:
+    """Buckets that keep each one near ``bucket_bytes``, the share of one merging task."""
+    return max(MIN_BUCKETS, -(-table_bytes // bucket_bytes))
+
+
 class KeyedTable:
     """Target of an upsert stream.  One writer, any number of readers.
 
@@ -51,7 +59,7 @@ class KeyedTable:
         # shuffle partitions, so a session tuned for its data also sizes the buckets.
         self.buckets = buckets or max(MIN_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.nullable_keys = nullable_keys
-        self._writing: int | None = None
+        self._writing: tuple[int, int] | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -59,58 +67,68 @@ class KeyedTable:
 
     # -- reading ---------------------------------------------------------------------
 
-    def version(self) -> int | None:
-        """Highest published version, or None before the table exists."""
+    def version(self) -> tuple[int, int] | None:
+        """Highest published version and its snapshot, or None before the table exists."""
         if self._writing is not None:
             return self._writing
         try:
-            published = self.spark.read.schema("v int, rows_of string").json(f"{self.path}/published")
+            published = self._published()
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return published.agg(F.max("v")).first()[0]
+        newest = published.agg(F.max(F.struct("v", "snapshot")).alias("newest")).first()["newest"]
+        return newest and (newest["v"], newest["snapshot"])
 
-    def _snapshot_table(self, version: int) -> str:
+    def _published(self) -> DataFrame:
+        return self.spark.read.schema("v int, snapshot int").json(f"{self.path}/published")
+
+    def _required(self) -> tuple[int, int]:
+        version = self.version()
+        if version is None:
+            raise ValueError(f"{self.path} has not been created")
+        return version
+
+    def _snapshot_table(self, snapshot: int) -> str:
         mark = hashlib.md5(self.path.encode()).hexdigest()[:12]
-        return f"rowflow_{mark}_{self.name}_v{version}"
+        return f"rowflow_{mark}_{self.name}_v{snapshot}"
 
-    def _snapshot(self, version: int) -> DataFrame:
+    def _snapshot(self, snapshot: int) -> DataFrame:
         # The catalog entry carries the bucketing; it is registered again after a restart.
-        name = self._snapshot_table(version)
-        location = f"{self.path}/snapshot/v={version}"
+        name = self._snapshot_table(snapshot)
+        location = f"{self.path}/snapshot/v={snapshot}"
         self.spark.sql(create_table_sql(name, self.schema, location, self.keys, self.buckets))
         return self.spark.table(name)
 
     def _log(self, version: int, wanted: Column | None = None) -> DataFrame | None:
+        fields = T.StructType(self.schema.fields).add("job", "string").add("batch", "long")
         try:
-            log = self.spark.read.schema(T.StructType(self.schema.fields).add("batch", "long")).parquet(
-                f"{self.path}/log/v={version}"
-            )
+            log = self.spark.read.schema(fields).parquet(f"{self.path}/log/v={version}")
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return (log if wanted is None else log.where(wanted)).drop("batch")
+        return (log if wanted is None else log.where(wanted)).drop("job", "batch")
 
-    def state(self, before_batch: int | None = None) -> DataFrame:
-        """One row per key with ``op`` and ``seq``, deleted keys included."""
-        version = self.version()
-        if version is None:
-            raise ValueError(f"{self.path} has not been created")
-        earlier = None if before_batch is None else F.col("batch") < before_batch
-        stored, log = self._snapshot(version), self._log(version, earlier)
+    def state(self, before_batch: int | None = None, job: str = JOB) -> DataFrame:
+        """One row per key with ``op`` and ``seq``, deleted keys included.
+
+        ``before_batch`` leaves out that batch of the job and all later ones.
+        """
+        version, snapshot = self._required()
+        later = (F.col("job") == job) & (F.col("batch") >= before_batch) if before_batch is not None else None
+        stored, log = self._snapshot(snapshot), self._log(version, None if later is None else ~later)
         if log is None:
             return stored
         return merge_newest(stored, latest_by_key(log, self.keys), self.keys, self.nullable_keys)
 
-    def current(self, before_batch: int | None = None) -> DataFrame:
+    def current(self, before_batch: int | None = None, job: str = JOB) -> DataFrame:
         """The rows that exist."""
-        return drop_tombstones(self.state(before_batch)).select(*self.columns.names)
+        return drop_tombstones(self.state(before_batch, job)).select(*self.columns.names)
 
-    def batch(self, batch: int) -> DataFrame:
-        """The changes of one batch since the last compaction."""
-        return self._log(self.version(), F.col("batch") == batch)
+    def changes_since(self, batch: int, job: str = JOB) -> DataFrame | None:
+        """The stored changes of a batch and later ones, as far as they were not folded."""
+        return self._log(self._required()[0], (F.col("job") == job) & (F.col("batch") >= batch))
 
     # -- writing ---------------------------------------------------------------------
 
@@ -118,40 +136,53 @@ class KeyedTable:
         """Publish version 0 from snapshot changes, or empty; an existing table is left alone."""
         version = self.version()
         if version is None:
-            version = 0
             rows = self.spark.createDataFrame([], self.schema) if changes is None else self._typed(changes)
-            self._publish(0, latest_by_key(rows, self.keys))
+            self._write_snapshot(0, latest_by_key(rows, self.keys))
+            version = self._publish(0, 0)
         self._writing = version
         return self
 
     def _typed(self, changes: DataFrame) -> DataFrame:
         return changes.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
-    def append(self, changes: DataFrame, batch: int) -> None:
-        """Add one batch of changes.  The same batch again replaces itself.
+    def append(self, changes: DataFrame, batch: int, job: str = JOB) -> None:
+        """Add one batch of changes.  The same batch of the same job replaces itself.
 
         Nothing is shuffled here: readers and the compaction reduce the log by key, with a
         map-side combine, whatever its size.
         """
-        self._typed(changes).write.mode("overwrite").parquet(f"{self.path}/log/v={self.version()}/batch={batch}")
+        folder = f"{self.path}/log/v={self._required()[0]}/job={job}/batch={batch}"
+        self._typed(changes).write.mode("overwrite").parquet(folder)
 
-    def compact(self, forget_below: int | None = None) -> int:
-        """Fold the log into a new snapshot version and return its number.
+    def fold(self) -> None:
+        """Reduce the log to one change per key; the snapshot stays.
+
+        This is the frequent, cheap half of a compaction: its cost follows the changes and
+        not the table.
+        """
+        version, snapshot = self._required()
+        log = self._log(version)
+        if log is not None:
+            newest = latest_by_key(log, self.keys)
+            newest.write.mode("overwrite").parquet(f"{self.path}/log/v={version + 1}/job=folded/batch=0")
+            self._writing = self._publish(version + 1, snapshot)
+
+    def compact(self, forget_below: int | None = None) -> None:
+        """Fold the log into a new snapshot.
 
         The old snapshot is joined bucket by bucket with the shuffled changes, so its rows
         do not move.  Tombstones stay, or an old row that arrives late would revive a
         deleted key; those below ``forget_below`` can go once the feed cannot go back there.
         """
-        version = self.version()
+        version, _ = self._required()
         rows = self.state()
         if forget_below is not None:
             rows = rows.where((F.col("op") != "d") | (F.col("seq") >= forget_below))
-        self._publish(version + 1, rows)
-        self._writing = version + 1
-        return version + 1
+        self._write_snapshot(version + 1, rows)
+        self._writing = self._publish(version + 1, version + 1)
 
-    def _publish(self, version: int, rows: DataFrame) -> None:
-        name = self._snapshot_table(version)
+    def _write_snapshot(self, snapshot: int, rows: DataFrame) -> None:
+        name = self._snapshot_table(snapshot)
         # An unpublished leftover of a failed attempt is overwritten.
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         (
@@ -160,18 +191,26 @@ class KeyedTable:
             .mode("overwrite")
             .bucketBy(self.buckets, *self.keys)
             .sortBy(*self.keys)
-            .option("path", f"{self.path}/snapshot/v={version}")
+            .option("path", f"{self.path}/snapshot/v={snapshot}")
             .saveAsTable(name)
         )
-        done = self.spark.range(1).select(F.lit(name).alias("rows_of"))
-        done.write.mode("overwrite").json(f"{self.path}/published/v={version}")
+
+    def _publish(self, version: int, snapshot: int) -> tuple[int, int]:
+        row = self.spark.range(1).select(F.lit(snapshot).alias("snapshot"))
+        row.write.mode("overwrite").json(f"{self.path}/published/v={version}")
+        return version, snapshot
 
     def vacuum(self, keep: int = 2) -> None:
-        """Remove all but the newest ``keep`` versions, once no reader uses them."""
-        newest = self.version()
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for version in range(max(0, newest - keep + 1)):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._snapshot_table(version)}")
-            for part in ("published", "log", "snapshot"):
-                path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/v={version}")
-                path.getFileSystem(conf).delete(path, True)
+        """Remove what only versions before the newest ``keep`` need, once no reader uses them."""
+        versions = sorted((r["v"], r["snapshot"]) for r in self._published().collect())
+        old, kept = versions[:-keep], {s for _, s in versions[-keep:]}
+        for version, _ in old:
+            self._remove(f"published/v={version}")
+            self._remove(f"log/v={version}")
+        for snapshot in {s for _, s in old} - kept:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._snapshot_table(snapshot)}")
+            self._remove(f"snapshot/v={snapshot}")
+
+    def _remove(self, part: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,0 +1,51 @@
+"""Joins with a key that holds a third of all rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowflow.operators import dml, integrity
+from rowflow.operators.skew import hot_keys, join_to_unique
+
+
+def skewed(spark):
+    """Keys 0..999, key 7 in a third of the rows, some null."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, F.lit(7)).when(i % 101 == 1, F.lit(None)).otherwise(i % 1000)
+    return spark.range(30000).select(key.cast("bigint").alias("k"), i.alias("v")).repartition(8)
+
+
+def test_hot_keys(spark):
+    assert hot_keys(skewed(spark), "k") == [7]
+    assert hot_keys(spark.range(10000).withColumnRenamed("id", "k"), "k") == []
+    assert hot_keys(spark.createDataFrame([], "k long"), "k") == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("known", [range(0, 500), range(8, 500)])
+def test_same_rows_as_a_plain_join(spark, how, known):
+    rows = skewed(spark)
+    unique = spark.createDataFrame([(k, f"p{k}") for k in known], "k long, p string")
+    plain, split = rows.join(unique, "k", how), join_to_unique(rows, unique, "k", how)
+    assert split.columns == plain.columns
+    assert split.exceptAll(plain).count() == plain.exceptAll(split).count() == 0
+
+
+def test_hot_rows_are_not_shuffled(spark):
+    rows = skewed(spark)
+    parents = spark.range(100000).groupBy(F.col("id").alias("k")).count().select("k")
+    plan = integrity.fk_orphans(rows, parents, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+
+
+def test_only_left_side_joins(spark):
+    with pytest.raises(ValueError):
+        join_to_unique(skewed(spark), skewed(spark), "k", "full_outer")
+
+
+def test_cascade_of_a_hot_parent(spark):
+    children = skewed(spark)
+    parents = spark.createDataFrame([(7,), (8,), (5000,)], "k long")
+    deletes = dml.delete_events(parents, F.lit(True), 3)
+    twice = deletes.unionByName(deletes)
+    gone = integrity.cascade_events(twice, children, "k")
+    assert gone.count() == children.where(F.col("k").isin(7, 8)).count()

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowflow.streaming.store import KeyedTable
+from rowflow.streaming.store import KeyedTable, buckets_for
 
 SCHEMA = T.StructType().add("k", "long").add("v", "string")
 
@@ -33,7 +33,7 @@ def test_repeated_batch_replaces_itself(spark, root):
     table = new(spark, root).create()
     for _ in range(2):
         table.append(changes(spark, ("c", 1, 1, "a"), ("c", 2, 2, "b")), 0)
-    assert table.batch(0).count() == 2
+    assert table.changes_since(0).count() == 2
     table.compact()
     table.append(changes(spark, ("c", 1, 1, "a"), ("c", 2, 2, "b")), 0)  # repeated after the compaction
     assert rows(table) == {1: "a", 2: "b"}
@@ -43,7 +43,8 @@ def test_compaction_changes_nothing_and_keeps_tombstones(spark, root):
     table = new(spark, root).create(changes(spark, ("r", 0, 1, "a"), ("r", 0, 2, "b")))
     table.append(changes(spark, ("d", 5, 1, None), ("u", 6, 2, "B")), 0)
     before = rows(table)
-    assert table.compact() == 1
+    table.compact()
+    assert table.version() == (1, 1)
     assert rows(table) == before == {2: "B"}
     table.append(changes(spark, ("u", 4, 1, "late"), ("u", 3, 2, "late")), 1)
     assert rows(table) == {2: "B"}
@@ -51,6 +52,33 @@ def test_compaction_changes_nothing_and_keeps_tombstones(spark, root):
     assert table.state().count() == 1
 
 
+def test_fold_reduces_the_log_and_leaves_the_snapshot(spark, root):
+    table = new(spark, root).create(changes(spark, ("r", 0, 1, "a")))
+    for n in range(3):
+        table.append(changes(spark, ("u", n + 1, 1, f"v{n}"), ("d", n + 1, 2, None)), n)
+    table.fold()
+    assert table.version() == new(spark, root).version() == (1, 0)
+    assert spark.read.parquet(f"{root}/t/log/v=1").count() == 2
+    table.append(changes(spark, ("u", 2, 1, "late"), ("c", 9, 3, "z")), 3)
+    assert rows(table) == {1: "v2", 3: "z"}
+    assert {r.k: r.v for r in table.current(3).collect()} == {1: "v2"}
+    table.vacuum(keep=1)
+    assert rows(new(spark, root)) == {1: "v2", 3: "z"}  # the snapshot is still needed
+
+
+def test_jobs_number_their_batches_on_their_own(spark, root):
+    table = new(spark, root).create()
+    table.append(changes(spark, ("c", 1, 1, "a")), 0, "x")
+    table.append(changes(spark, ("c", 2, 2, "b")), 0, "y")
+    assert rows(table) == {1: "a", 2: "b"}
+    assert {r.k for r in table.current(0, "y").collect()} == {1}
+
+
+def test_bucket_count():
+    assert buckets_for(0) == 4
+    assert buckets_for(100 << 40) == 102400
+
+
 def test_unpublished_leftover_is_ignored_and_replaced(spark, root):
     table = new(spark, root).create(changes(spark, ("r", 0, 1, "a")))
     # A compaction that died before publishing left files behind.

@@ -11,7 +11,7 @@ from rowflow.plans.views import CUSTOMER_TIERS, DAILY_ORDERS
 from rowflow.schemas import CUSTOMERS, ENVELOPE, ORDERS
 from rowflow.sources.changes import change_envelopes, read_changes
 from rowflow.streaming.refresh import build_view, refresh_view, view_table
-from rowflow.streaming.replicate import BatchApplier, await_queries, batch_metrics, run_available, start
+from rowflow.streaming.replicate import BatchApplier, Upkeep, await_queries, batch_metrics, run_available, start
 from rowflow.streaming.store import KeyedTable
 from rowflow.streaming.verify import verify_sync
 
@@ -56,7 +56,7 @@ def test_one_job_per_table_and_one_for_all_agree(spark, root):
     feed = lambda: read_changes(spark, f"{root}/feed", max_files=2)
     single = {n: table(spark, f"{root}/single", n) for n in names}
     each = {n: table(spark, f"{root}/each", n) for n in names}
-    run_available(feed(), single, f"{root}/job1", compact_every=2, keep_versions=2)
+    run_available(feed(), single, f"{root}/job1", upkeep=Upkeep(fold_every=1, compact_every=2, keep_versions=2))
     assert len(jobs := start(feed(), each, f"{root}/job2", "per_table", interval=None)) == 3
     await_queries(jobs)
     for i, n in enumerate(names):
@@ -108,7 +108,7 @@ def test_failed_batch_is_repeated_without_effect(spark, root):
     tables = {n: table(spark, root, n) for n in "ab"}
     run_available(read_changes(spark, f"{root}/feed"), tables, root)
     assert rows(tables["a"]) == {1: "y"} and rows(tables["b"]) == {1: "x"}
-    assert tables["a"].batch(0).count() == 2
+    assert spark.read.parquet(f"{root}/target/a/log").count() == 2
 
 
 def test_rows_that_break_the_contract_are_set_aside(spark, root):
@@ -166,13 +166,13 @@ def test_view_equals_recompute_after_every_batch(spark, root):
     for batch in range(4):
         # Late, repeated and losing changes are all in here.
         orders.append(order_changes(spark, random_order_changes(rng, 25, 40)), batch)
-        refresh_view(orders, stored, DAILY_ORDERS, batch)
+        refresh_view(orders, stored, DAILY_ORDERS, None if batch == 2 else batch, batch)
         want = sorted(DAILY_ORDERS.compute(orders.current()).collect(), key=key)
         assert sorted(stored.current().collect(), key=key) == want
         if batch == 1:
             orders.compact(), stored.compact()
     orders.append(order_changes(spark, [("d", 10**6, k, None, None, 1) for k in range(1, 41)]), 9)
-    refresh_view(orders, stored, DAILY_ORDERS, 9)
+    refresh_view(orders, stored, DAILY_ORDERS, 9, 9)
     assert stored.current().count() == 0  # groups without rows are gone
 
 
@@ -188,6 +188,21 @@ def test_view_is_completed_when_a_batch_is_repeated(spark, root):
     assert sorted(r.order_date.day for r in stored.current().collect()) == [2, 3]
 
 
+def test_refresh_covers_several_batches(spark, root):
+    rng = random.Random(23)
+    orders = KeyedTable(spark, root, "orders", ORDERS.struct, ORDERS.key)
+    orders.create(order_changes(spark, [("r", 0, k, 1, k, k % 6 + 1) for k in range(1, 20)]))
+    stored = build_view(orders, view_table(orders, f"{root}/views", DAILY_ORDERS), DAILY_ORDERS)
+    applier = BatchApplier(
+        {"orders": orders}, f"{root}/job", {"orders": [(DAILY_ORDERS, stored)]}, upkeep=Upkeep(refresh_every=2, fold_every=4)
+    )
+    for batch in range(4):
+        applier(change_envelopes(order_changes(spark, random_order_changes(rng, 6, 25)), "orders", ["order_id"]), batch)
+        if batch % 2:
+            assert set(stored.current().collect()) == set(DAILY_ORDERS.compute(orders.current()).collect())
+    assert orders.version() == (1, 0) and applier.refreshed == {"daily_order_summary": 4}
+
+
 def test_null_group_of_a_view(spark, root):
     base = dict(first_name="a", last_name="b", email="c", phone=None)
     table_ = KeyedTable(spark, root, "customers", CUSTOMERS.struct, CUSTOMERS.key)
@@ -206,7 +221,7 @@ def test_null_group_of_a_view(spark, root):
     stored = build_view(table_, view_table(table_, f"{root}/views", CUSTOMER_TIERS), CUSTOMER_TIERS)
     assert {r.customer_tier: r.customer_count for r in stored.current().collect()} == {None: 1, "GOLD": 1}
     table_.append(change("u", 1, 2, None, 7), 0)
-    refresh_view(table_, stored, CUSTOMER_TIERS, 0)
+    refresh_view(table_, stored, CUSTOMER_TIERS, 0, 0)
     assert {r.customer_tier: r.customer_count for r in stored.current().collect()} == {None: 2}
 
 
