@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import check_status, elapsed_ms, latency_color, latency_label, latency_status
 from ..functions.labels import PROBE_TIMEOUT
 from ..schemas import TABLES
-from .numbering import block_of, number_rows
+from .numbering import block_of, block_offsets, number_rows
 
 # Fixed value: probes kept per table.
 HISTORY = 100
@@ -113,13 +113,13 @@ def running_stats(probes: DataFrame, n: int = HISTORY, width: int = 1 << 14) ->
     failures needs nothing special.
     """
     good = F.col("latency_ms") >= 0
-    numbered = number_rows(probes.select("probe_seq", "table", "latency_ms"), "probe_seq", ["table"], "__k", width, good)
+    rows, by = probes.select("probe_seq", "table", "latency_ms"), ["table"]
+    starts = block_offsets(rows, "probe_seq", by, width, good)
+    numbered = number_rows(rows, "probe_seq", by, "__k", width, good, starts)
     own = numbered.withColumns({"__block": block_of("probe_seq", width), "__own": F.lit(True)})
-    starts = own.groupBy("table", "__block").agg(F.min(F.col("__k") - F.when(good, 1).otherwise(0)).alias("__k0"))
-    wanted = starts.where(F.col("__k0") > 0).select(
-        "table",
-        "__block",
-        F.explode(F.sequence(F.greatest(F.col("__k0") - (n - 1), F.lit(1)), F.col("__k0"))).alias("__k"),
+    before = F.col("__offset")
+    wanted = starts.where(before > 0).select(
+        "table", "__block", F.explode(F.sequence(F.greatest(before - (n - 1), F.lit(1)), before)).alias("__k")
     )
     context = wanted.join(numbered.where(good), ["table", "__k"]).withColumn("__own", F.lit(False))
     # A failure has the number of the success before it, so the frame counts numbers, not rows.

@@ -52,14 +52,11 @@ def marked(column: Column, marker: str) -> Column:
     return column == F.lit(marker)
 
 
-def test_orders(addresses: Iterable[str] = tuple(TEST_ORDER_ADDRESSES)) -> Column:
+def removable_orders(addresses: Iterable[str] = tuple(TEST_ORDER_ADDRESSES)) -> Column:
     """Orders in a removable state whose address carries a test marker."""
     return F.col("order_status").isin(TEST_STATUSES) & like_any(F.col("shipping_address"), addresses)
 
 
-test_orders.__test__ = False  # not a test case
-
-
 def cleanup_events(tables: dict[str, DataFrame], kind: str, seq: int) -> dict[str, DataFrame]:
     """Delete events of one cleanup, children first, each later table at a later position.
 
@@ -68,7 +65,7 @@ def cleanup_events(tables: dict[str, DataFrame], kind: str, seq: int) -> dict[st
     """
     orders = tables["orders"]
     if kind == "test":
-        parents, doomed = test_orders(TEST_ITEM_ADDRESSES), test_orders()
+        parents, doomed = removable_orders(TEST_ITEM_ADDRESSES), removable_orders()
         emails, skus, notes = TEST_EMAILS, TEST_SKUS, TEST_NOTES
     elif kind == "bench":
         parents = doomed = like_any(F.col("shipping_address"), BENCH_ADDRESSES)

@@ -8,13 +8,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Order values per range: a range is one sorted run of one task.
+WIDTH = 1 << 16
+
+
+def _one(keep: Column | None) -> Column:
+    return F.lit(1) if keep is None else F.when(keep, 1).otherwise(0)
+
+
 def block_of(order: str, width: int) -> Column:
     """The range of ``width`` order values that a row falls in."""
     return F.call_function("div", F.col(order).cast("bigint"), F.lit(width).cast("bigint"))
 
 
+def block_offsets(
+    df: DataFrame, order: str, by: Iterable[str] = (), width: int = WIDTH, keep: Column | None = None
+) -> DataFrame:
+    """``by, __block, __offset``: the counted rows of the group before each range."""
+    by = list(by)
+    totals = df.groupBy(*by, block_of(order, width).alias("__block")).agg(F.sum(_one(keep)).alias("__rows"))
+    before = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*by, "__block", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+
+
 def number_rows(
-    df: DataFrame, order: str, by: Iterable[str] = (), name: str = "rn", width: int = 1 << 16, keep: Column | None = None
+    df: DataFrame,
+    order: str,
+    by: Iterable[str] = (),
+    name: str = "rn",
+    width: int = WIDTH,
+    keep: Column | None = None,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, 3, … in ``order`` within ``by``.
 
@@ -27,17 +51,12 @@ def number_rows(
     counted row before them, or 0.
     """
     by = list(by)
-    counted = F.lit(1) if keep is None else F.when(keep, 1).otherwise(0)
-    blocks = df.withColumn("__block", block_of(order, width)).withColumn("__one", counted)
-    totals = blocks.groupBy(*by, "__block").agg(F.sum("__one").alias("__rows"))
-    before = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *by, "__block", F.coalesce(F.sum("__rows").over(before), F.lit(0)).cast("bigint").alias("__offset")
-    )
+    offsets = block_offsets(df, order, by, width, keep) if offsets is None else offsets
     inside = (
         Window.partitionBy(*by, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    numbered = blocks.withColumn("__inner", F.sum("__one").over(inside))
+    blocks = df.withColumn("__block", block_of(order, width))
+    numbered = blocks.withColumn("__inner", F.sum(_one(keep)).over(inside))
     return numbered.join(offsets, [*by, "__block"]).select(
         *df.columns, (F.col("__offset") + F.col("__inner")).cast("bigint").alias(name)
     )

@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from ..functions import check_status, lag_label, latency_color, latency_label, latency_status, line_total
 from ..operators import dml, integrity, latency, markers, sync
 from ..operators.latest import current_rows, drop_tombstones, latest_by_key, live_keys, merge_newest
-from ..schemas import ENVELOPE, ORDERS
+from ..schemas import ORDERS
 from ..session import work_dir
 from ..sources import generate
-from ..sources.changes import change_envelopes, read_changes, typed_changes, union_all
+from ..sources.changes import change_envelopes, change_events, read_changes, typed_changes, union_all
 from ..sources.snapshot import snapshot_rows
 from ..streaming.refresh import build_view, view_table
 from ..streaming.replicate import Upkeep, await_queries, batch_metrics, run_available, start
 from ..streaming.store import KeyedTable
 from ..streaming.verify import verify_sync
+from . import reports
 from .mapping import KEYS, WIDE, Tables, as_of
 from .views import CUSTOMER_TIERS, DAILY_ORDERS, View
 
@@ -43,8 +44,8 @@ def snapshot_scan(t: Tables) -> DataFrame:
 
 @query
 def change_scan(t: Tables) -> DataFrame:
-    """The order feed written as envelopes, scanned and typed again."""
-    path = _write_feed(t, ["orders"])
+    """The order feed out of a feed of two tables, scanned and typed again."""
+    path = _write_feed(t, ["orders", "products"])
     envelopes = read_changes(t.spark, path, stream=False)
     return typed_changes(envelopes, "orders", t.orders().schema, KEYS["orders"])
 
@@ -163,7 +164,7 @@ def status_in(t: Tables) -> DataFrame:
 
 @query
 def cleanup_predicate(t: Tables) -> DataFrame:
-    return t.orders().where(markers.test_orders())
+    return t.orders().where(markers.removable_orders())
 
 
 @query
@@ -189,7 +190,7 @@ def _deleted(events: DataFrame, keys: list[str]) -> DataFrame:
 
 @query
 def delete_by_join(t: Tables) -> DataFrame:
-    orders = t.orders().where(markers.test_orders(markers.TEST_ITEM_ADDRESSES)).select("order_id")
+    orders = t.orders().where(markers.removable_orders(markers.TEST_ITEM_ADDRESSES)).select("order_id")
     return _deleted(dml.delete_events(t.order_items(), orders, 10, ["order_id"]), KEYS["order_items"])
 
 
@@ -209,7 +210,7 @@ def fk_orphans(t: Tables) -> DataFrame:
 @query
 def cascade_delete(t: Tables) -> DataFrame:
     """Items that go with the orders of the test cleanup."""
-    parents = dml.delete_events(t.orders(), markers.test_orders(), 11)
+    parents = dml.delete_events(t.orders(), markers.removable_orders(), 11)
     return _deleted(integrity.cascade_events(parents, t.order_items(), "order_id"), KEYS["order_items"])
 
 
@@ -263,6 +264,38 @@ def sync_at_least(t: Tables) -> DataFrame:
     return sync.sync_verdict(_sync_report(t), "at_least")
 
 
+def _counts(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Source counts, and target counts that lack what was returned or dropped."""
+    rows = t.all()
+    target = rows | {
+        "order_items": rows["order_items"].where(F.col("quantity") < 50),
+        "products": rows["products"].where(F.col("category") != "PROMO"),
+    }
+    return sync.table_counts(rows), sync.table_counts(target)
+
+
+@query
+def monitor_report(t: Tables) -> DataFrame:
+    return reports.monitor_report(*_counts(t), t.probe_results())
+
+
+@query
+def check_report(t: Tables) -> DataFrame:
+    return reports.check_report(*_counts(t), t.probe_results())
+
+
+@query
+def monitor_json(t: Tables) -> DataFrame:
+    """The whole report as one document, read back into its numbers."""
+    report = reports.monitor_report(*_counts(t), t.probe_results())
+    document = reports.monitor_json(report, t.probe_results(), as_of())
+    entry = "struct<source_count:bigint,target_count:bigint,lag:bigint,last_latency_ms:bigint,p95_latency_ms:bigint>"
+    shape = f"timestamp string, total_probes bigint, failed_probes bigint, tables map<string,{entry}>"
+    read = document.select(F.from_json("document", shape).alias("d")).select("d.*")
+    exploded = read.select("timestamp", "total_probes", "failed_probes", F.explode("tables").alias("table", "entry"))
+    return exploded.select("timestamp", "total_probes", "failed_probes", "table", "entry.*")
+
+
 @query
 def report_json(t: Tables) -> DataFrame:
     counts = _sync_report(t).select("table", "source_count", "target_count", "lag", "status")
@@ -367,7 +400,7 @@ def throughput(t: Tables) -> DataFrame:
 
 
 @query
-def latest_orders(t: Tables) -> DataFrame:
+def laremovable_orders(t: Tables) -> DataFrame:
     return t.orders().orderBy(F.col("order_id").desc()).limit(5)
 
 
@@ -475,19 +508,20 @@ def _write_feed(t: Tables, names: list[str]) -> str:
     """The feeds of some tables as envelope files in the shared work folder."""
     path = f"{work_dir(t.spark, 'feed')}/feed"
     commit = F.coalesce(F.col("created_at"), as_of())
-    parts = [change_envelopes(feed, name, KEYS[name], commit) for name, feed in t.feeds(names).items()]
-    union_all(parts).write.parquet(path)
+    encode = change_events if len(names) == 1 else change_envelopes
+    union_all([encode(feed, n, KEYS[n], commit) for n, feed in t.feeds(names).items()]).write.parquet(path)
     return path
 
 
 def _stream(t: Tables, names: list[str], batches: int = 2) -> tuple[DataFrame, dict[str, KeyedTable], str]:
     """A feed that arrives in about ``batches`` micro-batches, and empty tables for it."""
     path = _write_feed(t, names)
-    files = len(t.spark.read.schema(ENVELOPE).parquet(path).inputFiles())
-    feed = read_changes(t.spark, path, max_files=math.ceil(files / batches))
+    schemas = {n: rows.schema for n, rows in t.all().items() if n in names}
+    row = schemas[names[0]] if len(names) == 1 else None
+    files = len(read_changes(t.spark, path, stream=False, row=row).inputFiles())
+    feed = read_changes(t.spark, path, max_files=math.ceil(files / batches), row=row)
     root = path.rsplit("/", 1)[0]
-    rows = t.all()
-    return feed, {n: KeyedTable(t.spark, f"{root}/target", n, rows[n].schema, KEYS[n]) for n in names}, root
+    return feed, {n: KeyedTable(t.spark, f"{root}/target", n, schemas[n], KEYS[n]) for n in names}, root
 
 
 @query

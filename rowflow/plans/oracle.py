@@ -260,7 +260,41 @@ def _label(name: str, expression: str) -> str:
     return f"{_with(PROBES)} select probe_seq, {expression} as {name} from probes_t"
 
 
+MONITOR = (
+    _with(LAST_100)
+    + f""",
+counts as (
+  select 'orders' as "table", count(*) as source_count, count(*) as target_count from orders
+  union all select 'customers', count(*), count(*) from customer
+  union all select 'products', count(*), count(*) filter (where p_type <> 'PROMO') from part
+  union all select 'order_items', count(*), count(*) filter (where cast(l_quantity as integer) < 50) from lineitem
+  union all select 'inventory_movements', count(*), count(*) from events),
+newest as (select "table", arg_max(latency_ms, probe_seq) as last_ms from probes_t group by 1),
+stats as ({_stats("last_100", (95,))}),
+monitor as (
+  select c."table", source_count, target_count, source_count - target_count as lag,
+         coalesce(last_ms, 0) as last_latency_ms, avg_ms as avg_latency_ms, p95_ms as p95_latency_ms
+  from counts c join stats s on s."table" = c."table" left join newest n on n."table" = c."table")"""
+)
+SECONDS_LABEL = """case when {0} < 0 then 'TIMEOUT' when {0} < 1000 then {0} || 'ms'
+  else (({0} + 5) // 1000) || '.' || lpad(cast(({0} + 5) // 10 % 100 as varchar), 2, '0') || 's' end"""
+STATUS_LABEL = """case when {0} < 0 or {0} >= 10000 then 'CRIT'
+  when {0} > 0 and {0} < 5000 then 'OK' else 'WARN' end"""
+
 ORACLE: dict[str, str] = {
+    "monitor_report": f"""{MONITOR}
+select *, {SECONDS_LABEL.format("last_latency_ms")} as latency_label,
+       case when last_latency_ms <> 0 then {STATUS_LABEL.format("last_latency_ms")} end as status
+from monitor""",
+    "check_report": f"""{MONITOR}
+select m."table", last_ms as latency_ms, source_count, target_count, lag,
+       case when last_ms <= 0 then 'FAIL' when last_ms < 5000 then 'OK' else 'WARN' end as status
+from monitor m join newest n on n."table" = m."table\"""",
+    "monitor_json": f"""{MONITOR}
+select '2024-01-01T00:00:00' as timestamp, (select count(*) from events) as total_probes,
+       (select count(*) from probes_t where latency_ms < 0) as failed_probes,
+       "table", source_count, target_count, lag, last_latency_ms, p95_latency_ms
+from monitor""",
     "snapshot_scan": f"{_with(ORDERS)} select 'r' as op, cast(0 as bigint) as seq, * from orders_t",
     "change_scan": f"{_with(ORDER_FEED)} select * from order_feed",
     "snapshot_plus_changes": f"{_with(ORDER_STATE)} select * from orders_now",
@@ -375,8 +409,7 @@ select count(*) as total_probes, count(*) filter (where latency_ms >= 0) as succ
 from probes_t""",
     "latency_label": _label(
         "latency_label",
-        """case when latency_ms < 0 then 'TIMEOUT' when latency_ms < 1000 then latency_ms || 'ms'
-  else ((latency_ms + 5) // 1000) || '.' || lpad(cast((latency_ms + 5) // 10 % 100 as varchar), 2, '0') || 's' end""",
+        SECONDS_LABEL.format("latency_ms"),
     ),
     "latency_color": _label(
         "latency_color",
@@ -385,8 +418,7 @@ from probes_t""",
     ),
     "latency_status": _label(
         "latency_status",
-        """case when latency_ms < 0 or latency_ms >= 10000 then 'CRIT'
-  when latency_ms > 0 and latency_ms < 5000 then 'OK' else 'WARN' end""",
+        STATUS_LABEL.format("latency_ms"),
     ),
     "check_status": _label(
         "check_status",

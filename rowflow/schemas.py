@@ -153,17 +153,20 @@ INVENTORY_MOVEMENTS = Table(
 
 TABLES: dict[str, Table] = {t.name: t for t in (ORDERS, CUSTOMERS, PRODUCTS, ORDER_ITEMS, INVENTORY_MOVEMENTS)}
 
-#: Transport form of a change: both images as JSON, so that one feed carries every table.
-ENVELOPE = T.StructType(
-    [
-        T.StructField("table", STR),
-        T.StructField("op", STR),  # r snapshot row, c insert, u update, d delete
-        T.StructField("seq", LONG),  # total order of the changes of one table
-        T.StructField("ts_commit", NTZ),  # source commit time: for latency, never for ordering
-        T.StructField("before_json", STR),
-        T.StructField("after_json", STR),
-    ]
-)
+_CHANGE = [
+    T.StructField("table", STR),
+    T.StructField("op", STR),  # r snapshot row, c insert, u update, d delete
+    T.StructField("seq", LONG),  # total order of the changes of one table
+    T.StructField("ts_commit", NTZ),  # source commit time: for latency, never for ordering
+]
+
+#: Transport form of a change with both images as JSON, so that one feed carries every table.
+ENVELOPE = T.StructType([*_CHANGE, T.StructField("before_json", STR), T.StructField("after_json", STR)])
+
+
+def typed_envelope(row: T.StructType) -> T.StructType:
+    """Transport form of the changes of a single table: its columns need no parsing."""
+    return T.StructType([*_CHANGE, T.StructField("before", row), T.StructField("after", row)])
 
 
 def select_tables(names: str | list[str] | None) -> list[str]:

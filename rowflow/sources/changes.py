@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dml import event_rows
-from ..schemas import ENVELOPE, NTZ
+from ..schemas import ENVELOPE, NTZ, typed_envelope
 
 
 def read_changes(
@@ -20,13 +20,16 @@ def read_changes(
     stream: bool = True,
     max_files: int | None = None,
     max_bytes: str | None = None,
+    row: T.StructType | None = None,
 ) -> DataFrame:
     """Envelopes below ``path``: a stream that picks up new files, or one batch of all.
 
+    ``row`` is given for a feed of one table whose images are columns and not JSON.
     ``max_files`` or ``max_bytes`` bound a micro-batch, so a long backlog is worked off in
     pieces and not in one giant job.
     """
-    reader = (spark.readStream if stream else spark.read).schema(ENVELOPE).format(fmt)
+    schema = ENVELOPE if row is None else typed_envelope(row)
+    reader = (spark.readStream if stream else spark.read).schema(schema).format(fmt)
     if stream and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if stream and max_bytes:
@@ -41,13 +44,11 @@ def decode_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
 
 def typed_events(envelopes: DataFrame, table: str, schema: T.StructType) -> DataFrame:
     """The changes of one table with typed ``before`` and ``after`` images."""
-    return envelopes.where(F.col("table") == table).select(
-        "op",
-        "seq",
-        "ts_commit",
-        F.from_json("before_json", schema).alias("before"),
-        F.from_json("after_json", schema).alias("after"),
-    )
+    mine = envelopes.where(F.col("table") == table)
+    if "after" in envelopes.columns:
+        return mine.select("op", "seq", "ts_commit", "before", "after")
+    images = [F.from_json(f"{image}_json", schema).alias(image) for image in ("before", "after")]
+    return mine.select("op", "seq", "ts_commit", *images)
 
 
 def typed_changes(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
@@ -62,33 +63,38 @@ def _as_json(events: DataFrame, image: str) -> Column:
     return F.to_json(F.col(image).cast(T.StructType(text)))
 
 
-def envelopes(events: DataFrame, table: str, ts_commit: Column | None = None) -> DataFrame:
-    """Change events of one table in transport form."""
-    commit = ts_commit if ts_commit is not None else F.lit(None)
-    return events.select(
-        F.lit(table).alias("table"),
-        "op",
-        "seq",
-        commit.cast("timestamp_ntz").alias("ts_commit"),
-        _as_json(events, "before").alias("before_json"),
-        _as_json(events, "after").alias("after_json"),
-    )
-
+def change_events(
+    changes: DataFrame, table: str, keys: Iterable[str], ts_commit: Column | None = None
+) -> DataFrame:
+    """A change frame (``op, seq``, columns) as envelopes with column images.
 
-def change_envelopes(changes: DataFrame, table: str, keys: Iterable[str], ts_commit: Column | None = None) -> DataFrame:
-    """A change frame (``op, seq``, columns) in transport form; deletes keep their key as before image."""
+    A delete keeps its key as before image, the other changes their row as after image.
+    """
     keys = list(keys)
     columns = [c for c in changes.columns if c not in ("op", "seq")]
-    image = T.StructType([changes.schema[c] for c in columns])
     whole = F.struct(*columns)
-    only_key = F.struct(*[F.col(c) if c in keys else F.lit(None).cast(image[c].dataType).alias(c) for c in columns])
+    only_key = F.struct(
+        *[F.col(c) if c in keys else F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in columns]
+    )
     deleted = F.col("op") == "d"
-    events = changes.select(
-        *changes.columns,
+    commit = ts_commit if ts_commit is not None else F.lit(None)
+    return changes.select(
+        F.lit(table).alias("table"),
+        "op",
+        "seq",
+        commit.cast("timestamp_ntz").alias("ts_commit"),
         F.when(deleted, only_key).alias("before"),
         F.when(~deleted, whole).alias("after"),
     )
-    return envelopes(events, table, ts_commit)
+
+
+def change_envelopes(
+    changes: DataFrame, table: str, keys: Iterable[str], ts_commit: Column | None = None
+) -> DataFrame:
+    """The same with JSON images, for a feed of many tables."""
+    events = change_events(changes, table, keys, ts_commit)
+    images = [_as_json(events, i).alias(f"{i}_json") for i in ("before", "after")]
+    return events.select("table", "op", "seq", "ts_commit", *images)
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

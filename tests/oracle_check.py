@@ -58,7 +58,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1]
     names = sys.argv[2:]
-    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions=8, spark__driver__memory="8g")
+    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions=os.environ.get("PARTITIONS", "8"), spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     sql = oracle_sql()

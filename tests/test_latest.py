@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from rowflow.operators import dml
 from rowflow.operators.latest import current_rows, latest_by_key, live_keys, merge_newest
-from rowflow.sources.changes import change_envelopes, decode_envelopes, typed_changes
+from rowflow.schemas import typed_envelope
+from rowflow.sources.changes import change_envelopes, change_events, decode_envelopes, typed_changes
 
 SCHEMA = "case int, op string, seq long, k int, v string"
 
@@ -96,6 +97,9 @@ def test_envelopes_keep_values(spark):
     envelopes = change_envelopes(df, "t", ["k"], F.col("at"))
     schema = df.drop("op", "seq").schema
     assert typed_changes(envelopes, "t", schema, ["k"]).collect() == df.collect()
+    columns = change_events(df, "t", ["k"])
+    assert columns.columns == typed_envelope(schema).names
+    assert typed_changes(columns, "t", schema, ["k"]).collect() == df.collect()
     messages = envelopes.select(F.to_json(F.struct("*")).alias("value"))
     assert typed_changes(decode_envelopes(messages), "t", schema, ["k"]).count() == 3
     assert typed_changes(envelopes, "other", schema, ["k"]).count() == 0
