@@ -2,7 +2,10 @@
 
 A change frame has the table's columns plus ``op`` and ``seq``; a delete carries at
 least the key.  Duplicates, late rows and replays need no special treatment: the
-result depends only on the set of changes, not on their order or number.
+result depends only on the set of changes, not on their order or number.  ``seq`` orders
+the changes of a key; changes with the same key and ``seq`` are copies of one change.
+
+Select the columns you need *before* reducing: the winning row is moved as a whole.
 """
 
 from __future__ import annotations
@@ -18,8 +21,8 @@ META = ("op", "seq")
 def latest_by_key(changes: DataFrame, keys: Iterable[str], seq: str = "seq") -> DataFrame:
     """The change with the highest ``seq`` of every key, whole row.
 
-    At equal ``seq`` a row beats a delete, and then the greater row wins, so a retried task
-    cannot choose otherwise.  The maximum is combined on the map side: however often one
+    Should copies differ against the rule, a row beats a delete and then the greater row
+    wins, so a retried task cannot choose otherwise.  The maximum is combined on the map side: however often one
     key changes, each task ships a single row for it.
     """
     keys = list(keys)

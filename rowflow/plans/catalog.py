@@ -80,8 +80,12 @@ def apply_deletes(t: Tables) -> DataFrame:
 @query
 def apply_updates(t: Tables) -> DataFrame:
     """Products after the price updates."""
-    newest = latest_by_key(t.product_feed(), KEYS["products"])
-    return newest.where(F.col("op") == "u").select("product_id", "price", "stock_quantity", "is_active")
+    changed = ["product_id", "price", "stock_quantity", "is_active"]
+    newest = latest_by_key(t.product_feed().select("op", "seq", *changed), KEYS["products"])
+    return newest.where(F.col("op") == "u").select(*changed)
+
+
+TOTALLED = ["op", "seq", "order_id", "order_status", "total_amount"]
 
 
 def _totals(rows: DataFrame) -> DataFrame:
@@ -93,14 +97,15 @@ def _totals(rows: DataFrame) -> DataFrame:
 @query
 def replay_idempotent(t: Tables) -> DataFrame:
     """The whole log delivered twice."""
-    return _totals(current_rows(union_all([t.order_feed(), t.order_log()]), KEYS["orders"]))
+    delivered = union_all([t.order_feed(), t.order_log()])
+    return _totals(current_rows(delivered.select(*TOTALLED), KEYS["orders"]))
 
 
 @query
 def late_and_duplicate(t: Tables) -> DataFrame:
     """The log applied first, and the older snapshot, late, onto the result."""
-    applied = latest_by_key(t.order_log(), KEYS["orders"])
-    late = latest_by_key(snapshot_rows(t.orders()), KEYS["orders"])
+    applied = latest_by_key(t.order_log().select(*TOTALLED), KEYS["orders"])
+    late = latest_by_key(snapshot_rows(t.orders()).select(*TOTALLED), KEYS["orders"])
     return _totals(drop_tombstones(merge_newest(applied, late, KEYS["orders"])))
 
 
@@ -313,14 +318,18 @@ def lag_labels(t: Tables) -> DataFrame:
 # -- summaries -----------------------------------------------------------------------
 
 
+def _view(feed: DataFrame, keys: list[str], view: View) -> DataFrame:
+    return view.compute(current_rows(feed.select("op", "seq", *keys, *view.reads), keys))
+
+
 @query
 def daily_order_summary(t: Tables) -> DataFrame:
-    return DAILY_ORDERS.compute(current_rows(t.order_feed(), KEYS["orders"]))
+    return _view(t.order_feed(), KEYS["orders"], DAILY_ORDERS)
 
 
 @query
 def customer_tier_summary(t: Tables) -> DataFrame:
-    return CUSTOMER_TIERS.compute(current_rows(t.customer_feed(), KEYS["customers"]))
+    return _view(t.customer_feed(), KEYS["customers"], CUSTOMER_TIERS)
 
 
 # -- latency -------------------------------------------------------------------------
@@ -400,7 +409,7 @@ def throughput(t: Tables) -> DataFrame:
 
 
 @query
-def laremovable_orders(t: Tables) -> DataFrame:
+def latest_orders(t: Tables) -> DataFrame:
     return t.orders().orderBy(F.col("order_id").desc()).limit(5)
 
 
@@ -545,7 +554,7 @@ def per_table_jobs(t: Tables) -> DataFrame:
     """Orders and customers out of a job each."""
     feed, tables, root = _stream(t, ["orders", "customers"], batches=1)
     await_queries(start(feed, tables, root, "per_table", interval=None))
-    return sync.table_counts({n: table.current() for n, table in tables.items()})
+    return sync.table_counts({n: table.current(columns=[]) for n, table in tables.items()})
 
 
 @query

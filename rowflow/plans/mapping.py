@@ -46,6 +46,11 @@ def _day(ts: str) -> Column:
     return F.date_diff(F.col(ts).cast("date"), F.lit("1992-01-01").cast("date")).cast("bigint")
 
 
+def _position(day: Column, row: Column) -> Column:
+    """A log position: the day's part in front of 40 bits for the row."""
+    return day.cast("bigint") * F.lit(1 << 40) + row
+
+
 class Tables:
     """The tables below one folder.  Each is opened once."""
 
@@ -172,7 +177,7 @@ class Tables:
         """Every line shipped updates its order; a returned line deletes it."""
         items = self.read("lineitem")
         live = F.col("l_returnflag") != "R"
-        position = _day("l_shipdate") * 8 + F.col("l_linenumber")
+        position = _position(_day("l_shipdate") * 8 + F.col("l_linenumber"), F.col("l_partkey"))
         image = {
             "customer_id": F.col("l_suppkey"),
             "order_status": _case("l_linestatus", {"O": "SHIPPED"}, "DELIVERED"),
@@ -197,7 +202,7 @@ class Tables:
         tier = {"1-URGENT": "PLATINUM", "2-HIGH": "GOLD", "3-MEDIUM": "SILVER", "5-LOW": "BRONZE"}
         updates = self.read("orders").select(
             F.lit("u").alias("op"),
-            _day("o_orderdate").alias("seq"),
+            _position(_day("o_orderdate"), F.col("o_orderkey")).alias("seq"),
             F.col("o_custkey").alias("customer_id"),
             F.lit("Customer").alias("first_name"),
             F.col("o_custkey").cast("string").alias("last_name"),
@@ -210,7 +215,7 @@ class Tables:
             F.col("o_orderdate").alias("updated_at"),
         )
         closed = self.read("customer").where(F.col("c_acctbal") < 0)
-        closed = closed.select(F.lit("d").alias("op"), F.lit(3000).alias("seq"), F.col("c_custkey").alias("customer_id"))
+        closed = closed.select(F.lit("d").alias("op"), _position(F.lit(3000), F.lit(0)).alias("seq"), F.col("c_custkey").alias("customer_id"))
         base = self.customers()
         return union_all([snapshot_rows(base), self._typed_like(updates, base), self._typed_like(closed, base)])
 

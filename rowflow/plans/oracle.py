@@ -61,7 +61,8 @@ movements_t as (
 ORDER_LOG = """
 order_log as (
   select case when l_returnflag = 'R' then 'd' else 'u' end as op,
-         cast(date_diff('day', date '1992-01-01', cast(l_shipdate as date)) as bigint) * 8 + l_linenumber as seq,
+         (cast(date_diff('day', date '1992-01-01', cast(l_shipdate as date)) as bigint) * 8 + l_linenumber)
+           * 1099511627776 + l_partkey as seq,
          l_orderkey as order_id,
          case when l_returnflag <> 'R' then l_suppkey end as customer_id,
          case when l_returnflag <> 'R' then case l_linestatus when 'O' then 'SHIPPED' else 'DELIVERED' end end
@@ -96,14 +97,15 @@ CUSTOMER_FEED = (
 customer_feed as (
   select 'r' as op, cast(0 as bigint) as seq, * from customers_t
   union all
-  select 'u', cast(date_diff('day', date '1992-01-01', cast(o_orderdate as date)) as bigint), o_custkey, 'Customer',
+  select 'u', cast(date_diff('day', date '1992-01-01', cast(o_orderdate as date)) as bigint) * 1099511627776
+           + o_orderkey, o_custkey, 'Customer',
          cast(o_custkey as varchar), 'user' || o_custkey || '@email.com', null, cast(o_orderdate as date),
          case o_orderpriority when '1-URGENT' then 'PLATINUM' when '2-HIGH' then 'GOLD' when '3-MEDIUM' then 'SILVER'
                               when '5-LOW' then 'BRONZE' end,
          cast(1 as integer), cast(o_totalprice as decimal(14,2)), o_orderdate, o_orderdate
   from orders
   union all
-  select 'd', cast(3000 as bigint), c_custkey, null, null, null, null, null, null, null, null, null, null
+  select 'd', cast(3000 as bigint) * 1099511627776, c_custkey, null, null, null, null, null, null, null, null, null, null
   from customer where c_acctbal < 0)"""
 )
 CUSTOMER_STATE = (

@@ -18,6 +18,7 @@ class View:
     group_by: Callable[[], Column]
     measures: Callable[[], list[Column]]
     schema: T.StructType
+    reads: tuple[str, ...]  # the source columns it needs
     partials: Callable[[], list[Column]] = list  # combined on the way to the measures
     partial_by: tuple[str, ...] = ()
 
@@ -71,6 +72,7 @@ DAILY_ORDERS = View(
     .add("total_revenue", "decimal(38,2)")
     .add("avg_order_value", "double")
     .add("unique_customers", "long"),
+    ("customer_id", "total_amount", "created_at"),
     _per_day_and_customer,
     ("customer_id",),
 )
@@ -87,6 +89,7 @@ CUSTOMER_TIERS = View(
     .add("total_orders", "long")
     .add("total_revenue", "decimal(38,2)")
     .add("avg_customer_value", "double"),
+    ("customer_tier", "total_orders", "total_spent"),
 )
 
 VIEWS = {v.name: v for v in (DAILY_ORDERS, CUSTOMER_TIERS)}

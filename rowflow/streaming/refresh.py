@@ -16,7 +16,7 @@ def view_table(table: KeyedTable, root: str, view: View, buckets: int | None = N
 
 def build_view(table: KeyedTable, stored: KeyedTable, view: View) -> KeyedTable:
     """Create the stored view from the table as it is."""
-    rows = view.compute(table.current())
+    rows = view.compute(table.current(columns=view.reads))
     return stored.create(rows.select(F.lit("r").alias("op"), F.lit(-1).cast("bigint").alias("seq"), *rows.columns))
 
 
@@ -29,9 +29,9 @@ def affected_groups(
     Without ``since`` these are all groups, of the table and of the view.
     """
     if since is None:
-        return view.groups(table.current()).unionByName(stored.current().select(view.group)).distinct()
+        return view.groups(table.current(columns=view.reads)).unionByName(stored.current().select(view.group)).distinct()
     changes = table.changes_since(since, job)
-    before = table.current(since, job).join(changes.select(*table.keys), table.keys, "left_semi")
+    before = table.current(since, job, view.reads).join(changes.select(*table.keys), table.keys, "left_semi")
     return view.groups(before).unionByName(view.groups(changes.where(F.col("op") != "d"))).distinct()
 
 
@@ -47,7 +47,7 @@ def refresh_view(
     position = stored.state().agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0] + 1
     groups = affected_groups(table, stored, view, since, job).withColumnRenamed(view.group, "__group").persist()
     try:
-        rows = table.current()
+        rows = table.current(columns=view.reads)
         if since is not None:
             rows = rows.join(groups, view.group_by().eqNullSafe(F.col("__group")), "left_semi")
         fresh = view.compute(rows).withColumn("__found", F.lit(True))

@@ -110,21 +110,30 @@ class KeyedTable:
             raise
         return (log if wanted is None else log.where(wanted)).drop("job", "batch")
 
-    def state(self, before_batch: int | None = None, job: str = JOB) -> DataFrame:
+    def state(
+        self, before_batch: int | None = None, job: str = JOB, columns: Iterable[str] | None = None
+    ) -> DataFrame:
         """One row per key with ``op`` and ``seq``, deleted keys included.
 
-        ``before_batch`` leaves out that batch of the job and all later ones.
+        ``before_batch`` leaves out that batch of the job and all later ones.  Only the
+        keys and the ``columns`` are read, reduced and joined.
         """
         version, snapshot = self._required()
+        rest = set(self.schema.names if columns is None else [*META.names, *self.keys, *columns])
+        wanted = [c for c in self.schema.names if c in rest]
         later = (F.col("job") == job) & (F.col("batch") >= before_batch) if before_batch is not None else None
         stored, log = self._snapshot(snapshot), self._log(version, None if later is None else ~later)
+        stored = stored.select(*wanted)
         if log is None:
             return stored
-        return merge_newest(stored, latest_by_key(log, self.keys), self.keys, self.nullable_keys)
-
-    def current(self, before_batch: int | None = None, job: str = JOB) -> DataFrame:
-        """The rows that exist."""
-        return drop_tombstones(self.state(before_batch, job)).select(*self.columns.names)
+        newest = latest_by_key(log.select(*wanted), self.keys)
+        return merge_newest(stored, newest, self.keys, self.nullable_keys)
+
+    def current(
+        self, before_batch: int | None = None, job: str = JOB, columns: Iterable[str] | None = None
+    ) -> DataFrame:
+        """The rows that exist: all columns, or the keys and some."""
+        return drop_tombstones(self.state(before_batch, job, columns))
 
     def changes_since(self, batch: int, job: str = JOB) -> DataFrame | None:
         """The stored changes of a batch and later ones, as far as they were not folded."""
