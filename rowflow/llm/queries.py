@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, quality, sharding
+from . import decontam, mixing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,3 +49,15 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of the benchmark occurs in every document."""
     found = decontam.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.drop("items", "spans")
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.mix(_read(spark, sf_dir, "documents"))
