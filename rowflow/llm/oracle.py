@@ -73,8 +73,20 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
   sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from docs left join words using (r) left join found using (r)"""
 
+# Base32 takes five bits per character: four characters out of five hexadecimal digits.
+WARC = """
+with rows as (select page_id, encode(coalesce(html, '')) as payload from pages),
+roles as (select *, sha1(payload) as hex, min(page_id) over (partition by payload) as first from rows)
+select page_id, octet_length(payload)::bigint as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, (k // 4) * 5 + 1, 5))::bigint >> (15 - 5 * (k % 4))) & 31)::int + 1, 1)), '') as payload_digest,
+  case when first is null or page_id = first then 'response' else 'revisit' end as record_type,
+  case when first is not null and page_id is distinct from first then first end as refers_to
+from roles"""
+
 ORACLE: dict[str, str] = {
     "op1_sharding": sharding_sql(),
+    "op4_warc": WARC,
     "op5_decontamination": DECONTAMINATION,
     "op6_quality_rules": QUALITY,
 }

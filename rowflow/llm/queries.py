@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality, sharding, simhash
+from ..session import work_dir
+from . import decontam, mixing, quality, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -61,3 +62,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.mix(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages written as WARC archives and read back."""
+    path = work_dir(spark, "warc")
+    warc.write_warc(_read(spark, sf_dir, "pages"), path)
+    page = lambda c: F.when(F.col(c) != "null", F.col(c)).cast("bigint")
+    return warc.records(warc.read_warc(spark, path)).select(
+        page("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
