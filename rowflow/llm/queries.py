@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import decontam, mixing, quality, sharding, simhash, warc
+from . import decontam, mixing, quality, sharding, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -77,3 +77,15 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         page("refers_to").alias("refers_to"),
     )
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """The documents' token ids written to flat files and read back."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    path = work_dir(spark, "tokens")
+    tokens.write_tokens(_read(spark, sf_dir, "documents"), path, tokenizer)
+    return tokens.read_index(spark, path).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
