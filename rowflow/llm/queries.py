@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import decontam, mixing, quality, sharding, simhash, tokens, warc
+from . import decontam, licenses, mixing, quality, sharding, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -89,3 +89,9 @@ def op8_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = No
     path = work_dir(spark, "tokens")
     tokens.write_tokens(_read(spark, sf_dir, "documents"), path, tokenizer)
     return tokens.read_index(spark, path).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and covered licence texts of every document."""
+    return licenses.scan_licenses(_read(spark, sf_dir, "documents")).drop("spans")
