@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import decontam, licenses, mixing, quality, sharding, simhash, tokens, warc
+from . import chat, decontam, licenses, mixing, quality, sharding, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -95,3 +95,9 @@ def op8_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = No
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and covered licence texts of every document."""
     return licenses.scan_licenses(_read(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op3_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with its repaired role and its fragment of the rendered conversation."""
+    return chat.repair_conversations(_read(spark, sf_dir, "conversations"))
