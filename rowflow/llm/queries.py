@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat, decontam, licenses, mixing, quality, sharding, simhash, tokens, warc
+from . import chat, ctw, decontam, licenses, mixing, quality, sharding, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -101,3 +101,9 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn with its repaired role and its fragment of the rendered conversation."""
     return chat.repair_conversations(_read(spark, sf_dir, "conversations"))
+
+
+@query
+def op7_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of every document under the word counts and under the context trees of the training documents."""
+    return ctw.language_scores(_read(spark, sf_dir, "documents"))
