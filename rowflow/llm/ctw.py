@@ -15,8 +15,8 @@ a text is its runs of ``DEPTH`` + 1 bytes, so the work goes:
   part of the tree is weighted; the two uppermost levels, at most 65,280 nodes, are put together on the driver;
 * every bucket gets back the logarithms and counts of just what it lists, and scores its documents in a stream.
 
-Nothing is broadcast but those two levels, no list is larger than a bucket's texts, and the runs below one pair of bytes
-are at most 2**24.  Logarithms are added up as whole numbers, rounded at 2**-40, so reruns agree.
+Nothing is broadcast but those two levels, and no list is larger than a bucket's texts.  The distinct runs with the same last
+two context bytes are weighted by one task: a few percent of the distinct runs, which grow far slower than the text.  Logarithms are added up as whole numbers, rounded at 2**-40, so reruns agree.
 
 Defined results: a null or empty text is its end alone; a null id counts as the empty text where documents
 are told apart; without training documents every count is 0 and every bit has probability 1/2.  Repeated rows are
@@ -38,14 +38,14 @@ from pyspark.sql import types as T
 
 from .common import stored, utf8
 
-DEPTH = 4
+DEPTH = 5
 BUCKET_BYTES = 32 << 20
 FOLDS, HELD_OUT = 5, 1
 
 _RUN_BITS = 8 * (DEPTH + 1)
 _DOC_BITS = 64 - _RUN_BITS
-#: Bytes of text that are sorted at once.
-_BATCH = 4 << 20
+#: Bytes of text, and texts, that are sorted at once.
+_BATCH, _BATCH_TEXTS = 4 << 20, 1 << _DOC_BITS
 _UNIT = 1 << 40
 _HALF = math.log(0.5)
 
@@ -248,7 +248,7 @@ class Listing:
             self.ends += 1
         else:
             self.other.update(text.split())
-        if self.held[train] > _BATCH:
+        if self.held[train] > _BATCH or len(self.texts[train]) == _BATCH_TEXTS:
             self._count(train)
 
     def _count(self, train: bool) -> None:
@@ -420,7 +420,7 @@ def _score_buckets(ends: int, tokens: int, types: int):
                     scorer.learn(kind, keys, values)
                     continue
                 scorer.add(key, train, (text or b"").lower())
-                if scorer.size > _BATCH:
+                if scorer.size > _BATCH or len(scorer.held) == _BATCH_TEXTS:
                     yield _arrow(scorer.rows(), kinds, SCORED.names)
         if scorer is not None and scorer.held:
             yield _arrow(scorer.rows(), kinds, SCORED.names)
