@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import math
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,10 +40,10 @@ from .common import add_columns, stored, utf8
 END = 1
 FILE_BYTES = 32 << 20
 #: Distinct words a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _NO_ID = -(1 << 63)
-_LOADED: dict[str, tuple] = {}
+_LOADED: dict[str, WordEncoder | WholeEncoder] = {}
 
 
 # -- encoding ------------------------------------------------------------------------
@@ -55,27 +56,82 @@ def id_bytes(tokenizer_json: str, end: int = END) -> int:
     return 2 if largest < 1 << 16 else 4
 
 
-def encode_words(tokenizer, texts: list[str], known: dict[str, bytes], dtype: str, end: int) -> list[bytes]:
+class WordEncoder:
     """Ids of whole texts, each word encoded once and then remembered.
 
-    For tokenizers that drop white space and look at every run between it by itself.
+    For tokenizers that drop white space and look at letters, single digits and other characters between it by
+    themselves, after lower-casing.  A word of Latin-1 letters and signs after them is put together of
+    the two parts; every other word goes to the tokenizer as it is.
     """
-    words = [t.split(" ") for t in (x.translate(_SPACES) for x in texts)]
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = list({w for ws in words for w in ws if w not in known})
-    for w, encoded in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-        known[w] = np.array(encoded.ids, dtype).tobytes()
-    last = np.array([end], dtype).tobytes()
-    return [b"".join([known[w] for w in ws]) + last for ws in words]
 
+    def __init__(self, tokenizer, dtype: str, end: int):
+        self.tokenizer, self.dtype, self.last = tokenizer, dtype, np.array([end], dtype).tobytes()
+        self.words: dict[bytes, bytes] = {}  # as they stand in the texts
+        self.parts: dict[str, bytes] = {}  # as the tokenizer is asked for them
+        finals = [i for token, i in tokenizer.get_vocab().items() if token.endswith(_FINAL)]
+        self.final = np.zeros(max([0, *tokenizer.get_vocab().values()]) + 1, bool)
+        self.final[finals] = True
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode runs of lower-case letters together: each ends with a token that marks the end of a word."""
+        runs = [p for p in parts if _LETTERS.fullmatch(p)]
+        if runs:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids)
+            ends = np.nonzero(self.final[ids])[0] + 1
+            if len(ends) == len(runs):
+                data, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+                cuts = [0, *(ends * width).tolist()]
+                self.parts.update((r, data[x:y]) for r, x, y in zip(runs, cuts, cuts[1:], strict=False))
+                parts = [p for p in parts if p not in self.parts]
+        for p, encoding in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+            self.parts[p] = np.array(encoding.ids, self.dtype).tobytes()
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        if len(self.parts) > 2 * REMEMBERED:
+            self.parts.clear()
+            self.words.clear()
+        known, split = self.words, [t.split() for t in texts]
+        made: dict[bytes, tuple[str, ...]] = {}
+        for word in {w for words in split for w in words if w not in known}:
+            text = word.decode("utf-8", "replace")
+            simple = _SIMPLE.fullmatch(text)
+            made[word] = (simple[1].lower(), simple[2]) if simple else (text,)
+        self._learn(list({p for parts in made.values() for p in parts if p not in self.parts}))
+        for word, parts in made.items():
+            known[word] = b"".join([self.parts[p] for p in parts])
+        return [b"".join([known[w] for w in words]) + self.last for words in split]
+
+
+class WholeEncoder:
+    """Ids of whole texts, for any tokenizer."""
 
-_SPACES = str.maketrans("\t\n\r", "   ")
+    def __init__(self, tokenizer, dtype: str, end: int):
+        self.tokenizer, self.dtype, self.end = tokenizer, dtype, end
 
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [np.array([*e.ids, self.end], self.dtype).tobytes() for e in found]
 
-def encode_whole(tokenizer, texts: list[str], known: dict[str, bytes], dtype: str, end: int) -> list[bytes]:
-    """Ids of whole texts, for any tokenizer."""
-    return [np.array([*e.ids, end], dtype).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+_FINAL = "</w>"
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: Letters that lower-case one by one and have no other form, then signs that no contraction begins with.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Bytes of text encoded at once.
+_SLICE = 1 << 20
+
+
+def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size > _SLICE:
+            yield held
+            held, size = [], 0
+    yield held
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end: int = END, by_word: bool = True) -> tuple[DataFrame, int]:
@@ -84,7 +140,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
         source = f.read()
     width = id_bytes(source, end)
     model, name = docs.sparkSession.sparkContext.broadcast(source), uuid.uuid4().hex
-    encode, dtype = encode_words if by_word else encode_whole, f"<u{width}"
+    dtype = f"<u{width}"
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         if name not in _LOADED:
@@ -92,10 +148,9 @@ def encoded(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
             from tokenizers import Tokenizer
 
             _LOADED.clear()
-            _LOADED[name] = Tokenizer.from_str(model.value), {}
-        tokenizer, known = _LOADED[name]
-        texts = [t.decode("utf-8", "replace") if t else "" for t in batch.column(batch.schema.get_field_index("__text")).to_pylist()]
-        return [pa.array(encode(tokenizer, texts, known, dtype, end), pa.binary())]
+            _LOADED[name] = (WordEncoder if by_word else WholeEncoder)(Tokenizer.from_str(model.value), dtype, end)
+        texts = [t or b"" for t in batch.column(batch.schema.get_field_index("__text")).to_pylist()]
+        return [pa.array([ids for some in _slices(texts) for ids in _LOADED[name](some)], pa.binary())]
 
     rows = docs.select(F.col(key).cast("bigint").alias("id"), utf8(text).alias("__text"))
     return add_columns(rows, ["__text"], T.StructType().add("ids", "binary"), run), width
