@@ -113,7 +113,9 @@ def measure(rows: DataFrame, text: str = "__text") -> DataFrame:
     ).drop("__hashes")
     some = F.size(F.array_distinct(windows)) < F.size(windows)
     fourth = third.withColumn("n_repeat_words", F.when(some, _covered(windows)).otherwise(F.lit(0)))
-    return fourth.select(*keep, *[F.col(m).cast("bigint").alias(m) for m in MEASURES])
+    # A filter on the numbers must not be moved below this and compute them anew: it cannot pass a generator.
+    numbers = F.struct(*[F.col(m).cast("bigint").alias(m) for m in MEASURES])
+    return fourth.select(*keep, F.explode(F.array(numbers)).alias("__numbers")).select(*keep, "__numbers.*")
 
 
 def add_failures(measured: DataFrame) -> DataFrame:
