@@ -1,0 +1,37 @@
+"""The registered queries on the given tables: against SQL where there is some, else against plain Python."""
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from oracle_check import compare, connect  # noqa: E402
+
+from rowflow.llm.oracle import ORACLE, sharding_sql  # noqa: E402
+from rowflow.llm.queries import QUERIES  # noqa: E402
+from rowflow.llm.sharding import extendible_shards  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_sql(spark, con, name):
+    assert compare(QUERIES[name](spark, SF), con, ORACLE[name]) == ""
+
+
+def test_small_shards_by_sql(spark, con):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert compare(extendible_shards(docs, 20_000, rows=False), con, sharding_sql(20_000)) == ""
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+def test_every_row_has_a_result(spark, name):
+    table = "conversations" if name.startswith("op3") else "documents"
+    assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()

@@ -1,0 +1,69 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+
+from rowflow.llm.sharding import extendible_shards
+
+
+def bits(key):
+    return int(hashlib.md5(("" if key is None else str(key)).encode()).hexdigest()[:15], 16)
+
+
+def brute(rows, limit):
+    """Split the root until every bucket fits or holds one hash."""
+    out = {}
+
+    def split(depth, prefix, members):
+        size = sum(len((t or "").encode()) for _, t, _ in members)
+        hashes = {bits(i) for i, _, _ in members}
+        if size <= limit or len(hashes) == 1:
+            for i, _, _ in members:
+                out[i] = ("" if not depth else bin(prefix)[2:].zfill(depth), depth, len(members), size, size > limit)
+            return
+        parts = defaultdict(list)
+        for m in members:
+            parts[bits(m[0]) >> (59 - depth)].append(m)
+        for p, some in parts.items():
+            split(depth + 1, p, some)
+
+    split(0, 0, rows)
+    return out
+
+
+@pytest.mark.parametrize("limit", [60, 900, 1 << 30])
+def test_buckets(documents, odd, prose, limit):
+    rows = odd + [(100 + k, t, "s") for k, t in enumerate(prose(150, 20))] + [(7, "same id " * 9, "s")] * 5
+    docs = documents(rows)
+    got = extendible_shards(docs, limit, rows=False).collect()
+    want = brute(rows, limit)
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.shard, r.shard_depth, r.shard_docs, r.shard_bytes, r.oversize) == want[r.doc_id]
+    whole = extendible_shards(docs, limit)
+    assert whole.columns[: len(docs.columns)] == docs.columns
+    assert whole.count() == len(rows)
+
+
+def test_equal_keys_can_be_parted_by_more_columns(documents):
+    rows = [(7, f"text {k} " * 5, "s") for k in range(40)]
+    docs = documents(rows)
+    assert {r.oversize for r in extendible_shards(docs, 200, rows=False).collect()} == {True}
+    parted = extendible_shards(docs, 200, key=["doc_id", "text"], rows=False).collect()
+    assert not any(r.oversize for r in parted) and len({r.shard for r in parted}) > 5
+
+
+def test_refinement_beyond_the_first_directory(documents):
+    # Nearly all bytes below one prefix: the directory must grow there and nowhere else.
+    heavy = [i for i in range(4000) if bits(i) >> 52 == bits(0) >> 52]
+    rows = [(i, "x" * 1000, "s") for i in heavy] + [(i, "y", "s") for i in range(5000, 5050)]
+    got = extendible_shards(documents(rows), 3000, rows=False).collect()
+    want = brute(rows, 3000)
+    assert all((r.shard, r.shard_bytes) == (want[r.doc_id][0], want[r.doc_id][3]) for r in got) and len(got) == len(rows)
+
+
+def test_empty_and_native(documents):
+    assert extendible_shards(documents([])).count() == 0
+    plan = extendible_shards(documents([(1, "a", "s")]))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
