@@ -2,10 +2,12 @@
 
     <root>/<name>/snapshot/v=S           rows with op and seq, tombstones too, bucketed and sorted by key
     <root>/<name>/log/v=K/job=J/batch=N  the changes of one micro-batch, as they came
-    <root>/<name>/published/v=K          one small row, written last: version K is snapshot S and log K
+    <root>/<name>/published/v=K          one small row, written last: version K is snapshot S and log K,
+                                         with the keys and the number of buckets
 
 Readers take the highest published version, so they see either all of a compaction or
-nothing of it.  A batch that is applied again overwrites its own folder.
+nothing of it.  A batch that is applied again overwrites its own folder.  Keys and buckets are read
+from the marker: the settings of the reader's session say nothing about a stored table.
 """
 
 from __future__ import annotations
@@ -56,7 +58,8 @@ class KeyedTable:
         self.path = f"{root.rstrip('/')}/{name}"
         self.columns, self.keys = schema, list(keys)
         # Spark merges a bucketed table in place only with at least as many buckets as
-        # shuffle partitions, so a session tuned for its data also sizes the buckets.
+        # shuffle partitions, so a session tuned for its data also sizes the buckets of a new table.
+        self._wanted = buckets
         self.buckets = buckets or max(MIN_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.nullable_keys = nullable_keys
         self._writing: tuple[int, int] | None = None
@@ -77,11 +80,19 @@ class KeyedTable:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        newest = published.agg(F.max(F.struct("v", "snapshot")).alias("newest")).first()["newest"]
-        return newest and (newest["v"], newest["snapshot"])
+        newest = published.agg(F.max(F.struct("v", "snapshot", "buckets", "keys")).alias("newest")).first()["newest"]
+        if newest is None:
+            return None
+        if newest["keys"] != self.keys:
+            raise ValueError(f"{self.path} has the keys {newest['keys']}, not {self.keys}")
+        if self._wanted not in (None, newest["buckets"]):
+            raise ValueError(f"{self.path} has {newest['buckets']} buckets, not {self._wanted}")
+        self.buckets = newest["buckets"]
+        return newest["v"], newest["snapshot"]
 
     def _published(self) -> DataFrame:
-        return self.spark.read.schema("v int, snapshot int").json(f"{self.path}/published")
+        schema = "v int, snapshot int, buckets int, keys array<string>"
+        return self.spark.read.schema(schema).json(f"{self.path}/published")
 
     def _required(self) -> tuple[int, int]:
         version = self.version()
@@ -91,7 +102,7 @@ class KeyedTable:
 
     def _snapshot_table(self, snapshot: int) -> str:
         mark = hashlib.md5(self.path.encode()).hexdigest()[:12]
-        return f"rowflow_{mark}_{self.name}_v{snapshot}"
+        return f"rowflow_{mark}_{self.name}_v{snapshot}_b{self.buckets}"
 
     def _snapshot(self, snapshot: int) -> DataFrame:
         # The catalog entry carries the bucketing; it is registered again after a restart.
@@ -146,7 +157,8 @@ class KeyedTable:
         version = self.version()
         if version is None:
             rows = self.spark.createDataFrame([], self.schema) if changes is None else self._typed(changes)
-            self._write_snapshot(0, latest_by_key(rows, self.keys))
+            # Placed by bucket first: one shuffle serves the reduction and the files, one per bucket.
+            self._write_snapshot(0, latest_by_key(rows.repartition(self.buckets, *self.keys), self.keys))
             version = self._publish(0, 0)
         self._writing = version
         return self
@@ -205,7 +217,8 @@ class KeyedTable:
         )
 
     def _publish(self, version: int, snapshot: int) -> tuple[int, int]:
-        row = self.spark.range(1).select(F.lit(snapshot).alias("snapshot"))
+        keys = F.array(*[F.lit(k) for k in self.keys])
+        row = self.spark.range(1).select(F.lit(snapshot).alias("snapshot"), F.lit(self.buckets).alias("buckets"), keys.alias("keys"))
         row.write.mode("overwrite").json(f"{self.path}/published/v={version}")
         return version, snapshot
 

@@ -1,5 +1,6 @@
 """The stored table: batches, replays, compaction, tombstones, versions, plans."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,3 +129,34 @@ def test_buckets(spark, root):
     files = {p.rsplit("_", 1)[1][:5] for p in spark.read.parquet(f"{root}/b/snapshot/v=0").inputFiles()}
     assert files == {"00000", "00001", "00002", "00003"}
     assert new(spark, root).buckets == 8
+
+
+def test_a_stored_table_says_itself_how_it_is_stored(spark, root):
+    """Written under one setting, read, changed and compacted under others."""
+    rows = spark.range(1000).select(F.lit("r").alias("op"), F.lit(0).cast("long").alias("seq"), F.col("id").alias("k"), F.lit("x").alias("v"))
+    changes = rows.where("k < 500").select(F.lit("u").alias("op"), F.lit(1).cast("long").alias("seq"), "k", F.lit("y").alias("v"))
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        KeyedTable(spark, root, "s", SCHEMA, ["k"]).create(rows).append(changes, 0)
+        for partitions in (16, 3):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            table = KeyedTable(spark, root, "s", SCHEMA, ["k"])
+            for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("rowflow_")]:
+                spark.sql(f"drop table {name}")
+            assert (table.current().count(), table.current().where("v = 'y'").count()) == (1000, 500)
+            assert table.buckets == 4
+            table.create().compact()
+            assert KeyedTable(spark, root, "s", SCHEMA, ["k"]).current().count() == 1000
+        with pytest.raises(ValueError, match="4 buckets"):
+            KeyedTable(spark, root, "s", SCHEMA, ["k"], buckets=8).current()
+        with pytest.raises(ValueError, match="keys"):
+            KeyedTable(spark, root, "s", SCHEMA, ["v"]).current()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
+
+
+def test_one_file_per_bucket(spark, root):
+    rows = spark.range(5000).repartition(8).select(F.lit("r").alias("op"), F.lit(0).cast("long").alias("seq"), F.col("id").alias("k"), F.lit("x").alias("v"))
+    KeyedTable(spark, root, "f", SCHEMA, ["k"], buckets=16).create(rows)
+    assert len(spark.read.parquet(f"{root}/f/snapshot/v=0").inputFiles()) == 16
