@@ -23,10 +23,12 @@ HISTORY = 100
 def probe_latency(probes: DataFrame, observed: DataFrame, timeout_ms: int = PROBE_TIMEOUT) -> DataFrame:
     """Probes ``probe_seq, table, marker, insert_ts`` with the time until their marker was visible.
 
-    The first sighting counts.  A marker that never showed, or not in time, is a failure.
+    The first sighting counts.  A marker that never showed, or not in time, is a failure; one that was seen before
+    its insert (clocks that differ) counts as visible at once.
     """
     first = observed.groupBy("table", "marker").agg(F.min("visible_ts").alias("visible_ts"))
-    waited = elapsed_ms(F.col("insert_ts"), F.col("visible_ts"))
+    elapsed = elapsed_ms(F.col("insert_ts"), F.col("visible_ts"))
+    waited = F.when(elapsed < 0, 0).otherwise(elapsed)
     joined = probes.join(first, ["table", "marker"], "left").withColumn("__waited", waited)
     in_time = F.coalesce(F.col("__waited") < timeout_ms, F.lit(False))
     return joined.select(
@@ -121,7 +123,11 @@ def running_stats(probes: DataFrame, n: int = HISTORY, width: int = 1 << 14) ->
     wanted = starts.where(before > 0).select(
         "table", "__block", F.explode(F.sequence(F.greatest(before - (n - 1), F.lit(1)), before)).alias("__k")
     )
-    context = wanted.join(numbered.where(good), ["table", "__k"]).withColumn("__own", F.lit(False))
+    # Only the last n successes of a range can be context of another: all others stay where they are.
+    ends = starts.select("table", "__block", (before + F.col("__rows")).alias("__end"))
+    placed = numbered.where(good).withColumn("__block", block_of("probe_seq", width)).join(ends, ["table", "__block"])
+    late = placed.where(F.col("__k") > F.col("__end") - n).drop("__block", "__end")
+    context = wanted.join(late, ["table", "__k"]).withColumn("__own", F.lit(False))
     # A failure has the number of the success before it, so the frame counts numbers, not rows.
     frame = Window.partitionBy("table", "__block").orderBy("__k").rangeBetween(-(n - 1), 0)
     value = F.when(good, F.col("latency_ms"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import elapsed_ms, lag_label
@@ -13,7 +13,7 @@ from ..functions import elapsed_ms, lag_label
 
 def table_counts(tables: Mapping[str, DataFrame | None], name: str = "row_count") -> DataFrame:
     """One row per table.  A table that cannot be read (``None``) has a null count."""
-    spark = next(df.sparkSession for df in tables.values() if df is not None)
+    spark = next((df.sparkSession for df in tables.values() if df is not None), None) or SparkSession.active()
     parts = []
     for table, df in tables.items():
         if df is None:
@@ -61,7 +61,7 @@ def sync_verdict(report: DataFrame, mode: str = "exact") -> DataFrame:
     ).withColumn(
         "verdict",
         F.when(F.col("synced").isNull(), "UNKNOWN")
-        .when(F.col("total_lag") == 0, "ALL SYNCED")
+        .when(F.col("synced"), "ALL SYNCED")
         .otherwise(F.concat(F.lit("TOTAL LAG: "), F.col("total_lag").cast("string"))),
     )
 

@@ -20,14 +20,13 @@ def monitor_report(
 
     A table that was never probed has no status.
     """
-    tables = list(tables)
+    counts = sync_report(source, target)
     stats = latency_stats(last_n(probes), tables, (95,))
     newest = last_latency(probes, tables)
     last = F.col("last_ms")
     return (
-        sync_report(source, target)
-        .join(newest, "table")
-        .join(stats, "table")
+        counts.join(newest, "table", "left")
+        .join(stats, "table", "left")
         .select(
             "table",
             "source_count",

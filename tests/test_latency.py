@@ -171,3 +171,22 @@ def test_verdicts_differ_when_the_target_is_ahead(spark):
     assert sync.sync_verdict(report, "at_least").first().synced is True
     exact = sync.sync_verdict(report, "exact").first()
     assert exact.synced is False and exact.verdict == "TOTAL LAG: 2"
+
+
+def test_sparse_and_negative_keys_are_numbered_by_bounded_windows(spark):
+    keys = [hash((k, "x")) - (1 << 62) * (k % 3) for k in range(3000)] + list(range(-40, 40))
+    keys = sorted({max(-(1 << 63), min((1 << 63) - 1, k)) for k in keys})
+    df = spark.createDataFrame([(k,) for k in keys], "o long").repartition(5)
+    assert [r.o for r in number_rows(df, "o").orderBy("rn").collect()] == keys
+    assert number_rows(df, "o").agg({"rn": "max"}).first()[0] == len(keys)
+    # Every window but the one over the leading bits is split by them.
+    plan = number_rows(df, "o")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition" in line]
+    assert len([w for w in windows if "windowspecdefinition(__block__#" in w]) == 1
+
+
+def test_seen_before_the_insert(spark):
+    probes = spark.sql("select 1L as probe_seq, 'orders' as table, 'm' as marker, timestamp_ntz'2024-01-01 00:00:01' as insert_ts")
+    seen = spark.sql("select 'orders' as table, 'm' as marker, timestamp_ntz'2024-01-01 00:00:00.5' as visible_ts")
+    row = latency.probe_latency(probes, seen).first()
+    assert (row.latency_ms, row.success) == (0, True)
