@@ -3,7 +3,9 @@
 import pytest
 from oracle_check import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rowflow.plans.catalog import QUERIES
+from rowflow.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +16,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
@@ -23,6 +25,6 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(queries()[name](spark, SF), con, oracle_sql()[name]) == ""
+    assert compare(QUERIES[name](spark, SF), con, ORACLE[name]) == ""

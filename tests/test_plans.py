@@ -2,17 +2,17 @@
 
 import pytest
 
-from __spark_entry__ import queries
+from rowflow.plans.catalog import QUERIES
 from bench import STREAMS
 
 SF = "/root/testdata/sf0.001"
 
 
 def plan(spark, name):
-    return queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS))
 def test_no_cross_product_and_no_python(spark, name):
     text = plan(spark, name)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
