@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,4 +41,5 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="rowflow-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     return f"{shared.rstrip('/')}/rowflow-{purpose}-{uuid.uuid4().hex}"

@@ -42,18 +42,53 @@ def decode_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
     return df.select(F.from_json(F.col(column).cast("string"), ENVELOPE).alias("e")).select("e.*")
 
 
-def typed_events(envelopes: DataFrame, table: str, schema: T.StructType) -> DataFrame:
-    """The changes of one table with typed ``before`` and ``after`` images."""
+IMAGES = ("before", "after")
+_BROKEN = "__broken"
+
+
+def _checked_events(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
+    """Every envelope of a table with its typed images and ``reasons``, empty where it can be applied.
+
+    The before image says something in a delete, and in an update that moves a row to another key: then its key
+    alone matters.  An image that is no JSON object, or has a value its column cannot hold, is unreadable as a whole.
+    """
     mine = envelopes.where(F.col("table") == table)
-    if "after" in envelopes.columns:
-        return mine.select("op", "seq", "ts_commit", "before", "after")
-    images = [F.from_json(f"{image}_json", schema).alias(image) for image in ("before", "after")]
-    return mine.select("op", "seq", "ts_commit", *images)
+    keys, reasons = list(keys), []
+    if "after" not in envelopes.columns:
+        key = T.StructType([schema[k] for k in keys])
+        for image, wanted in (("before", key), ("after", schema)):
+            text = F.col(f"{image}_json")
+            marked = T.StructType([*wanted.fields, T.StructField(_BROKEN, T.StringType())])
+            parsed = F.from_json(text, marked, {"columnNameOfCorruptRecord": _BROKEN})
+            mine = mine.withColumn(f"__{image}", parsed)
+            whole = F.struct(*[F.col(f"__{image}.{f.name}") if f.name in wanted.names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+            bad = text.isNotNull() & (F.col(f"__{image}").isNull() | F.col(f"__{image}.{_BROKEN}").isNotNull())
+            mine = mine.withColumn(image, F.when(text.isNotNull() & ~bad, whole))
+            reasons.append(F.when(bad, f"{image}: unreadable"))
+    known = F.coalesce(F.col("op").isin("r", "c", "u", "d"), F.lit(False))
+    reasons.append(F.when(~known, "op: unknown"))
+    reasons.append(F.when(F.col("seq").isNull(), "seq: null"))
+    for k in keys:
+        old, new = F.col(f"before.{k}"), F.col(f"after.{k}")
+        value = F.when(F.col("op") == "d", F.coalesce(old, new)).otherwise(new)
+        reasons.append(F.when(known & value.isNull(), f"{k}: null"))
+    return mine.withColumn("reasons", F.concat_ws("; ", *reasons))
+
+
+def typed_events(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
+    """The changes of one table with typed ``before`` and ``after`` images, as far as they can be applied."""
+    good = _checked_events(envelopes, table, schema, keys).where(F.col("reasons") == "")
+    return good.select("op", "seq", "ts_commit", *IMAGES)
+
+
+def unreadable_changes(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
+    """The other envelopes of the table, as they came, with ``reasons``: both together are all of them."""
+    return _checked_events(envelopes, table, schema, keys).where(F.col("reasons") != "").select(*envelopes.columns, "reasons")
 
 
 def typed_changes(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
     """The changes of one table as ``op, seq`` and its columns; deletes carry the key only."""
-    return event_rows(typed_events(envelopes, table, schema), keys)
+    return event_rows(typed_events(envelopes, table, schema, keys), keys)
 
 
 def _as_json(events: DataFrame, image: str) -> Column:

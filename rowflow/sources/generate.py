@@ -35,16 +35,19 @@ def id_pool(rows: DataFrame, key: str, limit: int = BENCH_POOL) -> DataFrame:
     return rows.select(key).orderBy(key).limit(limit)
 
 
-def with_parent(rows: DataFrame, parents: DataFrame, key: str, index: Column, limit: int, fallback: int = 1) -> DataFrame:
+def with_parent(
+    rows: DataFrame, parents: DataFrame, key: str, index: Column, limit: int, fallback: int = 1, wrap: bool = False
+) -> DataFrame:
     """Add a parent id from the pool of ``limit`` ids, at position ``index`` of the pool.
 
-    A short pool repeats its last id; an empty pool gives the fallback.  The pool is
-    bounded by ``limit``, so it may be broadcast whatever the parent table's size.
+    A short pool repeats its last id, or begins anew with ``wrap``, which spreads random positions evenly; an
+    empty pool gives the fallback.  The pool is bounded by ``limit``, so it may be broadcast whatever the parent table's size.
     """
     pool = id_pool(parents, key, limit)
     placed = pool.select(F.col(key), (F.row_number().over(Window.orderBy(key)) - 1).cast("bigint").alias("__at"))
     last = placed.agg(F.max("__at")).scalar()
-    wanted = rows.withColumn("__at", F.coalesce(F.least(index, last), F.lit(0)).cast("bigint"))
+    place = F.pmod(index, last + 1) if wrap else F.least(index, last)
+    wanted = rows.withColumn("__at", F.coalesce(place, F.lit(0)).cast("bigint"))
     joined = wanted.join(F.broadcast(placed), "__at", "left").drop("__at")
     return joined.withColumn(key, F.coalesce(F.col(key), F.lit(fallback)))
 
@@ -136,8 +139,8 @@ def random_rows(
     words = lambda name, values: pick(values, draw(i, at(name), len(values)))
     quantity = (draw(i, at("item_qty"), 10) + 1).cast("int")
     unit_price = _cents(i, at("unit"), 100, 10000)
-    buyers = with_parent(numbers, customers, "customer_id", draw(i, at("buyer"), BENCH_POOL), BENCH_POOL)
-    goods = with_parent(numbers, products, "product_id", draw(i, at("good"), BENCH_POOL), BENCH_POOL)
+    buyers = with_parent(numbers, customers, "customer_id", draw(i, at("buyer"), 1 << 32), BENCH_POOL, wrap=True)
+    goods = with_parent(numbers, products, "product_id", draw(i, at("good"), 1 << 32), BENCH_POOL, wrap=True)
     return {
         "customers": numbers.select(
             _text("Bench_", draw_letters(i, at("first"), 4)).alias("first_name"),

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,8 +16,8 @@ from ..functions import elapsed_ms
 from ..operators.integrity import split_contract
 from ..plans.views import View
 from ..schemas import Table
-from ..sources.changes import typed_changes
-from .refresh import refresh_view
+from ..sources.changes import typed_changes, unreadable_changes
+from .refresh import covered_until, record_covered, refresh_view
 from .store import KeyedTable
 
 # Fixed value: how often a sink flushes.
@@ -57,14 +57,18 @@ class BatchApplier:
         views: Mapping[str, list[tuple[View, KeyedTable]]] | None = None,
         contracts: Mapping[str, Table] | None = None,
         upkeep: Upkeep | None = None,
+        markers: Mapping[str, tuple[str, Column]] | None = None,
+        source_zone: str = "UTC",
     ):
         self.tables = dict(tables)
         self.root = root.rstrip("/")
         self.views = {n: v for n, v in (views or {}).items() if n in self.tables}
         self.contracts = dict(contracts or {})
         self.upkeep = upkeep or Upkeep()
+        self.markers = dict(markers or {})
+        self.source_zone = source_zone
         self.job = hashlib.md5(self.root.encode()).hexdigest()[:8]
-        self.refreshed: dict[str, int] = {}  # next batch to refresh from, per view
+        self.refreshed: dict[str, int | None] = {}  # next batch to refresh from, per view
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         mine = batch.where(F.col("table").isin(*self.tables))
@@ -83,10 +87,25 @@ class BatchApplier:
     def _apply(self, batch: DataFrame, name: str, batch_id: int) -> None:
         table = self.tables[name]
         changes = typed_changes(batch, name, table.columns, table.keys)
+        unreadable = unreadable_changes(batch, name, table.columns, table.keys)
+        if not unreadable.isEmpty():
+            unreadable.write.mode("overwrite").json(f"{self.root}/unreadable/{name}/batch={batch_id}")
         if name in self.contracts:
             changes, bad = split_contract(changes, self.contracts[name])
             bad.write.mode("overwrite").json(f"{self.root}/quarantine/{name}/batch={batch_id}")
         table.append(changes, batch_id, self.job)
+        if name in self.markers:
+            self._observe(changes, name, batch_id)
+
+    def _observe(self, changes: DataFrame, name: str, batch_id: int) -> None:
+        """Note when the marked rows of a batch could be read, on the source's clock face."""
+        column, marked = self.markers[name]
+        now = F.timestamp_millis(F.lit(int(time.time() * 1000)).cast("bigint"))
+        visible = F.convert_timezone(F.lit("UTC"), F.lit(self.source_zone), F.to_utc_timestamp(now, F.current_timezone()).cast("timestamp_ntz"))
+        seen = changes.where((F.col("op") != "d") & marked).select(F.lit(name).alias("table"), F.col(column).alias("marker"))
+        seen.distinct().withColumn("visible_ts", visible).write.mode("overwrite").parquet(
+            f"{self.root}/observed/table={name}/batch={batch_id}"
+        )
 
     def _keep_up(self, batch_id: int) -> None:
         """Refresh, fold and compact as often as asked; a refresh always comes before a fold."""
@@ -94,9 +113,11 @@ class BatchApplier:
         if due["refresh_every"] or due["fold_every"] or due["compact_every"]:
             for name, views in self.views.items():
                 for view, stored in views:
-                    refresh_view(
-                        self.tables[name], stored, view, self.refreshed.get(view.name), batch_id, self.job
-                    )
+                    if view.name not in self.refreshed:  # after a restart
+                        self.refreshed[view.name] = covered_until(stored, self.job)
+                    since = self.refreshed[view.name]
+                    refresh_view(self.tables[name], stored, view, since, batch_id, self.job)
+                    record_covered(stored, batch_id, self.job)
                     self.refreshed[view.name] = batch_id + 1
         if not (due["fold_every"] or due["compact_every"]):
             return
@@ -107,7 +128,8 @@ class BatchApplier:
 
     def _arrived(self, batch: DataFrame) -> list[Row]:
         """What the batch holds, over every row of it: one small row per table."""
-        commit_ms = elapsed_ms(F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col("ts_commit"))
+        commit = F.convert_timezone(F.lit(self.source_zone), F.lit("UTC"), F.col("ts_commit"))
+        commit_ms = elapsed_ms(F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), commit)
         return (
             batch.groupBy("table")
             .agg(
@@ -148,6 +170,16 @@ def batch_metrics(tables: Mapping[str, KeyedTable], root: str) -> DataFrame | No
         raise
 
 
+def observed_markers(spark: SparkSession, root: str) -> DataFrame | None:
+    """``table, marker, visible_ts`` of the marked rows a job has made visible so far."""
+    try:
+        return spark.read.schema("table string, marker string, visible_ts timestamp_ntz").parquet(f"{root.rstrip('/')}/observed")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def start(
     feed: DataFrame,
     tables: Mapping[str, KeyedTable],
@@ -158,10 +190,13 @@ def start(
     contracts: Mapping[str, Table] | None = None,
     upkeep: Upkeep | None = None,
     name: str = "replicate",
+    markers: Mapping[str, tuple[str, Column]] | None = None,
+    source_zone: str = "UTC",
 ) -> list[StreamingQuery]:
     """Start replicating ``feed`` into ``tables``.
 
-    ``single`` runs one query for all tables, ``per_table`` one query per table with a
+    ``markers`` gives, for tables with probe rows, the column of their marker and what tells them from others;
+    ``source_zone`` is the zone of the source's commit times.  ``single`` runs one query for all tables, ``per_table`` one query per table with a
     checkpoint of its own.  ``interval=None`` works off what is there and stops.
     """
     if mode not in ("single", "per_table"):
@@ -174,7 +209,7 @@ def start(
         folder = f"{root.rstrip('/')}/{name}-{label}"
         for table in group.values():
             table.create()
-        applier = BatchApplier(group, folder, views, contracts, upkeep)
+        applier = BatchApplier(group, folder, views, contracts, upkeep, markers, source_zone)
         writer = (
             feed.writeStream.queryName(f"{name}-{label}")
             .foreachBatch(applier)

@@ -2,29 +2,85 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.sync import sync_report, table_counts
-from .replicate import await_queries
+from ..operators.sync import sync_report, sync_verdict, table_counts
 from .store import KeyedTable
 
 # Fixed value: seconds to wait for the target.
 VERIFY_TIMEOUT = 60
 
+POLL_SECONDS = 0.25
+
+
+@dataclass(frozen=True)
+class SyncOutcome:
+    """The report at the end of the wait, and how it ended.
+
+    ``synced`` is true when no target is behind its source, null when a count is unknown.
+    """
+
+    report: DataFrame
+    synced: bool | None
+    timed_out: bool
+    waited_ms: int
+
+
+def _settled(query: StreamingQuery) -> bool:
+    """True when a query has ended, or has worked off all it knows of; its failure is raised."""
+    error = query.exception()
+    if error is not None:
+        raise error
+    if not query.isActive:
+        return True
+    status = query.status
+    return query.lastProgress is not None and not status["isDataAvailable"] and not status["isTriggerActive"]
+
 
 def verify_sync(
     queries: Iterable[StreamingQuery],
     source: Mapping[str, DataFrame],
     target: Mapping[str, KeyedTable],
-    timeout: int = VERIFY_TIMEOUT,
-) -> DataFrame:
-    """The sync report once the queries have worked off their feed, or after ``timeout`` seconds.
+    timeout: float = VERIFY_TIMEOUT,
+) -> SyncOutcome:
+    """Wait for the queries, all of them ``timeout`` seconds at most, and compare the counts.
 
-    A continuous query is told to process what is there; a query that ends by itself is awaited.
+    The wait is over when every query has ended, or when all are idle and no target is behind.  A query that
+    failed, before or meanwhile, raises its error.
     """
-    running = [q for q in queries if q.isActive]
-    await_queries(running, timeout)
-    return sync_report(table_counts(source), table_counts({n: t.current(columns=[]) for n, t in target.items()}))
+    queries, began = list(queries), time.monotonic()
+    deadline = began + timeout
+
+    def compare() -> tuple[DataFrame, bool | None]:
+        # A few rows, one per table: computed once, as the tables are now.
+        counts = sync_report(table_counts(source), table_counts({n: t.current(columns=[]) for n, t in target.items()}))
+        report = counts.sparkSession.createDataFrame(counts.collect(), counts.schema)
+        return report, sync_verdict(report, "at_least").first()["synced"]
+
+    while True:
+        settled = all([_settled(q) for q in queries])
+        ended = settled and not any(q.isActive for q in queries)
+        late = time.monotonic() >= deadline
+        if settled or late:
+            report, synced = compare()
+            if synced or ended or late:
+                waited = int((time.monotonic() - began) * 1000)
+                return SyncOutcome(report, synced, late and not synced and not ended, waited)
+        time.sleep(min(POLL_SECONDS, max(0.0, deadline - time.monotonic())))
+
+
+def content_checksums(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and an order-free checksum of all columns per table, for comparing contents and not only counts."""
+    parts = None
+    for name, df in tables.items():
+        hashed = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+        part = df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(hashed.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("checksum"))
+        part = part.select(F.lit(name).alias("table"), "row_count", "checksum")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,10 +11,10 @@ from rowflow.operators.sync import sync_verdict
 from rowflow.plans.views import CUSTOMER_TIERS, DAILY_ORDERS
 from rowflow.schemas import CUSTOMERS, ENVELOPE, ORDERS
 from rowflow.sources.changes import change_envelopes, read_changes
-from rowflow.streaming.refresh import build_view, refresh_view, view_table
+from rowflow.streaming.refresh import build_view, covered_until, refresh_view, view_table
 from rowflow.streaming.replicate import BatchApplier, Upkeep, await_queries, batch_metrics, run_available, start
 from rowflow.streaming.store import KeyedTable
-from rowflow.streaming.verify import verify_sync
+from rowflow.streaming.verify import content_checksums, verify_sync
 
 A = T.StructType().add("k", "long").add("v", "string")
 
@@ -86,8 +87,11 @@ def test_timed_flush(spark, root):
         jobs[0].processAllAvailable()
         assert rows(tables["a"]) == {1: "x", 2: "y"}
         source = {"a": spark.range(2)}
-        report = verify_sync(jobs, source, tables, timeout=2)
-        assert sync_verdict(report).first().synced
+        outcome = verify_sync(jobs, source, tables, timeout=60)
+        assert outcome.synced and not outcome.timed_out and outcome.waited_ms < 30_000
+        assert sync_verdict(outcome.report).first().synced
+        behind = verify_sync(jobs, {"a": spark.range(5)}, tables, timeout=2)
+        assert behind.synced is False and behind.timed_out and 2_000 <= behind.waited_ms < 20_000
     finally:
         jobs[0].stop()
 
@@ -227,3 +231,93 @@ def test_null_group_of_a_view(spark, root):
 
 def test_envelope_shape():
     assert ENVELOPE.names == ["table", "op", "seq", "ts_commit", "before_json", "after_json"]
+
+
+def test_two_settled_jobs_are_verified_long_before_the_timeout(spark, root):
+    tables = {n: table(spark, root, n) for n in ("a", "b")}
+    for n in tables:
+        feed_files(spark, root, n, [("c", 1, 1, "x")])
+    jobs = start(read_changes(spark, f"{root}/feed"), tables, root, "per_table", interval="1 second")
+    try:
+        for job in jobs:
+            job.processAllAvailable()
+        outcome = verify_sync(jobs, {n: spark.range(1) for n in tables}, tables, timeout=300)
+        assert outcome.synced and outcome.waited_ms < 60_000
+    finally:
+        for job in jobs:
+            job.stop()
+
+
+def test_a_failed_job_raises(spark, root):
+    class Dies(KeyedTable):
+        def append(self, *args):
+            raise RuntimeError("no space left")
+
+    tables = {"a": Dies(spark, f"{root}/target", "a", A, ["k"])}
+    feed_files(spark, root, "a", [("c", 1, 1, "x")])
+    jobs = start(read_changes(spark, f"{root}/feed"), tables, root, interval=None)
+    with pytest.raises(StreamingQueryException, match="no space left"):
+        verify_sync(jobs, {"a": spark.range(1)}, tables, timeout=120)
+
+
+def test_contents_are_compared_and_not_only_counts(spark):
+    a, b = spark.range(10).withColumn("v", F.lit("x")), spark.range(10).withColumn("v", F.lit("y"))
+    sums = {r.table: r for r in content_checksums({"a": a, "again": a.repartition(7), "b": b}).collect()}
+    assert sums["a"].row_count == sums["b"].row_count == 10
+    assert sums["a"].checksum == sums["again"].checksum != sums["b"].checksum
+
+
+def test_broken_messages_are_set_aside(spark, root):
+    tables = {"a": table(spark, root, "a")}
+    good = [(k, '{"k":%d,"v":"x"}' % k, None) for k in range(3)]
+    bad = [(10, "{broken", None), (11, '{"k":"abc","v":"x"}', None), (12, '{"v":"no key"}', None), (13, "[1]", None), (14, None, None)]
+    rows_ = [("a", "c", n, None, before, after) for n, after, before in good + bad]
+    rows_ += [("a", "d", 20, None, '{"k":0}', None), ("a", "d", 21, None, "{}", None), ("a", "x", 22, None, None, '{"k":9}')]
+    df = spark.createDataFrame(rows_, "table string, op string, seq long, ts_commit string, before_json string, after_json string")
+    df.withColumn("ts_commit", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{root}/feed")
+    run_available(read_changes(spark, f"{root}/feed"), tables, root)
+    assert rows(tables["a"]) == {1: "x", 2: "x"}
+    aside = spark.read.json(f"{root}/replicate-all/unreadable/a")
+    assert sorted(r.seq for r in aside.collect()) == [10, 11, 12, 13, 14, 21, 22]
+    reasons = {r.seq: r.reasons for r in aside.collect()}
+    assert reasons[10] == reasons[11] == reasons[13] == "after: unreadable; k: null"
+    assert reasons[12] == reasons[14] == reasons[21] == "k: null" and reasons[22] == "op: unknown"
+    assert {r.after_json for r in aside.collect()} >= {"{broken"}
+
+
+def quiet_job(spark, root, **upkeep):
+    orders = KeyedTable(spark, root, "orders", ORDERS.struct, ["order_id"]).create()
+    other = table(spark, root, "a").create()
+    stored = build_view(orders, view_table(orders, f"{root}/views", DAILY_ORDERS), DAILY_ORDERS)
+    tables = {"orders": orders, "a": other}
+    return orders, stored, BatchApplier(tables, f"{root}/job", {"orders": [(DAILY_ORDERS, stored)]}, upkeep=Upkeep(**upkeep))
+
+
+def other_changes(spark, n):
+    df = spark.createDataFrame([("c", n, n, "x")], "op string, seq long, k long, v string")
+    return change_envelopes(df, "a", ["k"], F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+@pytest.mark.parametrize("upkeep", [{}, {"fold_every": 2}, {"compact_every": 2}])
+def test_quiet_batches_leave_the_view_alone(spark, root, upkeep):
+    rng = random.Random(4)
+    orders, stored, applier = quiet_job(spark, root, **upkeep)
+    for batch in range(7):
+        if batch in (2, 5):
+            changes = change_envelopes(order_changes(spark, random_order_changes(rng, 6, 12)), "orders", ["order_id"])
+        else:
+            changes = other_changes(spark, batch)
+        applier(changes, batch)
+        assert set(stored.current().collect()) == set(DAILY_ORDERS.compute(orders.current()).collect())
+
+
+def test_a_restart_resumes_the_view_where_it_was(spark, root):
+    rng = random.Random(5)
+    orders, stored, applier = quiet_job(spark, root)
+    make = lambda: change_envelopes(order_changes(spark, random_order_changes(rng, 6, 12)), "orders", ["order_id"])
+    applier(make(), 0)
+    again = BatchApplier({"orders": orders}, f"{root}/job", {"orders": [(DAILY_ORDERS, stored)]}, upkeep=Upkeep())
+    assert covered_until(stored, again.job) == 1
+    again(make(), 1)
+    assert again.refreshed == {"daily_order_summary": 2}
+    assert set(stored.current().collect()) == set(DAILY_ORDERS.compute(orders.current()).collect())
