@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dml import delete_events
+from .skew import join_to_unique
 
 # Marker patterns and states of removable rows.  ``_`` matches any one character.
 TEST_STATUSES = [
@@ -57,6 +58,32 @@ def removable_orders(addresses: Iterable[str] = tuple(TEST_ORDER_ADDRESSES)) ->
     return F.col("order_status").isin(TEST_STATUSES) & like_any(F.col("shipping_address"), addresses)
 
 
+def _not(condition: Column) -> Column:
+    """Rows that a delete with this condition leaves."""
+    return ~F.coalesce(condition, F.lit(False))
+
+
+def after_cleanups(tables: dict[str, DataFrame], item_key: Iterable[str]) -> dict[str, DataFrame]:
+    """The tables after the test and the load cleanup at the source.
+
+    Deleted orders take their items along; a product that a remaining item refers to stays.  Plain filters decide
+    all else, and only the items are joined.
+    """
+    orders = tables["orders"].where(_not(removable_orders()) & _not(like_any(F.col("shipping_address"), BENCH_ADDRESSES)))
+    gone = tables["orders"].where(removable_orders() | like_any(F.col("shipping_address"), BENCH_ADDRESSES))
+    items = join_to_unique(tables["order_items"], gone.select("order_id"), "order_id", "left_anti").dropDuplicates(list(item_key))
+    doomed = like_any(F.col("sku"), TEST_SKUS + BENCH_SKUS)
+    used = items.select("product_id").distinct()
+    held = tables["products"].where(F.coalesce(doomed, F.lit(False))).join(used, "product_id", "left_semi").select(*tables["products"].columns)
+    return {
+        "orders": orders,
+        "customers": tables["customers"].where(_not(like_any(F.col("email"), TEST_EMAILS + BENCH_EMAILS))),
+        "products": tables["products"].where(_not(doomed)).unionByName(held),
+        "order_items": items,
+        "inventory_movements": tables["inventory_movements"].where(_not(like_any(F.col("notes"), TEST_NOTES + BENCH_NOTES))),
+    }
+
+
 def cleanup_events(tables: dict[str, DataFrame], kind: str, seq: int) -> dict[str, DataFrame]:
     """Delete events of one cleanup, children first, each later table at a later position.
 

@@ -14,12 +14,12 @@ from ..operators.latest import current_rows, drop_tombstones, latest_by_key, liv
 from ..schemas import ORDERS
 from ..session import work_dir
 from ..sources import generate
-from ..sources.changes import change_envelopes, change_events, read_changes, typed_changes, union_all
+from ..sources.changes import change_envelopes, change_events, read_changes, typed_changes, union_all, unreadable_changes
 from ..sources.snapshot import snapshot_rows
 from ..streaming.refresh import build_view, view_table
-from ..streaming.replicate import Upkeep, await_queries, batch_metrics, run_available, start
+from ..streaming.replicate import Upkeep, await_queries, batch_metrics, observed_markers, run_available, start
 from ..streaming.store import KeyedTable
-from ..streaming.verify import verify_sync
+from ..streaming.verify import content_checksums, verify_sync
 from . import reports
 from .mapping import KEYS, WIDE, Tables, as_of
 from .views import CUSTOMER_TIERS, DAILY_ORDERS, View
@@ -85,28 +85,19 @@ def apply_updates(t: Tables) -> DataFrame:
     return newest.where(F.col("op") == "u").select(*changed)
 
 
-TOTALLED = ["op", "seq", "order_id", "order_status", "total_amount"]
-
-
-def _totals(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("order_status").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total_amount").cast("decimal(38,2)").alias("amount")
-    )
-
-
 @query
 def replay_idempotent(t: Tables) -> DataFrame:
     """The whole log delivered twice."""
     delivered = union_all([t.order_feed(), t.order_log()])
-    return _totals(current_rows(delivered.select(*TOTALLED), KEYS["orders"]))
+    return current_rows(delivered, KEYS["orders"])
 
 
 @query
 def late_and_duplicate(t: Tables) -> DataFrame:
     """The log applied first, and the older snapshot, late, onto the result."""
-    applied = latest_by_key(t.order_log().select(*TOTALLED), KEYS["orders"])
-    late = latest_by_key(snapshot_rows(t.orders()).select(*TOTALLED), KEYS["orders"])
-    return _totals(drop_tombstones(merge_newest(applied, late, KEYS["orders"])))
+    applied = latest_by_key(t.order_log(), KEYS["orders"])
+    late = latest_by_key(snapshot_rows(t.orders()), KEYS["orders"])
+    return drop_tombstones(merge_newest(applied, late, KEYS["orders"]))
 
 
 @query
@@ -221,9 +212,9 @@ def cascade_delete(t: Tables) -> DataFrame:
 
 @query
 def restrict_delete(t: Tables) -> DataFrame:
-    """Products that the test cleanup may or may not delete while large items refer to them."""
+    """Products that the test cleanup may or may not delete: items that their feed leaves may refer to them."""
     candidates = t.products().where(markers.like_any(F.col("sku"), markers.TEST_SKUS))
-    items = t.order_items().where(F.col("quantity") == 50)
+    items = live_keys(t.item_feed(), KEYS["order_items"])
     return integrity.restrict_deletes(candidates.select("product_id", "sku"), items, "product_id")
 
 
@@ -250,8 +241,7 @@ def marker_count(t: Tables) -> DataFrame:
 
 def _sync_report(t: Tables) -> DataFrame:
     """Source tables against the tables that the feeds lead to."""
-    applied = {n: live_keys(feed, KEYS[n]) for n, feed in t.feeds().items()}
-    return sync.sync_report(sync.table_counts(t.all()), sync.table_counts(applied))
+    return sync.sync_report(*_counts(t))
 
 
 @query
@@ -270,13 +260,9 @@ def sync_at_least(t: Tables) -> DataFrame:
 
 
 def _counts(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Source counts, and target counts that lack what was returned or dropped."""
-    rows = t.all()
-    target = rows | {
-        "order_items": rows["order_items"].where(F.col("quantity") < 50),
-        "products": rows["products"].where(F.col("category") != "PROMO"),
-    }
-    return sync.table_counts(rows), sync.table_counts(target)
+    """Source counts, and counts of the tables that the feeds lead to."""
+    applied = {n: live_keys(feed, KEYS[n]) for n, feed in t.feeds().items()}
+    return sync.table_counts(t.all()), sync.table_counts(applied)
 
 
 @query
@@ -294,11 +280,13 @@ def monitor_json(t: Tables) -> DataFrame:
     """The whole report as one document, read back into its numbers."""
     report = reports.monitor_report(*_counts(t), t.probe_results())
     document = reports.monitor_json(report, t.probe_results(), as_of())
-    entry = "struct<source_count:bigint,target_count:bigint,lag:bigint,last_latency_ms:bigint,p95_latency_ms:bigint>"
-    shape = f"timestamp string, total_probes bigint, failed_probes bigint, tables map<string,{entry}>"
+    counts = "source_count:bigint,target_count:bigint,lag:bigint"
+    entry = f"struct<{counts},last_latency_ms:bigint,avg_latency_ms:double,p95_latency_ms:bigint>"
+    totals = ["timestamp", "total_probes", "successful_probes", "failed_probes"]
+    shape = f"timestamp string, total_probes bigint, successful_probes bigint, failed_probes bigint, tables map<string,{entry}>"
     read = document.select(F.from_json("document", shape).alias("d")).select("d.*")
-    exploded = read.select("timestamp", "total_probes", "failed_probes", F.explode("tables").alias("table", "entry"))
-    return exploded.select("timestamp", "total_probes", "failed_probes", "table", "entry.*")
+    exploded = read.select(*totals, F.explode("tables").alias("table", "entry"))
+    return exploded.select(*totals, "table", "entry.*")
 
 
 @query
@@ -457,16 +445,8 @@ def delete_events(t: Tables) -> DataFrame:
 
 @query
 def cleanup_all(t: Tables) -> DataFrame:
-    """Rows left in each table after both cleanups."""
-    tables = t.all()
-    left = {}
-    doomed = {kind: markers.cleanup_events(tables, kind, 100) for kind in ("test", "bench")}
-    for name, rows in tables.items():
-        keys = KEYS[name]
-        base = rows.select(F.lit("r").alias("op"), F.lit(0).cast("bigint").alias("seq"), *keys)
-        gone = [_deleted(doomed[kind][name], keys) for kind in ("test", "bench")]
-        left[name] = live_keys(union_all([base, *gone]), keys)
-    return sync.table_counts(left, "remaining")
+    """Rows left in each table after both cleanups at the source, where items go with their orders and hold their products."""
+    return sync.table_counts(markers.after_cleanups(t.all(), KEYS["order_items"]), "remaining")
 
 
 # -- generated rows ------------------------------------------------------------------
@@ -543,29 +523,73 @@ def stream_upserts(t: Tables) -> DataFrame:
 
 @query
 def fanout_apply(t: Tables) -> DataFrame:
-    """All five tables out of one job: the sync report against the source."""
+    """All five tables out of one job: the sync report against the source, and whether contents are what the feeds say."""
     rows = t.all()
     feed, tables, root = _stream(t, list(rows))
-    return verify_sync(start(feed, tables, root, interval=None), rows, tables, 3600)
+    report = verify_sync(start(feed, tables, root, interval=None), rows, tables, 3600).report
+    found = content_checksums({n: table.current() for n, table in tables.items()})
+    expected = content_checksums({n: current_rows(f, KEYS[n]) for n, f in t.feeds().items()})
+    wanted = expected.select("table", F.col("checksum").alias("__wanted"))
+    same = found.join(wanted, "table").select("table", (F.col("checksum") == F.col("__wanted")).alias("same_content"))
+    return report.join(same, "table")
 
 
 @query
 def per_table_jobs(t: Tables) -> DataFrame:
-    """Orders and customers out of a job each."""
-    feed, tables, root = _stream(t, ["orders", "customers"], batches=1)
+    """Every table out of a job of its own."""
+    feed, tables, root = _stream(t, list(KEYS), batches=1)
     await_queries(start(feed, tables, root, "per_table", interval=None))
     return sync.table_counts({n: table.current(columns=[]) for n, table in tables.items()})
 
 
 @query
 def batch_measures(t: Tables) -> DataFrame:
-    """Changes and deletes that the job measured over all its batches."""
-    feed, tables, root = _stream(t, ["products", "inventory_movements"])
+    """Changes and deletes that the job measured over all its batches, and whether its latencies are in order."""
+    feed, tables, root = _stream(t, list(KEYS))
     run_available(feed, tables, root)
     measured = batch_metrics(tables, f"{root}/replicate-all")
+    ordered = (F.col("min_ms") <= F.col("avg_ms")) & (F.col("avg_ms") <= F.col("max_ms"))
     return measured.groupBy("table").agg(
-        F.sum("changes").cast("bigint").alias("changes"), F.sum("deletes").cast("bigint").alias("deletes")
+        F.sum("changes").cast("bigint").alias("changes"),
+        F.sum("deletes").cast("bigint").alias("deletes"),
+        F.max("last_seq").alias("last_seq"),
+        F.bool_and(ordered).alias("latencies_in_order"),
+    )
+
+
+@query
+def streamed_visibility(t: Tables) -> DataFrame:
+    """Every probe row of the order feed as the running job saw it become visible."""
+    feed, tables, root = _stream(t, ["orders"])
+    probe = F.col("shipping_address").like("latency_test_%")
+    run_available(feed, tables, root, markers={"orders": ("shipping_address", probe)})
+    seen = observed_markers(t.spark, f"{root}/replicate-all")
+    sent = t.orders().where(probe).select(
+        F.col("order_id").alias("probe_seq"),
+        F.lit("orders").alias("table"),
+        F.col("shipping_address").alias("marker"),
+        F.localtimestamp().alias("insert_ts"),  # after the job: all were visible by then
+    )
+    return latency.probe_latency(sent, seen).select("table", "marker", "success")
+
+
+@query
+def quarantined_changes(t: Tables) -> DataFrame:
+    """A feed with broken messages: what was applied and what was set aside, by reason; together all that was sent."""
+    commit = F.coalesce(F.col("created_at"), as_of())
+    sent = change_envelopes(t.order_feed(), "orders", KEYS["orders"], commit)
+    image, key = F.col("after_json"), F.coalesce(F.get_json_object("after_json", "$.order_id").cast("bigint"), F.lit(0))
+    sent = sent.withColumn(
+        "after_json",
+        F.when(key % 97 == 1, F.substr(image, F.lit(1), F.lit(9)))
+        .when(key % 97 == 2, F.regexp_replace(image, r'"total_amount":[0-9.]+', '"total_amount":"abc"'))
+        .when(key % 97 == 3, F.regexp_replace(image, r'"order_id":[0-9]+', '"order_id":null'))
+        .otherwise(image),
     )
+    schema = t.orders().schema
+    bad = unreadable_changes(sent, "orders", schema, KEYS["orders"]).select("reasons")
+    good = typed_changes(sent, "orders", schema, KEYS["orders"]).select(F.lit("").alias("reasons"))
+    return good.unionByName(bad).groupBy("reasons").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @query

