@@ -45,7 +45,7 @@ FOLDS, HELD_OUT = 5, 1
 _RUN_BITS = 8 * (DEPTH + 1)
 _DOC_BITS = 64 - _RUN_BITS
 #: Bytes of text, and texts, that are sorted at once.
-_BATCH, _BATCH_TEXTS = 4 << 20, 1 << _DOC_BITS
+_BATCH, _BATCH_TEXTS = 2 << 20, 1 << _DOC_BITS
 _UNIT = 1 << 40
 _HALF = math.log(0.5)
 
