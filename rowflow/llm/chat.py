@@ -11,7 +11,7 @@ find the states between the chunks, and then every chunk finds its own way betwe
 conversation is the work of many tasks, and the result is the same as in one piece.  The rendered text stays one fragment per turn;
 the fragments of a conversation in order are its rendering.
 
-Costs are compared as (cost, turns put out, choice), so ties have one result.
+Ways are compared by cost, then turns put out, then their choices from the last turn on, so ties have one result.
 
 Defined results: turns are ordered by turn number, null last, then role, then text, nulls last.  Rows with
 the same turn number are separate turns; repeated rows follow each other and so are usually merged.  A null or unknown role can be given any
@@ -99,12 +99,32 @@ def forward(given: Iterable[str | None], start: list[Cost]) -> tuple[list[Cost],
     return cost, back
 
 
+def _from(state: int) -> list[Cost]:
+    return [(0, 0) if s == state else NEVER for s in range(len(STATES))]
+
+
+def _traced(back: list[list[tuple]], state: int) -> list[tuple[int, int]]:
+    """The choices that lead to a state, (state before, move), last turn first."""
+    way = []
+    for best in reversed(back):
+        _, before, number = best[state]
+        way.append((before, number))
+        state = before
+    return way
+
+
 def summary(given: list[str | None]) -> list[int]:
-    """Costs and counts of a chunk from every state to every state, flat."""
-    flat: list[int] = []
-    for a in range(len(STATES)):
-        cost, _ = forward(given, [(0, 0) if s == a else NEVER for s in range(len(STATES))])
-        flat += [x for c in cost for x in c]
+    """Cost, count and rank of a chunk's best way from every state to every state, flat.
+
+    The rank orders the ways that end alike as one run over everything would: by the last choice, then the one before.
+    """
+    n = len(STATES)
+    ways = [forward(given, _from(a)) for a in range(n)]
+    flat = [x for cost, _ in ways for c in cost for x in (*c, 0)]
+    for b in range(n):
+        there = [a for a in range(n) if ways[a][0][b][0] < _FAR]
+        for rank, a in enumerate(sorted(there, key=lambda a: _traced(ways[a][1], b))):
+            flat[3 * (a * n + b) + 2] = rank
     return flat
 
 
@@ -114,14 +134,15 @@ def through(summaries: list[list[int]]) -> list[tuple[int, int, int, bool]]:
     cost: list[Cost] = [(0, 0)] + [NEVER] * (n - 1)
     back: list[list[int]] = []
     for flat in summaries:
-        new, via = [NEVER] * n, [-1] * n
+        new, via, ways = [NEVER] * n, [-1] * n, [[] for _ in range(n)]
         for b in range(n):
             for a in range(n):
-                c = flat[2 * (a * n + b)]
+                c, put, rank = flat[3 * (a * n + b) : 3 * (a * n + b) + 3]
                 if cost[a][0] < _FAR and c < _FAR:
-                    whole = (cost[a][0] + c, cost[a][1] + flat[2 * (a * n + b) + 1])
-                    if via[b] < 0 or whole < new[b]:
-                        new[b], via[b] = whole, a
+                    ways[b].append((cost[a][0] + c, cost[a][1] + put, rank, a))
+            if ways[b]:
+                *whole, _, via[b] = min(ways[b])
+                new[b] = tuple(whole)
         cost = new
         back.append(via)
     ends = [(cost[s][0] + ending(s)[0], cost[s][1] + ending(s)[1], s) for s in range(n) if cost[s][0] < _FAR]
@@ -134,7 +155,7 @@ def through(summaries: list[list[int]]) -> list[tuple[int, int, int, bool]]:
     for k, flat in enumerate(summaries):
         a, b = states[k], states[k + 1]
         out.append((a, b, put, k + 1 == len(summaries)))
-        put += flat[2 * (a * n + b) + 1]
+        put += flat[3 * (a * n + b) + 1]
     return out
 
 
@@ -147,14 +168,11 @@ CLOSE = "<|end|>\n"
 
 def place(turns: list[tuple[str | None, str | None]], before: int, after: int, put: int, last: bool) -> list[tuple]:
     """Per turn of a chunk: role, action, inserted roles, number of its turn, and its rendered fragment."""
-    n = len(STATES)
-    _, back = forward([r for r, _ in turns], [(0, 0) if s == before else NEVER for s in range(n)])
-    chosen, state = [], after
-    for (given, _), best in zip(reversed(turns), reversed(back), strict=True):
-        _, a, number = best[state]
-        chosen.append((a, state, _moves_of(given)[number]))
-        state = a
-    chosen.reverse()
+    _, back = forward([r for r, _ in turns], _from(before))
+    chosen = []
+    for (given, _), (a, number) in zip(turns, reversed(_traced(back, after)), strict=True):
+        move = _moves_of(given)[number]
+        chosen.append((a, move[1], move))
     out = []
     for (_, text), (a, b, (_, _, _, count, action, inserted)) in zip(turns, chosen, strict=True):
         put += count

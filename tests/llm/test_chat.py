@@ -82,4 +82,5 @@ def test_table(spark):
         results.append(sorted(map(str, got)))
     assert results[0] == results[1]
     assert chat.repair_conversations(df.where("false")).count() == 0
-    assert {r.turn_out for r in got if r.conv_id == 700} == {1}
+    # Two turns merged and one made an answer cost less than three merged and an answer inserted.
+    assert sorted(r.action for r in got if r.conv_id == 700) == ["keep", "merge", "relabel"]
