@@ -11,7 +11,7 @@ One file per range of document ids, in ascending order of the ids:
 All parts are aligned, so ``TokenFile`` maps a file and never reads what is not asked for.  The place of a file in the
 whole corpus is the prefix sum of the files before it.
 
-Texts are encoded where they are, the encoded documents stored once and then dealt to the files by range.
+Texts are encoded where they are and dealt to the files by ranges of ids, whose limits are quantiles of the ids.
 Spark's text writer puts the files on whatever file system the path names, with its commit protocol; it ends every
 row with a separator, so the packer cuts its stream at zero bytes, and a zero byte is the separator.
 
@@ -27,7 +27,7 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -134,8 +134,10 @@ def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
     yield held
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end: int = END, by_word: bool = True) -> tuple[DataFrame, int]:
-    """``__key`` and the document's ids as bytes; and the bytes per id."""
+def encoded(
+    docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end: int = END, by_word: bool = True, limits: Sequence[int] = ()
+) -> tuple[DataFrame, int]:
+    """``id``, the document's token ids as bytes, and the range between ``limits`` that its id is in; and the bytes per token id."""
     with open(tokenizer_path, encoding="utf-8") as f:  # a file of the installation, a few MB; executors need not have it
         source = f.read()
     width = id_bytes(source, end)
@@ -150,10 +152,14 @@ def encoded(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
             _LOADED.clear()
             _LOADED[name] = (WordEncoder if by_word else WholeEncoder)(Tokenizer.from_str(model.value), dtype, end)
         texts = [t or b"" for t in batch.column(batch.schema.get_field_index("__text")).to_pylist()]
-        return [pa.array([ids for some in _slices(texts) for ids in _LOADED[name](some)], pa.binary())]
+        found = pa.array([ids for some in _slices(texts) for ids in _LOADED[name](some)], pa.binary())
+        keys = batch.column(batch.schema.get_field_index("id"))
+        ranges = np.searchsorted(np.array(limits, np.int64), keys.fill_null(0).to_numpy(zero_copy_only=False), "left")
+        ranges[keys.is_null().to_numpy(zero_copy_only=False)] = len(limits)
+        return [found, pa.array(ranges.astype(np.int32))]
 
     rows = docs.select(F.col(key).cast("bigint").alias("id"), utf8(text).alias("__text"))
-    return add_columns(rows, ["__text"], T.StructType().add("ids", "binary"), run), width
+    return add_columns(rows, ["__text"], T.StructType().add("ids", "binary").add("range", "integer"), run), width
 
 
 # -- files ---------------------------------------------------------------------------
@@ -189,17 +195,25 @@ def _packer(width: int):
     return run
 
 
+def _limits(ids: DataFrame, files: int) -> list[int]:
+    """Upper limits of all ranges but the last, one per file, from approximate quantiles."""
+    if files == 1:
+        return []
+    found = ids.approxQuantile("id", [k / files for k in range(1, files)], 0.1 / files)
+    return sorted(int(x) for x in found)
+
+
 def write_tokens(
     docs: DataFrame, path: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", end: int = END, by_word: bool = True, file_bytes: int = FILE_BYTES
 ) -> None:
     """Encode the documents and write their ids below ``path``."""
-    rows, width = encoded(docs, tokenizer_path, key, text, end, by_word)
-    rows = stored(rows, "encoded")
-    total = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    tie = F.xxhash64("ids")
-    order = [F.col("id").asc_nulls_last(), tie.asc(), F.col("ids").asc()]
-    ranged = rows.repartitionByRange(max(1, math.ceil(total / file_bytes)), F.col("id").asc_nulls_last(), tie.asc())
-    packed = ranged.sortWithinPartitions(*order).mapInArrow(_packer(width), "value binary")
+    total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    files = max(1, math.ceil(total / file_bytes))  # ids take about as many bytes as their text
+    limits = _limits(docs.select(F.col(key).cast("bigint").alias("id")), files)
+    rows, width = encoded(docs, tokenizer_path, key, text, end, by_word, limits)
+    order = [F.col("id").asc_nulls_last(), F.xxhash64("ids").asc(), F.col("ids").asc()]
+    ranged = rows.repartitionById(files, "range").sortWithinPartitions(*order)
+    packed = ranged.select("id", "ids").mapInArrow(_packer(width), "value binary")
     packed.select(F.col("value").cast("string")).write.option("lineSep", "\0").text(path)
 
 
