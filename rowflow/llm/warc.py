@@ -180,7 +180,10 @@ def _plain_record(data: bytes | memoryview, at: int, whole: bool) -> Found:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("malformed header")
-        headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
+        known = name.decode("utf-8", "replace").strip().lower()
+        if known in headers and known != "warc-concurrent-to":
+            raise Damaged("repeated header")  # a record torn off in its headers, and another after it
+        headers[known] = value.decode("utf-8", "replace").strip()
     if not re.fullmatch("[0-9]+", headers.get("content-length", "")):
         raise Damaged("no content length")
     start = at + head_end + 4

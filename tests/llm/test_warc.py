@@ -28,7 +28,7 @@ def test_later_records_survive_damage(plain):
     assert ids(warc.salvage(whole)) == [str(k) for k in range(30)]
     start = [sum(map(len, parts[:k])) for k in range(31)]
     flip = bytearray(whole)
-    flip[start[5] + len(parts[5]) // 2] ^= 0xFF
+    flip[start[6] - 30] ^= 0xFF
     cut = whole[: start[7] + 20] + whole[start[9] :]
     noise = whole[: start[4]] + b"junk WARC/1.0\r\n\x1f\x8b\x08" + whole[start[4] :]
     torn = whole[:-15]
