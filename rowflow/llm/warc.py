@@ -47,6 +47,8 @@ _CHUNK = 1 << 16
 _NAMES = ("warc-type", "warc-record-id", "warc-target-uri", "warc-date", "warc-refers-to", "warc-payload-digest", "x-payload-length")
 _GZIP = b"\x1f\x8b\x08"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[0-9]\r\n")
+#: A blank line ends headers of any length; the next record's version line says that they were torn off.
+_HEAD_END = re.compile(rb"\r\n(?:\r\n|WARC/1\.[0-9]\r\n)")
 
 RECORDS = T.StructType(
     [
@@ -169,10 +171,10 @@ class Found:
 
 def _plain_record(data: bytes | memoryview, at: int, whole: bool) -> Found:
     """The record whose version line begins at ``at``; with ``whole`` nothing may follow it."""
-    head_end = bytes(data[at : at + _CHUNK]).find(b"\r\n\r\n")
-    if head_end < 0:
+    stop = _HEAD_END.search(data, at)
+    if not stop or stop[0] != b"\r\n\r\n":
         raise Damaged("headers do not end")
-    first, *lines = bytes(data[at : at + head_end]).split(b"\r\n")
+    first, *lines = bytes(data[at : stop.start()]).split(b"\r\n")
     if not re.fullmatch(rb"WARC/1\.[0-9]", first):
         raise Damaged("no version line")
     headers: dict[str, str] = {}
@@ -186,7 +188,7 @@ def _plain_record(data: bytes | memoryview, at: int, whole: bool) -> Found:
         headers[known] = value.decode("utf-8", "replace").strip()
     if not re.fullmatch("[0-9]+", headers.get("content-length", "")):
         raise Damaged("no content length")
-    start = at + head_end + 4
+    start = stop.end()
     end = start + int(headers["content-length"])
     if bytes(data[end : end + 4]) != b"\r\n\r\n":
         raise Damaged("record does not end where its length says")

@@ -104,3 +104,24 @@ def test_shared_payload_is_joined_by_its_list_only(spark):
     _, df = pages(spark)
     rows = df.select(F.col("page_id").alias("id"), "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     assert "Window" not in warc.with_first(rows)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_headers_of_any_length(plain):
+    long = "data:text/html," + "x" * 100_000
+    records = [warc.record_bytes("1", long, b"a"), warc.record_bytes("2", "\x01" * 30_000, b"a", "1"), warc.record_bytes("3", "u", b"b")]
+    parts = records if plain else [warc.member(r) for r in records]
+    found = list(warc.salvage(b"".join(parts)))
+    assert ids(found) == ["1", "2", "3"] and not [p for *_, p, _ in found if p]
+    assert [f.headers["warc-target-uri"] for *_, f in found] == [long, "%01" * 30_000, "u"]
+    if plain:  # torn off within its long headers
+        assert ids(warc.salvage(records[0][:90_000] + b"\r\n" + records[2])) == ["3"]
+
+
+def test_long_urls_come_back(spark, root):
+    rows = [(1, "data:," + "y" * 100_000, "<b>same</b>"), (2, "http://h/2", "<b>same</b>"), (3, "\x01" * 30_000, "other"), (4, "http://h/4", None)]
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{root}/w")
+    everything = warc.read_warc(spark, f"{root}/w")
+    assert warc.gaps(everything).count() == 0
+    got = {r.record_id: (r.target_uri, r.refers_to) for r in warc.records(everything).collect()}
+    assert got == {"1": (rows[0][1], None), "2": ("http://h/2", "1"), "3": ("%01" * 30_000, None), "4": ("http://h/4", None)}
