@@ -2,9 +2,9 @@
 
 Words are lower-cased ASCII letters and digits and everything beyond ASCII.  The automaton
 holds every run of words of every template.  A document is streamed through it once: after each word the
-automaton knows the longest run ending there that some template contains (the matching statistics).  Runs of
-at least ``LEAST`` words that cannot be extended are placed in their templates and chained: a chain goes forward
-in the document and in one template, with at most ``GAP`` words skipped in the document between two runs.  Its
+automaton knows the longest run ending there that some template contains (the matching statistics), and its suffix links
+lead to the longest run that each other template contains.  Runs of at least ``LEAST`` words that cannot be extended
+in a template are placed there and chained: a chain goes forward in the document and in one template, with at most ``GAP`` words skipped in the document between two runs.  Its
 coverage is the share of the template's words it holds; a chain of at least ``COVERED`` names the template's label.
 
 Besides, a few fixed phrases name a label wherever they stand.
@@ -16,7 +16,7 @@ themselves; ids may be null.  Columns of the table are carried along whatever th
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -130,6 +130,15 @@ class SuffixAutomaton:
         for s in sorted(range(1, len(self.states)), key=lambda s: -self.states[s].length):
             if self.states[s].link > 0:
                 self.states[self.states[s].link].ends += self.states[s].ends
+        self.placed: list[dict[int, list[int]]] = [{} for _ in self.states]  # per state: places of the last word by template
+        for state, placed in zip(self.states, self.placed, strict=True):
+            for k, place in state.ends:
+                placed.setdefault(k, []).append(place)
+        # The longest shorter run that more templates hold.
+        self.wider = [0] * len(self.states)
+        for s in sorted(range(1, len(self.states)), key=lambda s: self.states[s].length):
+            link = self.states[s].link
+            self.wider[s] = link if len(self.placed[link]) > len(self.placed[s]) else self.wider[link]
 
     def _split(self, p: int, q: int, letter: int) -> int:
         """Give the runs that end at ``p`` plus ``letter`` a state of their own, apart from the longer ones of ``q``."""
@@ -157,29 +166,58 @@ class SuffixAutomaton:
             states[new].link = q if states[q].length == states[p].length + 1 else self._split(p, q, letter)
         return new
 
-    def matches(self, words: list[bytes], least: int = 1) -> list[tuple[int, int, int]]:
-        """Runs of at least ``least`` words that no following word extends: (last place, length, state)."""
+    def _walk(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """After each word: the longest run that ends there, as its state and length."""
         get, states = self.numbers.get, self.states
         steps = [s.step for s in states]
-        found, at, length = [], 0, 0
-        for place, word in enumerate(words):
+        at = length = 0
+        for word in words:
             letter = get(word)
-            if length and (letter is None or letter not in steps[at]):
-                if length >= least:
-                    found.append((place - 1, length, at))
-                if letter is None:
-                    at = length = 0
-                    continue
+            if letter is None:
+                at = length = 0
+            else:
                 while at > 0 and letter not in steps[at]:
                     at = states[at].link
                     length = states[at].length
-            if letter is not None and letter in steps[at]:
-                at = steps[at][letter]
-                length += 1
-        if length >= least:
-            found.append((len(words) - 1, length, at))
+                if letter in steps[at]:
+                    at = steps[at][letter]
+                    length += 1
+            yield at, length
+
+    def matches(self, words: list[bytes], least: int = 1) -> list[tuple[int, int, int]]:
+        """Runs of at least ``least`` words that no following word extends in any template: (last place, length, state)."""
+        found, before, held = [], 0, 0
+        for place, (at, length) in enumerate(self._walk(words)):
+            if held >= least and length != held + 1:
+                found.append((place - 1, held, before))
+            before, held = at, length
+        if held >= least:
+            found.append((len(words) - 1, held, before))
         return found
 
+    def _holders(self, at: int, length: int, least: int) -> dict[int, tuple[int, int]]:
+        """The longest run that ends here in each template that has one of at least ``least`` words: length and state."""
+        held: dict[int, tuple[int, int]] = {}
+        while at > 0 and length >= least:
+            for template in self.placed[at]:
+                held.setdefault(template, (length, at))
+            at = self.wider[at]
+            length = self.states[at].length
+        return held
+
+    def template_matches(self, words: list[bytes], least: int = 1) -> list[tuple[int, int, int, int]]:
+        """Runs of at least ``least`` words that no following word extends in their template: (last place, length, state, template)."""
+        found: list[tuple[int, int, int, int]] = []
+        held: dict[int, tuple[int, int]] = {}
+        for place, (at, length) in enumerate(self._walk(words)):
+            if held or length >= least:
+                now = self._holders(at, length, least)
+                for template, (n, state) in held.items():
+                    if template not in now or now[template][0] != n + 1:
+                        found.append((place - 1, n, state, template))
+                held = now
+        return found + [(len(words) - 1, n, state, template) for template, (n, state) in held.items()]
+
 
 # -- chains --------------------------------------------------------------------------
 
@@ -194,12 +232,12 @@ class Span:
     coverage: float
 
 
-def chain(matches: list[tuple[int, int, int]], automaton: SuffixAutomaton, gap: int = GAP) -> list[Span]:
+def chain(matches: list[tuple[int, int, int, int]], automaton: SuffixAutomaton, gap: int = GAP) -> list[Span]:
     """The best chain for every last run that no better chain goes on from, template by template."""
     by_template: dict[int, list[tuple[int, int, int]]] = {}
-    for last, length, state in matches:
-        for template, end in automaton.states[state].ends:
-            by_template.setdefault(template, []).append((last - length + 1, end - length + 1, length))
+    for last, length, state, template in matches:
+        placed = [(last - length + 1, end - length + 1, length) for end in automaton.placed[state][template]]
+        by_template.setdefault(template, []).extend(placed)
     spans = []
     for template, runs in by_template.items():
         runs.sort()
@@ -252,7 +290,7 @@ _ARROW = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.float64(), _SPAN_ARROW
 def scan(words: list[bytes], automaton: SuffixAutomaton, labels: list[str], least: int = LEAST, gap: int = GAP, covered: float = COVERED) -> tuple:
     """The columns of ``SCANNED`` for one text."""
     base = phrase_places(words)
-    found = chain(automaton.matches(words, least), automaton, gap)
+    found = chain(automaton.template_matches(words, least), automaton, gap)
     whole = [s for s in found if s.coverage >= covered]
     names = {label for _, label in base}
     places = [k for k, _ in base]

@@ -30,6 +30,34 @@ def test_matching_statistics_against_all_substrings():
         assert all(set(automaton.states[s].ends) == places[tuple(words[i - n + 1 : i + 1])] for i, n, s in got)
 
 
+def test_runs_of_every_template_against_all_substrings():
+    draw = random.Random(4)
+    for _ in range(800):
+        texts = [[bytes([97 + draw.randrange(3)]) for _ in range(draw.randint(0, 9))] for _ in range(draw.randint(1, 5))]
+        words = [bytes([97 + draw.randrange(4)]) for _ in range(draw.randint(0, 15))]
+        least = draw.randint(1, 3)
+        want = set()
+        for k, t in enumerate(texts):
+            runs = {tuple(t[i:j]) for i in range(len(t)) for j in range(i + 1, len(t) + 1)} | {()}
+            longest = [max(n for n in range(i + 2) if tuple(words[i + 1 - n : i + 1]) in runs) for i in range(len(words))]
+            want |= {(i, n, k) for i, n in enumerate(longest) if n >= least and (i + 1 == len(words) or longest[i + 1] != n + 1)}
+        automaton = licenses.SuffixAutomaton(texts)
+        got = automaton.template_matches(words, least)
+        assert len(got) == len(want) and {(i, n, k) for i, n, _, k in got} == want
+        for i, n, s, k in got:
+            assert sorted(automaton.placed[s][k]) == [j for j in range(n - 1, len(texts[k])) if texts[k][j - n + 1 : j + 1] == words[i - n + 1 : i + 1]]
+
+
+def test_templates_that_share_passages_are_found_by_themselves():
+    got = scan("Licensed under the Apache License, Version 2.0 (the License); see LICENSE")
+    assert got["score"] == 1.0 and {"label": "apache", "start": 0, "stop": 8, "coverage": 1.0} in got["spans"]
+    texts = ["a b c d e f g h", "a b c d e", "d e f g h", "x a b c d y", "c d e f"]
+    automaton = licenses.SuffixAutomaton(bare_words(t.encode()) for t in texts)
+    for text, want in (("a b c d e f g h", "long,end,middle,start"), ("q a b c d e q", "start"), ("d e f g h", "end")):
+        labels = licenses.scan(bare_words(text.encode()), automaton, ["long", "start", "end", "other", "middle"])[5]
+        assert labels.split(",") == sorted(want.split(","))
+
+
 def test_phrases():
     got = scan("MIT license? The mit License; GENERAL public License general license apache mit license")
     assert (got["n_base"], got["first_word"], got["last_word"], got["base_labels"]) == (4, 0, 11, "gpl,mit")
