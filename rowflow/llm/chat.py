@@ -5,7 +5,9 @@ turn comes first, then user and assistant alternate, and an assistant turn ends
 relabelled, or merged into the turn before it; empty turns may be inserted.  Dynamic programming finds
 the cheapest way, and the repaired sequence is rendered.
 
-A conversation is cut into chunks of ``CHUNK`` turn numbers.  A chunk is summarised by the cheapest cost from
+The turns are sorted once over all tasks, by conversation and order of turns, and stored with their places; what
+is equal in that order is dealt to tasks by a salt.  A chunk is a run of at most ``CHUNK`` places of one
+conversation, whatever its turn numbers.  A chunk is summarised by the cheapest cost from
 each state before it to each state after it; these small matrices, one row per chunk, are chained along the conversation to
 find the states between the chunks, and then every chunk finds its own way between them.  So one long
 conversation is the work of many tasks, and the result is the same as in one piece.  The rendered text stays one fragment per turn;
@@ -38,8 +40,10 @@ ROLES = STATES[1:]
 # Costs in whole units.
 RELABEL, MERGE, INSERT, UNKNOWN = 4, 2, 3, 1
 
-#: Turn numbers per chunk.
+#: Turns per chunk.
 CHUNK = 512
+#: Characters of a text that say which task sorts it; a sample of them goes to the driver.
+PREFIX = 512
 
 _NEXT = {"": (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 _FAR = 1 << 60
@@ -259,22 +263,37 @@ def _repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _batches(rows(), REPAIRED, [pa.string(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.string()])
 
 
-def repair_conversations(
-    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", chunk: int = CHUNK
-) -> DataFrame:
-    """One row per given turn: its conversation (null as null), what became of it, and its fragment of the rendering."""
+def _placed(turns: DataFrame, conv: str, turn: str, role: str, text: str, chunk: int) -> DataFrame:
+    """The turns with their ``place`` in the order of all, and their chunk.
+
+    Rows that agree in all of the order are alike, so a salt may part them.  Of texts longer than ``PREFIX`` that
+    begin alike, all go to the one task that sorts them, on disk where need be.
+    """
     rows = turns.select(
         F.coalesce(F.col(conv).cast("string"), F.lit("\0")).alias("conv"),
-        F.coalesce(F.floor(F.col(turn) / chunk), F.lit((1 << 62))).cast("bigint").alias("chunk"),
         F.col(turn).cast("bigint").alias("turn"),
         F.lower(F.col(role)).alias("role"),
         F.col(text).alias("text"),
     )
     ordered = rows.withColumns({f"__{c}_last": F.col(c).isNull() for c in ("turn", "role", "text")})
-    by_chunk = ordered.repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", *_ORDER)
-    summaries = stored(by_chunk.select("conv", "chunk", "role").mapInArrow(_summarise, _SUMMARY), "summaries")
+    salted = ordered.withColumns(
+        {"__prefix": F.substring("text", 1, PREFIX), "__salt": F.when(F.coalesce(F.length("text"), F.lit(0)) <= PREFIX, F.rand(7)).otherwise(0.0)}
+    )
+    dealt = salted.repartitionByRange("conv", *_ORDER[:-1], "__prefix", "__salt").sortWithinPartitions("conv", *_ORDER)
+    # Partition and row in it: the order of all rows, with jumps.
+    numbered = stored(dealt.select("conv", "turn", "role", "text", F.monotonically_increasing_id().alias("place")), "turns")
+    return numbered.withColumn("chunk", F.call_function("div", F.col("place"), F.lit(chunk).cast("bigint")))
+
+
+def repair_conversations(
+    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", chunk: int = CHUNK
+) -> DataFrame:
+    """One row per given turn: its conversation (null as null), what became of it, and its fragment of the rendering."""
+    ordered = _placed(turns, conv, turn, role, text, chunk)
+    roles = ordered.select("conv", "chunk", "place", "role").repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", "place")
+    summaries = stored(roles.select("conv", "chunk", "role").mapInArrow(_summarise, _SUMMARY), "summaries")
     path = summaries.repartition("conv").sortWithinPartitions("conv", "chunk").mapInArrow(_thread, _PATH)
     path = stored(path, "path")
-    placed = ordered.join(path, ["conv", "chunk"]).repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", *_ORDER)
+    placed = ordered.join(path, ["conv", "chunk"]).repartition("conv", "chunk").sortWithinPartitions("conv", "chunk", "place")
     repaired = placed.select("conv", "chunk", "turn", "role", "text", "before", "after", "put", "last").mapInArrow(_repair, REPAIRED)
     return repaired.select(F.when(F.col("conv") != "\0", F.col("conv")).cast(turns.schema[conv].dataType).alias(conv), *REPAIRED.names[1:])

@@ -84,3 +84,29 @@ def test_table(spark):
     assert chat.repair_conversations(df.where("false")).count() == 0
     # Two turns merged and one made an answer cost less than three merged and an answer inserted.
     assert sorted(r.action for r in got if r.conv_id == 700) == ["keep", "merge", "relabel"]
+
+
+def test_alike_turn_numbers_are_cut_into_chunks(spark, monkeypatch):
+    draw = random.Random(9)
+    # Null ids, null turns and repeated rows: by their turn numbers all of these are one chunk each.
+    rows = [(None, k % 9, draw.choice(GIVEN), draw.choice(["x", None, "y" * 700 + str(k % 3)])) for k in range(2000)]
+    rows += [(1, None, "user", f"t{k}") for k in range(300)] + [(2, 4, "assistant", "again")] * 900
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    tables, stored = {}, chat.stored
+
+    def kept(table, purpose):
+        tables[purpose] = stored(table, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(chat, "stored", kept)
+    got = chat.repair_conversations(df, chunk=16).collect()
+    for conv, n in (("\0", 2000), ("1", 300), ("2", 900)):
+        assert tables["summaries"].where(tables["summaries"].conv == conv).count() >= n / 16
+    order = lambda t, r, x: (t is None, t or 0, r is None, r or "", x is None, x or "")
+    want = []
+    for conv in (None, 1, 2):
+        turns = sorted((order(t, r, x), t, r, x) for c, t, r, x in rows if c == conv)
+        (way,) = chat.through([chat.summary([r for _, _, r, _ in turns])])
+        placed = chat.place([(r, x) for _, _, r, x in turns], *way)
+        want += [(conv, t, r, *p) for (_, t, r, _), p in zip(turns, placed, strict=True)]
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want))
