@@ -6,9 +6,11 @@ of fewer words is one window); the automaton's letters are word numbers, so a te
 scanned once, word by word, and a match says at which word it ends.  Word places are mapped
 back to character offsets of the original text where something was found.
 
-The benchmark is cut by a hash of its item into blocks of at most about ``BLOCK_BYTES``, one
-automaton each; the documents pass one block after the other, without a shuffle.  A block
-that turns out larger than four times that (a single giant item) is refused.
+The distinct pairs of window and item are made in Spark and dealt by a hash of the pair to blocks, one
+automaton each, whose windows come from about ``BLOCK_BYTES`` of the benchmark; so neither a giant item nor a window of
+many items makes a large block.  Words longer than ``LONG`` bytes stand as their digests there.  The documents pass one
+block after the other, without a shuffle.  The driver holds one block at a time; after every ``TOGETHER`` blocks what was
+found is stored.
 
 Defined results: a null or empty text has no words and is clean; an item without words
 has no window; a null item id counts under the name ``null``; an item that is listed twice counts once.
@@ -22,20 +24,26 @@ import hashlib
 import math
 import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, bare_words, packed, utf8
+from ..session import work_dir
+from .common import add_columns, bare_words, packed, stored, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
+#: Longer words are numbered by their digests.
+LONG = 64
+#: Blocks whose automata one plan holds.
+TOGETHER = 4
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _SPAN = T.ArrayType(T.StructType().add("start", "integer").add("stop", "integer"))
@@ -55,14 +63,18 @@ def windows_of(words: list[bytes], size: int = WINDOW) -> Iterator[tuple[bytes,
             yield tuple(words[k : k + size])
 
 
-def build(items: list[tuple[str, bytes | None]], size: int = WINDOW) -> tuple[dict[bytes, int], ahocorasick.Automaton]:
-    """Word numbers and the automaton; a window's value is its length and the items it is in."""
+def short(word: bytes) -> bytes:
+    """The word, or what stands for a long one; no bare word has a number sign."""
+    return word if len(word) <= LONG else b"#" + hashlib.sha256(word).hexdigest().encode()
+
+
+def build(pairs: Iterable[tuple[bytes, str]]) -> tuple[dict[bytes, int], ahocorasick.Automaton]:
+    """Word numbers and the automaton of windows, each with an item it is in; a window's value is its length and its items."""
     numbers: dict[bytes, int] = {}
     owners: dict[tuple[int, ...], set[str]] = {}
-    for name, text in items:
-        for window in windows_of(bare_words(text), size):
-            key = tuple(numbers.setdefault(w, len(numbers) + 1) for w in window)
-            owners.setdefault(key, set()).add(name)
+    for window, name in pairs:
+        key = tuple(numbers.setdefault(w, len(numbers) + 1) for w in window.split(b" "))
+        owners.setdefault(key, set()).add(name)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for key, names in owners.items():
         automaton.add_word(key, (len(key), tuple(sorted(names))))
@@ -77,7 +89,7 @@ def scan(words: list[bytes], numbers: dict[bytes, int], automaton: ahocorasick.A
     names: set[str] = set()
     if words and len(automaton):
         get = numbers.get
-        for last, (length, owners) in automaton.iter(tuple([get(w, 0) for w in words])):
+        for last, (length, owners) in automaton.iter(tuple([get(w if len(w) <= LONG else short(w), 0) for w in words])):
             hit.update(range(last - length + 1, last + 1))
             names.update(owners)
     return hit, names
@@ -96,14 +108,14 @@ def character_spans(text: bytes, hit: list[int]) -> list[dict[str, int]]:
     return spans
 
 
-def _scanner(block: Broadcast, size: int, last: bool) -> Callable[[pa.RecordBatch], list[pa.Array]]:
+def _scanner(block: Broadcast, last: bool) -> Callable[[pa.RecordBatch], list[pa.Array]]:
     """What one block's automaton adds to what the blocks before found.  A worker builds it once."""
     name = uuid.uuid4().hex
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         if name not in _BUILT:
             _BUILT.clear()
-            _BUILT[name] = build(block.value, size)
+            _BUILT[name] = build(block.value)
         numbers, automaton = _BUILT[name]
         columns = {n: batch.column(batch.schema.get_field_index(n)) for n in ("__text", "__hit", "__names")}
         hits, names, rows = [], [], []
@@ -132,18 +144,41 @@ def _scanner(block: Broadcast, size: int, last: bool) -> Callable[[pa.RecordBatc
     return run
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes | None]]]:
-    """The benchmark in blocks whose size is checked before they are sent out."""
+_PAIR = T.StructType().add("window", "binary").add("id", "string")
+
+
+def _pairs(items: DataFrame, size: int) -> DataFrame:
+    """The distinct pairs of a window, its words with spaces between, and the id of an item it is in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(*batch.columns, strict=True):
+                made = (b" ".join(w) for w in windows_of([short(w) for w in bare_words(text.as_py())], size))
+                while part := list(islice(made, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([name.as_py()] * len(part), pa.string())], names=_PAIR.names)
+
     rows = items.select(F.coalesce(F.col("__id").cast("string"), F.lit("null")).alias("id"), utf8("__text").alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return rows.mapInArrow(run, _PAIR).distinct()
+
+
+def _blocks(items: DataFrame, size: int, block_bytes: int) -> tuple[int, Iterator[list[tuple[bytes, str]]]]:
+    """The number of blocks and, one after the other, their pairs."""
+    pairs = _pairs(items, size)
+    total = items.agg(F.sum(F.octet_length(utf8("__text")))).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
-    for k in range(n):
-        mine: Column = F.pmod(F.xxhash64("id"), F.lit(n)) == k
-        size = rows.where(mine).agg(F.sum(F.octet_length("text"))).first()[0] or 0 if n > 1 else total
-        if size > 4 * block_bytes:
-            raise ValueError(f"a benchmark item of about {size} bytes exceeds the block size {block_bytes}")
-        got: list[Row] = rows.where(mine).collect()
-        yield [(r["id"], bytes(r["text"]) if r["text"] is not None else None) for r in got]
+    if n > 1:
+        dealt = pairs.withColumn("block", F.pmod(F.xxhash64("window", "id"), F.lit(n)).cast("int"))
+        pairs = stored(dealt.repartitionByRange("block").sortWithinPartitions("block"), "windows")
+        longest = pairs.agg(F.max(F.octet_length("window"))).first()[0] or 0
+        if longest > 4 * block_bytes:
+            raise ValueError(f"a window of {longest} bytes exceeds the block size {block_bytes}")
+
+    def each() -> Iterator[list[tuple[bytes, str]]]:
+        for k in range(n):
+            mine = pairs.where(F.col("block") == k) if n > 1 else pairs
+            yield [(bytes(r["window"]), r["id"]) for r in mine.select(*_PAIR.names).collect()]
+
+    return n, each()
 
 
 def scan_documents(
@@ -151,15 +186,33 @@ def scan_documents(
 ) -> DataFrame:
     """Replace the binary column ``__text`` by the columns of ``FOUND``."""
     sc = rows.sparkSession.sparkContext
-    blocks = list(_blocks(items.select(F.col(item_id).alias("__id"), F.col(item_text).alias("__text")), block_bytes))
+    n, blocks = _blocks(items.select(F.col(item_id).alias("__id"), F.col(item_text).alias("__text")), size, block_bytes)
     state = T.StructType().add("__text", "binary").add("__hit", T.ArrayType(T.IntegerType())).add("__names", T.ArrayType(T.StringType()))
     found = rows.withColumns({"__hit": F.array().cast("array<int>"), "__names": F.array().cast("array<string>")})
-    for k, block in enumerate(blocks):
-        last = k + 1 == len(blocks)
-        found = add_columns(found, state.names, FOUND if last else state, _scanner(sc.broadcast(block), size, last))
+    sent: list[Broadcast] = []
+    before: str | None = None
+    for k in range(n):
+        last = k + 1 == n
+        sent.append(sc.broadcast(next(blocks)))
+        found = add_columns(found, state.names, FOUND if last else state, _scanner(sent[-1], last))
+        if not last and len(sent) == TOGETHER:
+            path = work_dir(rows.sparkSession, "scanned")
+            found.write.parquet(path)
+            found = rows.sparkSession.read.schema(found.schema).parquet(path)
+            for block in sent:
+                block.destroy()
+            if before:
+                _forget(rows.sparkSession, before)
+            sent, before = [], path
     return found
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    """Delete what a later state replaces."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options: object) -> DataFrame:
     """Per document: its key, counts of words, hit words and items, the items, and the hit character spans."""
     return scan_documents(docs.select(F.col(key), utf8(text).alias("__text")), benchmark, **options)

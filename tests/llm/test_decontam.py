@@ -75,3 +75,17 @@ def test_empty_tables_and_giant_items(spark, documents, bench):
     assert decontam.contamination(documents([]), bench[1]).count() == 0
     with pytest.raises(ValueError, match="exceeds the block size"):
         decontam.contamination(documents([]), bench[1], block_bytes=10)
+
+
+def test_giant_items_are_cut(spark, documents, odd, prose, monkeypatch):
+    monkeypatch.setattr(decontam, "TOGETHER", 2)
+    texts = prose(60, 60, seed=21)
+    long = "w" * 5000
+    # One item and the null ids are each far larger than four blocks; one window belongs to many items.
+    items = [(1, " ".join(texts))] + [(None, t) for t in prose(40, 60, seed=22)] + [(1000 + k, "a window of many items") for k in range(300)] + [(2, f"{long} after")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = planted(odd, prose, [(k, texts[k]) for k in range(12)]) + [(900, f"here is a window of many items and {long.upper()} after it", "s"), (901, "w" * 5001 + " after", "s")]
+    got = {r.doc_id: r for r in decontam.contamination(documents(rows), benchmark, block_bytes=2000).collect()}
+    for i, t, _ in rows:
+        assert (got[i].n_words, got[i].n_hit, got[i].n_items, got[i].items_sha256, got[i].contaminated) == brute(t, items), i
+    assert got[900].n_items == 301 and not got[901].contaminated
