@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -562,13 +563,14 @@ def streamed_visibility(t: Tables) -> DataFrame:
     """Every probe row of the order feed as the running job saw it become visible."""
     feed, tables, root = _stream(t, ["orders"])
     probe = F.col("shipping_address").like("latency_test_%")
+    written = datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")  # the job's clock for sources is UTC, too
     run_available(feed, tables, root, markers={"orders": ("shipping_address", probe)})
     seen = observed_markers(t.spark, f"{root}/replicate-all")
     sent = t.orders().where(probe).select(
         F.col("order_id").alias("probe_seq"),
         F.lit("orders").alias("table"),
         F.col("shipping_address").alias("marker"),
-        F.localtimestamp().alias("insert_ts"),  # after the job: all were visible by then
+        F.to_timestamp_ntz(F.lit(written)).alias("insert_ts"),
     )
     return latency.probe_latency(sent, seen).select("table", "marker", "success")
 

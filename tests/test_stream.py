@@ -7,7 +7,9 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowflow.operators import latency
 from rowflow.operators.sync import sync_verdict
+from rowflow.plans.catalog import QUERIES
 from rowflow.plans.views import CUSTOMER_TIERS, DAILY_ORDERS
 from rowflow.schemas import CUSTOMERS, ENVELOPE, ORDERS
 from rowflow.sources.changes import change_envelopes, read_changes
@@ -321,3 +323,16 @@ def test_a_restart_resumes_the_view_where_it_was(spark, root):
     again(make(), 1)
     assert again.refreshed == {"daily_order_summary": 2}
     assert set(stored.current().collect()) == set(DAILY_ORDERS.compute(orders.current()).collect())
+
+
+def test_probes_wait_from_the_write_of_the_feed(spark, monkeypatch):
+    waits, probe_latency = [], latency.probe_latency
+
+    def kept(sent, seen):
+        waits.extend([probe_latency(sent, seen), probe_latency(sent, seen, timeout_ms=1)])
+        return waits[0]
+
+    monkeypatch.setattr(latency, "probe_latency", kept)
+    shown = QUERIES["streamed_visibility"](spark, "/root/testdata/sf0.001").count()
+    assert shown and waits[0].where("success and latency_ms > 0").count() == shown
+    assert waits[1].where("not success and latency_ms = -1").count() == shown  # the timeout can fail a probe
