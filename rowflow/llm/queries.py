@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat, ctw, decontam, licenses, mixing, quality, sharding, simhash, tokens, warc
+from . import chat, ctw, decontam, licenses, mixing, negatives, packing, quality, resampling, sharding, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -107,3 +107,27 @@ def op3_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probabilities of every document under the word counts and under the context trees of the training documents."""
     return ctw.language_scores(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """The pieces of every document and the sequences they are packed into."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), tokenizer)
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document for the words of the benchmark."""
+    return resampling.importance_resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every 50th vector, where every 7th is of the next label."""
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
