@@ -10,17 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import check_status, lag_label, latency_color, latency_label, latency_status, line_total
-from ..operators import dml, integrity, latency, markers, sync
+from ..operators import digests, dml, integrity, latency, markers, sync
 from ..operators.latest import current_rows, drop_tombstones, latest_by_key, live_keys, merge_newest
 from ..schemas import ORDERS
 from ..session import work_dir
 from ..sources import generate
 from ..sources.changes import change_envelopes, change_events, read_changes, typed_changes, union_all, unreadable_changes
 from ..sources.snapshot import snapshot_rows
-from ..streaming.refresh import build_view, view_table
+from ..streaming.references import References
 from ..streaming.replicate import Upkeep, await_queries, batch_metrics, observed_markers, run_available, start
+from ..streaming.signed import SIGNED_CUSTOMER_TIERS, SIGNED_DAILY_ORDERS, Signed, SignedView
 from ..streaming.store import KeyedTable
-from ..streaming.verify import content_checksums, verify_sync
+from ..streaming.verify import verify_sync
 from . import reports
 from .mapping import KEYS, WIDE, Tables, as_of
 from .views import CUSTOMER_TIERS, DAILY_ORDERS, View
@@ -528,13 +529,51 @@ def fanout_apply(t: Tables) -> DataFrame:
     rows = t.all()
     feed, tables, root = _stream(t, list(rows))
     report = verify_sync(start(feed, tables, root, interval=None), rows, tables, 3600).report
-    found = content_checksums({n: table.current() for n, table in tables.items()})
-    expected = content_checksums({n: current_rows(f, KEYS[n]) for n, f in t.feeds().items()})
+    found = digests.content_checksums({n: table.current() for n, table in tables.items()})
+    expected = digests.content_checksums({n: current_rows(f, KEYS[n]) for n, f in t.feeds().items()})
     wanted = expected.select("table", F.col("checksum").alias("__wanted"))
     same = found.join(wanted, "table").select("table", (F.col("checksum") == F.col("__wanted")).alias("same_content"))
     return report.join(same, "table")
 
 
+@query
+def content_differences(t: Tables) -> DataFrame:
+    """Orders after a replication that lost, made up and garbled some, against the orders that their feed leads to."""
+    key, amount = F.col("order_id"), F.col("total_amount")
+    feed = t.order_feed()
+    garbled = F.when(key % 97 == 3, amount + 1).when(key % 97 != 4, amount)
+    damaged = feed.where(key % 101 != 5).withColumn("total_amount", garbled.cast(feed.schema["total_amount"].dataType))
+    made_up = feed.where((F.col("op") == "r") & (key % 103 == 7)).withColumn("order_id", -key)
+    table = KeyedTable(t.spark, work_dir(t.spark, "damaged"), "orders", t.orders().schema, KEYS["orders"])
+    table.create(damaged.where(F.col("op") == "r")).append(damaged.where(F.col("op") != "r").unionByName(made_up), 0)
+    return digests.content_differences(current_rows(feed, KEYS["orders"]), table.current(), KEYS["orders"])
+
+
+@query
+def orphans_current(t: Tables) -> DataFrame:
+    """Orders that items refer to and that are gone, kept current by a job for both tables."""
+    feed, tables, root = _stream(t, ["orders", "order_items"])
+    for table in tables.values():
+        table.create()
+    kept = References(t.spark, f"{root}/references", "order_items", "orders", "order_id", tables["orders"].columns["order_id"].dataType)
+    kept.build(tables["order_items"], tables["orders"])
+    run_available(feed, tables, root, references=[kept])
+    return kept.orphans.current().select("order_id", F.col("n").alias("n_items"))
+
+
+@query
+def restrict_current(t: Tables) -> DataFrame:
+    """Products that the test cleanup may or may not delete, by counts of references that followed the stream of items."""
+    feed, tables, root = _stream(t, ["order_items", "products"])
+    for table in tables.values():
+        table.create()
+    kept = References(t.spark, f"{root}/references", "order_items", "products", "product_id", tables["products"].columns["product_id"].dataType)
+    kept.build(tables["order_items"], tables["products"])
+    run_available(feed, tables, root, references=[kept])
+    candidates = t.products().where(markers.like_any(F.col("sku"), markers.TEST_SKUS))
+    return kept.restrict(candidates.select("product_id", "sku"))
+
+
 @query
 def per_table_jobs(t: Tables) -> DataFrame:
     """Every table out of a job of its own."""
@@ -603,20 +642,22 @@ def compact_equals_replay(t: Tables) -> DataFrame:
     return tables["orders"].current()
 
 
-def _refreshed(t: Tables, view: View) -> DataFrame:
-    """A view built on the snapshot and refreshed batch by batch."""
+def _refreshed(t: Tables, signed: Signed) -> DataFrame:
+    """A view built on the snapshot and kept current batch by batch, by what the batches took away and put there."""
+    view = signed.view
     feed, tables, root = _stream(t, [view.source])
     table = tables[view.source].create(snapshot_rows(t.all()[view.source]))
-    stored = build_view(table, view_table(table, f"{root}/views", view), view)
+    member = table.columns[signed.member].dataType if signed.member else None
+    stored = SignedView(t.spark, f"{root}/views", signed, member).build(table)
     run_available(feed, tables, root, views={view.source: [(view, stored)]})
     return stored.current()
 
 
 @query
 def view_incremental(t: Tables) -> DataFrame:
-    return _refreshed(t, DAILY_ORDERS)
+    return _refreshed(t, SIGNED_DAILY_ORDERS)
 
 
 @query
 def tier_view_incremental(t: Tables) -> DataFrame:
-    return _refreshed(t, CUSTOMER_TIERS)
+    return _refreshed(t, SIGNED_CUSTOMER_TIERS)

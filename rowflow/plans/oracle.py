@@ -340,6 +340,14 @@ select 'd' as op, cast(10 as bigint) as seq, {ITEM_KEYS} from items_t
 where order_id in (select order_id from orders_t where shipping_address like 'bench_addr_%')""",
     "fk_orphans": f"""{_with(ORDER_STATE, ITEMS)}
 select {ITEM_KEYS}, total_price from items_t where order_id not in (select order_id from orders_now)""",
+    "content_differences": f"""{_with(ORDER_STATE)}
+select order_id, 'missing' as kind from orders_now where order_id % 101 = 5
+union all select order_id, 'changed' from orders_now where order_id % 101 <> 5 and order_id % 97 in (3, 4) and total_amount is not null
+union all select -o_orderkey, 'extra' from orders where o_orderkey % 103 = 7""",
+    "orphans_current": f"""{_with(ORDER_STATE)},
+items_now as (select l_orderkey from lineitem group by l_orderkey, l_linenumber, l_partkey, l_suppkey having bool_and(l_returnflag <> 'R'))
+select l_orderkey as order_id, count(*) as n_items from items_now
+where l_orderkey not in (select order_id from orders_now) group by 1""",
     "cascade_delete": f"""{_with(ORDERS, ITEMS)}
 select 'd' as op, cast(11 as bigint) as seq, {ITEM_KEYS} from items_t
 where order_id in (select order_id from orders_t where {TEST_ORDERS})""",
@@ -532,3 +540,6 @@ select reasons, count(*) as messages from (
               when order_id % 97 = 3 then 'order_id: null' else '' end as reasons
   from order_feed) group by 1""",
 }
+
+#: Counts that followed the stream refuse what the settled children refuse.
+ORACLE["restrict_current"] = ORACLE["restrict_delete"]

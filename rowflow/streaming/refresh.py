@@ -72,7 +72,7 @@ def refresh_view(
         groups.unpersist()
 
 
-def covered_until(stored: KeyedTable, job: str = JOB) -> int | None:
+def covered_until(stored, job: str = JOB) -> int | None:
     """The first batch of a job that the stored view does not cover yet; None when it never recorded one."""
     try:
         marks = stored.spark.read.schema("next bigint").json(f"{stored.path}/covered/job={job}")
@@ -83,7 +83,7 @@ def covered_until(stored: KeyedTable, job: str = JOB) -> int | None:
     return marks.agg(F.max("next")).first()[0]
 
 
-def record_covered(stored: KeyedTable, batch: int, job: str = JOB) -> None:
+def record_covered(stored, batch: int, job: str = JOB) -> None:
     """Note that the view covers every batch up to this one, so that a restart goes on from there."""
     row = stored.spark.range(1).select(F.lit(batch + 1).cast("bigint").alias("next"))
     row.write.mode("overwrite").json(f"{stored.path}/covered/job={job}")

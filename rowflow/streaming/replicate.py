@@ -17,7 +17,9 @@ from ..operators.integrity import split_contract
 from ..plans.views import View
 from ..schemas import Table
 from ..sources.changes import typed_changes, unreadable_changes
+from .references import References
 from .refresh import covered_until, record_covered, refresh_view
+from .signed import SignedView
 from .store import KeyedTable
 
 # Fixed value: how often a sink flushes.
@@ -33,8 +35,8 @@ ARRIVED = (
 class Upkeep:
     """How many batches lie between two runs of each upkeep task; None leaves it out.
 
-    A fold costs as much as the changes since the last one, a refresh reads the view's
-    columns of the table, a compaction rewrites the table.
+    A fold costs as much as the changes since the last one, a compaction rewrites the table.  A refresh of a
+    ``SignedView`` looks up what the batches touched, one of a plain stored view reads the view's columns of the table.
     """
 
     refresh_every: int | None = 1
@@ -54,11 +56,12 @@ class BatchApplier:
         self,
         tables: Mapping[str, KeyedTable],
         root: str,
-        views: Mapping[str, list[tuple[View, KeyedTable]]] | None = None,
+        views: Mapping[str, list[tuple[View, KeyedTable | SignedView]]] | None = None,
         contracts: Mapping[str, Table] | None = None,
         upkeep: Upkeep | None = None,
         markers: Mapping[str, tuple[str, Column]] | None = None,
         source_zone: str = "UTC",
+        references: Iterable[References] = (),
     ):
         self.tables = dict(tables)
         self.root = root.rstrip("/")
@@ -67,6 +70,7 @@ class BatchApplier:
         self.upkeep = upkeep or Upkeep()
         self.markers = dict(markers or {})
         self.source_zone = source_zone
+        self.references = [r for r in references if r.child in self.tables and r.parent in self.tables]
         self.job = hashlib.md5(self.root.encode()).hexdigest()[:8]
         self.refreshed: dict[str, int | None] = {}  # next batch to refresh from, per view
 
@@ -113,15 +117,20 @@ class BatchApplier:
         if due["refresh_every"] or due["fold_every"] or due["compact_every"]:
             for name, views in self.views.items():
                 for view, stored in views:
+                    if isinstance(stored, SignedView):
+                        stored.refresh(self.tables[name], batch_id, self.job)
+                        continue
                     if view.name not in self.refreshed:  # after a restart
                         self.refreshed[view.name] = covered_until(stored, self.job)
                     since = self.refreshed[view.name]
                     refresh_view(self.tables[name], stored, view, since, batch_id, self.job)
                     record_covered(stored, batch_id, self.job)
                     self.refreshed[view.name] = batch_id + 1
+            for kept in self.references:
+                kept.refresh(self.tables[kept.child], self.tables[kept.parent], batch_id, self.job)
         if not (due["fold_every"] or due["compact_every"]):
             return
-        for table in [*self.tables.values(), *(s for views in self.views.values() for _, s in views)]:
+        for table in [*self.tables.values(), *(s for views in self.views.values() for _, s in views), *self.references]:
             table.compact() if due["compact_every"] else table.fold()
             if self.upkeep.keep_versions:
                 table.vacuum(self.upkeep.keep_versions)
@@ -186,17 +195,19 @@ def start(
     root: str,
     mode: str = "single",
     interval: str | None = FLUSH_INTERVAL,
-    views: Mapping[str, list[tuple[View, KeyedTable]]] | None = None,
+    views: Mapping[str, list[tuple[View, KeyedTable | SignedView]]] | None = None,
     contracts: Mapping[str, Table] | None = None,
     upkeep: Upkeep | None = None,
     name: str = "replicate",
     markers: Mapping[str, tuple[str, Column]] | None = None,
     source_zone: str = "UTC",
+    references: Iterable[References] = (),
 ) -> list[StreamingQuery]:
     """Start replicating ``feed`` into ``tables``.
 
     ``markers`` gives, for tables with probe rows, the column of their marker and what tells them from others;
-    ``source_zone`` is the zone of the source's commit times.  ``single`` runs one query for all tables, ``per_table`` one query per table with a
+    ``source_zone`` is the zone of the source's commit times, ``references`` are kept current by the job that has both of
+    their tables.  ``single`` runs one query for all tables, ``per_table`` one query per table with a
     checkpoint of its own.  ``interval=None`` works off what is there and stops.
     """
     if mode not in ("single", "per_table"):
@@ -209,7 +220,7 @@ def start(
         folder = f"{root.rstrip('/')}/{name}-{label}"
         for table in group.values():
             table.create()
-        applier = BatchApplier(group, folder, views, contracts, upkeep, markers, source_zone)
+        applier = BatchApplier(group, folder, views, contracts, upkeep, markers, source_zone, references)
         writer = (
             feed.writeStream.queryName(f"{name}-{label}")
             .foreachBatch(applier)

@@ -26,11 +26,15 @@ from ..schemas import create_table_sql
 # Fixed value: least number of hash buckets of a target table.
 MIN_BUCKETS = 4
 
-#: Label of the writer whose batches are numbered on their own.
+#: Label of the writer whose batches are numbered on their own, and of what a fold wrote.
 JOB = "main"
+FOLDED = "folded"
 
 META = T.StructType().add("op", "string").add("seq", "long")
 
+#: Up to so many keys are looked up by their values, so that buckets and row groups without them are not read.
+LISTED_KEYS = 1000
+
 
 def buckets_for(table_bytes: int, bucket_bytes: int = 1 << 30) -> int:
     """Buckets that keep each one near ``bucket_bytes``, the share of one merging task."""
@@ -140,6 +144,61 @@ class KeyedTable:
         newest = latest_by_key(log.select(*wanted), self.keys)
         return merge_newest(stored, newest, self.keys, self.nullable_keys)
 
+    def state_of(
+        self, keys: DataFrame, before_batch: int | None = None, job: str = JOB, columns: Iterable[str] | None = None
+    ) -> DataFrame:
+        """``state`` of some keys only, which are given once each.
+
+        The scans see the keys' values where they are few and one column, else the range of them; snapshots are
+        sorted by key, so both skip row groups, and values skip buckets too.  What is left is joined to the keys
+        before anything is reduced, and the snapshot's rows stay where they are.
+        """
+        version, snapshot = self._required()
+        rest = set(self.schema.names if columns is None else [*META.names, *self.keys, *columns])
+        wanted = [c for c in self.schema.names if c in rest]
+        near = self._near(keys)
+        later = (F.col("job") == job) & (F.col("batch") >= before_batch) if before_batch is not None else None
+        log = self._log(version, None if later is None else ~later)
+        parts = [self._snapshot(snapshot)] + ([log] if log is not None else [])
+        asked = keys.select(*[F.col(k).alias(f"__{k}") for k in self.keys])
+        same = [
+            F.col(k).eqNullSafe(F.col(f"__{k}")) if self.nullable_keys else F.col(k) == F.col(f"__{k}") for k in self.keys
+        ]
+        found = [rows.select(*wanted).where(near).join(asked, same, "left_semi") for rows in parts]
+        if len(found) == 1:
+            return found[0]
+        return merge_newest(found[0], latest_by_key(found[1], self.keys), self.keys, self.nullable_keys)
+
+    def _near(self, keys: DataFrame) -> Column:
+        """A condition on the table's own columns that holds for all of the keys, for the scans."""
+        if len(self.keys) == 1:
+            key = self.keys[0]
+            some = [r[0] for r in keys.select(key).limit(LISTED_KEYS + 1).collect()]
+            if len(some) <= LISTED_KEYS:
+                listed = F.col(key).isin([v for v in some if v is not None])
+                return listed | F.col(key).isNull() if None in some else listed
+        ends = keys.agg(
+            *[f(k).alias(f"{n}_{i}") for i, k in enumerate(self.keys) for n, f in (("least", F.min), ("most", F.max))],
+            *[F.count_if(F.col(k).isNull()).alias(f"nulls_{i}") for i, k in enumerate(self.keys)],
+        ).first()
+        near = F.lit(True)
+        for i, k in enumerate(self.keys):
+            if ends[f"least_{i}"] is not None:
+                inside = F.col(k).between(ends[f"least_{i}"], ends[f"most_{i}"])
+                near = near & (inside | F.col(k).isNull() if ends[f"nulls_{i}"] else inside)
+        return near
+
+    def stored_batches(self) -> dict[str, int]:
+        """Of each job with unfolded batches, the last one: a row per job."""
+        fields = T.StructType().add("job", "string").add("batch", "long")
+        try:
+            log = self.spark.read.schema(T.StructType(self.schema.fields + fields.fields)).parquet(f"{self.path}/log/v={self._required()[0]}")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return {}
+            raise
+        return {r["job"]: r["last"] for r in log.groupBy("job").agg(F.max("batch").alias("last")).collect() if r["job"] != FOLDED}
+
     def current(
         self, before_batch: int | None = None, job: str = JOB, columns: Iterable[str] | None = None
     ) -> DataFrame:
@@ -185,7 +244,7 @@ class KeyedTable:
         log = self._log(version)
         if log is not None:
             newest = latest_by_key(log, self.keys)
-            newest.write.mode("overwrite").parquet(f"{self.path}/log/v={version + 1}/job=folded/batch=0")
+            newest.write.mode("overwrite").parquet(f"{self.path}/log/v={version + 1}/job={FOLDED}/batch=0")
             self._writing = self._publish(version + 1, snapshot)
 
     def compact(self, forget_below: int | None = None) -> None:

@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.sync import sync_report, sync_verdict, table_counts
@@ -73,14 +72,3 @@ def verify_sync(
                 waited = int((time.monotonic() - began) * 1000)
                 return SyncOutcome(report, synced, late and not synced and not ended, waited)
         time.sleep(min(POLL_SECONDS, max(0.0, deadline - time.monotonic())))
-
-
-def content_checksums(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and an order-free checksum of all columns per table, for comparing contents and not only counts."""
-    parts = None
-    for name, df in tables.items():
-        hashed = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
-        part = df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(hashed.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("checksum"))
-        part = part.select(F.lit(name).alias("table"), "row_count", "checksum")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowflow.operators import latency
+from rowflow.operators.digests import content_checksums
 from rowflow.operators.sync import sync_verdict
 from rowflow.plans.catalog import QUERIES
 from rowflow.plans.views import CUSTOMER_TIERS, DAILY_ORDERS
@@ -16,7 +17,7 @@ from rowflow.sources.changes import change_envelopes, read_changes
 from rowflow.streaming.refresh import build_view, covered_until, refresh_view, view_table
 from rowflow.streaming.replicate import BatchApplier, Upkeep, await_queries, batch_metrics, run_available, start
 from rowflow.streaming.store import KeyedTable
-from rowflow.streaming.verify import content_checksums, verify_sync
+from rowflow.streaming.verify import verify_sync
 
 A = T.StructType().add("k", "long").add("v", "string")
 
