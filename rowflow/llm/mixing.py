@@ -155,7 +155,8 @@ def balanced(units: DataFrame, most_units: int, block: int = BLOCK) -> DataFrame
 
 
 def _mixed(rows: DataFrame, weights: Sequence[int], share: float, most: float, block: int) -> DataFrame:
-    """Rows with ``__source, __size, __hash`` get ``__source_size, __target, __copies``."""
+    """Rows with ``__source, __size, __id, __hash`` get ``__source_size, __target, __copies``."""
+    rows = _parted(rows, block)
     sums = rows.groupBy("__source").agg(F.sum("__size").alias("size"), F.count(F.lit(1)).alias("n"))
     sources = sums.limit(MAX_SOURCES + 1).collect()
     if len(sources) > MAX_SOURCES:
@@ -177,7 +178,24 @@ def _mixed(rows: DataFrame, weights: Sequence[int], share: float, most: float, b
 
 def _working(text: str, source: str, key: str) -> dict[str, Column]:
     size = F.size(plain_words(F.col(text))).cast("bigint")
-    return {"__source": F.col(source), "__size": size, "__hash": F.xxhash64(F.col(key), F.octet_length(F.col(text)))}
+    return {"__source": F.col(source), "__size": size, "__id": F.col(key), "__hash": F.xxhash64(F.col(key), F.octet_length(F.col(text)))}
+
+
+def _parted(rows: DataFrame, block: int) -> DataFrame:
+    """Rows of an id that more than a block of rows share are told apart by their places in the table.
+
+    Else copies, or rows without an id, would share one block whatever its hash.  All other rows keep their hash, which
+    does not depend on their places.
+    """
+    hot = rows.groupBy("__id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select(F.col("__id").alias("__hot"), F.lit(True).alias("__many"))
+    ids = hot.count()
+    if not ids:
+        return rows.drop("__id")
+    hot = F.broadcast(hot) if ids <= MAX_SOURCES else hot
+    placed = rows.withColumn("__place", F.monotonically_increasing_id())
+    joined = placed.join(hot, F.col("__id").eqNullSafe(F.col("__hot")), "left")
+    own = F.when(F.col("__many"), F.xxhash64("__hash", "__place")).otherwise(F.col("__hash"))
+    return joined.withColumn("__hash", own).drop("__id", "__hot", "__many", "__place")
 
 
 def mix(
@@ -192,6 +210,7 @@ def mix(
 ) -> DataFrame:
     """Per document: key, ``size``, ``source_size``, ``target``, ``taken`` words, and the ``copies`` of it."""
     rows = docs.select(F.col(key).alias("__key"), *[c.alias(n) for n, c in _working(text, source, key).items()])
+    rows = stored(rows, "sizes")  # small, and read by every pass instead of the texts
     return _mixed(rows, weights, share, most, block).select(
         F.col("__key").alias(key),
         F.col("__size").alias("size"),

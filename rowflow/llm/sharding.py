@@ -13,7 +13,8 @@ Defined results: a null key hashes like an empty one, a null text has 0 bytes, a
 table gives no shard.  Rows whose keys are equal share all bits and cannot be parted: when
 they alone exceed the limit, as a single larger document does, their bucket ends at the
 first bit that isolates them and is marked ``oversize``; a key that names the row (several
-columns may) avoids it.  Columns of the table are carried along whatever their names.
+columns may) avoids it.  Columns of the table are carried along; one that is named like a column of the
+result, in whatever case, is kept as ``given_<name>`` (with as many ``given_`` as make it a new name).
 """
 
 from __future__ import annotations
@@ -40,6 +41,21 @@ def key_bits(key: Iterable[str]) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(",", *parts)), 1, BITS // 4), 16, 10).cast("bigint")
 
 
+def given_names(columns: Iterable[str], own: Iterable[str]) -> dict[str, str]:
+    """Names under which columns are kept beside a result's own columns."""
+    columns = list(columns)
+    taken = {c.lower() for c in own} | {c.lower() for c in columns}
+    names = {}
+    for c in columns:
+        name = c
+        if c.lower() in {o.lower() for o in own}:
+            while name.lower() in taken:
+                name = f"given_{name}"
+            taken.add(name.lower())
+        names[c] = name
+    return names
+
+
 def _prefix(depth: int) -> Column:
     return F.shiftright("__h", BITS - depth)
 
@@ -104,5 +120,4 @@ def extendible_shards(
         low, high = high + 1, min(BITS, high + STEP)
     if not rows:
         return out
-    own = [c for c in SHARD if c not in docs.columns]
-    return out.select("__row.*", *own)
+    return out.select(*[F.col(f"__row.`{c}`").alias(n) for c, n in given_names(docs.columns, SHARD).items()], *SHARD)

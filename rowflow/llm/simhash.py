@@ -190,13 +190,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     )
 
 
+def _whole(docs: DataFrame) -> Column:
+    """A hash of all columns that tells nulls apart, also inside nested values, and takes maps."""
+    parts: list[Column] = []
+    for f in docs.schema.fields:
+        c = F.col(f"`{f.name}`")
+        nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+        # An alias gives the value a plain name inside the object.
+        parts += [c.isNull(), F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"}) if nested else c]
+    return F.xxhash64(*parts)
+
+
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """The documents, all columns, of which one is left per component: that with the smallest key.
 
     Among rows with the same key the one with the smallest hash of all its columns stays, null keys come last;
-    rows that agree in everything are one document.
+    rows that agree in everything, nulls and nested values included, are one document.
     """
-    whole: Column = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = _whole(docs)
     rows = docs.select(F.col(key).alias("__key"), whole.alias("__hash"), utf8(text).alias("__text"))
     prints = stored(add_fingerprint(rows, size), "fingerprints")
     alike = prints.groupBy("fingerprint", "__key", "__hash").agg(F.count(F.lit(1)).alias("__copies"))

@@ -77,3 +77,17 @@ def test_empty_and_wordless(documents):
     assert mixing.mixed_documents(documents([])).count() == 0
     got = mixing.mix(documents([(1, None, "a"), (2, " ", None)])).collect()
     assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_copies_do_not_share_a_block(spark, documents):
+    rows = [(None, None, "a")] * 1500 + [(7, "one two three", "a")] * 1500 + [(k, "four words are here", "b") for k in range(300)]
+    sizes = []
+    got = mixing.mix(documents(rows, parts=4), block=32).collect()
+    assert len(got) == len(rows)
+    for source in ("a", "b"):
+        mine = [r for r in got if (r.doc_id is None or r.doc_id == 7 and r.size == 3) == (source == "a")]
+        sizes.append(abs(sum(r.taken for r in mine) - mine[0].target))
+        assert abs(sum(r.copies for r in mine) - len(mine) * mine[0].target / mine[0].source_size) <= 3
+    assert max(sizes) <= 8
+    parted = mixing._parted(spark.createDataFrame([(1, 5)] * 400 + [(k, k) for k in range(2, 50)], "__id long, __hash long").repartition(3), 32)
+    assert parted.groupBy("__hash").count().where("count > 1").count() == 0

@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import pytest
 
-from rowflow.llm.sharding import extendible_shards
+from rowflow.llm.sharding import SHARD, extendible_shards
 
 
 def bits(key):
@@ -42,7 +42,7 @@ def test_buckets(documents, odd, prose, limit):
     for r in got:
         assert (r.shard, r.shard_depth, r.shard_docs, r.shard_bytes, r.oversize) == want[r.doc_id]
     whole = extendible_shards(docs, limit)
-    assert whole.columns[: len(docs.columns)] == docs.columns
+    assert whole.columns == [{"shard": "given_shard"}.get(c, c) for c in docs.columns] + list(SHARD)
     assert whole.count() == len(rows)
 
 
@@ -67,3 +67,13 @@ def test_empty_and_native(documents):
     assert extendible_shards(documents([])).count() == 0
     plan = extendible_shards(documents([(1, "a", "s")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_the_own_result_is_kept_beside_columns_of_its_names(spark, root):
+    docs = spark.createDataFrame([(k, "text " * k, "OLD", 5, "x") for k in range(40)], "doc_id long, text string, Shard string, n_bytes int, given_shard string")
+    sharded = extendible_shards(docs, 500)
+    assert sharded.columns == ["doc_id", "text", "given_given_Shard", "given_n_bytes", "given_shard", *SHARD]
+    sharded.write.parquet(f"{root}/out")
+    rows = spark.read.parquet(f"{root}/out").collect()
+    assert len({r.shard for r in rows}) > 1 and all(r.n_bytes == 5 * r.doc_id and r.given_n_bytes == 5 for r in rows)
+    assert {r.given_given_Shard for r in rows} == {"OLD"} and {r.given_shard for r in rows} == {"x"}

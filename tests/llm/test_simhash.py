@@ -123,3 +123,17 @@ def test_one_document_of_each_group_stays(documents, odd, prose):
 def test_empty(documents):
     assert simhash.near_duplicates(documents([])).count() == 0
     assert simhash.drop_near_duplicates(documents([])).count() == 0
+
+
+def test_nulls_maps_and_nested_values_tell_rows_apart(spark):
+    columns = "doc_id long, text string, a string, b string, m map<string,int>, s struct<x:string,y:string>, v array<string>"
+    plain = (1, "the same text", None, "x", {"k": 1}, ("p", None), ["q", None])
+    rows = [plain, plain, (1, "the same text", "x", None, {"k": 1}, ("p", None), ["q", None])]
+    rows += [(1, "the same text", None, "x", {"k": None}, ("p", None), ["q", None]), (1, "the same text", None, "x", {"k": 1}, (None, "p"), ["q", None])]
+    rows += [(1, "the same text", None, "x", {"k": 1}, ("p", None), [None, "q"])]
+    docs = spark.createDataFrame(rows, columns)
+    hashed = docs.select(simhash._whole(docs).alias("h"))
+    assert hashed.distinct().count() == len(rows) - 1
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.count() == 1 and kept.columns == docs.columns
+    assert {str(r) for r in kept.collect()} <= {str(r) for r in docs.collect()}
