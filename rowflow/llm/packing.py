@@ -45,7 +45,7 @@ PARTITION = 1 << 16
 #: Rounds of exchange at most.
 ROUNDS = 8
 #: Distinct words a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Longest word remembered, in characters.
 _LONGEST = 64
 
@@ -60,13 +60,10 @@ _ARROW = pa.schema(
 
 # -- encoding ------------------------------------------------------------------------
 
-# Letters, numbers and white space below U+0250, without the few that engines see differently.
-_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r "
-_CUTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-_PLAIN = re.compile("[\0-\x1b\x20-\x84\x86-\x9f\xa1-ɏ]*")
-_WORD = re.compile(f" [{_L}]+")
 _AFTER_SPACE = re.compile(r"\s ")
 _AT_SPACE = re.compile(r"(?<=\S) ")
+#: Signs that begin a token of their own after a letter or number; an apostrophe may begin a contraction.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def is_byte_level(tokenizer_json: str) -> bool:
@@ -88,15 +85,16 @@ class ByteLevelEncoder:
     """Ids of whole texts for byte-level tokenizers, each word encoded once and then remembered.
 
     No token reaches from a character that is no space into a space, so texts are cut there, and what follows a cut is
-    encoded by itself with its space.  New words below U+0250 are cut further; runs of their letters are
-    encoded together, and told apart by the bytes of their tokens.
+    a word, with its space.  Signs at the end of a word after a letter or number below U+0250 are encoded by
+    themselves.  New words are encoded in one text and told apart by the bytes of their tokens.
     """
 
     def __init__(self, tokenizer, dtype: str, end: int):
         self.tokenizer, self.dtype, self.last = tokenizer, np.dtype(dtype), np.array([end], dtype).tobytes()
         self.after: dict[str, bytes] = {}  # ids of words with the space before them
-        self.first: dict[str, bytes] = {}  # ids of words without
-        self.parts: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # ids of words at the start of a text
+        self.stems: dict[str, bytes] = {}  # ids of words with the space before them, without the signs after them
+        self.signs: dict[str, bytes] = {"": b""}
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -106,48 +104,61 @@ class ByteLevelEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, parts: set[str]) -> None:
-        words = [p for p in parts if _WORD.fullmatch(p)]
-        if words:
-            ids = np.frombuffer(self._ids(["".join(words)])[0], self.dtype)
-            ends = np.cumsum(self.sizes[ids])
-            cuts = np.cumsum([len(w.encode()) for w in words])
-            at = np.searchsorted(ends, cuts)
-            data, width = ids.tobytes(), self.dtype.itemsize
-            places = [0, *((at + 1) * width).tolist()]
-            self.parts.update((w, data[x:y]) for w, x, y in zip(words, places, places[1:], strict=False))
-        rest = [p for p in parts if p not in self.parts]
-        self.parts.update(zip(rest, self._ids(rest), strict=True))
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks of text that tokens do not reach across."""
-        cuts = [None if not _PLAIN.fullmatch(c) or any(a in c for a in self.added) else _CUTS.findall(c) for c in chunks]
-        self._learn({p for found in cuts if found for p in found if p not in self.parts})
-        odd = iter(self._ids([c for c, found in zip(chunks, cuts, strict=True) if found is None]))
-        return [next(odd) if found is None else b"".join([self.parts[p] for p in found]) for found in cuts]
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of words with the space before them, of which none ends in white space or holds an added token."""
+        text = " " + " ".join(words) if words else ""
+        data = self._ids([text])[0]
+        ends = np.cumsum(self.sizes[np.frombuffer(data, self.dtype)])
+        sizes = [len(w) for w in words] if text.isascii() else [len(w.encode()) for w in words]
+        at = (np.searchsorted(ends, np.cumsum(np.array(sizes, np.int64) + 1)) + 1) * self.dtype.itemsize
+        places = [0, *at.tolist()]
+        return [data[x:y] for x, y in zip(places, places[1:], strict=False)]
+
+    def _learn(self, new: list[str], special: bool) -> None:
+        odd = [w for w in new if w[-1:].isspace() or not w or (special and any(a in w for a in self.added))]
+        self.after.update(zip(odd, self._ids([f" {w}" for w in odd]), strict=True))
+        if odd:
+            new = [w for w in new if w not in self.after]
+        cut = [w.rstrip(_SIGNS) for w in new]
+        cut = [s if s and s[-1] < "\u0250" and s[-1].isalnum() else w for s, w in zip(cut, new, strict=True)]
+        stems, signs = self.stems, self.signs
+        unknown = list({s for s in cut if s not in stems})
+        stems.update(zip(unknown, self._together(unknown), strict=True))
+        ends = [w[len(s) :] for s, w in zip(cut, new, strict=True)]
+        alone = list({e for e in ends if e not in signs})
+        signs.update(zip(alone, self._ids(alone), strict=True))
+        self.after.update(zip(new, [stems[s] + signs[e] for s, e in zip(cut, ends, strict=True)], strict=True))
+        for s in unknown:
+            if len(s) > _LONGEST:
+                del stems[s]
+        for e in alone:
+            if len(e) > _LONGEST:
+                del signs[e]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        for known in (self.after, self.first, self.parts):
+        for known in (self.after, self.first):
             if len(known) > REMEMBERED:
                 known.clear()
-        heads, split = [], []
+        if len(self.stems) > REMEMBERED or len(self.signs) > REMEMBERED:
+            self.stems, self.signs = {}, {"": b""}
+        heads, split, special = [], [], False
         for t in texts:
             text = t.decode("utf-8", "replace")
             words = _AT_SPACE.split(text) if _AFTER_SPACE.search(text) else text.split(" ")
+            special = special or any(a in text for a in self.added)
             heads.append(words[0])
-            split.append(words[1:])
+            del words[0]
+            split.append(words)
         after, first = self.after, self.first
-        new, begins = list({w for words in split for w in words if w not in after}), list({w for w in heads if w not in first})
-        found = self._encode([f" {w}" for w in new] + begins)
-        after.update(zip(new, found, strict=False))
-        first.update(zip(begins, found[len(new) :], strict=True))
-        out = [first[h] + b"".join([after[w] for w in words]) + self.last for h, words in zip(heads, split, strict=True)]
-        for known, words in ((after, new), (first, begins)):
+        new, begins = list(set().union(*split).difference(after)), list(set(heads).difference(first))
+        self._learn(new, special)
+        first.update(zip(begins, self._ids(begins), strict=True))
+        known = after.__getitem__
+        out = [first[h] + b"".join(map(known, words)) + self.last for h, words in zip(heads, split, strict=True)]
+        for memory, words in ((after, new), (first, begins)):
             for w in words:
                 if len(w) > _LONGEST:
-                    del known[w]
-        for p in [p for p in self.parts if len(p) > _LONGEST]:
-            del self.parts[p]
+                    del memory[w]
         return out
 
 
