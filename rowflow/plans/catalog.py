@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -10,12 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import check_status, lag_label, latency_color, latency_label, latency_status, line_total
+from ..functions.labels import PROBE_TIMEOUT
 from ..operators import digests, dml, integrity, latency, markers, sync
 from ..operators.latest import current_rows, drop_tombstones, latest_by_key, live_keys, merge_newest
 from ..schemas import ORDERS
 from ..session import work_dir
 from ..sources import generate
-from ..sources.changes import change_envelopes, change_events, read_changes, typed_changes, union_all, unreadable_changes
+from ..sources.changes import (
+    change_envelopes,
+    change_events,
+    decode_envelopes,
+    read_changes,
+    typed_changes,
+    undecodable,
+    union_all,
+    unreadable_changes,
+)
+from ..sources.chunks import ChunkedSnapshot
 from ..sources.snapshot import snapshot_rows
 from ..streaming.references import References
 from ..streaming.replicate import Upkeep, await_queries, batch_metrics, observed_markers, run_available, start
@@ -603,7 +615,10 @@ def streamed_visibility(t: Tables) -> DataFrame:
     feed, tables, root = _stream(t, ["orders"])
     probe = F.col("shipping_address").like("latency_test_%")
     written = datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")  # the job's clock for sources is UTC, too
+    began = time.monotonic()
     run_available(feed, tables, root, markers={"orders": ("shipping_address", probe)})
+    # A probe may take as long as the run that all of its markers arrive in, however long that is here.
+    timeout = PROBE_TIMEOUT + math.ceil(1000 * (time.monotonic() - began))
     seen = observed_markers(t.spark, f"{root}/replicate-all")
     sent = t.orders().where(probe).select(
         F.col("order_id").alias("probe_seq"),
@@ -611,26 +626,55 @@ def streamed_visibility(t: Tables) -> DataFrame:
         F.col("shipping_address").alias("marker"),
         F.to_timestamp_ntz(F.lit(written)).alias("insert_ts"),
     )
-    return latency.probe_latency(sent, seen).select("table", "marker", "success")
+    return latency.probe_latency(sent, seen, timeout_ms=timeout).select("table", "marker", "success")
 
 
 @query
 def quarantined_changes(t: Tables) -> DataFrame:
     """A feed with broken messages: what was applied and what was set aside, by reason; together all that was sent."""
     commit = F.coalesce(F.col("created_at"), as_of())
-    sent = change_envelopes(t.order_feed(), "orders", KEYS["orders"], commit)
-    image, key = F.col("after_json"), F.coalesce(F.get_json_object("after_json", "$.order_id").cast("bigint"), F.lit(0))
-    sent = sent.withColumn(
+    feed = t.order_feed()
+    sent = change_envelopes(feed, "orders", KEYS["orders"], commit)
+    images = F.coalesce("after_json", "before_json")
+    image, key = F.col("after_json"), F.coalesce(F.get_json_object(images, "$.order_id").cast("bigint"), F.lit(0))
+    sent = sent.withColumn("key", key).withColumn(
         "after_json",
         F.when(key % 97 == 1, F.substr(image, F.lit(1), F.lit(9)))
         .when(key % 97 == 2, F.regexp_replace(image, r'"total_amount":[0-9.]+', '"total_amount":"abc"'))
         .when(key % 97 == 3, F.regexp_replace(image, r'"order_id":[0-9]+', '"order_id":null'))
         .otherwise(image),
     )
+    sent = sent.withColumn("table", F.when(F.col("key") % 97 != 5, F.col("table")))
+    whole = F.to_json(F.struct(*[c for c in sent.columns if c != "key"]))
+    message = F.when(F.col("key") % 97 == 4, F.substr(whole, F.lit(1), F.lit(30))).otherwise(whole)
+    path = work_dir(t.spark, "messages")
+    sent.select(message.alias("value")).write.parquet(path)
+    received = decode_envelopes(t.spark.read.parquet(path))
     schema = t.orders().schema
-    bad = unreadable_changes(sent, "orders", schema, KEYS["orders"]).select("reasons")
-    good = typed_changes(sent, "orders", schema, KEYS["orders"]).select(F.lit("").alias("reasons"))
-    return good.unionByName(bad).groupBy("reasons").agg(F.count(F.lit(1)).alias("messages"))
+    aside = undecodable(received).select("reasons")
+    bad = unreadable_changes(received, "orders", schema, KEYS["orders"]).select("reasons")
+    good = typed_changes(received, "orders", schema, KEYS["orders"]).select(F.lit("").alias("reasons"))
+    return union_all([good, bad, aside]).groupBy("reasons").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query
+def chunked_snapshot(t: Tables) -> DataFrame:
+    """Orders copied in four chunks while their log goes on: every chunk sees the source as far as the log is by then."""
+    feed, log = t.order_feed(), t.order_log()
+    root = work_dir(t.spark, "chunks")
+    end = log.agg(F.max("seq")).first()[0] or 0
+    reached = [0]
+    table = KeyedTable(t.spark, root, "orders", t.orders().schema, KEYS["orders"]).create()
+
+    def goes_on(chunk: int) -> None:
+        last = reached[0]
+        reached[0] = end * (chunk + 1) // 4
+        table.append(log.where((F.col("seq") > last) & (F.col("seq") <= reached[0])), chunk)
+
+    source = lambda inside: current_rows(feed.where((F.col("seq") <= reached[0]) & inside), KEYS["orders"])
+    read = ChunkedSnapshot(table, f"{root}/snapshot", source, lambda: reached[0]).run(4, goes_on)
+    table.append(log.where(F.col("seq") > reached[0]), read)  # where there were fewer chunks
+    return table.current()
 
 
 @query

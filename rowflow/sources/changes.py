@@ -37,16 +37,32 @@ def read_changes(
     return reader.load(path)
 
 
+IMAGES = ("before", "after")
+_BROKEN = "__broken"
+
+
 def decode_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
-    """Envelopes out of a column of JSON messages, as a message bus delivers them."""
-    return df.select(F.from_json(F.col(column).cast("string"), ENVELOPE).alias("e")).select("e.*")
+    """Envelopes out of a column of JSON messages, as a message bus delivers them.
 
+    A message that is no envelope, or names no table, becomes one of no table with the message as its after image:
+    it cannot be applied, and the job sets it aside as it came.
+    """
+    text = F.col(column).cast("string")
+    marked = T.StructType([*ENVELOPE.fields, T.StructField(_BROKEN, T.StringType())])
+    message = F.struct(text.alias("text"), F.from_json(text, marked, {"columnNameOfCorruptRecord": _BROKEN}).alias("e"))
+    # Out of an array, or every column below would parse the message again.
+    parsed = df.select(F.explode(F.array(message)).alias("m")).select("m.*")
+    good = F.col("e.table").isNotNull() & F.col(f"e.{_BROKEN}").isNull()
+    fields = [F.when(good, F.col(f"e.{n}")).alias(n) for n in ENVELOPE.names if n != "after_json"]
+    return parsed.select(*fields, F.when(good, F.col("e.after_json")).otherwise(F.col("text")).alias("after_json"))
 
-IMAGES = ("before", "after")
-_BROKEN = "__broken"
+
+def undecodable(envelopes: DataFrame) -> DataFrame:
+    """Envelopes of no table, with ``reasons``; they and the tables' envelopes are all of them."""
+    return envelopes.where(F.col("table").isNull()).withColumn("reasons", F.lit("table: null"))
 
 
-def _checked_events(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
+def checked_events(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
     """Every envelope of a table with its typed images and ``reasons``, empty where it can be applied.
 
     The before image says something in a delete, and in an update that moves a row to another key: then its key
@@ -77,13 +93,20 @@ def _checked_events(envelopes: DataFrame, table: str, schema: T.StructType, keys
 
 def typed_events(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
     """The changes of one table with typed ``before`` and ``after`` images, as far as they can be applied."""
-    good = _checked_events(envelopes, table, schema, keys).where(F.col("reasons") == "")
-    return good.select("op", "seq", "ts_commit", *IMAGES)
+    return good_events(checked_events(envelopes, table, schema, keys))
+
+
+def good_events(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reasons") == "").select("op", "seq", "ts_commit", *IMAGES)
+
+
+def bad_envelopes(checked: DataFrame, columns: Iterable[str]) -> DataFrame:
+    return checked.where(F.col("reasons") != "").select(*columns, "reasons")
 
 
 def unreadable_changes(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
     """The other envelopes of the table, as they came, with ``reasons``: both together are all of them."""
-    return _checked_events(envelopes, table, schema, keys).where(F.col("reasons") != "").select(*envelopes.columns, "reasons")
+    return bad_envelopes(checked_events(envelopes, table, schema, keys), envelopes.columns)
 
 
 def typed_changes(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import elapsed_ms
+from ..operators.dml import event_rows
 from ..operators.integrity import split_contract
 from ..plans.views import View
 from ..schemas import Table
-from ..sources.changes import typed_changes, unreadable_changes
+from ..sources.changes import bad_envelopes, checked_events, good_events, undecodable
 from .references import References
 from .refresh import covered_until, record_covered, refresh_view
 from .signed import SignedView
@@ -75,11 +76,14 @@ class BatchApplier:
         self.refreshed: dict[str, int | None] = {}  # next batch to refresh from, per view
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        mine = batch.where(F.col("table").isin(*self.tables))
+        mine = batch.where(F.col("table").isin(*self.tables) | F.col("table").isNull())
         if len(self.tables) > 1:
             mine = mine.persist()  # read the batch once, not once per table
         try:
-            arrived = self._arrived(mine)
+            found = self._arrived(mine)
+            arrived = [r for r in found if r["table"] is not None]
+            if len(found) > len(arrived):
+                undecodable(mine).write.mode("overwrite").json(f"{self.root}/unreadable/undecodable/batch={batch_id}")
             for name in sorted(r["table"] for r in arrived):
                 self._apply(mine, name, batch_id)
             if arrived:
@@ -90,8 +94,20 @@ class BatchApplier:
 
     def _apply(self, batch: DataFrame, name: str, batch_id: int) -> None:
         table = self.tables[name]
-        changes = typed_changes(batch, name, table.columns, table.keys)
-        unreadable = unreadable_changes(batch, name, table.columns, table.keys)
+        checked = checked_events(batch, name, table.columns, table.keys)
+        parsed = "after" not in batch.columns
+        if parsed:
+            checked = checked.drop("__before", "__after").persist()  # images are parsed once, whatever reads them
+        try:
+            self._write(checked, batch.columns, name, batch_id)
+        finally:
+            if parsed:
+                checked.unpersist()
+
+    def _write(self, checked: DataFrame, columns: list[str], name: str, batch_id: int) -> None:
+        table = self.tables[name]
+        changes = event_rows(good_events(checked), table.keys)
+        unreadable = bad_envelopes(checked, columns)
         if not unreadable.isEmpty():
             unreadable.write.mode("overwrite").json(f"{self.root}/unreadable/{name}/batch={batch_id}")
         if name in self.contracts:

@@ -329,8 +329,8 @@ def test_a_restart_resumes_the_view_where_it_was(spark, root):
 def test_probes_wait_from_the_write_of_the_feed(spark, monkeypatch):
     waits, probe_latency = [], latency.probe_latency
 
-    def kept(sent, seen):
-        waits.extend([probe_latency(sent, seen), probe_latency(sent, seen, timeout_ms=1)])
+    def kept(sent, seen, timeout_ms):
+        waits.extend([probe_latency(sent, seen, timeout_ms), probe_latency(sent, seen, timeout_ms=1)])
         return waits[0]
 
     monkeypatch.setattr(latency, "probe_latency", kept)
