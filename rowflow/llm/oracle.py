@@ -84,9 +84,64 @@ select page_id, octet_length(payload)::bigint as payload_bytes,
   case when first is not null and page_id is distinct from first then first end as refers_to
 from roles"""
 
+HARD_NEGATIVES = """
+with vecs as (
+  select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+pairs as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+  from vecs a, vecs b where a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, p.positive_id, cast(row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.other_id) as integer) as rank,
+  n.other_id as negative_id, p.positive_score, n.score as negative_score
+from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+where 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+qualify rank <= 3"""
+
+
+# The table of the CRC-32 by its rule (reflected polynomial 0xEDB88320), then one step per byte of every distinct word.
+RESAMPLING = rf"""
+with steps as (
+  select list(c order by b) as t from (
+    select b, list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) as c
+    from (select unnest(range(0, 256)) as b))),
+docs as (select row_number() over () as r, doc_id, {_BARE.format("text")} as ws from documents),
+target as (select unnest({_BARE.format("text")}) as w from benchmark),
+words as (select r, unnest(ws) as w from docs),
+source_counts as (select w, count(*) as n from words group by 1),
+target_counts as (select w, count(*) as n from target group by 1),
+vocabulary as (select w from source_counts union select w from target_counts),
+bytes as (select w, list_transform(range(1, len(hex(encode(w))) + 1, 2), lambda i: ('0x' || hex(encode(w))[i : i + 1])::bigint) as bs from vocabulary),
+hashed as (
+  select w, xor(list_reduce(list_prepend(4294967295, bs), lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 10000 as bucket
+  from bytes, steps),
+s as (select bucket, sum(n) as n from source_counts join hashed using (w) group by 1),
+t as (select bucket, sum(n) as n from target_counts join hashed using (w) group by 1),
+totals as (select coalesce((select sum(n) from s), 0)::bigint as s_all, coalesce((select sum(n) from t), 0)::bigint as t_all),
+gains as (
+  select h.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * (s_all + 10000) / ((coalesce(s.n, 0) + 1)::double * (t_all + 10000))))::bigint as gain
+  from (select distinct bucket from hashed) h left join s using (bucket) left join t using (bucket), totals),
+weights as (
+  select r, count(*) as n, floor(sum(gain)::double / count(*))::bigint as weight
+  from words join hashed using (w) join gains using (bucket) group by r),
+scored as (
+  select doc_id, len(ws)::bigint as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::varchar, 'null'))[1:8])::bigint + 0.5) / 4294967296.0)))::bigint as score
+  from docs left join weights using (r)),
+drawn as (select *, row_number() over (order by score desc, doc_id nulls last, n_features) as k, count(*) over () as n from scored where n_features >= 20)
+select doc_id, n_features, weight, score, case when k <= n * 10 // 100 then k end as rank from drawn
+union all select doc_id, n_features, weight, score, null from scored where n_features < 20"""
+
+
 ORACLE: dict[str, str] = {
     "op1_sharding": sharding_sql(),
     "op4_warc": WARC,
     "op5_decontamination": DECONTAMINATION,
     "op6_quality_rules": QUALITY,
+    "op12_resampling": RESAMPLING,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -34,4 +34,7 @@ def test_small_shards_by_sql(spark, con):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_every_row_has_a_result(spark, name):
     table = "conversations" if name.startswith("op3") else "documents"
-    assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    rows = QUERIES[name](spark, SF)
+    if name.startswith("op11"):  # a row per piece
+        rows = rows.where("piece = 0")
+    assert rows.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
