@@ -75,20 +75,20 @@ def delete_events(
     )
 
 
-def event_rows(events: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Events as a change frame: ``op``, ``seq`` and the columns of the row.
+def event_rows(events: DataFrame, keys: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
+    """Events as a change frame: ``op``, ``seq`` and the columns of the row, and ``keep`` of the event's own.
 
     A delete carries its key alone.  An update that moves a row to another key becomes a
     delete of the old key and an insert of the new one.
     """
-    keys = list(keys)
+    keys, keep = list(keys), list(keep)
     fields = events.schema["after"].dataType.fieldNames()
     moved = F.lit(False)
     for k in keys:
         moved = moved | ~F.col(f"before.{k}").eqNullSafe(F.col(f"after.{k}"))
     moved = (F.col("op") == "u") & F.col("before").isNotNull() & moved
     ops = F.when(moved, F.array(F.lit("d"), F.lit("c"))).otherwise(F.array("op"))
-    parts = events.select("seq", "before", "after", F.explode(ops).alias("op"))
+    parts = events.select("seq", *keep, "before", "after", F.explode(ops).alias("op"))
     gone = F.col("op") == "d"
 
     def value(c: str) -> Column:
@@ -97,7 +97,7 @@ def event_rows(events: DataFrame, keys: Iterable[str]) -> DataFrame:
         old, new = F.col(f"before.{c}"), F.col(f"after.{c}")
         return F.when(gone, F.coalesce(old, new)).otherwise(F.coalesce(new, old))
 
-    return parts.select("op", "seq", *[value(c).alias(c) for c in fields])
+    return parts.select("op", "seq", *keep, *[value(c).alias(c) for c in fields])
 
 
 def assign_keys(rows: DataFrame, current: DataFrame, key: str, order: str) -> DataFrame:

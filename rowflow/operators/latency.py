@@ -63,8 +63,14 @@ def value_stats(values: DataFrame, value: str, percents: Iterable[int], by: Iter
     distinct value, which the probe timeout bounds, and not one per measurement; a table with
     most of the probes costs no more than the others.
     """
+    by = list(by)
+    return counted_stats(values.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n")), value, percents, by)
+
+
+def counted_stats(counts: DataFrame, value: str, percents: Iterable[int], by: Iterable[str] = ()) -> DataFrame:
+    """The same of values that come once each with how often there are, ``n``."""
     by, percents = list(by), list(percents)
-    counted = values.groupBy(*by, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    counted = counts.select(*by, F.col(value).alias("__v"), F.col("n").alias("__n"))
     group = Window.partitionBy(*by)
     upto = group.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.withColumns({"__upto": F.sum("__n").over(upto), "__all": F.sum("__n").over(group)})
@@ -87,9 +93,14 @@ def latency_stats(probes: DataFrame, tables: Iterable[str] = tuple(TABLES), perc
 
     Failures (-1) are left out.  Pass ``last_n(...)`` for the bounded history.
     """
-    stats = value_stats(probes.where(F.col("latency_ms") >= 0), "latency_ms", percents, ["table"])
-    joined = _each_table(probes, tables).join(stats, "table", "left")
-    return joined.fillna(0)
+    counts = probes.where(F.col("latency_ms") >= 0).groupBy("table", "latency_ms").agg(F.count(F.lit(1)).alias("n"))
+    return stats_of_counts(counts, tables, percents)
+
+
+def stats_of_counts(counts: DataFrame, tables: Iterable[str] = tuple(TABLES), percents: Iterable[int] = (95, 99)) -> DataFrame:
+    """The same from a histogram ``table, latency_ms, n``."""
+    stats = counted_stats(counts.where(F.col("latency_ms") >= 0), "latency_ms", percents, ["table"])
+    return _each_table(counts, tables).join(stats, "table", "left").fillna(0)
 
 
 def latency_overall(probes: DataFrame, percents: Iterable[int] = (95,)) -> DataFrame:
@@ -100,8 +111,13 @@ def latency_overall(probes: DataFrame, percents: Iterable[int] = (95,)) -> DataF
 
 def last_latency(probes: DataFrame, tables: Iterable[str] = tuple(TABLES)) -> DataFrame:
     """Latency of the newest probe per table: -1 after a failure, 0 before any probe."""
-    newest = probes.groupBy("table").agg(F.max_by("latency_ms", "probe_seq").alias("__last"))
-    return _each_table(probes, tables).join(newest, "table", "left").select(
+    return last_of(probes.groupBy("table").agg(F.max_by("latency_ms", "probe_seq").alias("last_ms")), tables)
+
+
+def last_of(newest: DataFrame, tables: Iterable[str] = tuple(TABLES)) -> DataFrame:
+    """The same from the newest latency ``table, last_ms`` of the tables that were probed."""
+    known = newest.select("table", F.col("last_ms").alias("__last"))
+    return _each_table(newest, tables).join(known, "table", "left").select(
         "table", F.coalesce(F.col("__last"), F.lit(0)).cast("bigint").alias("last_ms")
     )
 
@@ -158,11 +174,20 @@ def running_stats(probes: DataFrame, n: int = HISTORY, width: int = 1 << 14) ->
 
 def probe_success(probes: DataFrame) -> DataFrame:
     """Totals of all probes and the success rate in percent, 0 when there were none."""
-    total, good = F.count(F.lit(1)), F.count_if(F.col("latency_ms") >= 0)
-    return probes.agg(
+    return counted_success(probes.groupBy("latency_ms").agg(F.count(F.lit(1)).alias("n")))
+
+
+def counted_success(counts: DataFrame) -> DataFrame:
+    """The same from a histogram ``latency_ms, n``."""
+
+    def of(which: Column) -> Column:
+        return F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0)).cast("bigint")
+
+    total, good = of(F.lit(True)), of(F.col("latency_ms") >= 0)
+    return counts.agg(
         total.alias("total_probes"),
         good.alias("successful_probes"),
-        F.count_if(F.col("latency_ms") < 0).alias("failed_probes"),
+        of(F.col("latency_ms") < 0).alias("failed_probes"),
         F.when(total > 0, good / F.nullif(total, F.lit(0)) * 100).otherwise(F.lit(0.0)).alias("success_rate"),
     )
 

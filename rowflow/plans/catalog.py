@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import check_status, lag_label, latency_color, latency_label, latency_status, line_total
 from ..functions.labels import PROBE_TIMEOUT
 from ..operators import digests, dml, integrity, latency, markers, sync
+from ..operators.allocation import KeyAllocator
 from ..operators.latest import current_rows, drop_tombstones, latest_by_key, live_keys, merge_newest
 from ..schemas import ORDERS
 from ..session import work_dir
@@ -26,11 +27,14 @@ from ..sources.changes import (
     undecodable,
     union_all,
     unreadable_changes,
+    write_routed,
 )
 from ..sources.chunks import ChunkedSnapshot
 from ..sources.snapshot import snapshot_rows
+from ..streaming.lag import LagSampler, RowCounts, lag_samples
+from ..streaming.probes import ProbeStatistics, follow
 from ..streaming.references import References
-from ..streaming.replicate import Upkeep, await_queries, batch_metrics, observed_markers, run_available, start
+from ..streaming.replicate import Upkeep, await_queries, batch_metrics, observed_markers, routed_feed, run_available, start
 from ..streaming.signed import SIGNED_CUSTOMER_TIERS, SIGNED_DAILY_ORDERS, Signed, SignedView
 from ..streaming.store import KeyedTable
 from ..streaming.verify import verify_sync
@@ -507,12 +511,13 @@ def gen_random(t: Tables) -> DataFrame:
 # -- streams -------------------------------------------------------------------------
 
 
-def _write_feed(t: Tables, names: list[str]) -> str:
-    """The feeds of some tables as envelope files in the shared work folder."""
+def _write_feed(t: Tables, names: list[str], routed: bool = False) -> str:
+    """The feeds of some tables as envelope files in the shared work folder, on request in a folder per table."""
     path = f"{work_dir(t.spark, 'feed')}/feed"
     commit = F.coalesce(F.col("created_at"), as_of())
     encode = change_events if len(names) == 1 else change_envelopes
-    union_all([encode(feed, n, KEYS[n], commit) for n, feed in t.feeds(names).items()]).write.parquet(path)
+    changes = union_all([encode(feed, n, KEYS[n], commit) for n, feed in t.feeds(names).items()])
+    write_routed(changes, path) if routed else changes.write.parquet(path)
     return path
 
 
@@ -527,6 +532,14 @@ def _stream(t: Tables, names: list[str], batches: int = 2) -> tuple[DataFrame, d
     return feed, {n: KeyedTable(t.spark, f"{root}/target", n, schemas[n], KEYS[n]) for n in names}, root
 
 
+def _routes(t: Tables, names: list[str]) -> tuple[Callable[[list[str], bool], DataFrame], dict[str, KeyedTable], str]:
+    """The same with a folder of the feed per table, in one micro-batch."""
+    path = _write_feed(t, names, routed=True)
+    root = path.rsplit("/", 1)[0]
+    tables = {n: KeyedTable(t.spark, f"{root}/target", n, rows.schema, KEYS[n]) for n, rows in t.all().items() if n in names}
+    return routed_feed(t.spark, path), tables, root
+
+
 @query
 def stream_upserts(t: Tables) -> DataFrame:
     """The order table after its feed went through the single-table job."""
@@ -541,11 +554,15 @@ def fanout_apply(t: Tables) -> DataFrame:
     rows = t.all()
     feed, tables, root = _stream(t, list(rows))
     report = verify_sync(start(feed, tables, root, interval=None), rows, tables, 3600).report
+    return report.join(_same_contents(t, tables), "table")
+
+
+def _same_contents(t: Tables, tables: dict[str, KeyedTable]) -> DataFrame:
+    """Whether stored tables hold what their feeds lead to."""
     found = digests.content_checksums({n: table.current() for n, table in tables.items()})
-    expected = digests.content_checksums({n: current_rows(f, KEYS[n]) for n, f in t.feeds().items()})
+    expected = digests.content_checksums({n: current_rows(f, KEYS[n]) for n, f in t.feeds(list(tables)).items()})
     wanted = expected.select("table", F.col("checksum").alias("__wanted"))
-    same = found.join(wanted, "table").select("table", (F.col("checksum") == F.col("__wanted")).alias("same_content"))
-    return report.join(same, "table")
+    return found.join(wanted, "table").select("table", (F.col("checksum") == F.col("__wanted")).alias("same_content"))
 
 
 @query
@@ -588,10 +605,63 @@ def restrict_current(t: Tables) -> DataFrame:
 
 @query
 def per_table_jobs(t: Tables) -> DataFrame:
-    """Every table out of a job of its own."""
-    feed, tables, root = _stream(t, list(KEYS), batches=1)
+    """Every table out of a job of its own, which reads that table's part of the feed: rows, and whether contents are what the feeds say."""
+    feed, tables, root = _routes(t, list(KEYS))
     await_queries(start(feed, tables, root, "per_table", interval=None))
-    return sync.table_counts({n: table.current(columns=[]) for n, table in tables.items()})
+    counts = sync.table_counts({n: table.current(columns=[]) for n, table in tables.items()})
+    return counts.join(_same_contents(t, tables), "table")
+
+
+@query
+def selected_tables(t: Tables) -> DataFrame:
+    """One job for the tables that were asked for, out of the feed of all."""
+    feed, tables, root = _routes(t, list(KEYS))
+    asked = "customers, products, nonsense"
+    run_available(feed, tables, root, select=asked)
+    done = {n: table for n, table in tables.items() if table.version() is not None}
+    counts = sync.table_counts({n: table.current(columns=[]) for n, table in done.items()})
+    return counts.join(_same_contents(t, done), "table")
+
+
+@query
+def lag_over_time(t: Tables) -> DataFrame:
+    """The last sample of source and target counts of a job for two tables, with counts kept batch by batch."""
+    rows = {n: r for n, r in t.all().items() if n in ("orders", "customers")}
+    feed, tables, root = _stream(t, list(rows))
+    for table in tables.values():
+        table.create()
+    counts = RowCounts(t.spark, root).build(tables)
+    sampler = LagSampler(lambda: sync.table_counts(rows), counts, root)
+    run_available(feed, tables, root, counts=counts)
+    sampler.sample()
+    newest = lag_samples(t.spark, root).groupBy("table").agg(F.max_by(F.struct("source_count", "target_count", "lag", "lag_label", "status"), "ts").alias("s"))
+    return newest.select("table", "s.*")
+
+
+@query
+def steady_latency(t: Tables) -> DataFrame:
+    """Statistics of all probes and of the last hundred of each table, kept while the probes arrive in about four batches."""
+    path = work_dir(t.spark, "probes")
+    results = t.probe_results().withColumn("marker", F.concat(F.lit("probe_"), F.col("probe_seq").cast("string")))
+    results.repartition(8).write.parquet(f"{path}/results")
+    feed = t.spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/results")
+    kept = ProbeStatistics(t.spark, path)
+    await_queries([follow(feed, kept, path)])
+    recent = latency.latency_stats(kept.recent(), percents=(95,))
+    recent = recent.select("table", *[F.col(c).alias(f"recent_{c}") for c in ("n", "avg_ms", "p95_ms")])
+    return kept.stats().join(recent, "table").join(kept.last(), "table")
+
+
+@query
+def allocate_keys(t: Tables) -> DataFrame:
+    """Two loads of one new order per customer: their rows, their keys, and how many keys anything else has as well."""
+    orders, rows = t.orders().select("order_id"), t.customers().select("customer_id")
+    keys = KeyAllocator(t.spark, work_dir(t.spark, "keys"), "order_id").create(orders)
+    given = [keys.load(rows, name).select("order_id", F.lit(k).alias("load")) for k, name in enumerate(("first", "second"), 1)]
+    each = union_all([orders.select("order_id", F.lit(0).alias("load")), *given]).groupBy("order_id")
+    each = each.agg(F.count(F.lit(1)).alias("__n"), F.max("load").alias("load"))
+    loads = each.groupBy("load").agg(F.sum("__n").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("__n") > 1).alias("n_shared"))
+    return loads.where(F.col("load") > 0)
 
 
 @query

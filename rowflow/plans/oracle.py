@@ -519,7 +519,18 @@ made as (
 select *, cast(quantity * unit_price as decimal(12,2)) as total_price from made""",
     "stream_upserts": f"{_with(ORDER_STATE)} select * from orders_now",
     "compact_equals_replay": f"{_with(ORDER_STATE)} select * from orders_now",
-    "per_table_jobs": f'{REPORT} select "table", target_count as row_count from report',
+    "per_table_jobs": f'{REPORT} select "table", target_count as row_count, true as same_content from report',
+    "selected_tables": f"""{REPORT}
+select "table", target_count as row_count, true as same_content from report where "table" in ('customers', 'products')""",
+    "lag_over_time": f"""{REPORT} select * from report where "table" in ('orders', 'customers')""",
+    "steady_latency": f"""with overall as ({_with(PROBES) + _stats("probes_t", (95, 99))}),
+recent as ({_with(LAST_100) + _stats("last_100", (95,))}),
+newest as ({_with(PROBES)} select "table", arg_max(latency_ms, probe_seq) as last_ms from probes_t group by 1)
+select o.*, r.n as recent_n, r.avg_ms as recent_avg_ms, r.p95_ms as recent_p95_ms, coalesce(last_ms, 0) as last_ms
+from overall o join recent r on r."table" = o."table" left join newest w on w."table" = o."table\"""",
+    "allocate_keys": """
+select load, count(*) as n_rows, count(*) as n_keys, cast(0 as bigint) as n_shared
+from customer, (values (1), (2)) as l(load) group by load""",
     "batch_measures": f"""{_with(ORDER_FEED, CUSTOMER_FEED)}
 select *, true as latencies_in_order from (
   select 'orders' as "table", count(*) as changes, count(*) filter (where op = 'd') as deletes, max(seq) as last_seq

@@ -13,6 +13,10 @@ from ..operators.dml import event_rows
 from ..schemas import ENVELOPE, NTZ, typed_envelope
 
 
+#: Folder of the changes that name no table, as Spark writes it.
+UNNAMED = "__HIVE_DEFAULT_PARTITION__"
+
+
 def read_changes(
     spark: SparkSession,
     path: str,
@@ -21,20 +25,36 @@ def read_changes(
     max_files: int | None = None,
     max_bytes: str | None = None,
     row: T.StructType | None = None,
+    tables: Iterable[str] | None = None,
+    unnamed: bool = True,
+    archive: str | None = None,
 ) -> DataFrame:
     """Envelopes below ``path``: a stream that picks up new files, or one batch of all.
 
     ``row`` is given for a feed of one table whose images are columns and not JSON.
     ``max_files`` or ``max_bytes`` bound a micro-batch, so a long backlog is worked off in
-    pieces and not in one giant job.
+    pieces and not in one giant job.  ``tables`` reads those tables' folders of a routed feed and no others, and
+    with ``unnamed`` the changes of no table; files that a stream has worked off go to ``archive``.
     """
     schema = ENVELOPE if row is None else typed_envelope(row)
+    if tables is not None:  # the folder's name is the table, which then comes last
+        schema = T.StructType([*[f for f in schema if f.name != "table"], schema["table"]])
     reader = (spark.readStream if stream else spark.read).schema(schema).format(fmt)
     if stream and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if stream and max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.load(path)
+    if stream and archive:
+        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
+    if tables is None:
+        return reader.load(path)
+    folders = ",".join([*tables, *([UNNAMED] if unnamed else [])])
+    return reader.option("basePath", path).load(f"{path}/table={{{folders}}}")
+
+
+def write_routed(envelopes: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Add changes to a feed with a folder per table; those of no table have one of their own."""
+    envelopes.write.mode("append").format(fmt).partitionBy("table").save(path)
 
 
 IMAGES = ("before", "after")

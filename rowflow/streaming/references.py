@@ -48,6 +48,8 @@ class References:
     def refresh(self, children: KeyedTable, parents: KeyedTable, batch: int, job: str = JOB) -> None:
         """Take in both tables' batches since the last refresh, up to this one."""
         since = covered_until(self, job) or 0
+        if since > batch:  # a batch that is repeated after it was taken in would replace its counts by none
+            return
         moved = signed_changes(children, since, job, (self.column,))
         counted = None
         if moved is not None:

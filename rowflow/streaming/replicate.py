@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -16,8 +16,10 @@ from ..functions import elapsed_ms
 from ..operators.dml import event_rows
 from ..operators.integrity import split_contract
 from ..plans.views import View
-from ..schemas import Table
-from ..sources.changes import bad_envelopes, checked_events, good_events, undecodable
+from ..schemas import Table, select_tables
+from ..sources.changes import bad_envelopes, checked_events, good_events, read_changes, undecodable
+from .lag import RowCounts
+from .probes import ProbeStatistics
 from .references import References
 from .refresh import covered_until, record_covered, refresh_view
 from .signed import SignedView
@@ -26,6 +28,8 @@ from .store import KeyedTable
 # Fixed value: how often a sink flushes.
 FLUSH_INTERVAL = "5 seconds"
 
+_COMMIT = "__commit"
+
 ARRIVED = (
     "table string, changes bigint, deletes bigint, last_seq bigint, "
     "first_commit bigint, avg_commit double, last_commit bigint"
@@ -63,6 +67,8 @@ class BatchApplier:
         markers: Mapping[str, tuple[str, Column]] | None = None,
         source_zone: str = "UTC",
         references: Iterable[References] = (),
+        statistics: ProbeStatistics | None = None,
+        counts: RowCounts | None = None,
     ):
         self.tables = dict(tables)
         self.root = root.rstrip("/")
@@ -72,6 +78,8 @@ class BatchApplier:
         self.markers = dict(markers or {})
         self.source_zone = source_zone
         self.references = [r for r in references if r.child in self.tables and r.parent in self.tables]
+        self.statistics = statistics.create() if statistics else None
+        self.counts = counts
         self.job = hashlib.md5(self.root.encode()).hexdigest()[:8]
         self.refreshed: dict[str, int | None] = {}  # next batch to refresh from, per view
 
@@ -106,15 +114,17 @@ class BatchApplier:
 
     def _write(self, checked: DataFrame, columns: list[str], name: str, batch_id: int) -> None:
         table = self.tables[name]
-        changes = event_rows(good_events(checked), table.keys)
+        probed = name in self.markers
+        events = good_events(checked).withColumnRenamed("ts_commit", _COMMIT)
+        changes = event_rows(events, table.keys, [_COMMIT] if probed else [])
         unreadable = bad_envelopes(checked, columns)
         if not unreadable.isEmpty():
             unreadable.write.mode("overwrite").json(f"{self.root}/unreadable/{name}/batch={batch_id}")
         if name in self.contracts:
             changes, bad = split_contract(changes, self.contracts[name])
-            bad.write.mode("overwrite").json(f"{self.root}/quarantine/{name}/batch={batch_id}")
+            bad.drop(_COMMIT).write.mode("overwrite").json(f"{self.root}/quarantine/{name}/batch={batch_id}")
         table.append(changes, batch_id, self.job)
-        if name in self.markers:
+        if probed:
             self._observe(changes, name, batch_id)
 
     def _observe(self, changes: DataFrame, name: str, batch_id: int) -> None:
@@ -122,7 +132,10 @@ class BatchApplier:
         column, marked = self.markers[name]
         now = F.timestamp_millis(F.lit(int(time.time() * 1000)).cast("bigint"))
         visible = F.convert_timezone(F.lit("UTC"), F.lit(self.source_zone), F.to_utc_timestamp(now, F.current_timezone()).cast("timestamp_ntz"))
-        seen = changes.where((F.col("op") != "d") & marked).select(F.lit(name).alias("table"), F.col(column).alias("marker"))
+        probes = changes.where((F.col("op") != "d") & marked)
+        seen = probes.select(F.lit(name).alias("table"), F.col(column).alias("marker"))
+        if self.statistics:
+            self.statistics.observe(probes, name, column, visible, batch_id, self.job)
         seen.distinct().withColumn("visible_ts", visible).write.mode("overwrite").parquet(
             f"{self.root}/observed/table={name}/batch={batch_id}"
         )
@@ -144,9 +157,11 @@ class BatchApplier:
                     self.refreshed[view.name] = batch_id + 1
             for kept in self.references:
                 kept.refresh(self.tables[kept.child], self.tables[kept.parent], batch_id, self.job)
+            for table in self.tables.values() if self.counts else ():
+                self.counts.refresh(table, batch_id, self.job)
         if not (due["fold_every"] or due["compact_every"]):
             return
-        for table in [*self.tables.values(), *(s for views in self.views.values() for _, s in views), *self.references]:
+        for table in [*self.tables.values(), *(s for views in self.views.values() for _, s in views), *self.references, *filter(None, [self.statistics, self.counts])]:
             table.compact() if due["compact_every"] else table.fold()
             if self.upkeep.keep_versions:
                 table.vacuum(self.upkeep.keep_versions)
@@ -205,8 +220,13 @@ def observed_markers(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
+def routed_feed(spark: SparkSession, path: str, **options: object) -> Callable[[list[str], bool], DataFrame]:
+    """A feed in folders per table, for ``start``: every job lists and reads the folders of its own tables only."""
+    return lambda names, unnamed: read_changes(spark, path, tables=names, unnamed=unnamed, **options)
+
+
 def start(
-    feed: DataFrame,
+    feed: DataFrame | Callable[[list[str], bool], DataFrame],
     tables: Mapping[str, KeyedTable],
     root: str,
     mode: str = "single",
@@ -218,27 +238,37 @@ def start(
     markers: Mapping[str, tuple[str, Column]] | None = None,
     source_zone: str = "UTC",
     references: Iterable[References] = (),
+    statistics: ProbeStatistics | None = None,
+    counts: RowCounts | None = None,
+    select: str | list[str] | None = None,
 ) -> list[StreamingQuery]:
     """Start replicating ``feed`` into ``tables``.
 
     ``markers`` gives, for tables with probe rows, the column of their marker and what tells them from others;
     ``source_zone`` is the zone of the source's commit times, ``references`` are kept current by the job that has both of
-    their tables.  ``single`` runs one query for all tables, ``per_table`` one query per table with a
+    their tables, ``statistics`` of the waits from commit to visible and
+    the row ``counts`` by a single job.  ``select`` names the tables to replicate, out of ``tables``.  A ``routed_feed`` is asked for
+    the changes of each job's tables, and gives those of no table to the first job.  ``single`` runs one query for all tables, ``per_table`` one query per table with a
     checkpoint of its own.  ``interval=None`` works off what is there and stops.
     """
     if mode not in ("single", "per_table"):
         raise ValueError(f"unknown mode {mode!r}")
+    if mode != "single" and not (statistics is None and counts is None):
+        raise ValueError("one job keeps statistics and counts: several would fold each other's batches")
+    if select is not None:
+        tables = {n: tables[n] for n in select_tables(select) if n in tables}
     groups: list[tuple[str, dict[str, KeyedTable]]] = (
         [("all", dict(tables))] if mode == "single" else [(n, {n: t}) for n, t in tables.items()]
     )
     started = []
-    for label, group in groups:
+    for number, (label, group) in enumerate(groups):
+        changes = feed(list(group), number == 0) if callable(feed) else feed
         folder = f"{root.rstrip('/')}/{name}-{label}"
         for table in group.values():
             table.create()
-        applier = BatchApplier(group, folder, views, contracts, upkeep, markers, source_zone, references)
+        applier = BatchApplier(group, folder, views, contracts, upkeep, markers, source_zone, references, statistics, counts)
         writer = (
-            feed.writeStream.queryName(f"{name}-{label}")
+            changes.writeStream.queryName(f"{name}-{label}")
             .foreachBatch(applier)
             .option("checkpointLocation", f"{folder}/checkpoint")
         )
@@ -247,7 +277,7 @@ def start(
     return started
 
 
-def run_available(feed: DataFrame, tables: Mapping[str, KeyedTable], root: str, **options: object) -> None:
+def run_available(feed: DataFrame | Callable[[list[str], bool], DataFrame], tables: Mapping[str, KeyedTable], root: str, **options: object) -> None:
     """Apply everything the feed holds now, then return."""
     await_queries(start(feed, tables, root, interval=None, **options))
 

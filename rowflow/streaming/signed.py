@@ -140,6 +140,8 @@ class SignedView:
     def refresh(self, table: KeyedTable, batch: int, job: str = JOB) -> None:
         """Take in the table's batches since the last refresh, up to this one."""
         since = covered_until(self, job) or 0
+        if since > batch:
+            return
         rows = signed_changes(table, since, job, self.signed.view.reads)
         if rows is not None:
             rows = rows.persist()
