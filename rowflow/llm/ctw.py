@@ -11,12 +11,15 @@ a text is its runs of ``DEPTH`` + 1 bytes, so the work goes:
 
 * documents are dealt to buckets of about ``BUCKET_BYTES`` by hash; a bucket lists its distinct runs and words, with their
   numbers in its training documents;
-* the lists are dealt anew by the last two context bytes (runs) and by hash (words), added up, and each
-  part of the tree is weighted; the two uppermost levels, at most 65,280 nodes, are put together on the driver;
-* every bucket gets back the logarithms and counts of just what it lists, and scores its documents in a stream.
+* the lists are dealt anew to parts by the last two context bytes (runs) and by hash (words).  Lists of a part are added up
+  ``FAN`` at a time, then the sums of those, until one list of distinct runs is left, and each part of the tree is weighted; the two
+  uppermost levels, at most 65,280 nodes, are put together on the driver;
+* logarithms and counts go back the same way, from every sum to the lists it was made of, so every bucket is given those of just
+  what it lists, and scores its documents in a stream.
 
-Nothing is broadcast but those two levels, and no list is larger than a bucket's texts.  The distinct runs with the same last
-two context bytes are weighted by one task: a few percent of the distinct runs, which grow far slower than the text.  Logarithms are added up as whole numbers, rounded at 2**-40, so reruns agree.
+Nothing is broadcast but those two levels, no list is larger than a bucket's texts, and no task holds more than ``FAN`` lists of
+a part beside their sum, however many buckets there are.  The distinct runs with the same last two context bytes are weighted by
+one task: a few percent of the distinct runs, which grow far slower than the text.  Logarithms are added up as whole numbers, rounded at 2**-40, so reruns agree.
 
 Defined results: a null or empty text is its end alone; a null id counts as the empty text where documents
 are told apart; without training documents every count is 0 and every bit has probability 1/2.  Repeated rows are
@@ -41,6 +44,8 @@ from .common import stored, utf8
 DEPTH = 5
 BUCKET_BYTES = 32 << 20
 FOLDS, HELD_OUT = 5, 1
+#: Lists that one task adds up, and parts that a bucket's lists are cut into at most.
+FAN, PARTS = 32, 4096
 
 _RUN_BITS = 8 * (DEPTH + 1)
 _DOC_BITS = 64 - _RUN_BITS
@@ -272,7 +277,7 @@ class Listing:
             dealt.setdefault(zlib.crc32(w) % parts, []).append(w)
         for p, words in dealt.items():
             words.sort()
-            yield bucket, "words", p, zlib.compress(b"\n".join(words), 1), _pack(np.array([self.words[w] for w in words], np.int64))
+            yield bucket, "words", p, _pack_words(words), _pack(np.array([self.words[w] for w in words], np.int64))
         yield bucket, "ends", 0, b"", _pack(np.array([self.ends], np.int64))
 
 
@@ -280,7 +285,7 @@ _LISTS = T.StructType().add("bucket", "long").add("kind", "string").add("part",
 _LIST_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
 _SUMS = T.StructType().add("node", "long").add("zeros", "long").add("ones", "long").add("whole", "long").add("units", "long")
 SCORED = (
-    T.StructType().add("key", "long").add("held_out", "boolean").add("n_bytes", "long").add("n_tokens", "long").add("n_known", "long")
+    T.StructType().add("key", "string").add("held_out", "boolean").add("n_bytes", "long").add("n_tokens", "long").add("n_known", "long")
     .add("base_score", "double").add("score", "double")
 )
 
@@ -308,46 +313,93 @@ def _list_buckets(parts: int):
     return run
 
 
-def _whole_part(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The runs each bucket lists, and all of them with their training counts."""
-    lists = [(_unpack_runs(k), _unpack(c, np.int64)) for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True)]
-    return [runs for runs, _ in lists], *merged(lists)
+def _words_of(keys: bytes) -> list[bytes]:
+    return zlib.decompress(keys).split(b"\n")
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    return zlib.compress(b"\n".join(words), 1)
+
+
+def _rows_of(table: pa.Table) -> Iterator[tuple[str, bytes, bytes | None]]:
+    return zip(*(table[c].to_pylist() for c in ("kind", "keys", "counts")), strict=True)
+
+
+def _merge_lists(table: pa.Table) -> pa.Table:
+    """Some buckets' lists of one part as one."""
+    rows = list(_rows_of(table))
+    if rows[0][0] == "runs":
+        runs, counts = merged([(_unpack_runs(k), _unpack(c, np.int64)) for _, k, c in rows])
+        keys = _pack_runs(runs)
+    else:
+        total: dict[bytes, int] = {}
+        for _, k, c in rows:
+            for w, n in zip(_words_of(k), _unpack(c, np.int64).tolist(), strict=True):
+                total[w] = total.get(w, 0) + n
+        words = sorted(total)
+        keys, counts = _pack_words(words), np.array([total[w] for w in words], np.int64)
+    first = table.slice(0, 1)
+    for name, value in (("keys", keys), ("counts", _pack(counts))):
+        first = first.set_column(first.schema.get_field_index(name), name, pa.array([value], pa.binary()))
+    return first
 
 
 def _sum_part(table: pa.Table) -> pa.Table:
-    _, runs, counts = _whole_part(table)
-    return pa.table([pa.array(c) for c in upper_sums(runs, counts)], names=_SUMS.names)
+    ((_, keys, counts),) = _rows_of(table)
+    return pa.table([pa.array(c) for c in upper_sums(_unpack_runs(keys), _unpack(counts, np.int64))], names=_SUMS.names)
 
 
 def _weigh_part(upper: Upper):
     def run(table: pa.Table) -> pa.Table:
-        lists, runs, counts = _whole_part(table)
-        logs = log10_probabilities(runs, counts, upper)
-        values = [_pack(logs[np.searchsorted(runs, own)]) for own in lists]
-        return table.set_column(table.schema.get_field_index("counts"), "counts", pa.array(values, pa.binary()))
+        ((_, keys, counts),) = _rows_of(table)
+        logs = log10_probabilities(_unpack_runs(keys), _unpack(counts, np.int64), upper)
+        return table.set_column(table.schema.get_field_index("counts"), "counts", pa.array([_pack(logs)], pa.binary()))
 
     return run
 
 
-def _add_words(table: pa.Table) -> pa.Table:
-    """The words each bucket lists, with their numbers in all training documents; and the part's totals."""
-    lists = [zlib.decompress(k).split(b"\n") for k in table["keys"].to_pylist()]
-    total: dict[bytes, int] = {}
-    for words, counts in zip(lists, table["counts"].to_pylist(), strict=True):
-        for w, c in zip(words, _unpack(counts, np.int64).tolist(), strict=True):
-            total[w] = total.get(w, 0) + c
-    values = [_pack(np.array([total[w] for w in words], np.int64)) for words in lists]
-    return pa.table(
-        {
-            "bucket": table["bucket"],
-            "kind": table["kind"],
-            "part": table["part"],
-            "keys": table["keys"],
-            "counts": pa.array(values, pa.binary()),
-            "tokens": pa.array([sum(total.values())] + [0] * (len(lists) - 1), pa.int64()),
-            "types": pa.array([sum(1 for c in total.values() if c)] + [0] * (len(lists) - 1), pa.int64()),
-        }
-    )
+def _total_words(table: pa.Table) -> pa.Table:
+    """Numbers of tokens and of different words of a part in the training documents."""
+    ((_, _, packed),) = _rows_of(table)
+    counts = _unpack(packed, np.int64)
+    return pa.table({"n": pa.array([int(counts.sum())]), "v": pa.array([int((counts > 0).sum())])})
+
+
+def _hand_down(table: pa.Table) -> pa.Table:
+    """The values of a sum, in the first row, for each of the lists it was made of."""
+    table = table.sort_by("below").drop_columns(["above", "below"])
+    (kind, keys, values), *lists = _rows_of(table)
+    if kind == "runs":
+        runs, logs = _unpack_runs(keys), _unpack(values, np.float64)
+        given = [_pack(logs[np.searchsorted(runs, _unpack_runs(k))]) for _, k, _ in lists]
+    else:
+        known = dict(zip(_words_of(keys), _unpack(values, np.int64).tolist(), strict=True))
+        given = [_pack(np.array([known[w] for w in _words_of(k)], np.int64)) for _, k, _ in lists]
+    below = table.slice(1)
+    return below.set_column(below.schema.get_field_index("counts"), "counts", pa.array(given, pa.binary()))
+
+
+def _sums_of(lists: DataFrame, buckets: int, fan: int) -> list[DataFrame]:
+    """The lists, the sums of ``fan`` buckets' lists, the sums of those, and so on: one list per part at last."""
+    levels = [lists]
+    while buckets > 1:
+        buckets = math.ceil(buckets / fan)
+        grouped = levels[-1].withColumn("bucket", F.call_function("div", F.col("bucket"), F.lit(fan).cast("bigint")))
+        levels.append(stored(grouped.groupBy("kind", "part", "bucket").applyInArrow(_merge_lists, _LISTS), "lists"))
+    return levels
+
+
+def _values_of(valued: DataFrame, levels: list[DataFrame], fan: int) -> DataFrame:
+    """The values of the last level's lists, handed down to those of the first."""
+    for k in range(len(levels) - 2, -1, -1):
+        above = valued.select(F.col("bucket").alias("above"), F.lit(False).alias("below"), *_LISTS.names)
+        parent = F.call_function("div", F.col("bucket"), F.lit(fan).cast("bigint")).alias("above")
+        own = [c for c in _LISTS.names if c != "counts"]
+        below = levels[k].select(parent, F.lit(True).alias("below"), *own, F.lit(None).cast("binary").alias("counts"))
+        valued = above.unionByName(below).groupBy("kind", "part", "above").applyInArrow(_hand_down, _LISTS)
+        if k:
+            valued = stored(valued, "values")
+    return valued
 
 
 class Scorer:
@@ -365,12 +417,12 @@ class Scorer:
         if kind == "runs":
             self.runs.append((_unpack_runs(keys), _unpack(values, np.float64)))
         else:
-            self.words.update(zip(zlib.decompress(keys).split(b"\n"), _unpack(values, np.int64).tolist(), strict=True))
+            self.words.update(zip(_words_of(keys), _unpack(values, np.int64).tolist(), strict=True))
 
     def _log(self, count: int) -> float:
         return math.log10((count + 0.5) / self.least)
 
-    def add(self, key: int | None, train: bool, text: bytes) -> None:
+    def add(self, key: str | None, train: bool, text: bytes) -> None:
         self.held.append((key, not train, text))
         self.size += len(text)
 
@@ -400,13 +452,13 @@ class Scorer:
 
 _ROWS = (
     T.StructType().add("bucket", "long").add("first", "integer").add("kind", "string").add("keys", "binary").add("counts", "binary")
-    .add("key", "long").add("train", "boolean").add("text", "binary")
+    .add("key", "string").add("train", "boolean").add("text", "binary")
 )
 
 
 def _score_buckets(ends: int, tokens: int, types: int):
     """Per bucket first what it was given, then its documents."""
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    kinds = [pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, scorer = None, None
@@ -436,20 +488,21 @@ def is_held_out(key: str) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
-def language_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def language_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES, fan: int = FAN) -> DataFrame:
     """Per document: key, whether it was held out, counts, both log10 probabilities, and the code length per byte."""
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     rows = docs.select(
         F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(buckets)).cast("bigint").alias("bucket"),
-        F.col(key).cast("bigint").alias("key"),
+        F.col(key).cast("string").alias("key"),
         (~is_held_out(key)).alias("train"),
         utf8(text).alias("text"),
     )
     dealt = rows.select("bucket", "train", "text").repartition("bucket").sortWithinPartitions("bucket")
-    lists = stored(dealt.mapInArrow(_list_buckets(buckets), _LISTS), "lists")
-    of = lambda kind: lists.where(F.col("kind") == kind)
-    ends = sum(int(_unpack(bytes(r["counts"]), np.int64)[0]) for r in of("ends").select("counts").toLocalIterator())
+    lists = stored(dealt.mapInArrow(_list_buckets(min(buckets, PARTS)), _LISTS), "lists")
+    ends = sum(int(_unpack(bytes(r["counts"]), np.int64)[0]) for r in lists.where(F.col("kind") == "ends").select("counts").toLocalIterator())
+    levels = _sums_of(lists.where(F.col("kind") != "ends"), buckets, fan)
+    of = lambda kind: levels[-1].where(F.col("kind") == kind)
 
     # At most 256 * 255 nodes.
     sums = of("runs").groupBy("part").applyInArrow(_sum_part, _SUMS).groupBy("node").agg(*[F.sum(c).alias(c) for c in _SUMS.names[1:]])
@@ -457,18 +510,16 @@ def language_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
     upper = Upper(*(nodes[c].to_numpy() for c in _SUMS.names))
     weighed = of("runs").groupBy("part").applyInArrow(_weigh_part(upper), _LISTS)
 
-    with_totals = T.StructType([*_LISTS.fields]).add("tokens", "long").add("types", "long")
-    words = stored(of("words").groupBy("part").applyInArrow(_add_words, with_totals), "words")
-    totals = words.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
+    totals = of("words").groupBy("part").applyInArrow(_total_words, "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     tokens, types = (totals["n"] or 0) + ends, (totals["v"] or 0) + (ends > 0)
 
-    given = weighed.unionByName(words.select(*_LISTS.names)).select(
+    given = _values_of(weighed.unionByName(of("words")), levels, fan).select(
         "bucket",
         F.lit(0).alias("first"),
         "kind",
         "keys",
         "counts",
-        F.lit(None).cast("bigint").alias("key"),
+        F.lit(None).cast("string").alias("key"),
         F.lit(None).cast("boolean").alias("train"),
         F.lit(None).cast("binary").alias("text"),
     )
@@ -476,7 +527,7 @@ def language_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
     together = given.unionByName(own).repartition("bucket").sortWithinPartitions("bucket", "first")
     scored = together.select(*_ROWS.names).mapInArrow(_score_buckets(ends, tokens, types), SCORED)
     return scored.select(
-        F.col("key").alias(key),
+        F.col("key").cast(docs.schema[key].dataType).alias(key),
         "held_out",
         "n_tokens",
         "n_known",

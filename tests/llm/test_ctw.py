@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from rowflow.llm import ctw
 
@@ -85,8 +86,8 @@ def test_scores(documents, odd, prose):
     for t in train:
         count.update([*t.split(), None])
     tokens, types = sum(count.values()), len(count)
-    for size in (700, ctw.BUCKET_BYTES):  # many buckets, one bucket
-        got = ctw.language_scores(documents(rows), bucket_bytes=size).collect()
+    for size, fan in ((700, 3), (700, ctw.FAN), (ctw.BUCKET_BYTES, 2)):  # many buckets added up in steps, at once, one bucket
+        got = ctw.language_scores(documents(rows), bucket_bytes=size, fan=fan).collect()
         assert len(got) == len(rows)
         for r in got:
             t = texts[r.doc_id]
@@ -114,3 +115,31 @@ def test_nothing_to_learn_from(documents):
     row = ctw.language_scores(documents([(key, "ab", "s")])).collect()[0]
     assert (row.train_tokens, row.n_known, row.n_tokens) == (0, 0, 2)
     assert abs(row.score - 3 * 8 * math.log10(0.5)) < 1e-9
+
+
+def test_no_task_adds_up_more_than_a_fan_of_lists(spark, documents, prose, monkeypatch, tmp_path):
+    """The same texts in more and more buckets: what one task merges stays, and one list per part is left."""
+    rows = [(k, t, "s") for k, t in enumerate(prose(60, 40, vocabulary=30))]
+    summed = ctw._sums_of
+    seen = []
+
+    def watched(lists, buckets, fan):
+        levels = summed(lists, buckets, fan)
+        for below, above in zip(levels, levels[1:], strict=False):
+            group = F.floor(F.col("bucket") / fan)
+            assert below.groupBy("kind", "part", group.alias("g")).count().agg(F.max("count")).first()[0] <= fan
+            assert above.count() < below.count()
+        assert levels[-1].groupBy("kind", "part").count().agg(F.max("count")).first()[0] == 1
+        seen.append((buckets, len(levels)))
+        return levels
+
+    monkeypatch.setattr(ctw, "_sums_of", watched)
+    ctw.language_scores(documents(rows), bucket_bytes=1000, fan=2).count()
+    assert seen[0][0] > 8 and seen[0][1] > 4
+
+
+def test_ids_that_are_no_numbers(spark):
+    df = spark.createDataFrame([("a-1", "to be or not"), ("b", None), (None, "to be")], "doc_id string, text string")
+    got = {r.doc_id: r for r in ctw.language_scores(df).collect()}
+    assert set(got) == {"a-1", "b", None}
+    assert all(r.held_out == held_out(k) for k, r in got.items())
