@@ -337,3 +337,14 @@ def test_probes_wait_from_the_write_of_the_feed(spark, monkeypatch):
     shown = QUERIES["streamed_visibility"](spark, "/root/testdata/sf0.001").count()
     assert shown and waits[0].where("success and latency_ms > 0").count() == shown
     assert waits[1].where("not success and latency_ms = -1").count() == shown  # the timeout can fail a probe
+
+
+def test_consumed_files_are_archived(spark, root):
+    for k in range(4):
+        feed_files(spark, root, "a", [("c", k, k, f"v{k}")])
+    only = {"a": table(spark, root, "a")}
+    run_available(read_changes(spark, f"{root}/feed", max_files=1, archive=f"{root}/archive"), only, root)
+    assert rows(only["a"]) == {k: f"v{k}" for k in range(4)}
+    left = spark.read.schema(ENVELOPE).parquet(f"{root}/feed").count()
+    kept = spark.read.schema(ENVELOPE).option("recursiveFileLookup", True).parquet(f"{root}/archive").count()
+    assert kept >= 1 and left + kept == 4
