@@ -30,13 +30,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stored, utf8
-from .tokens import WholeEncoder, id_bytes
+from .tokens import WholeEncoder, as_text, coded, id_bytes, put_together
 
 LENGTH = 1024
 END = 2
@@ -91,9 +92,8 @@ class ByteLevelEncoder:
 
     def __init__(self, tokenizer, dtype: str, end: int):
         self.tokenizer, self.dtype, self.last = tokenizer, np.dtype(dtype), np.array([end], dtype).tobytes()
-        self.after: dict[str, bytes] = {}  # ids of words with the space before them
+        self.after: dict[str, bytes] = {}  # ids of words with the space before them, without the signs after them
         self.first: dict[str, bytes] = {}  # ids of words at the start of a text
-        self.stems: dict[str, bytes] = {}  # ids of words with the space before them, without the signs after them
         self.signs: dict[str, bytes] = {"": b""}
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
@@ -114,51 +114,67 @@ class ByteLevelEncoder:
         places = [0, *at.tolist()]
         return [data[x:y] for x, y in zip(places, places[1:], strict=False)]
 
-    def _learn(self, new: list[str], special: bool) -> None:
-        odd = [w for w in new if w[-1:].isspace() or not w or (special and any(a in w for a in self.added))]
-        self.after.update(zip(odd, self._ids([f" {w}" for w in odd]), strict=True))
-        if odd:
-            new = [w for w in new if w not in self.after]
-        cut = [w.rstrip(_SIGNS) for w in new]
-        cut = [s if s and s[-1] < "\u0250" and s[-1].isalnum() else w for s, w in zip(cut, new, strict=True)]
-        stems, signs = self.stems, self.signs
-        unknown = list({s for s in cut if s not in stems})
-        stems.update(zip(unknown, self._together(unknown), strict=True))
-        ends = [w[len(s) :] for s, w in zip(cut, new, strict=True)]
-        alone = list({e for e in ends if e not in signs})
+    def _known(self, words: list[str], special: bool) -> list[bytes]:
+        """Ids of words with the space before them."""
+        after, signs = self.after, self.signs
+        cut = [w.rstrip(_SIGNS) for w in words]
+        cut = [s if s and s[-1] < "\u0250" and s[-1].isalnum() else w for s, w in zip(cut, words, strict=True)]
+        if special:
+            cut = [w if any(a in w for a in self.added) else s for s, w in zip(cut, words, strict=True)]
+        new = set(cut).difference(after)
+        odd = [s for s in new if s[-1:].isspace() or not s or (special and any(a in s for a in self.added))]
+        after.update(zip(odd, self._ids([f" {s}" for s in odd]), strict=True))
+        rest = list(new.difference(odd))
+        after.update(zip(rest, self._together(rest), strict=True))
+        ends = [w[len(s) :] for s, w in zip(cut, words, strict=True)]
+        alone = list(set(ends).difference(signs))
         signs.update(zip(alone, self._ids(alone), strict=True))
-        self.after.update(zip(new, [stems[s] + signs[e] for s, e in zip(cut, ends, strict=True)], strict=True))
-        for s in unknown:
-            if len(s) > _LONGEST:
-                del stems[s]
-        for e in alone:
-            if len(e) > _LONGEST:
-                del signs[e]
+        ids = [after[s] + signs[e] for s, e in zip(cut, ends, strict=True)]
+        for memory, learnt in ((after, new), (signs, alone)):
+            for w in learnt:
+                if len(w) > _LONGEST:
+                    del memory[w]
+        return ids
+
+    def _encode(self, words: pa.ListArray, special: bool, joined: bool) -> list[bytes]:
+        """Ids of texts by the words they were cut into, of which ``joined`` ones hold no space."""
+        distinct, places = coded(words.values, joined)
+        starts, count = words.offsets.to_numpy(), len(distinct)
+        texts = [w.decode("utf-8", "replace") for w in distinct]
+        ids, begins = self._known(texts, special), places[starts[:-1]]
+        heads = list(dict.fromkeys(begins.tolist()))
+        new = [texts[k] for k in heads if texts[k] not in self.first]
+        self.first.update(zip(new, self._ids(new), strict=True))
+        numbers = np.zeros(count, np.int64)
+        numbers[heads] = np.arange(count, count + len(heads))
+        places = places.astype(np.int64)
+        places[starts[:-1]] = numbers[begins]
+        out = put_together(ids + [self.first[texts[k]] for k in heads], places, starts, self.last)
+        for w in new:
+            if len(w) > _LONGEST:
+                del self.first[w]
+        return out
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        for known in (self.after, self.first):
-            if len(known) > REMEMBERED:
-                known.clear()
-        if len(self.stems) > REMEMBERED or len(self.signs) > REMEMBERED:
-            self.stems, self.signs = {}, {"": b""}
-        heads, split, special = [], [], False
-        for t in texts:
+        if len(self.after) > REMEMBERED or len(self.first) > REMEMBERED or len(self.signs) > REMEMBERED:
+            self.after, self.first, self.signs = {}, {}, {"": b""}
+        plain, spaced, special = [], {}, False
+        for k, t in enumerate(texts):
             text = t.decode("utf-8", "replace")
-            words = _AT_SPACE.split(text) if _AFTER_SPACE.search(text) else text.split(" ")
             special = special or any(a in text for a in self.added)
-            heads.append(words[0])
-            del words[0]
-            split.append(words)
-        after, first = self.after, self.first
-        new, begins = list(set().union(*split).difference(after)), list(set(heads).difference(first))
-        self._learn(new, special)
-        first.update(zip(begins, self._ids(begins), strict=True))
-        known = after.__getitem__
-        out = [first[h] + b"".join(map(known, words)) + self.last for h, words in zip(heads, split, strict=True)]
-        for memory, words in ((after, new), (first, begins)):
-            for w in words:
-                if len(w) > _LONGEST:
-                    del memory[w]
+            if _AFTER_SPACE.search(text):
+                spaced[k] = _AT_SPACE.split(text)
+            else:
+                plain.append(k)
+        out = [b""] * len(texts)
+        if plain:
+            words = pc.split_pattern(as_text([texts[k] for k in plain]), " ")
+            for k, ids in zip(plain, self._encode(words, special, True), strict=True):
+                out[k] = ids
+        if spaced:
+            words = pa.array([[w.encode() for w in ws] for ws in spaced.values()], pa.list_(pa.binary()))
+            for k, ids in zip(spaced, self._encode(words, special, False), strict=True):
+                out[k] = ids
         return out
 
 
@@ -266,7 +282,7 @@ def _repacker(capacity: int, size: int):
 
 _LOADED: dict[str, ByteLevelEncoder | WholeEncoder] = {}
 #: Bytes of text encoded at once.
-_SLICE = 1 << 20
+_SLICE = 4 << 20
 
 
 def _encoder(name: str, source: str, dtype: str, end: int) -> ByteLevelEncoder | WholeEncoder:

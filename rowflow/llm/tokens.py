@@ -31,6 +31,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +41,7 @@ from .common import add_columns, stored, utf8
 END = 1
 FILE_BYTES = 32 << 20
 #: Distinct words a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 _NO_ID = -(1 << 63)
 _LOADED: dict[str, WordEncoder | WholeEncoder] = {}
@@ -56,52 +57,119 @@ def id_bytes(tokenizer_json: str, end: int = END) -> int:
     return 2 if largest < 1 << 16 else 4
 
 
+def is_by_word(tokenizer_json: str) -> bool:
+    """Whether a tokenizer lower-cases, drops white space, and cuts what is between it as ``WordEncoder`` takes for granted."""
+    model = json.loads(tokenizer_json)
+    merges, cutter, cleaner = model["model"], model.get("pre_tokenizer") or {}, model.get("normalizer") or {}
+    cuts, cleans = cutter.get("pretokenizers") or [], cleaner.get("normalizers") or []
+    return (
+        [c["type"] for c in cleans] == ["NFC", "Replace", "Lowercase"]
+        and cleans[1]["pattern"] == {"Regex": "\\s+"}
+        and cleans[1]["content"] == " "
+        and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and cuts[0]["pattern"] == {"Regex": _CUTS}
+        and cuts[0]["behavior"] == "Removed"
+        and cuts[0]["invert"]
+        and not cuts[1].get("add_prefix_space")
+        and not cuts[1].get("use_regex", True)
+        and merges["type"] == "BPE"
+        and merges.get("end_of_word_suffix") == _FINAL
+        and not any(merges.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "unk_token"))
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or _PLAIN.fullmatch(t["content"]) for t in model.get("added_tokens") or [])
+    )
+
+
+def coded(words: pa.Array, joined: bool = True) -> tuple[list[bytes], np.ndarray]:
+    """The distinct ones of many words, and every word's place among them; ``joined`` where no word holds a space."""
+    found = words.dictionary_encode()
+    values, places = found.dictionary, found.indices.to_numpy()
+    if not joined or not len(values):
+        return values.cast(pa.binary()).to_pylist(), places
+    together = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values), " ")
+    return together[0].as_buffer().to_pybytes().split(b" "), places
+
+
+def put_together(ids: list[bytes], places: np.ndarray, starts: np.ndarray, last: bytes) -> list[bytes]:
+    """The ids of every text, whose words begin at ``starts``, and ``last``."""
+    flat = pa.array(ids, pa.large_binary()).take(pa.array(places))
+    _, offsets, data = flat.buffers()
+    if not len(flat) or data is None:
+        return [last] * (len(starts) - 1)
+    cuts = np.frombuffer(offsets, np.int64)[flat.offset : flat.offset + len(flat) + 1][starts].tolist()
+    held = memoryview(data)
+    return [b"".join((held[x:y], last)) for x, y in zip(cuts, cuts[1:], strict=False)]
+
+
+def as_text(texts: list[bytes]) -> pa.Array:
+    """Texts as an Arrow column; bytes that are no UTF-8 stay as they are."""
+    return pc.cast(pa.array(texts, pa.binary()), options=_AS_TEXT)
+
+
 class WordEncoder:
     """Ids of whole texts, each word encoded once and then remembered.
 
     For tokenizers that drop white space and look at letters, single digits and other characters between it by
-    themselves, after lower-casing.  A word of Latin-1 letters and signs after them is put together of
+    themselves, after lower-casing (``is_by_word``).  A word of Latin-1 letters and signs after them is put together of
     the two parts; every other word goes to the tokenizer as it is.
     """
 
     def __init__(self, tokenizer, dtype: str, end: int):
         self.tokenizer, self.dtype, self.last = tokenizer, dtype, np.array([end], dtype).tobytes()
-        self.words: dict[bytes, bytes] = {}  # as they stand in the texts
-        self.parts: dict[str, bytes] = {}  # as the tokenizer is asked for them
+        self.parts: dict[bytes, bytes] = {b"": b""}
         finals = [i for token, i in tokenizer.get_vocab().items() if token.endswith(_FINAL)]
         self.final = np.zeros(max([0, *tokenizer.get_vocab().values()]) + 1, bool)
         self.final[finals] = True
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """Encode runs of lower-case letters together: each ends with a token that marks the end of a word."""
-        runs = [p for p in parts if _LETTERS.fullmatch(p)]
+        runs, others, made = [], [], {}
+        for word in new:
+            if word.isalpha():
+                runs.append(word.decode())
+                continue
+            text = word.decode("utf-8", "replace")
+            simple = _SIMPLE.fullmatch(text)
+            if simple:
+                made[word] = stem, signs = simple[1].lower(), simple[2]
+                (runs if _LETTERS.fullmatch(stem) else others).append(stem)
+                others.append(signs)
+            else:
+                made[word] = (text,)
+                others.append(text)
+        found: dict[str, bytes] = {"": b""}
         if runs:
+            runs = list(dict.fromkeys(runs))
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids)
             ends = np.nonzero(self.final[ids])[0] + 1
             if len(ends) == len(runs):
                 data, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
                 cuts = [0, *(ends * width).tolist()]
-                self.parts.update((r, data[x:y]) for r, x, y in zip(runs, cuts, cuts[1:], strict=False))
-                parts = [p for p in parts if p not in self.parts]
-        for p, encoding in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.parts[p] = np.array(encoding.ids, self.dtype).tobytes()
+                found.update((r, data[x:y]) for r, x, y in zip(runs, cuts, cuts[1:], strict=False))
+            else:
+                others += runs
+        others = list({p for p in others if p not in found})
+        for p, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            found[p] = np.array(encoding.ids, self.dtype).tobytes()
+        self.parts.update((w, b"".join([found[p] for p in made[w]]) if w in made else found[w.decode()]) for w in new)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        if len(self.parts) > 2 * REMEMBERED:
-            self.parts.clear()
-            self.words.clear()
-        known, split = self.words, [t.split() for t in texts]
-        made: dict[bytes, tuple[str, ...]] = {}
-        for word in {w for words in split for w in words if w not in known}:
-            text = word.decode("utf-8", "replace")
-            simple = _SIMPLE.fullmatch(text)
-            made[word] = (simple[1].lower(), simple[2]) if simple else (text,)
-        self._learn(list({p for parts in made.values() for p in parts if p not in self.parts}))
-        for word, parts in made.items():
-            known[word] = b"".join([self.parts[p] for p in parts])
-        return [b"".join([known[w] for w in words]) + self.last for words in split]
+        if len(self.parts) > REMEMBERED:
+            self.parts = {b"": b""}
+        words = pc.ascii_split_whitespace(as_text(texts))
+        distinct, places = coded(words.values)
+        stems = [w.rstrip(_SIGNS) for w in distinct]
+        stems = [s if s.isalpha() else w for s, w in zip(stems, distinct, strict=True)]
+        signs = [w[len(s) :] for s, w in zip(stems, distinct, strict=True)]
+        stems = [s.lower() if s.isalpha() else s for s in stems]
+        known = self.parts
+        new = list(set(stems).union(signs).difference(known))
+        if new:
+            self._learn(new)
+        ids = [known[s] + known[e] for s, e in zip(stems, signs, strict=True)]
+        for w in new:
+            if len(w) > _LONGEST:
+                del known[w]
+        return put_together(ids, places, words.offsets.to_numpy(), self.last)
 
 
 class WholeEncoder:
@@ -119,8 +187,16 @@ _FINAL = "</w>"
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 #: Letters that lower-case one by one and have no other form, then signs that no contraction begins with.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: The same signs as bytes: all of ASCII but the apostrophe, which may begin a contraction.
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_PLAIN = re.compile(r"[A-Za-z]*[!-&(-/:-@\[-`{-~]*")
+#: How a tokenizer that ``WordEncoder`` can stand for cuts a text (a fixed value of public vocabularies).
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_AS_TEXT = pc.CastOptions(pa.string(), allow_invalid_utf8=True)
+#: Longest word remembered, in bytes.
+_LONGEST = 200
 #: Bytes of text encoded at once.
-_SLICE = 1 << 20
+_SLICE = 4 << 20
 
 
 def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -137,12 +213,15 @@ def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
 def encoded(
     docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end: int = END, by_word: bool = True, limits: Sequence[int] = ()
 ) -> tuple[DataFrame, int]:
-    """``id``, the document's token ids as bytes, and the range between ``limits`` that its id is in; and the bytes per token id."""
+    """``id``, the document's token ids as bytes, and the range between ``limits`` that its id is in; and the bytes per token id.
+
+    Words are encoded by themselves ``by_word`` where the tokenizer's file shows that this gives the same ids, else whole texts.
+    """
     with open(tokenizer_path, encoding="utf-8") as f:  # a file of the installation, a few MB; executors need not have it
         source = f.read()
     width = id_bytes(source, end)
     model, name = docs.sparkSession.sparkContext.broadcast(source), uuid.uuid4().hex
-    dtype = f"<u{width}"
+    dtype, kind = f"<u{width}", WordEncoder if by_word and is_by_word(source) else WholeEncoder
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         if name not in _LOADED:
@@ -150,7 +229,7 @@ def encoded(
             from tokenizers import Tokenizer
 
             _LOADED.clear()
-            _LOADED[name] = (WordEncoder if by_word else WholeEncoder)(Tokenizer.from_str(model.value), dtype, end)
+            _LOADED[name] = kind(Tokenizer.from_str(model.value), dtype, end)
         texts = [t or b"" for t in batch.column(batch.schema.get_field_index("__text")).to_pylist()]
         found = pa.array([ids for some in _slices(texts) for ids in _LOADED[name](some)], pa.binary())
         keys = batch.column(batch.schema.get_field_index("id"))

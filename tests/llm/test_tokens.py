@@ -1,4 +1,5 @@
 import glob
+import json
 import os
 import random
 import zlib
@@ -29,6 +30,36 @@ def test_words_encode_like_whole_texts(tokenizer):
         assert encode([text.encode()]) == [want], text
 
 
+def test_many_texts_at_once_and_little_memory(tokenizer, monkeypatch):
+    draw = random.Random(4)
+    bits = [" ", "\n", "\t", "\x1c", "\xa0", "Word", "WORD,", "it's", "H\u0331", "h\u0331", "Ünder", "ẞ", "12ab", "...", "<|", "|>", "<|endoftext|>", "x" * 300]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randint(0, 25))).encode() for _ in range(800)] + [b"", b"  ", b"\xff\xfe a"]
+    encode, plain = tokens.WordEncoder(tokenizer, "<u2", 1), tokens.WholeEncoder(tokenizer, "<u2", 1)
+    want = plain(texts)
+    assert encode(texts) == want and encode([]) == [] and all(len(w) <= 200 for w in encode.parts)
+    monkeypatch.setattr(tokens, "REMEMBERED", 5)
+    assert [encode([t])[0] for t in texts] == want
+
+
+def test_other_tokenizers_are_not_taken_word_by_word(spark, documents):
+    source = open(PATH, encoding="utf-8").read()
+    assert tokens.is_by_word(source)
+    assert not tokens.is_by_word(open(public.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    for change in (
+        lambda m: m["normalizer"]["normalizers"].pop(),
+        lambda m: m["pre_tokenizer"]["pretokenizers"][0].update(behavior="Isolated"),
+        lambda m: m["model"].update(end_of_word_suffix=None),
+        lambda m: m["added_tokens"].append(dict(m["added_tokens"][0], content="word", id=49408)),
+    ):
+        model = json.loads(source)
+        change(model)
+        assert not tokens.is_by_word(json.dumps(model))
+    spaced = " two  spaces\nand a line "
+    rows, _ = tokens.encoded(documents([(1, spaced, "s")]), public.path("byte_bpe_50k.json"))
+    ids = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json")).encode(spaced, add_special_tokens=False).ids
+    assert bytes(rows.first()["ids"]) == np.array([*ids, 1], "<u2").tobytes()
+
+
 def expected(tokenizer, rows):
     ids = [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]) for i, t, _ in rows]
     return sorted(ids, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
