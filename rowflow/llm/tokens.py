@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, stored, utf8
+from .common import stored, utf8
 
 END = 1
 FILE_BYTES = 32 << 20
 #: Distinct words a worker remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 _NO_ID = -(1 << 63)
 _LOADED: dict[str, WordEncoder | WholeEncoder] = {}
@@ -199,15 +199,13 @@ _LONGEST = 200
 _SLICE = 4 << 20
 
 
-def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size > _SLICE:
-            yield held
-            held, size = [], 0
-    yield held
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose texts, in the second column, are little more than ``_SLICE`` bytes."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    parts = np.cumsum(sizes, dtype=np.int64) // _SLICE
+    cuts = [0, *(np.nonzero(np.diff(parts))[0] + 1).tolist(), len(sizes)]
+    for x, y in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(x, y - x)
 
 
 def encoded(
@@ -223,22 +221,22 @@ def encoded(
     model, name = docs.sparkSession.sparkContext.broadcast(source), uuid.uuid4().hex
     dtype, kind = f"<u{width}", WordEncoder if by_word and is_by_word(source) else WholeEncoder
 
-    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _LOADED:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
             from tokenizers import Tokenizer
 
             _LOADED.clear()
             _LOADED[name] = kind(Tokenizer.from_str(model.value), dtype, end)
-        texts = [t or b"" for t in batch.column(batch.schema.get_field_index("__text")).to_pylist()]
-        found = pa.array([ids for some in _slices(texts) for ids in _LOADED[name](some)], pa.binary())
-        keys = batch.column(batch.schema.get_field_index("id"))
-        ranges = np.searchsorted(np.array(limits, np.int64), keys.fill_null(0).to_numpy(zero_copy_only=False), "left")
-        ranges[keys.is_null().to_numpy(zero_copy_only=False)] = len(limits)
-        return [found, pa.array(ranges.astype(np.int32))]
+        for some in (s for batch in batches for s in _slices(batch)):
+            keys = some.column(0)
+            ids = _LOADED[name]([t or b"" for t in some.column(1).to_pylist()])
+            ranges = np.searchsorted(np.array(limits, np.int64), keys.fill_null(0).to_numpy(zero_copy_only=False), "left")
+            ranges[keys.is_null().to_numpy(zero_copy_only=False)] = len(limits)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.binary()), pa.array(ranges.astype(np.int32))], names=["id", "ids", "range"])
 
-    rows = docs.select(F.col(key).cast("bigint").alias("id"), utf8(text).alias("__text"))
-    return add_columns(rows, ["__text"], T.StructType().add("ids", "binary").add("range", "integer"), run), width
+    rows = docs.select(F.col(key).cast("bigint").alias("id"), utf8(text).alias("text"))
+    return rows.mapInArrow(run, "id bigint, ids binary, range int"), width
 
 
 # -- files ---------------------------------------------------------------------------
@@ -265,6 +263,7 @@ def _packer(width: int):
             texts = batch.column(1).to_pylist()
             sizes += map(len, texts)
             yield from rows(b"".join(texts))
+            del texts
         if ids:
             total = sum(sizes)
             ends = np.cumsum(np.array(sizes, "<i8")) // width
