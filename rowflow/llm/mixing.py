@@ -32,8 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..operators.skew import join_to_unique
 from .common import packed, plain_words, stored
 
 # Weights by place, share of all words, and most times a source is taken.
@@ -42,7 +42,7 @@ SHARE = 1.5
 MOST = 2.0
 
 BLOCK = 512
-#: A mix names its sources; a table with more of them is refused.
+#: Sources whose targets the driver works out and broadcasts; those of more are worked out over all tasks.
 MAX_SOURCES = 100_000
 
 _NEAR = 1e-9
@@ -67,6 +67,48 @@ def source_targets(
     return targets
 
 
+def _named() -> Column:
+    """A source as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col("__source")), F.lit(""))
+
+
+def spread_targets(
+    sums: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST
+) -> DataFrame:
+    """``source_targets`` of any number of sources, as columns ``__no, __target, __rate`` beside ``__source_size``.
+
+    Sources are numbered in order by ranges.  The words that one unit of weight gets only rise as full sources are put
+    aside, so every round is one sum over the sources: those full at the level before give what they hold.
+    """
+    order = F.col("__source").asc_nulls_last()
+    parts = sums.sparkSession.sparkContext.defaultParallelism
+    sorted_ = sums.repartitionByRange(parts, order).sortWithinPartitions(order)
+    # Stored, so that places stay what they are; a place is the row's number within its partition.
+    placed = stored(sorted_.select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__in")), "sources")
+    counts = {r["__part"]: r["count"] for r in placed.groupBy("__part").count().collect()}  # one row per partition
+    bases = [sum(n for q, n in counts.items() if q < p) for p in range(parts)]
+    base = F.element_at(F.array(*[F.lit(n).cast("bigint") for n in bases]), F.col("__part") + 1)
+    rows = placed.withColumn("__no", base + F.col("__in")).drop("__part", "__in")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("__no") % len(weights) + 1).cast("int"))
+    full = F.lit(False)
+    level, before = 0.0, None
+    while True:
+        found = rows.agg(
+            F.sum(F.col("__source_size").cast("decimal(38,0)")).alias("all"),
+            F.sum(F.when(full, F.col("__source_size").cast("decimal(38,0)"))).alias("full"),
+            F.sum(F.when(~full, weight)).alias("weight"),
+            F.count(F.when(full, 1)).alias("n"),
+        ).first()
+        if found["n"] == before or not found["weight"]:
+            break
+        before = found["n"]
+        level = (share * float(found["all"] or 0) - most * float(found["full"] or 0)) / found["weight"]
+        full = weight * F.lit(level) > most * F.col("__source_size")
+    target = F.when(full, most * F.col("__source_size")).otherwise(weight * F.lit(level))
+    rows = rows.withColumn("__target", target)
+    return rows.withColumn("__rate", F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(0.0))
+
+
 # -- flight and landing --------------------------------------------------------------
 
 
@@ -157,22 +199,23 @@ def balanced(units: DataFrame, most_units: int, block: int = BLOCK) -> DataFrame
 def _mixed(rows: DataFrame, weights: Sequence[int], share: float, most: float, block: int) -> DataFrame:
     """Rows with ``__source, __size, __id, __hash`` get ``__source_size, __target, __copies``."""
     rows = _parted(rows, block)
-    sums = rows.groupBy("__source").agg(F.sum("__size").alias("size"), F.count(F.lit(1)).alias("n"))
+    sums = rows.groupBy("__source").agg(F.sum("__size").alias("__source_size"), F.count(F.lit(1)).alias("__units"))
     sources = sums.limit(MAX_SOURCES + 1).collect()
     if len(sources) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    targets = source_targets({r["__source"]: r["size"] for r in sources}, weights, share, most)
-    number = {s: k for k, s in enumerate(targets)}
-    table = [
-        (r["__source"], number[r["__source"]], r["size"], r["n"], targets[r["__source"]], targets[r["__source"]] / r["size"] if r["size"] else 0.0)
-        for r in sources
-    ]
-    schema = T.StructType().add("s", "string").add("__no", "long").add("__source_size", "long").add("__units", "long").add("__target", "double").add("__rate", "double")
-    plan = rows.sparkSession.createDataFrame(table, schema)
-    # At most MAX_SOURCES rows.
-    joined = rows.join(F.broadcast(plan), F.col("__source").eqNullSafe(F.col("s")), "left").drop("s")
+        plan = spread_targets(stored(sums, "sources"), weights, share, most).withColumn("__s", _named()).drop("__source")
+        joined = join_to_unique(rows.withColumn("__s", _named()), plan, "__s", "left").drop("__s")
+        most_units = plan.agg(F.max("__units")).first()[0]
+    else:
+        targets = source_targets({r["__source"]: r["__source_size"] for r in sources}, weights, share, most)
+        number = {s: k for k, s in enumerate(targets)}
+        table = [(s, n, size, units, targets[s], targets[s] / size if size else 0.0) for s, size, units in sources for n in [number[s]]]
+        schema = "s string, __no long, __source_size long, __units long, __target double, __rate double"
+        # At most MAX_SOURCES rows.
+        plan = F.broadcast(rows.sparkSession.createDataFrame(table, schema))
+        joined = rows.join(plan, F.col("__source").eqNullSafe(F.col("s")), "left").drop("s")
+        most_units = max((r["__units"] for r in sources), default=0)
     units = joined.withColumn("__chance", F.col("__rate") - F.floor("__rate"))
-    done = balanced(units, max((r["n"] for r in sources), default=0), block)
+    done = balanced(units, most_units, block)
     return done.withColumn("__copies", (F.floor("__rate") + F.col("__chance")).cast("int"))
 
 

@@ -91,3 +91,31 @@ def test_copies_do_not_share_a_block(spark, documents):
     assert max(sizes) <= 8
     parted = mixing._parted(spark.createDataFrame([(1, 5)] * 400 + [(k, k) for k in range(2, 50)], "__id long, __hash long").repartition(3), 32)
     assert parted.groupBy("__hash").count().where("count > 1").count() == 0
+
+
+def test_targets_over_all_tasks_are_the_same(spark):
+    draw = random.Random(9)
+    for many in (0, 1, 4, 300):
+        sizes = {f"s{k}é"[draw.randint(0, 1) :] + str(k): draw.choice([0, 3, draw.randint(1, 50), draw.randint(1, 90_000)]) for k in range(many)}
+        sizes |= {None: 40, "": 7} if many else {}
+        sums = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "__source string, __source_size long, __units long")
+        want = mixing.source_targets(sizes)
+        got = mixing.spread_targets(sums).orderBy("__no").collect()
+        assert [r["__source"] for r in got] == list(want) and [r["__no"] for r in got] == list(range(len(want)))
+        assert all(abs(r["__target"] - want[r["__source"]]) <= 1e-9 * max(1, want[r["__source"]]) for r in got)
+    empty = spark.createDataFrame([("a", 0, 2), ("b", 0, 1)], "__source string, __source_size long, __units long")
+    assert [(r["__target"], r["__rate"]) for r in mixing.spread_targets(empty).collect()] == [(0.0, 0.0)] * 2
+
+
+def test_more_sources_than_the_driver_takes(documents, prose, monkeypatch):
+    rows = [(k, t, "hot" if k % 3 else None if k % 5 == 0 else f"s{k % 40}") for k, t in enumerate(prose(600, 30))]
+    docs = documents(rows, parts=3)
+    want = mixing.mix(docs, block=64).collect()
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 5)
+    got = mixing.mix(docs, block=64).collect()
+    facts = lambda rows: sorted((r.doc_id, r.size, r.source_size, round(r.target, 6)) for r in rows)
+    assert facts(got) == facts(want)
+    of = {k: s for k, _, s in rows}
+    for s in set(of.values()):
+        mine = [r for r in got if of[r.doc_id] == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
