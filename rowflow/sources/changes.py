@@ -59,6 +59,7 @@ def write_routed(envelopes: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 IMAGES = ("before", "after")
 _BROKEN = "__broken"
+_PARSED = "__parsed"
 
 
 def decode_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
@@ -91,14 +92,17 @@ def checked_events(envelopes: DataFrame, table: str, schema: T.StructType, keys:
     mine = envelopes.where(F.col("table") == table)
     keys, reasons = list(keys), []
     if "after" not in envelopes.columns:
-        key = T.StructType([schema[k] for k in keys])
-        for image, wanted in (("before", key), ("after", schema)):
-            text = F.col(f"{image}_json")
+        images = {"before": T.StructType([schema[k] for k in keys]), "after": schema}
+        parsed = []
+        for image, wanted in images.items():
             marked = T.StructType([*wanted.fields, T.StructField(_BROKEN, T.StringType())])
-            parsed = F.from_json(text, marked, {"columnNameOfCorruptRecord": _BROKEN})
-            mine = mine.withColumn(f"__{image}", parsed)
-            whole = F.struct(*[F.col(f"__{image}.{f.name}") if f.name in wanted.names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-            bad = text.isNotNull() & (F.col(f"__{image}").isNull() | F.col(f"__{image}.{_BROKEN}").isNotNull())
+            parsed.append(F.from_json(F.col(f"{image}_json"), marked, {"columnNameOfCorruptRecord": _BROKEN}).alias(image))
+        # Out of an array, or the filters on what is found here would parse the images again, once for each use.
+        mine = mine.select("*", F.explode(F.array(F.struct(*parsed))).alias(_PARSED))
+        for image, wanted in images.items():
+            text, found = F.col(f"{image}_json"), F.col(f"{_PARSED}.{image}")
+            whole = F.struct(*[found[f.name].alias(f.name) if f.name in wanted.names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+            bad = text.isNotNull() & (found.isNull() | found[_BROKEN].isNotNull())
             mine = mine.withColumn(image, F.when(text.isNotNull() & ~bad, whole))
             reasons.append(F.when(bad, f"{image}: unreadable"))
     known = F.coalesce(F.col("op").isin("r", "c", "u", "d"), F.lit(False))
@@ -108,7 +112,7 @@ def checked_events(envelopes: DataFrame, table: str, schema: T.StructType, keys:
         old, new = F.col(f"before.{k}"), F.col(f"after.{k}")
         value = F.when(F.col("op") == "d", F.coalesce(old, new)).otherwise(new)
         reasons.append(F.when(known & value.isNull(), f"{k}: null"))
-    return mine.withColumn("reasons", F.concat_ws("; ", *reasons))
+    return mine.withColumn("reasons", F.concat_ws("; ", *reasons)).drop(_PARSED)
 
 
 def typed_events(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -84,46 +84,48 @@ class BatchApplier:
         self.refreshed: dict[str, int | None] = {}  # next batch to refresh from, per view
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        # Not kept: what arrived is in a few columns, and a table's changes are found by the name that its files have it in.
         mine = batch.where(F.col("table").isin(*self.tables) | F.col("table").isNull())
-        if len(self.tables) > 1:
-            mine = mine.persist()  # read the batch once, not once per table
-        try:
-            found = self._arrived(mine)
-            arrived = [r for r in found if r["table"] is not None]
-            if len(found) > len(arrived):
-                undecodable(mine).write.mode("overwrite").json(f"{self.root}/unreadable/undecodable/batch={batch_id}")
-            for name in sorted(r["table"] for r in arrived):
-                self._apply(mine, name, batch_id)
-            if arrived:
-                self._measure(batch.sparkSession, arrived, batch_id)
-        finally:
-            mine.unpersist()
+        found = self._arrived(mine)
+        arrived = [r for r in found if r["table"] is not None]
+        if len(found) > len(arrived):
+            undecodable(mine).write.mode("overwrite").json(f"{self.root}/unreadable/undecodable/batch={batch_id}")
+        for name in sorted(r["table"] for r in arrived):
+            self._apply(mine, name, batch_id)
+        if arrived:
+            self._measure(batch.sparkSession, arrived, batch_id)
         self._keep_up(batch_id)
 
     def _apply(self, batch: DataFrame, name: str, batch_id: int) -> None:
         table = self.tables[name]
         checked = checked_events(batch, name, table.columns, table.keys)
-        parsed = "after" not in batch.columns
-        if parsed:
-            checked = checked.drop("__before", "__after").persist()  # images are parsed once, whatever reads them
+        several = "after" not in batch.columns and (name in self.contracts or name in self.markers)
+        if several:
+            checked = checked.persist()  # images are parsed once, whatever reads them
         try:
             self._write(checked, batch.columns, name, batch_id)
         finally:
-            if parsed:
+            if several:
                 checked.unpersist()
 
     def _write(self, checked: DataFrame, columns: list[str], name: str, batch_id: int) -> None:
+        """Write a table's changes, counting those that cannot be read on the way: only where there are some, they are looked for."""
         table = self.tables[name]
         probed = name in self.markers
-        events = good_events(checked).withColumnRenamed("ts_commit", _COMMIT)
-        changes = event_rows(events, table.keys, [_COMMIT] if probed else [])
-        unreadable = bad_envelopes(checked, columns)
-        if not unreadable.isEmpty():
-            unreadable.write.mode("overwrite").json(f"{self.root}/unreadable/{name}/batch={batch_id}")
+        seen = Observation()
+        counted = checked.observe(seen, F.count_if(F.col("reasons") != "").alias("unreadable"))
+        kept = [_COMMIT] if probed else []
+        changes = event_rows(good_events(counted).withColumnRenamed("ts_commit", _COMMIT), table.keys, kept)
+        if name in self.contracts:
+            changes = split_contract(changes, self.contracts[name])[0]
+        table.append(changes, batch_id, self.job)
+        if seen.get.get("unreadable", 0):
+            bad_envelopes(checked, columns).write.mode("overwrite").json(f"{self.root}/unreadable/{name}/batch={batch_id}")
+        if probed or name in self.contracts:
+            changes = event_rows(good_events(checked).withColumnRenamed("ts_commit", _COMMIT), table.keys, kept)
         if name in self.contracts:
             changes, bad = split_contract(changes, self.contracts[name])
             bad.drop(_COMMIT).write.mode("overwrite").json(f"{self.root}/quarantine/{name}/batch={batch_id}")
-        table.append(changes, batch_id, self.job)
         if probed:
             self._observe(changes, name, batch_id)
 

@@ -348,3 +348,32 @@ def test_consumed_files_are_archived(spark, root):
     left = spark.read.schema(ENVELOPE).parquet(f"{root}/feed").count()
     kept = spark.read.schema(ENVELOPE).option("recursiveFileLookup", True).parquet(f"{root}/archive").count()
     assert kept >= 1 and left + kept == 4
+
+
+def test_a_batch_is_written_without_being_kept(spark, root, monkeypatch):
+    """Nothing of a batch is cached on its way into the tables, and what cannot be read is still set aside."""
+    made = []
+    for name in ("a", "b"):
+        df = spark.createDataFrame([("c", 1, 1, "x"), ("c", 2, 2, name), ("d", 3, 1, None)], "op string, seq long, k long, v string")
+        made.append(change_envelopes(df, name, ["k"]))
+    broken = spark.createDataFrame([("b", "c", 4, None, None, "{")], ENVELOPE)
+    batch = made[0].unionByName(made[1]).unionByName(broken)
+
+    def refuse(*_):
+        raise AssertionError("a batch was cached")
+
+    monkeypatch.setattr(type(batch), "persist", refuse)
+    tables = {n: table(spark, root, n).create() for n in ("a", "b")}
+    applier = BatchApplier(tables, f"{root}/job")
+    applier(batch, 0)
+    assert rows(tables["a"]) == {2: "a"} and rows(tables["b"]) == {2: "b"}
+    assert [r.seq for r in spark.read.json(f"{root}/job/unreadable/b").collect()] == [4]
+
+
+def test_probes_arrive_in_files_for_all_cores(spark, root, monkeypatch):
+    monkeypatch.setattr("rowflow.plans.catalog.work_dir", lambda *_: root)
+    probes = [(i, None, i, kind, float(i), None) for i, kind in enumerate(["click", "view"] * 40)]
+    spark.createDataFrame(probes, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{root}/in/events.parquet")
+    assert {r.n for r in QUERIES["steady_latency"](spark, f"{root}/in").collect() if r.table in ("orders", "customers")} == {40}
+    written = spark.read.parquet(f"{root}/results").inputFiles()
+    assert len(written) > 8
