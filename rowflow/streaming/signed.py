@@ -27,16 +27,10 @@ def signed_changes(table: KeyedTable, since: int, job: str = JOB, columns: tuple
 
     None when no log is stored.  One job writes the table: what others append counts on neither side.
     """
-    changes = table.changes_since(since, job)
-    if changes is None:
+    states = table.moved_since(since, job, columns)
+    if states is None:
         return None
-    wanted = [*table.keys, *[c for c in columns if c not in table.keys]]
-    keys = changes.select(*table.keys).distinct()
-    old, new = table.state_of(keys, since, job, columns), table.state_of(keys, job=job, columns=columns)
-    row = F.struct("op", "seq", *wanted)
-    before = old.select(*[F.col(k).alias(f"__{k}") for k in table.keys], row.alias("__before"))
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) if table.nullable_keys else F.col(k) == F.col(f"__{k}") for k in table.keys]
-    moved = new.withColumn("__after", row).join(before, same, "left").where(~F.col("__after").eqNullSafe(F.col("__before")))
+    moved = states.where(~F.col("__after").eqNullSafe(F.col("__before")))
     sides = F.array(F.struct(F.lit(-1).alias("sign"), F.col("__before").alias("row")), F.struct(F.lit(1).alias("sign"), F.col("__after").alias("row")))
     rows = moved.select(F.explode(sides).alias("side")).select("side.sign", "side.row.*")
     return rows.where(F.col("op").isNotNull() & (F.col("op") != "d")).drop("op", "seq")
@@ -49,7 +43,7 @@ def add_counts(counters: KeyedTable, deltas: DataFrame, since: int, batch: int,
     batch counts once, however the batches are cut the second time.
     """
     keys = counters.keys
-    moving = deltas.where(F.col("n") != 0)
+    moving = deltas.where(F.col("n") != 0).persist()  # looked up and joined: added up once
     old = counters.state_of(moving.select(*keys), since, job)
     before = old.select(*[F.col(k).alias(f"__{k}") for k in keys], F.when(F.col("op") != "d", F.col("n")).alias("__n"), F.col("seq").alias("__seq"))
     joined = moving.join(before, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left")
@@ -59,6 +53,7 @@ def add_counts(counters: KeyedTable, deltas: DataFrame, since: int, batch: int,
         F.when(had + F.col("n") == 0, "d").otherwise("u").alias("op"), position.alias("seq"), *keys, (had + F.col("n")).alias("n"), had.alias("n_before")
     ).persist()
     counters.append(changed, batch, job)
+    moving.unpersist()
     return changed
 
 

@@ -161,14 +161,48 @@ class KeyedTable:
         log = self._log(version, None if later is None else ~later)
         parts = [self._snapshot(snapshot)] + ([log] if log is not None else [])
         asked = keys.select(*[F.col(k).alias(f"__{k}") for k in self.keys])
-        same = [
-            F.col(k).eqNullSafe(F.col(f"__{k}")) if self.nullable_keys else F.col(k) == F.col(f"__{k}") for k in self.keys
-        ]
-        found = [rows.select(*wanted).where(near).join(asked, same, "left_semi") for rows in parts]
+        found = [rows.select(*wanted).where(near).join(asked, self._same(), "left_semi") for rows in parts]
         if len(found) == 1:
             return found[0]
         return merge_newest(found[0], latest_by_key(found[1], self.keys), self.keys, self.nullable_keys)
 
+    def moved_since(self, batch: int, job: str = JOB, columns: Iterable[str] = ()) -> DataFrame | None:
+        """``__before`` and ``__after`` of every key that the job's batches from ``batch`` on mention: ``op, seq``, keys and ``columns``.
+
+        Both are found together: earlier changes of those keys and the batches' own are reduced in one step, and joined to
+        the snapshot's rows.  None when no log is stored.
+        """
+        version, snapshot = self._required()
+        wanted = [*META.names, *self.keys, *[c for c in columns if c not in self.keys]]
+        later = (F.col("job") == job) & (F.col("batch") >= batch)
+        changes, earlier = self._log(version, later), self._log(version, ~later)
+        if changes is None:
+            return None
+        changes = changes.select(*wanted)
+        if not self.nullable_keys:
+            changes = changes.dropna(subset=self.keys)
+        asked = changes.select(*[F.col(k).alias(f"__{k}") for k in self.keys])
+        near = self._near(changes.select(*self.keys))
+        same = self._same()
+        earlier = earlier.select(*wanted).where(near).join(asked, same, "left_semi")
+        both = earlier.withColumn("__later", F.lit(False)).unionByName(changes.withColumn("__later", F.lit(True)))
+        rest = [c for c in wanted if c not in self.keys and c != "seq"]
+        row = F.struct("seq", (F.col("op") != "d").alias("__exists"), *rest)  # in the order of ``latest_by_key``
+        ends = both.groupBy(*self.keys).agg(F.max(F.when(~F.col("__later"), row)).alias("__old"), F.max(row).alias("__new"))
+        stored = self._snapshot(snapshot).select(*wanted).where(near)
+        stored = stored.select(*[F.col(k).alias(f"__{k}") for k in self.keys], F.struct(*wanted).alias("__stored"))
+        joined = ends.join(stored, same, "left")
+
+        def newer(end: str) -> Column:
+            found = F.struct(*[F.col(c) if c in self.keys else F.col(f"{end}.{c}").alias(c) for c in wanted])
+            return F.when(F.col(end).isNotNull() & (F.col("__stored").isNull() | (F.col(f"{end}.seq") > F.col("__stored.seq"))), found).otherwise(F.col("__stored"))
+
+        return joined.select(newer("__old").alias("__before"), newer("__new").alias("__after"))
+
+    def _same(self) -> list[Column]:
+        """The keys beside those of another frame, which have two underscores before their names."""
+        return [F.col(k).eqNullSafe(F.col(f"__{k}")) if self.nullable_keys else F.col(k) == F.col(f"__{k}") for k in self.keys]
+
     def _near(self, keys: DataFrame) -> Column:
         """A condition on the table's own columns that holds for all of the keys, for the scans."""
         if len(self.keys) == 1:

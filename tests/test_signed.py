@@ -173,3 +173,21 @@ def test_references_equal_the_batch_operators(spark, root):
         if batch == 0:
             items.compact(), orders.fold(), kept.fold()
     assert kept.uses.current().where("n <= 0").count() == 0
+
+
+def test_moves_are_found_in_one_step(spark, root):
+    """The row before and after, over the snapshot, earlier batches and late or repeated changes."""
+    table = KeyedTable(spark, root, "t", T.StructType().add("k", "long").add("v", "string"), ["k"])
+    rows = lambda *r: spark.createDataFrame(r, "op string, seq long, k long, v string")
+    table.create(rows(("r", 5, 1, "a"), ("r", 5, 2, "b"), ("r", 5, 3, "c")))
+    table.append(rows(("u", 6, 2, "B"), ("c", 6, 4, "d")), 0)
+    table.append(rows(("u", 7, 2, "BB"), ("d", 6, 3, None), ("u", 4, 1, "late"), ("u", 6, 4, "a"), ("c", 1, 5, "e"), ("c", 1, 5, "e"), ("c", 9, None, "x")), 1)
+    text = lambda x: x and (x.op, x.seq, x.v)
+    found = {(r["__after"].k): (text(r["__before"]), text(r["__after"])) for r in table.moved_since(1, columns=("v",)).collect()}
+    assert found == {
+        1: (("r", 5, "a"), ("r", 5, "a")),
+        2: (("u", 6, "B"), ("u", 7, "BB")),
+        3: (("r", 5, "c"), ("d", 6, None)),
+        4: (("c", 6, "d"), ("u", 6, "a")),
+        5: (None, ("c", 1, "e")),
+    }
