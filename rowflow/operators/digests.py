@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import work_dir
 from .latest import META
 
 #: Bits of the leaves, and of one level.
@@ -40,8 +41,12 @@ def _second_hash(columns: Iterable[Column]) -> Column:
 
 def _digests(columns: list[Column]) -> list[Column]:
     """Number of rows, and the sums of two hashes, exact."""
+    return _sums(row_hash(columns), _second_hash(columns))
+
+
+def _sums(first: Column, second: Column) -> list[Column]:
     total = lambda c: F.coalesce(F.sum(c.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
-    return [F.count(F.lit(1)).alias("row_count"), total(row_hash(columns)).alias("first"), total(_second_hash(columns)).alias("second")]
+    return [F.count(F.lit(1)).alias("row_count"), total(first).alias("first"), total(second).alias("second")]
 
 
 def leaf_of(keys: Iterable[str], bits: int = LEAF_BITS) -> Column:
@@ -51,9 +56,12 @@ def leaf_of(keys: Iterable[str], bits: int = LEAF_BITS) -> Column:
 
 def digest_tree(rows: DataFrame, keys: Iterable[str], bits: int = LEAF_BITS, step: int = LEVEL_BITS) -> DataFrame:
     """``level, prefix, row_count, first, second``: every level's prefixes that have rows, from the root (level 0)."""
-    keys = list(keys)
     columns = [F.col(c) for c in sorted(rows.columns)]
-    leaves = rows.groupBy(leaf_of(keys, bits).alias("prefix")).agg(*_digests(columns))
+    return _tree(rows, leaf_of(keys, bits), _digests(columns), bits, step)
+
+
+def _tree(rows: DataFrame, leaf: Column, digests: list[Column], bits: int, step: int) -> DataFrame:
+    leaves = rows.groupBy(leaf.alias("prefix")).agg(*digests)
     depths = list(range(0, bits, step)) + [bits]
     levels = F.explode(F.array(*[F.struct(F.lit(d).alias("level"), F.shiftright("prefix", bits - d).alias("prefix")) for d in depths]))
     spread = leaves.select(levels.alias("node"), "row_count", "first", "second").select("node.*", "row_count", "first", "second")
@@ -84,21 +92,26 @@ def differing_leaves(source: DataFrame, target: DataFrame, bits: int = LEAF_BITS
 def content_differences(source: DataFrame, target: DataFrame, keys: Iterable[str], bits: int = LEAF_BITS, step: int = LEVEL_BITS) -> DataFrame:
     """Keys whose rows are ``missing`` in the target, ``extra`` there, or ``changed``, as ``kind``.
 
-    Keys are unique in both.  The tables are read once for their trees; a second time, what lies in differing leaves
-    is compared, hash against hash.
+    Keys are unique in both.  The tables are read once, and their keys with two hashes a row are written to the work
+    folder; trees come from those, and what lies in differing leaves is compared, hash against hash.
     """
     keys = list(keys)
-    target = target.select(*source.columns)
-    trees = [digest_tree(t, keys, bits, step).persist() for t in (source, target)]
+    columns = [F.col(c) for c in sorted(source.columns)]
+    digest = F.struct(row_hash(columns).alias("a"), _second_hash(columns).alias("b")).alias("digest")
+    folder, spark = work_dir(source.sparkSession, "digests"), source.sparkSession
+    sides = []
+    for name, rows in (("source", source), ("target", target.select(*source.columns))):
+        hashed = rows.select(*keys, digest)
+        hashed.write.parquet(f"{folder}/{name}")
+        sides.append(spark.read.schema(hashed.schema).parquet(f"{folder}/{name}"))
+    leaf = leaf_of(keys, bits)
+    trees = [_tree(t, leaf, _sums(F.col("digest.a"), F.col("digest.b")), bits, step).persist() for t in sides]
     try:
         leaves = differing_leaves(*trees, bits, step)
     finally:
         for tree in trees:
             tree.unpersist()
-    columns = [F.col(c) for c in sorted(source.columns)]
-    digest = F.struct(row_hash(columns).alias("a"), _second_hash(columns).alias("b"))
-    wanted = leaf_of(keys, bits).isin(leaves)
-    ours, theirs = (t.where(wanted).select(*keys, digest.alias("digest")) for t in (source, target))
+    ours, theirs = (t.where(leaf.isin(leaves)) for t in sides)
     renamed = theirs.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("digest").alias("__digest"))
     joined = ours.join(renamed, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "full_outer")
     kind = F.when(F.col("__digest").isNull(), "missing").when(F.col("digest").isNull(), "extra").when(F.col("digest") != F.col("__digest"), "changed")
