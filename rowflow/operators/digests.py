@@ -72,13 +72,19 @@ def _tree(rows: DataFrame, leaf: Column, digests: list[Column], bits: int, step:
 _SAME = ("row_count", "first", "second")
 
 
+def _among(rows: DataFrame, value: Column, wanted: list[int]) -> DataFrame:
+    """Rows whose value is one of many: joined, where a condition of as many literals would take the driver long to put together."""
+    listed = rows.sparkSession.createDataFrame([(w,) for w in wanted], "__wanted int")
+    return rows.join(F.broadcast(listed), value == F.col("__wanted"), "left_semi")
+
+
 def differing_leaves(source: DataFrame, target: DataFrame, bits: int = LEAF_BITS, step: int = LEVEL_BITS) -> list[int]:
     """Leaves whose digests differ, at most ``2**bits``; of each level only the children of differing prefixes are compared."""
     depths = list(range(0, bits, step)) + [bits]
     found, above = [0], 0
     for depth in depths:
         parent = F.shiftright("prefix", depth - above)
-        ours, theirs = (t.where((F.col("level") == depth) & parent.isin(found)).drop("level") for t in (source, target))
+        ours, theirs = (_among(t.where(F.col("level") == depth), parent, found).drop("level") for t in (source, target))
         renamed = theirs.select(F.col("prefix").alias("__prefix"), *[F.col(c).alias(f"__{c}") for c in _SAME])
         joined = ours.join(renamed, F.col("prefix") == F.col("__prefix"), "full_outer")
         same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in _SAME])
@@ -111,7 +117,7 @@ def content_differences(source: DataFrame, target: DataFrame, keys: Iterable[str
     finally:
         for tree in trees:
             tree.unpersist()
-    ours, theirs = (t.where(leaf.isin(leaves)) for t in sides)
+    ours, theirs = (_among(t, leaf, leaves) for t in sides)
     renamed = theirs.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("digest").alias("__digest"))
     joined = ours.join(renamed, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "full_outer")
     kind = F.when(F.col("__digest").isNull(), "missing").when(F.col("digest").isNull(), "extra").when(F.col("digest") != F.col("__digest"), "changed")
