@@ -643,8 +643,9 @@ def steady_latency(t: Tables) -> DataFrame:
     """Statistics of all probes and of the last hundred of each table, kept while the probes arrive in about four batches."""
     path = work_dir(t.spark, "probes")
     results = t.probe_results().withColumn("marker", F.concat(F.lit("probe_"), F.col("probe_seq").cast("string")))
-    results.repartition(8).write.parquet(f"{path}/results")
-    feed = t.spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/results")
+    files = max(2, t.spark.sparkContext.defaultParallelism)  # of one batch: a task each, all cores at work
+    results.repartition(4 * files).write.parquet(f"{path}/results")
+    feed = t.spark.readStream.schema(results.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/results")
     kept = ProbeStatistics(t.spark, path)
     await_queries([follow(feed, kept, path)])
     recent = latency.latency_stats(kept.recent(), percents=(95,))
