@@ -258,7 +258,8 @@ def _packer(width: int):
                 yield pa.RecordBatch.from_arrays([pa.array([data[:cut]], pa.binary())], names=["value"])
             rest = data[cut + 1 :]
 
-        for batch in batches:
+        _LOADED.clear()  # a worker that encoded before needs its words no more
+        for batch in (s for whole in batches for s in _slices(whole)):
             ids += [_NO_ID if i is None else i for i in batch.column(0).to_pylist()]
             texts = batch.column(1).to_pylist()
             sizes += map(len, texts)

@@ -101,3 +101,16 @@ def test_no_documents_and_torn_file(spark, root, documents):
     assert tokens.read_index(spark, f"{root}/t").count() == 0
     with pytest.raises(ValueError, match="trailer"):
         tokens.TokenFile(np.array([1, 2, 3, 2, 9, 1], "<i8").tobytes())
+
+
+def test_the_packer_hands_on_a_few_megabytes_at_a_time():
+    import pyarrow as pa
+
+    from rowflow.llm import tokens
+
+    texts = [b"\x01\x00" * 100_000] * 100
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100), pa.int64()), pa.array(texts, pa.binary())], names=["id", "ids"])
+    made = [v.as_py() for part in tokens._packer(2)(iter([batch])) for v in part.column(0)]
+    assert max(map(len, made)) < 2 * tokens._SLICE
+    file = tokens.TokenFile(b"".join(v + b"\0" for v in made))
+    assert len(file) == 100 and file[99].tolist() == [1] * 100_000
