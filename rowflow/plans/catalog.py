@@ -23,10 +23,9 @@ from ..sources.changes import (
     change_events,
     decode_envelopes,
     read_changes,
+    sorted_changes,
     typed_changes,
-    undecodable,
     union_all,
-    unreadable_changes,
     write_routed,
 )
 from ..sources.chunks import ChunkedSnapshot
@@ -705,27 +704,23 @@ def quarantined_changes(t: Tables) -> DataFrame:
     """A feed with broken messages: what was applied and what was set aside, by reason; together all that was sent."""
     commit = F.coalesce(F.col("created_at"), as_of())
     feed = t.order_feed()
-    sent = change_envelopes(feed, "orders", KEYS["orders"], commit)
-    images = F.coalesce("after_json", "before_json")
-    image, key = F.col("after_json"), F.coalesce(F.get_json_object(images, "$.order_id").cast("bigint"), F.lit(0))
-    sent = sent.withColumn("key", key).withColumn(
+    sent = change_envelopes(feed, "orders", KEYS["orders"], commit, [F.coalesce("order_id", F.lit(0)).alias("key")])
+    image, key = F.col("after_json"), F.col("key")
+    sent = sent.withColumn(
         "after_json",
         F.when(key % 97 == 1, F.substr(image, F.lit(1), F.lit(9)))
         .when(key % 97 == 2, F.regexp_replace(image, r'"total_amount":[0-9.]+', '"total_amount":"abc"'))
         .when(key % 97 == 3, F.regexp_replace(image, r'"order_id":[0-9]+', '"order_id":null'))
         .otherwise(image),
     )
-    sent = sent.withColumn("table", F.when(F.col("key") % 97 != 5, F.col("table")))
+    sent = sent.withColumn("table", F.when(key % 97 != 5, F.col("table")))
     whole = F.to_json(F.struct(*[c for c in sent.columns if c != "key"]))
-    message = F.when(F.col("key") % 97 == 4, F.substr(whole, F.lit(1), F.lit(30))).otherwise(whole)
+    message = F.when(key % 97 == 4, F.substr(whole, F.lit(1), F.lit(30))).otherwise(whole)
     path = work_dir(t.spark, "messages")
     sent.select(message.alias("value")).write.parquet(path)
     received = decode_envelopes(t.spark.read.parquet(path))
-    schema = t.orders().schema
-    aside = undecodable(received).select("reasons")
-    bad = unreadable_changes(received, "orders", schema, KEYS["orders"]).select("reasons")
-    good = typed_changes(received, "orders", schema, KEYS["orders"]).select(F.lit("").alias("reasons"))
-    return union_all([good, bad, aside]).groupBy("reasons").agg(F.count(F.lit(1)).alias("messages"))
+    changes = sorted_changes(received, "orders", t.orders().schema, KEYS["orders"])
+    return changes.groupBy("reasons").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @query

@@ -60,6 +60,7 @@ def write_routed(envelopes: DataFrame, path: str, fmt: str = "parquet") -> None:
 IMAGES = ("before", "after")
 _BROKEN = "__broken"
 _PARSED = "__parsed"
+_NO_TABLE = "table: null"
 
 
 def decode_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
@@ -80,7 +81,7 @@ def decode_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
 
 def undecodable(envelopes: DataFrame) -> DataFrame:
     """Envelopes of no table, with ``reasons``; they and the tables' envelopes are all of them."""
-    return envelopes.where(F.col("table").isNull()).withColumn("reasons", F.lit("table: null"))
+    return envelopes.where(F.col("table").isNull()).withColumn("reasons", F.lit(_NO_TABLE))
 
 
 def checked_events(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
@@ -89,14 +90,18 @@ def checked_events(envelopes: DataFrame, table: str, schema: T.StructType, keys:
     The before image says something in a delete, and in an update that moves a row to another key: then its key
     alone matters.  An image that is no JSON object, or has a value its column cannot hold, is unreadable as a whole.
     """
-    mine = envelopes.where(F.col("table") == table)
+    return _checked(envelopes.where(F.col("table") == table), schema, keys)
+
+
+def _checked(mine: DataFrame, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
     keys, reasons = list(keys), []
-    if "after" not in envelopes.columns:
+    if "after" not in mine.columns:
         images = {"before": T.StructType([schema[k] for k in keys]), "after": schema}
         parsed = []
         for image, wanted in images.items():
             marked = T.StructType([*wanted.fields, T.StructField(_BROKEN, T.StringType())])
-            parsed.append(F.from_json(F.col(f"{image}_json"), marked, {"columnNameOfCorruptRecord": _BROKEN}).alias(image))
+            text = F.when(F.col("table").isNotNull(), F.col(f"{image}_json"))  # what names no table has no images
+            parsed.append(F.from_json(text, marked, {"columnNameOfCorruptRecord": _BROKEN}).alias(image))
         # Out of an array, or the filters on what is found here would parse the images again, once for each use.
         mine = mine.select("*", F.explode(F.array(F.struct(*parsed))).alias(_PARSED))
         for image, wanted in images.items():
@@ -138,6 +143,21 @@ def typed_changes(envelopes: DataFrame, table: str, schema: T.StructType, keys:
     return event_rows(typed_events(envelopes, table, schema, keys), keys)
 
 
+def sorted_changes(envelopes: DataFrame, table: str, schema: T.StructType, keys: Iterable[str]) -> DataFrame:
+    """``typed_changes``, ``unreadable_changes`` and ``undecodable`` in one pass, which reads and parses every envelope once.
+
+    A change that can be applied is ``op, seq`` and its columns, with empty ``reasons``.  Any other envelope of the table or of
+    no table is one row with its ``reasons``, without columns and as it came in ``envelope``.
+    """
+    nowhere = F.col("table").isNull()
+    checked = _checked(envelopes.where((F.col("table") == table) | nowhere), schema, keys)
+    checked = checked.withColumn("reasons", F.when(nowhere, F.lit(_NO_TABLE)).otherwise(F.col("reasons")))
+    good = F.col("reasons") == ""
+    images = [F.when(good, F.col(i)).alias(i) for i in IMAGES]
+    came = F.when(~good, F.struct(*envelopes.columns)).alias("envelope")
+    return event_rows(checked.select("op", "seq", "reasons", came, *images), keys, ["reasons", "envelope"])
+
+
 def _as_json(events: DataFrame, image: str) -> Column:
     """An image as JSON with times to the microsecond, where the JSON writer would cut them to milliseconds."""
     fields = events.schema[image].dataType.fields
@@ -146,11 +166,12 @@ def _as_json(events: DataFrame, image: str) -> Column:
 
 
 def change_events(
-    changes: DataFrame, table: str, keys: Iterable[str], ts_commit: Column | None = None
+    changes: DataFrame, table: str, keys: Iterable[str], ts_commit: Column | None = None, keep: Iterable[Column] = ()
 ) -> DataFrame:
     """A change frame (``op, seq``, columns) as envelopes with column images.
 
-    A delete keeps its key as before image, the other changes their row as after image.
+    A delete keeps its key as before image, the other changes their row as after image.  What is in ``keep`` goes
+    along beside them.
     """
     keys = list(keys)
     columns = [c for c in changes.columns if c not in ("op", "seq")]
@@ -167,16 +188,17 @@ def change_events(
         commit.cast("timestamp_ntz").alias("ts_commit"),
         F.when(deleted, only_key).alias("before"),
         F.when(~deleted, whole).alias("after"),
+        *keep,
     )
 
 
 def change_envelopes(
-    changes: DataFrame, table: str, keys: Iterable[str], ts_commit: Column | None = None
+    changes: DataFrame, table: str, keys: Iterable[str], ts_commit: Column | None = None, keep: Iterable[Column] = ()
 ) -> DataFrame:
     """The same with JSON images, for a feed of many tables."""
-    events = change_events(changes, table, keys, ts_commit)
-    images = [_as_json(events, i).alias(f"{i}_json") for i in ("before", "after")]
-    return events.select("table", "op", "seq", "ts_commit", *images)
+    events = change_events(changes, table, keys, ts_commit, keep)
+    images = [_as_json(events, i).alias(f"{i}_json") for i in IMAGES]
+    return events.select("table", "op", "seq", "ts_commit", *images, *events.columns[6:])
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

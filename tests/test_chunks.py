@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowflow.operators.latest import current_rows
-from rowflow.sources.changes import decode_envelopes, undecodable
+from rowflow.plans.catalog import QUERIES
+from rowflow.sources.changes import decode_envelopes, sorted_changes, typed_changes, undecodable, unreadable_changes
 from rowflow.sources.chunks import ChunkedSnapshot, chunk_limits
 from rowflow.streaming.replicate import BatchApplier
 from rowflow.streaming.store import KeyedTable
@@ -59,3 +60,36 @@ def test_undecodable_messages_are_set_aside(spark, root):
     assert sorted(r.k for r in table.current().collect()) == [0, 1, 2]
     aside = spark.read.json(f"{root}/job/unreadable/undecodable").collect()
     assert len(aside) == len(bad) and {r.reasons for r in aside} == {"table: null"}
+
+
+def test_one_pass_sorts_as_three_do(spark):
+    good = [("c", 1, None, '{"k":1,"v":"x"}'), ("u", 2, '{"k":1}', '{"k":2,"v":"y"}'), ("u", 3, '{"k":2}', '{"k":2}'), ("d", 4, '{"k":2}', None)]
+    bad = [("u", 5, '{"k":1}', '{"k":'), ("u", 6, '{"k":"z"}', '{"k":3}'), ("c", None, None, '{"k":4}'), ("x", 7, None, '{"k":5}'),
+           (None, 8, None, '{"k":6}'), ("c", 9, None, '{"v":"x"}'), ("d", 10, None, None), ("c", 11, None, "[1]"), ("u", 12, None, None)]
+    df = spark.createDataFrame([("a", *r) for r in good + bad] + [("b", *good[0]), ("b", *bad[0])], "table string, op string, seq long, before_json string, after_json string")
+    broken = spark.createDataFrame([(m,) for m in ['{"table":"a","op"', '{"op":"c","seq":9,"after_json":"{\\"k\\":1}"}', "", None]], "value string")
+    messages = df.select(F.to_json(F.struct("*")).alias("value")).unionByName(broken)
+    received = decode_envelopes(messages)
+    got = sorted_changes(received, "a", ROW, ["k"])
+    rows = lambda df: sorted(map(str, df.collect()))
+    changes = typed_changes(received, "a", ROW, ["k"])
+    assert rows(got.where("reasons = ''").select(*changes.columns)) == rows(changes) and changes.count() == len(good) + 1
+    set_aside = unreadable_changes(received, "a", ROW, ["k"])
+    aside = set_aside.unionByName(undecodable(received))
+    assert rows(got.where("reasons != ''").select("envelope.*", "reasons")) == rows(aside)
+    assert set_aside.count() == len(bad) and got.count() == len(good) + 1 + len(bad) + 4
+    assert got.where("(reasons = '') = (envelope is not null)").count() == 0
+
+
+def test_quarantined_messages_are_read_and_parsed_once(spark, root):
+    orders = [(k, 7, "F", 10.5, "1-URGENT") for k in range(1, 98)]
+    items = [(k, 5, 6, 1, 2.5, flag, "O") for k in range(1, 98) for flag in "NR"]
+    at = F.lit("1996-01-02 00:00:00").cast("timestamp_ntz")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").withColumn("o_orderdate", at).write.parquet(f"{root}/orders.parquet")
+    lines = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(items, lines).withColumn("l_shipdate", at).write.parquet(f"{root}/lineitem.parquet")
+    found = QUERIES["quarantined_changes"](spark, root)
+    assert {r.reasons: r.messages for r in found.collect()} == {
+        "": 92 + 92 + 95, "after: unreadable; order_id: null": 4, "order_id: null": 2, "table: null": 6}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("from_json(") == 3  # the message and its two images
