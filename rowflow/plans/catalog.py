@@ -16,12 +16,13 @@ from ..operators import digests, dml, integrity, latency, markers, sync
 from ..operators.allocation import KeyAllocator
 from ..operators.latest import current_rows, drop_tombstones, latest_by_key, live_keys, merge_newest
 from ..schemas import ORDERS
-from ..session import work_dir
+from ..session import COMPRESSED, remove, work_dir
 from ..sources import generate
 from ..sources.changes import (
     change_envelopes,
     change_events,
     decode_envelopes,
+    folder_of,
     read_changes,
     sorted_changes,
     typed_changes,
@@ -516,7 +517,7 @@ def _write_feed(t: Tables, names: list[str], routed: bool = False) -> str:
     commit = F.coalesce(F.col("created_at"), as_of())
     encode = change_events if len(names) == 1 else change_envelopes
     changes = union_all([encode(feed, n, KEYS[n], commit) for n, feed in t.feeds(names).items()])
-    write_routed(changes, path) if routed else changes.write.parquet(path)
+    write_routed(changes, path) if routed else changes.write.options(**COMPRESSED).parquet(path)
     return path
 
 
@@ -558,8 +559,8 @@ def fanout_apply(t: Tables) -> DataFrame:
 
 def _same_contents(t: Tables, tables: dict[str, KeyedTable]) -> DataFrame:
     """Whether stored tables hold what their feeds lead to."""
-    found = digests.content_checksums({n: table.current() for n, table in tables.items()})
-    expected = digests.content_checksums({n: current_rows(f, KEYS[n]) for n, f in t.feeds(list(tables)).items()})
+    found = digests.collected_checksums({n: table.current() for n, table in tables.items()})
+    expected = digests.collected_checksums({n: current_rows(f, KEYS[n]) for n, f in t.feeds(list(tables)).items()})
     wanted = expected.select("table", F.col("checksum").alias("__wanted"))
     return found.join(wanted, "table").select("table", (F.col("checksum") == F.col("__wanted")).alias("same_content"))
 
@@ -606,7 +607,9 @@ def restrict_current(t: Tables) -> DataFrame:
 def per_table_jobs(t: Tables) -> DataFrame:
     """Every table out of a job of its own, which reads that table's part of the feed: rows, and whether contents are what the feeds say."""
     feed, tables, root = _routes(t, list(KEYS))
-    await_queries(start(feed, tables, root, "per_table", interval=None))
+    for name, job in zip(tables, start(feed, tables, root, "per_table", interval=None), strict=True):
+        await_queries([job])
+        remove(t.spark, folder_of(f"{root}/feed", name))  # no other job reads it
     counts = sync.table_counts({n: table.current(columns=[]) for n, table in tables.items()})
     return counts.join(_same_contents(t, tables), "table")
 

@@ -1,11 +1,14 @@
-"""Session defaults and the shared work folder."""
+"""Session defaults, the shared work folder, and what keeps the disk clear."""
 
 from __future__ import annotations
 
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +21,13 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+#: How feeds and stored tables are written: images and rows in JSON and Parquet take about half of what they take by default.
+COMPRESSED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleared: dict[str, tuple[int, str | None]] = {}  # by session: how many are inside, and the setting before
+_lock = threading.Lock()
+
 
 def build_session(app: str = "rowflow", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the defaults above; keyword names use ``__`` for dots."""
@@ -43,3 +53,33 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="rowflow-")
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
     return f"{shared.rstrip('/')}/rowflow-{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of work files, wherever it lies; none is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def shuffles_cleared(spark: SparkSession) -> Iterator[None]:
+    """Inside, an action's shuffle files go when it ends, where else they stay until the driver collects garbage.
+
+    It holds for frames put together inside; one that is used for a second action shuffles anew.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        inside, before = _cleared.get(session) or (0, spark.conf.get(_CLEANUP, None))
+        _cleared[session] = inside + 1, before
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            inside, before = _cleared.pop(session)
+            if inside > 1:
+                _cleared[session] = inside - 1, before
+            elif before is None:
+                spark.conf.unset(_CLEANUP)
+            else:
+                spark.conf.set(_CLEANUP, before)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators.dml import event_rows
 from ..schemas import ENVELOPE, NTZ, typed_envelope
+from ..session import COMPRESSED
 
 
 #: Folder of the changes that name no table, as Spark writes it.
@@ -54,7 +55,12 @@ def read_changes(
 
 def write_routed(envelopes: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Add changes to a feed with a folder per table; those of no table have one of their own."""
-    envelopes.write.mode("append").format(fmt).partitionBy("table").save(path)
+    envelopes.write.mode("append").format(fmt).options(**COMPRESSED if fmt == "parquet" else {}).partitionBy("table").save(path)
+
+
+def folder_of(path: str, table: str) -> str:
+    """The folder of one table in a routed feed."""
+    return f"{path}/table={table}"
 
 
 IMAGES = ("before", "after")

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..operators.latest import drop_tombstones, latest_by_key, merge_newest
 from ..schemas import create_table_sql
+from ..session import COMPRESSED, remove
 
 # Fixed value: least number of hash buckets of a target table.
 MIN_BUCKETS = 4
@@ -266,7 +267,7 @@ class KeyedTable:
         map-side combine, whatever its size.
         """
         folder = f"{self.path}/log/v={self._required()[0]}/job={job}/batch={batch}"
-        self._typed(changes).write.mode("overwrite").parquet(folder)
+        self._typed(changes).write.mode("overwrite").options(**COMPRESSED).parquet(folder)
 
     def fold(self) -> None:
         """Reduce the log to one change per key; the snapshot stays.
@@ -278,7 +279,7 @@ class KeyedTable:
         log = self._log(version)
         if log is not None:
             newest = latest_by_key(log, self.keys)
-            newest.write.mode("overwrite").parquet(f"{self.path}/log/v={version + 1}/job={FOLDED}/batch=0")
+            newest.write.mode("overwrite").options(**COMPRESSED).parquet(f"{self.path}/log/v={version + 1}/job={FOLDED}/batch=0")
             self._writing = self._publish(version + 1, snapshot)
 
     def compact(self, forget_below: int | None = None) -> None:
@@ -305,6 +306,7 @@ class KeyedTable:
             .mode("overwrite")
             .bucketBy(self.buckets, *self.keys)
             .sortBy(*self.keys)
+            .options(**COMPRESSED)
             .option("path", f"{self.path}/snapshot/v={snapshot}")
             .saveAsTable(name)
         )
@@ -327,5 +329,4 @@ class KeyedTable:
             self._remove(f"snapshot/v={snapshot}")
 
     def _remove(self, part: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, f"{self.path}/{part}")
