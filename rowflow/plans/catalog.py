@@ -527,7 +527,7 @@ def _stream(t: Tables, names: list[str], batches: int = 2) -> tuple[DataFrame, d
     schemas = {n: rows.schema for n, rows in t.all().items() if n in names}
     row = schemas[names[0]] if len(names) == 1 else None
     files = len(read_changes(t.spark, path, stream=False, row=row).inputFiles())
-    feed = read_changes(t.spark, path, max_files=math.ceil(files / batches), row=row)
+    feed = read_changes(t.spark, path, max_files=math.ceil(files / batches), row=row, consume=True)
     root = path.rsplit("/", 1)[0]
     return feed, {n: KeyedTable(t.spark, f"{root}/target", n, schemas[n], KEYS[n]) for n in names}, root
 
@@ -553,7 +553,8 @@ def fanout_apply(t: Tables) -> DataFrame:
     """All five tables out of one job: the sync report against the source, and whether contents are what the feeds say."""
     rows = t.all()
     feed, tables, root = _stream(t, list(rows))
-    report = verify_sync(start(feed, tables, root, interval=None), rows, tables, 3600).report
+    worked_off = lambda: remove(t.spark, f"{root}/feed")
+    report = verify_sync(start(feed, tables, root, interval=None), rows, tables, 3600, worked_off).report
     return report.join(_same_contents(t, tables), "table")
 
 

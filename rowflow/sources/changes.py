@@ -29,13 +29,15 @@ def read_changes(
     tables: Iterable[str] | None = None,
     unnamed: bool = True,
     archive: str | None = None,
+    consume: bool = False,
 ) -> DataFrame:
     """Envelopes below ``path``: a stream that picks up new files, or one batch of all.
 
     ``row`` is given for a feed of one table whose images are columns and not JSON.
     ``max_files`` or ``max_bytes`` bound a micro-batch, so a long backlog is worked off in
     pieces and not in one giant job.  ``tables`` reads those tables' folders of a routed feed and no others, and
-    with ``unnamed`` the changes of no table; files that a stream has worked off go to ``archive``.
+    with ``unnamed`` the changes of no table; files that a stream has worked off go to ``archive``,
+    or are deleted with ``consume``, but for those of the newest batch.
     """
     schema = ENVELOPE if row is None else typed_envelope(row)
     if tables is not None:  # the folder's name is the table, which then comes last
@@ -47,6 +49,8 @@ def read_changes(
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if stream and archive:
         reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
+    elif stream and consume:
+        reader = reader.option("cleanSource", "delete")
     if tables is None:
         return reader.load(path)
     folders = ",".join([*tables, *([UNNAMED] if unnamed else [])])

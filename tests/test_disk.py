@@ -1,6 +1,7 @@
 """What the streamed queries leave on disk while they run: no feed that was worked off, no shuffle that nobody reads."""
 
 import glob
+import os
 import time
 from datetime import datetime
 
@@ -11,6 +12,10 @@ from rowflow.operators.digests import collected_checksums, content_checksums
 from rowflow.operators.latest import latest_by_key
 from rowflow.plans.catalog import QUERIES
 from rowflow.session import _CLEANUP, shuffles_cleared
+from rowflow.sources.changes import change_envelopes, read_changes
+from rowflow.streaming.replicate import run_available
+from rowflow.streaming.store import KeyedTable
+from rowflow.streaming.verify import verify_sync
 
 DAY = datetime(1994, 5, 6)
 
@@ -76,6 +81,40 @@ def test_clearing_ends_with_the_last_that_asked(spark):
     assert spark.conf.get(_CLEANUP, None) == setting
 
 
+def test_consumed_files_go_while_the_job_runs(spark, root):
+    changes = spark.createDataFrame([("c", k, k, f"v{k}") for k in range(4)], "op string, seq long, k long, v string")
+    change_envelopes(changes.repartition(4, "k"), "a", ["k"]).write.option("maxRecordsPerFile", 1).parquet(f"{root}/feed")
+    table = KeyedTable(spark, f"{root}/target", "a", changes.drop("op", "seq").schema, ["k"])
+    left = []
+
+    class Watched(KeyedTable):
+        def append(self, *args):
+            time.sleep(1)  # another thread deletes
+            left.append(len(files(f"{root}/feed")))
+            super().append(*args)
+
+    watched = Watched(spark, f"{root}/target", "a", changes.drop("op", "seq").schema, ["k"])
+    run_available(read_changes(spark, f"{root}/feed", max_files=1, consume=True), {"a": watched}, root)
+    assert len(left) >= 4 and left[-1] < left[0]
+    assert {r.k: r.v for r in table.current().collect()} == {k: f"v{k}" for k in range(4)}
+
+
+def test_counts_are_compared_after_the_feed_is_gone_and_leave_no_shuffles(spark, root):
+    changes = spark.range(20_000).select(F.lit("c").alias("op"), F.col("id").alias("seq"), F.xxhash64("id").alias("k"))
+    table = KeyedTable(spark, root, "a", changes.select("k").schema, ["k"]).create()
+    table.append(changes, 0)
+    said, before = [], shuffled(spark)
+    outcome = verify_sync([], {"a": changes}, {"a": table}, ended=lambda: said.append(not left_of(spark, before)))
+    assert said == [True] and outcome.synced
+    assert sum(os.path.getsize(f) for f in left_of(spark, before)) < 10_000  # rows of counts at most
+
+
+def test_the_job_for_all_tables_leaves_no_feed(spark, root, folder):
+    found = {r.table: (r.target_count, r.same_content) for r in QUERIES["fanout_apply"](spark, folder).collect()}
+    assert not files(f"{root}/work/feed/feed")
+    assert found == {"orders": (20, True), "customers": (7, True), "products": (5, True), "order_items": (40, True), "inventory_movements": (10, True)}
+
+
 def test_jobs_per_table_leave_no_feed(spark, root, folder):
     found = QUERIES["per_table_jobs"](spark, folder)
     assert not files(f"{root}/work/feed/feed")
