@@ -588,6 +588,7 @@ def orphans_current(t: Tables) -> DataFrame:
     kept = References(t.spark, f"{root}/references", "order_items", "orders", "order_id", tables["orders"].columns["order_id"].dataType)
     kept.build(tables["order_items"], tables["orders"])
     run_available(feed, tables, root, references=[kept])
+    remove(t.spark, f"{root}/feed")
     return kept.orphans.current().select("order_id", F.col("n").alias("n_items"))
 
 

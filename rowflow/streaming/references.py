@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shuffles_cleared
 from .refresh import covered_until, record_covered
-from .signed import COUNTER, add_counts, signed_changes
+from .signed import COUNTER, signed_changes, store_counts
 from .store import JOB, KeyedTable
 
 
@@ -54,20 +55,18 @@ class References:
         counted = None
         if moved is not None:
             moved = moved.where(F.col(self.column).isNotNull())
-            counted = add_counts(self.uses, moved.groupBy(self.column).agg(F.sum("sign").cast("bigint").alias("n")), since, batch, job)
+            store_counts(self.uses, moved.groupBy(self.column).agg(F.sum("sign").cast("bigint").alias("n")), since, batch, job)
+            counted = self.uses.changes_since(batch, job)
         came = signed_changes(parents, since, job)
         touched = [rows for rows in (counted, came and came.select(F.col(parents.keys[0]).alias(self.column))) if rows is not None]
         if touched:
             self._look_up([rows.select(self.column) for rows in touched], parents, batch, job)
-        if counted is not None:
-            counted.unpersist()
         record_covered(self, batch, job)
 
     def _look_up(self, touched: list[DataFrame], parents: KeyedTable, batch: int, job: str) -> None:
         """Write what the touched references are now: orphans with their count, or deleted."""
         keys = touched[0] if len(touched) == 1 else touched[0].unionByName(touched[1])
-        keys = keys.distinct().persist()
-        try:
+        with self.orphans.set_aside(keys.distinct(), job) as keys, shuffles_cleared(self.spark):
             if keys.isEmpty():
                 return
             used = self.uses.state_of(keys).where(F.col("op") != "d").select(self.column, "n")
@@ -78,8 +77,6 @@ class References:
             orphaned = F.col("n").isNotNull() & F.col("__found").isNull()
             op, seq = F.when(orphaned, "u").otherwise("d").alias("op"), F.lit(batch + 1).cast("bigint").alias("seq")
             self.orphans.append(state.select(op, seq, self.column, F.when(orphaned, F.col("n")).alias("n")), batch, job)
-        finally:
-            keys.unpersist()
 
     def restrict(self, candidates: DataFrame, column: str | None = None) -> DataFrame:
         """Candidates for deletion, with their key in ``column``, and ``allowed``: false where a child still refers to the row."""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.views import CUSTOMER_TIERS, DAILY_ORDERS, View
+from ..session import shuffles_cleared
 from .refresh import covered_until, record_covered
 from .store import JOB, KeyedTable
 
@@ -42,19 +43,29 @@ def add_counts(counters: KeyedTable, deltas: DataFrame, since: int, batch: int,
     A counter that reaches zero is deleted.  Counters of batches from ``since`` on are left out, so a repeated
     batch counts once, however the batches are cut the second time.
     """
-    keys = counters.keys
     moving = deltas.where(F.col("n") != 0).persist()  # looked up and joined: added up once
+    changed = _counted(counters, moving, since, batch, job).persist()
+    counters.append(changed, batch, job)
+    moving.unpersist()
+    return changed
+
+
+def store_counts(counters: KeyedTable, deltas: DataFrame, since: int, batch: int, job: str = JOB) -> None:
+    """The same for any number of keys, with nothing kept: what was written is in the counters' log."""
+    with counters.set_aside(deltas.where(F.col("n") != 0), job) as moving, shuffles_cleared(counters.spark):
+        counters.append(_counted(counters, moving, since, batch, job), batch, job)
+
+
+def _counted(counters: KeyedTable, moving: DataFrame, since: int, batch: int, job: str) -> DataFrame:
+    keys = counters.keys
     old = counters.state_of(moving.select(*keys), since, job)
     before = old.select(*[F.col(k).alias(f"__{k}") for k in keys], F.when(F.col("op") != "d", F.col("n")).alias("__n"), F.col("seq").alias("__seq"))
     joined = moving.join(before, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left")
     had = F.coalesce(F.col("__n"), F.lit(0))
     position = F.greatest(F.coalesce(F.col("__seq"), F.lit(-1)), F.lit(batch).cast("bigint")) + 1
-    changed = joined.select(
+    return joined.select(
         F.when(had + F.col("n") == 0, "d").otherwise("u").alias("op"), position.alias("seq"), *keys, (had + F.col("n")).alias("n"), had.alias("n_before")
-    ).persist()
-    counters.append(changed, batch, job)
-    moving.unpersist()
-    return changed
+    )
 
 
 @dataclass(frozen=True)

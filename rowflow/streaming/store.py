@@ -13,7 +13,8 @@ from the marker: the settings of the reader's session say nothing about a stored
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..operators.latest import drop_tombstones, latest_by_key, merge_newest
 from ..schemas import create_table_sql
-from ..session import COMPRESSED, remove
+from ..session import COMPRESSED, remove, shuffles_cleared
 
 # Fixed value: least number of hash buckets of a target table.
 MIN_BUCKETS = 4
@@ -36,6 +37,9 @@ META = T.StructType().add("op", "string").add("seq", "long")
 #: Up to so many keys are looked up by their values, so that buckets and row groups without them are not read.
 LISTED_KEYS = 1000
 
+#: Up to so many changes, earlier ones of their keys are looked up before they are reduced.
+JOINED_CHANGES = 100_000
+
 
 def buckets_for(table_bytes: int, bucket_bytes: int = 1 << 30) -> int:
     """Buckets that keep each one near ``bucket_bytes``, the share of one merging task."""
@@ -171,7 +175,8 @@ class KeyedTable:
         """``__before`` and ``__after`` of every key that the job's batches from ``batch`` on mention: ``op, seq``, keys and ``columns``.
 
         Both are found together: earlier changes of those keys and the batches' own are reduced in one step, and joined to
-        the snapshot's rows.  None when no log is stored.
+        the snapshot's rows.  Where there are many changes, a join would shuffle them and all earlier ones before that step
+        does, so other keys leave after it.  None when no log is stored.
         """
         version, snapshot = self._required()
         wanted = [*META.names, *self.keys, *[c for c in columns if c not in self.keys]]
@@ -182,14 +187,17 @@ class KeyedTable:
         changes = changes.select(*wanted)
         if not self.nullable_keys:
             changes = changes.dropna(subset=self.keys)
-        asked = changes.select(*[F.col(k).alias(f"__{k}") for k in self.keys])
         near = self._near(changes.select(*self.keys))
         same = self._same()
-        earlier = earlier.select(*wanted).where(near).join(asked, same, "left_semi")
+        earlier = earlier.select(*wanted).where(near)
+        if self._log(version, later).count() <= JOINED_CHANGES:
+            earlier = earlier.join(changes.select(*[F.col(k).alias(f"__{k}") for k in self.keys]), same, "left_semi")
         both = earlier.withColumn("__later", F.lit(False)).unionByName(changes.withColumn("__later", F.lit(True)))
         rest = [c for c in wanted if c not in self.keys and c != "seq"]
         row = F.struct("seq", (F.col("op") != "d").alias("__exists"), *rest)  # in the order of ``latest_by_key``
-        ends = both.groupBy(*self.keys).agg(F.max(F.when(~F.col("__later"), row)).alias("__old"), F.max(row).alias("__new"))
+        ends = both.groupBy(*self.keys).agg(
+            F.max(F.when(~F.col("__later"), row)).alias("__old"), F.max(row).alias("__new"), F.bool_or("__later").alias("__asked")
+        ).where("__asked")
         stored = self._snapshot(snapshot).select(*wanted).where(near)
         stored = stored.select(*[F.col(k).alias(f"__{k}") for k in self.keys], F.struct(*wanted).alias("__stored"))
         joined = ends.join(stored, same, "left")
@@ -200,6 +208,17 @@ class KeyedTable:
 
         return joined.select(newer("__old").alias("__before"), newer("__new").alias("__after"))
 
+    @contextmanager
+    def set_aside(self, rows: DataFrame, label: str) -> Iterator[DataFrame]:
+        """Rows beside the table's files while they are needed: worked out once, and no memory and no shuffle is held for them."""
+        path = f"{self.path}/aside/{label}"
+        with shuffles_cleared(self.spark):
+            rows.write.mode("overwrite").options(**COMPRESSED).parquet(path)
+        try:
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            remove(self.spark, path)
+
     def _same(self) -> list[Column]:
         """The keys beside those of another frame, which have two underscores before their names."""
         return [F.col(k).eqNullSafe(F.col(f"__{k}")) if self.nullable_keys else F.col(k) == F.col(f"__{k}") for k in self.keys]

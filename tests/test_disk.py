@@ -2,6 +2,7 @@
 
 import glob
 import os
+import random
 import time
 from datetime import datetime
 
@@ -13,6 +14,8 @@ from rowflow.operators.latest import latest_by_key
 from rowflow.plans.catalog import QUERIES
 from rowflow.session import _CLEANUP, shuffles_cleared
 from rowflow.sources.changes import change_envelopes, read_changes
+from rowflow.streaming import store
+from rowflow.streaming.references import References
 from rowflow.streaming.replicate import run_available
 from rowflow.streaming.store import KeyedTable
 from rowflow.streaming.verify import verify_sync
@@ -122,3 +125,45 @@ def test_jobs_per_table_leave_no_feed(spark, root, folder):
     assert logs and all(f.endswith(".zstd.parquet") for f in logs)
     rows = {r.table: (r.row_count, r.same_content) for r in found.collect()}
     assert rows == {"orders": (20, True), "customers": (7, True), "products": (5, True), "order_items": (40, True), "inventory_movements": (10, True)}
+
+
+def test_many_changes_move_the_same_rows_without_a_join(spark, root, monkeypatch):
+    rng = random.Random(5)
+    schema = "op string, seq long, a long, b long, v string"
+    draw = lambda n: [(rng.choice("ucd"), rng.randrange(60), rng.choice([None, *range(8)]), rng.randrange(3), f"v{rng.randrange(99)}") for _ in range(n)]
+    for nullable in (False, True):
+        table = KeyedTable(spark, f"{root}/{nullable}", "t", spark.createDataFrame([], schema).drop("op", "seq").schema, ["a", "b"], nullable_keys=nullable)
+        table.create(spark.createDataFrame([r for r in draw(9) if r[2] is not None], schema))
+        for batch in range(3):
+            table.append(spark.createDataFrame(draw(12), schema), batch)
+        found = {}
+        for most in (100_000, 0):
+            monkeypatch.setattr(store, "JOINED_CHANGES", most)
+            moved = table.moved_since(2, columns=("v",))
+            assert ("LeftSemi" in moved._jdf.queryExecution().optimizedPlan().toString()) == bool(most)
+            found[most] = sorted(map(repr, moved.collect()))
+        assert found[0] == found[100_000] != []
+
+
+def test_references_follow_without_leaving_shuffles_or_rows(spark, root):
+    schema = "op string, seq long, k long, p long"
+    children = KeyedTable(spark, root, "children", spark.createDataFrame([], schema).select("k", "p").schema, ["k"]).create()
+    parents = KeyedTable(spark, root, "parents", spark.createDataFrame([], schema).select("p").schema, ["p"]).create()
+    kept = References(spark, root, "children", "parents", "p", parents.columns["p"].dataType).build(children, parents)
+    change = lambda rows, op, seq: rows.select(F.lit(op).alias("op"), F.lit(seq).cast("long").alias("seq"), "*")
+    rows = spark.range(30_000).select(F.xxhash64("id").alias("k"), F.xxhash64(F.col("id") % 10_000).alias("p"))
+    children.append(change(rows, "c", 1), 0)
+    parents.append(change(rows.select("p").distinct().where("p > 0"), "c", 1), 0)
+    before, held = shuffled(spark), spark.sparkContext._jsc.getPersistentRDDs().size()
+    kept.refresh(children, parents, 0)
+    assert sum(os.path.getsize(f) for f in left_of(spark, before)) < 10_000
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    assert not glob.glob(f"{root}/**/aside/*", recursive=True)
+    counted = rows.where("p <= 0").groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(kept.orphans.current().collect()) == sorted(counted.collect())
+
+
+def test_orphans_leave_no_feed(spark, root, folder):
+    found = {r.order_id: r.n_items for r in QUERIES["orphans_current"](spark, folder).collect()}
+    assert found == {k: 1 for k in (3, 8, 13, 18, 23)}  # the other line was returned, and the order with it
+    assert not files(f"{root}/work/feed/feed")
