@@ -26,8 +26,13 @@ COUNTER = T.StructType().add("n", "long")
 def signed_changes(table: KeyedTable, since: int, job: str = JOB, columns: tuple[str, ...] = ()) -> DataFrame | None:
     """``sign``, keys and ``columns`` of the rows that the batches from ``since`` on took away (-1) and put there (+1).
 
-    None when no log is stored.  One job writes the table: what others append counts on neither side.
+    Of columns that are all keys only rows that came or went are listed.  None when no log is stored.  One job writes the
+    table: what others append counts on neither side.
     """
+    if set(columns) <= set(table.keys):
+        found = table.existing_since(since, job)
+        sign = (F.col("__is").cast("int") - F.col("__was").cast("int")).alias("sign")
+        return None if found is None else found.select(sign, *table.keys).where("sign != 0")
     states = table.moved_since(since, job, columns)
     if states is None:
         return None

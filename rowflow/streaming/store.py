@@ -175,32 +175,21 @@ class KeyedTable:
         """``__before`` and ``__after`` of every key that the job's batches from ``batch`` on mention: ``op, seq``, keys and ``columns``.
 
         Both are found together: earlier changes of those keys and the batches' own are reduced in one step, and joined to
-        the snapshot's rows.  Where there are many changes, a join would shuffle them and all earlier ones before that step
-        does, so other keys leave after it.  None when no log is stored.
+        the snapshot's rows.  None when no log is stored.
         """
-        version, snapshot = self._required()
         wanted = [*META.names, *self.keys, *[c for c in columns if c not in self.keys]]
-        later = (F.col("job") == job) & (F.col("batch") >= batch)
-        changes, earlier = self._log(version, later), self._log(version, ~later)
-        if changes is None:
+        found = self._around(batch, job, wanted)
+        if found is None:
             return None
-        changes = changes.select(*wanted)
-        if not self.nullable_keys:
-            changes = changes.dropna(subset=self.keys)
-        near = self._near(changes.select(*self.keys))
-        same = self._same()
-        earlier = earlier.select(*wanted).where(near)
-        if self._log(version, later).count() <= JOINED_CHANGES:
-            earlier = earlier.join(changes.select(*[F.col(k).alias(f"__{k}") for k in self.keys]), same, "left_semi")
-        both = earlier.withColumn("__later", F.lit(False)).unionByName(changes.withColumn("__later", F.lit(True)))
+        both, near = found
         rest = [c for c in wanted if c not in self.keys and c != "seq"]
         row = F.struct("seq", (F.col("op") != "d").alias("__exists"), *rest)  # in the order of ``latest_by_key``
         ends = both.groupBy(*self.keys).agg(
             F.max(F.when(~F.col("__later"), row)).alias("__old"), F.max(row).alias("__new"), F.bool_or("__later").alias("__asked")
         ).where("__asked")
-        stored = self._snapshot(snapshot).select(*wanted).where(near)
+        stored = self._snapshot(self._required()[1]).select(*wanted).where(near)
         stored = stored.select(*[F.col(k).alias(f"__{k}") for k in self.keys], F.struct(*wanted).alias("__stored"))
-        joined = ends.join(stored, same, "left")
+        joined = ends.join(stored, self._same(), "left")
 
         def newer(end: str) -> Column:
             found = F.struct(*[F.col(c) if c in self.keys else F.col(f"{end}.{c}").alias(c) for c in wanted])
@@ -208,6 +197,52 @@ class KeyedTable:
 
         return joined.select(newer("__old").alias("__before"), newer("__new").alias("__after"))
 
+    def existing_since(self, batch: int, job: str = JOB) -> DataFrame | None:
+        """The keys that the job's batches from ``batch`` on mention, and whether each had a row before (``__was``) and has one now (``__is``).
+
+        What ``moved_since`` tells of rows, by two numbers for each end as in ``live_keys``: nothing is sorted, so hardly anything spills.
+        """
+        found = self._around(batch, job, [*META.names, *self.keys])
+        if found is None:
+            return None
+        both, near = found
+        later, gone = F.col("__later"), F.coalesce(F.col("op") == "d", F.lit(True))
+        last = {"__put": ~later & ~gone, "__gone": ~later & gone, "__new_put": later & ~gone, "__new_gone": later & gone}
+        ends = both.groupBy(*self.keys).agg(*[F.max(F.when(c, F.col("seq"))).alias(n) for n, c in last.items()])
+        ends = ends.where(F.col("__new_put").isNotNull() | F.col("__new_gone").isNotNull())
+        stored = self._snapshot(self._required()[1]).where(near)
+        kept = F.coalesce(F.col("op") != "d", F.lit(False)).alias("__kept")
+        joined = ends.join(stored.select(*[F.col(k).alias(f"__{k}") for k in self.keys], F.col("seq").alias("__seq"), kept), self._same(), "left")
+
+        def exists(put: Column, gone: Column) -> Column:
+            at = F.greatest(put, gone)
+            decides = at.isNotNull() & (F.col("__kept").isNull() | (at > F.col("__seq")))
+            return F.when(decides, put.isNotNull() & (gone.isNull() | (put >= gone))).otherwise(F.coalesce("__kept", F.lit(False)))
+
+        was = exists(F.col("__put"), F.col("__gone"))
+        now = exists(F.greatest("__put", "__new_put"), F.greatest("__gone", "__new_gone"))
+        return joined.select(*self.keys, was.alias("__was"), now.alias("__is"))
+
+    def _around(self, batch: int, job: str, wanted: list[str]) -> tuple[DataFrame, Column] | None:
+        """The changes of the job's batches from ``batch`` on, which are ``__later``, beside earlier ones of their keys, and a condition that holds for those keys.
+
+        Where there are many, a join would shuffle them and all earlier ones before the reduction does: then earlier ones of
+        other keys come along, to leave after it.
+        """
+        version, _ = self._required()
+        later = (F.col("job") == job) & (F.col("batch") >= batch)
+        changes, earlier = self._log(version, later), self._log(version, ~later)
+        if changes is None:
+            return None
+        changes = changes.select(*wanted)
+        if not self.nullable_keys:
+            changes = changes.dropna(subset=self.keys)
+        near = self._near(changes.select(*self.keys))
+        earlier = earlier.select(*wanted).where(near)
+        if self._log(version, later).count() <= JOINED_CHANGES:
+            earlier = earlier.join(changes.select(*[F.col(k).alias(f"__{k}") for k in self.keys]), self._same(), "left_semi")
+        return earlier.withColumn("__later", F.lit(False)).unionByName(changes.withColumn("__later", F.lit(True))), near
+
     @contextmanager
     def set_aside(self, rows: DataFrame, label: str) -> Iterator[DataFrame]:
         """Rows beside the table's files while they are needed: worked out once, and no memory and no shuffle is held for them."""

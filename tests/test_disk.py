@@ -142,6 +142,9 @@ def test_many_changes_move_the_same_rows_without_a_join(spark, root, monkeypatch
             moved = table.moved_since(2, columns=("v",))
             assert ("LeftSemi" in moved._jdf.queryExecution().optimizedPlan().toString()) == bool(most)
             found[most] = sorted(map(repr, moved.collect()))
+            ends = {(r.a, r.b): (r["__was"], r["__is"]) for r in table.existing_since(2).collect()}
+            there = lambda row: row is not None and row.op != "d"
+            assert ends == {tuple((r["__after"])[2:4]): (there(r["__before"]), there(r["__after"])) for r in moved.collect()}
         assert found[0] == found[100_000] != []
 
 
