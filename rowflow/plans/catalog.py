@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import time
+from collections import Counter
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -532,12 +533,18 @@ def _stream(t: Tables, names: list[str], batches: int = 2) -> tuple[DataFrame, d
     return feed, {n: KeyedTable(t.spark, f"{root}/target", n, schemas[n], KEYS[n]) for n in names}, root
 
 
-def _routes(t: Tables, names: list[str]) -> tuple[Callable[[list[str], bool], DataFrame], dict[str, KeyedTable], str]:
-    """The same with a folder of the feed per table, in one micro-batch."""
+def _routes(t: Tables, names: list[str], batches: int = 2) -> tuple[Callable[[list[str], bool], DataFrame], dict[str, KeyedTable], str]:
+    """The same with a folder of the feed per table."""
     path = _write_feed(t, names, routed=True)
+    files = Counter(f.rsplit("/", 2)[1] for f in read_changes(t.spark, path, stream=False).inputFiles())
+
+    def feed(names: list[str], unnamed: bool) -> DataFrame:
+        found = sum(files[f"table={n}"] for n in names)
+        return routed_feed(t.spark, path, max_files=max(1, math.ceil(found / batches)), consume=True)(names, unnamed)
+
     root = path.rsplit("/", 1)[0]
     tables = {n: KeyedTable(t.spark, f"{root}/target", n, rows.schema, KEYS[n]) for n, rows in t.all().items() if n in names}
-    return routed_feed(t.spark, path), tables, root
+    return feed, tables, root
 
 
 @query
@@ -560,8 +567,9 @@ def fanout_apply(t: Tables) -> DataFrame:
 
 def _same_contents(t: Tables, tables: dict[str, KeyedTable]) -> DataFrame:
     """Whether stored tables hold what their feeds lead to."""
-    found = digests.collected_checksums({n: table.current() for n, table in tables.items()})
-    expected = digests.collected_checksums({n: current_rows(f, KEYS[n]) for n, f in t.feeds(list(tables)).items()})
+    found = digests.collected_checksums({n: lambda only, k=table: k.current(only=only) for n, table in tables.items()}, KEYS)
+    feeds = t.feeds(list(tables)).items()
+    expected = digests.collected_checksums({n: lambda only, n=n, f=f: current_rows(f.where(only), KEYS[n]) for n, f in feeds}, KEYS)
     wanted = expected.select("table", F.col("checksum").alias("__wanted"))
     return found.join(wanted, "table").select("table", (F.col("checksum") == F.col("__wanted")).alias("same_content"))
 
@@ -609,9 +617,11 @@ def restrict_current(t: Tables) -> DataFrame:
 def per_table_jobs(t: Tables) -> DataFrame:
     """Every table out of a job of its own, which reads that table's part of the feed: rows, and whether contents are what the feeds say."""
     feed, tables, root = _routes(t, list(KEYS))
-    for name, job in zip(tables, start(feed, tables, root, "per_table", interval=None), strict=True):
-        await_queries([job])
-        remove(t.spark, folder_of(f"{root}/feed", name))  # no other job reads it
+    running = dict(zip(tables, start(feed, tables, root, "per_table", interval=None), strict=True))
+    while running:
+        for name in [n for n, job in running.items() if await_queries([job], 1)]:
+            del running[name]
+            remove(t.spark, folder_of(f"{root}/feed", name))  # no other job reads it
     counts = sync.table_counts({n: table.current(columns=[]) for n, table in tables.items()})
     return counts.join(_same_contents(t, tables), "table")
 

@@ -131,22 +131,22 @@ class KeyedTable:
         return (log if wanted is None else log.where(wanted)).drop("job", "batch")
 
     def state(
-        self, before_batch: int | None = None, job: str = JOB, columns: Iterable[str] | None = None
+        self, before_batch: int | None = None, job: str = JOB, columns: Iterable[str] | None = None, only: Column | None = None
     ) -> DataFrame:
         """One row per key with ``op`` and ``seq``, deleted keys included.
 
         ``before_batch`` leaves out that batch of the job and all later ones.  Only the
-        keys and the ``columns`` are read, reduced and joined.
+        keys and the ``columns`` are read, reduced and joined; ``only`` is a condition on the keys, met before that.
         """
         version, snapshot = self._required()
         rest = set(self.schema.names if columns is None else [*META.names, *self.keys, *columns])
         wanted = [c for c in self.schema.names if c in rest]
         later = (F.col("job") == job) & (F.col("batch") >= before_batch) if before_batch is not None else None
         stored, log = self._snapshot(snapshot), self._log(version, None if later is None else ~later)
-        stored = stored.select(*wanted)
+        stored = stored.select(*wanted) if only is None else stored.select(*wanted).where(only)
         if log is None:
             return stored
-        newest = latest_by_key(log.select(*wanted), self.keys)
+        newest = latest_by_key(log.select(*wanted) if only is None else log.select(*wanted).where(only), self.keys)
         return merge_newest(stored, newest, self.keys, self.nullable_keys)
 
     def state_of(
@@ -289,10 +289,10 @@ class KeyedTable:
         return {r["job"]: r["last"] for r in log.groupBy("job").agg(F.max("batch").alias("last")).collect() if r["job"] != FOLDED}
 
     def current(
-        self, before_batch: int | None = None, job: str = JOB, columns: Iterable[str] | None = None
+        self, before_batch: int | None = None, job: str = JOB, columns: Iterable[str] | None = None, only: Column | None = None
     ) -> DataFrame:
         """The rows that exist: all columns, or the keys and some."""
-        return drop_tombstones(self.state(before_batch, job, columns))
+        return drop_tombstones(self.state(before_batch, job, columns, only))
 
     def changes_since(self, batch: int, job: str = JOB) -> DataFrame | None:
         """The stored changes of a batch and later ones, as far as they were not folded."""

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowflow.operators.digests import collected_checksums, content_checksums
-from rowflow.operators.latest import latest_by_key
+from rowflow.operators.latest import current_rows, latest_by_key
 from rowflow.plans.catalog import QUERIES
 from rowflow.session import _CLEANUP, shuffles_cleared
 from rowflow.sources.changes import change_envelopes, read_changes
@@ -62,16 +62,23 @@ def files(path):
     return glob.glob(f"{path}/**/*.parquet", recursive=True)
 
 
-def test_checksums_leave_no_shuffles(spark):
-    changes = spark.range(1000).select(F.lit("c").alias("op"), F.col("id").alias("seq"), (F.col("id") % 700).alias("k"), F.uuid().alias("v"))
-    changes = spark.createDataFrame(changes.collect(), changes.schema)
-    tables = {n: latest_by_key(changes.where(f"k < {most}"), ["k"]) for n, most in (("a", 500), ("b", 600))}
+@pytest.mark.parametrize("parts", [1, 2, 3])
+def test_checksums_in_parts_are_the_whole_and_leave_no_shuffles(spark, root, parts):
+    schema = "op string, seq long, a long, b string, v string"
+    rng = random.Random(3)
+    draw = lambda n: [(rng.choice("cud"), rng.randrange(50), rng.choice([None, *range(30)]), rng.choice(["x", "y", None]), f"v{rng.randrange(9)}") for _ in range(n)]
+    log, base = spark.createDataFrame(draw(300), schema), spark.createDataFrame(draw(60), schema)
+    table = KeyedTable(spark, root, "t", log.drop("op", "seq").schema, ["a", "b"], nullable_keys=True).create(base)
+    table.append(log, 0)
     setting, before = spark.conf.get(_CLEANUP, None), shuffled(spark)
-    found = collected_checksums(tables)
+    changes = base.unionByName(log)
+    given = {"stored": lambda only: table.current(only=only), "feed": lambda only: latest_by_key(changes.where(only), ["a", "b"]).where("op != 'd'")}
+    found = {r.table: (r.row_count, r.checksum) for r in collected_checksums(given, dict.fromkeys(given, ["a", "b"]), parts).collect()}
     assert not left_of(spark, before)
     assert spark.conf.get(_CLEANUP, None) == setting
-    assert found.schema == (whole := content_checksums(tables)).schema
-    assert sorted(found.collect()) == sorted(whole.collect())
+    whole = content_checksums({"stored": table.current(), "feed": current_rows(changes, ["a", "b"])}).collect()
+    assert found == {r.table: (r.row_count, r.checksum) for r in whole}
+    assert found["stored"][0] > 9
 
 
 def test_clearing_ends_with_the_last_that_asked(spark):
@@ -123,6 +130,7 @@ def test_jobs_per_table_leave_no_feed(spark, root, folder):
     assert not files(f"{root}/work/feed/feed")
     logs = files(f"{root}/work/feed/target/*/log")
     assert logs and all(f.endswith(".zstd.parquet") for f in logs)
+    assert len(glob.glob(f"{root}/work/feed/target/orders/log/v=0/job=*/batch=*")) > 1  # so the first goes before the last comes
     rows = {r.table: (r.row_count, r.same_content) for r in found.collect()}
     assert rows == {"orders": (20, True), "customers": (7, True), "products": (5, True), "order_items": (40, True), "inventory_movements": (10, True)}
 
